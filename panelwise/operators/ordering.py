@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwise.session import materialize
+from panelwise.session import broadcast_if_small, materialize
 
 PART = "_part"
 SEQ = "_seq"
@@ -63,8 +63,8 @@ def with_group_rank(
     """
     placed = with_position(df, group, *order, name="_pos")
     first = placed.groupBy(group).agg(F.min("_pos").alias("_first"))
-    joined = placed.join(first.withColumnRenamed(group, "_group"),
-                         F.col(group).eqNullSafe(F.col("_group")))
+    first = broadcast_if_small(first.withColumnRenamed(group, "_group"))
+    joined = placed.join(first, F.col(group).eqNullSafe(F.col("_group")))
     return joined.withColumn(name, F.col("_pos") - F.col("_first")).drop(
         "_pos", "_first", "_group"
     )

@@ -70,3 +70,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(target))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Hint a broadcast only when a count shows at most ``max_rows`` rows.
+
+    Above that the frame is returned without a hint and Spark shuffles it.
+    """
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
