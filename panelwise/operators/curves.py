@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelwise.operators.ordering import order_globally, with_next, with_running_sums
 from panelwise.roles import ColumnRoles
+from panelwise.session import broadcast_if_small
 
 
 def score_counts(df: DataFrame, roles: ColumnRoles, by: Sequence[str] = ()) -> DataFrame:
@@ -40,8 +41,14 @@ def cumulative_counts(df: DataFrame, roles: ColumnRoles, by: Sequence[str] = ())
     return with_running_sums(nexts, {"tp": "pos", "fp": "neg"})
 
 
-def _totals(curve: DataFrame) -> DataFrame:
-    return curve.agg(F.sum("pos").alias("p_total"), F.sum("neg").alias("n_total"))
+def _totals(curve: DataFrame) -> tuple[int, int]:
+    """Positives and negatives; two numbers from the written score table."""
+    row = curve.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+    return row["p"] or 0, row["n"] or 0
+
+
+def _rate(count: Column, total: int, empty: float | None = None) -> Column:
+    return count / F.lit(float(total)) if total else F.lit(empty).cast("double")
 
 
 def roc_curve(df: DataFrame, roles: ColumnRoles, drop_collinear: bool = True) -> DataFrame:
@@ -54,21 +61,21 @@ def roc_curve(df: DataFrame, roles: ColumnRoles, drop_collinear: bool = True) ->
 
 
 def roc_from_cumulative(curve: DataFrame, drop_collinear: bool = True) -> DataFrame:
-    totals = _totals(curve)
-    points = curve.crossJoin(F.broadcast(totals))
+    p_total, n_total = _totals(curve)
+    points = curve
     if drop_collinear:
         corner = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
         first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
         points = points.filter(first | F.col("next_pos").isNull() | corner)
     points = points.select(
         "threshold",
-        F.when(F.col("n_total") > 0, F.col("fp") / F.col("n_total")).alias("fpr"),
-        F.when(F.col("p_total") > 0, F.col("tp") / F.col("p_total")).alias("tpr"),
+        _rate(F.col("fp"), n_total).alias("fpr"),
+        _rate(F.col("tp"), p_total).alias("tpr"),
     )
-    start = totals.filter(F.col("p_total") + F.col("n_total") > 0).select(
+    start = curve.sparkSession.range(1 if p_total + n_total else 0).select(
         F.lit(float("inf")).alias("threshold"),
-        F.when(F.col("n_total") > 0, F.lit(0.0)).alias("fpr"),
-        F.when(F.col("p_total") > 0, F.lit(0.0)).alias("tpr"),
+        _rate(F.lit(0.0), n_total).alias("fpr"),
+        _rate(F.lit(0.0), p_total).alias("tpr"),
     )
     return start.unionByName(points)
 
@@ -79,14 +86,13 @@ def pr_curve(df: DataFrame, roles: ColumnRoles) -> DataFrame:
 
 
 def pr_from_cumulative(curve: DataFrame) -> DataFrame:
-    totals = _totals(curve)
-    recall = F.when(F.col("p_total") > 0, F.col("tp") / F.col("p_total")).otherwise(F.lit(1.0))
-    points = curve.crossJoin(F.broadcast(totals)).select(
+    p_total, _ = _totals(curve)
+    points = curve.select(
         "threshold",
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        recall.alias("recall"),
+        _rate(F.col("tp"), p_total, 1.0).alias("recall"),
     )
-    end = totals.select(
+    end = curve.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"),
         F.lit(1.0).alias("precision"),
         F.lit(0.0).alias("recall"),
@@ -116,15 +122,19 @@ def areas(df: DataFrame, roles: ColumnRoles, by: Sequence[str] = ()) -> DataFram
 
 def areas_from_cumulative(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     keys = list(by)
-    # A group starts where the running sums, less the row's own counts, are lowest.
-    starts = curve.groupBy(*keys).agg(
-        F.min(F.col("tp") - F.col("pos")).alias("tp0"),
-        F.min(F.col("fp") - F.col("neg")).alias("fp0"),
-        F.sum("neg").alias("n_group"),
-    )
-    joined = curve.join(F.broadcast(starts), keys) if keys else curve.crossJoin(F.broadcast(starts))
-    tp, fp = F.col("tp") - F.col("tp0"), F.col("fp") - F.col("fp0")
-    sums = _area_sums(tp, fp, F.col("n_group"))
+    if keys:
+        # A group starts where the running sums, less the row's own counts, are lowest.
+        starts = curve.groupBy(*keys).agg(
+            F.min(F.col("tp") - F.col("pos")).alias("tp0"),
+            F.min(F.col("fp") - F.col("neg")).alias("fp0"),
+            F.sum("neg").alias("n_group"),
+        )
+        joined = curve.join(broadcast_if_small(starts), keys)
+        tp, fp = F.col("tp") - F.col("tp0"), F.col("fp") - F.col("fp0")
+        sums = _area_sums(tp, fp, F.col("n_group"))
+    else:
+        joined = curve
+        sums = _area_sums(F.col("tp"), F.col("fp"), F.lit(_totals(curve)[1]))
     total = joined.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items()])
     p, n = F.col("p_total"), F.col("n_total")
     both = (p > 0) & (n > 0)
