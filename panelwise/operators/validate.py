@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,8 +153,7 @@ def card_stats(
     rows = by.groupBy(split_column).agg(F.sum("n").alias("n"))
     out = _section("samples", rows, F.col(split_column), F.col("n"))
     shares = by.filter(F.col(split_column) == train).groupBy("_y").agg(F.sum("n").alias("n"))
-    total = shares.agg(F.sum("n").alias("t"))
-    shares = shares.join(F.broadcast(total))
+    shares = shares.withColumn("t", F.sum("n").over(Window.partitionBy()))
     out = out.unionByName(
         _section("class_share", shares, F.col("_y"), F.col("n") / F.col("t"))
     )
