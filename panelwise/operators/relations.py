@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelwise.functions.scalar import null_if_nan
 from panelwise.operators.columns import require_columns
+from panelwise.session import small_frame
 
 MAX_CORR_EXPRESSIONS = 200
 
@@ -73,7 +74,7 @@ def _pairs_from_products(df: DataFrame, names: list[str]) -> DataFrame:
         (names[i], names[j], float(corr[i, j]) if np.isfinite(corr[i, j]) else None)
         for i, j in combinations(range(d), 2)
     ]
-    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
+    return small_frame(df.sparkSession, rows, "feature_a string, feature_b string, corr double")
 
 
 def top_correlated_pairs(df: DataFrame, features: Sequence[str], n: int = 5) -> DataFrame:
@@ -99,8 +100,8 @@ def correlation_prune(
     dropped = {r["feature_b"] for r in rows if r["corr"] is not None and r["corr"] > threshold}
     kept = [c for c in features if c not in dropped]
     left = [tuple(r) for r in rows if r["feature_a"] not in dropped and r["feature_b"] not in dropped]
-    return kept, df.sparkSession.createDataFrame(
-        left, "feature_a string, feature_b string, corr double"
+    return kept, small_frame(
+        df.sparkSession, left, "feature_a string, feature_b string, corr double"
     )
 
 
@@ -135,8 +136,8 @@ def feature_interactions(
 ) -> DataFrame:
     """Top correlated pairs with their trend line per class; two aggregates."""
     top = top_correlated_pairs(df, features, top_n).collect()
-    corr = df.sparkSession.createDataFrame(
-        [tuple(r) for r in top], "feature_a string, feature_b string, corr double"
+    corr = small_frame(
+        df.sparkSession, [tuple(r) for r in top], "feature_a string, feature_b string, corr double"
     )
     lines = class_trend_lines(df, [(r["feature_a"], r["feature_b"]) for r in top], label)
     return lines.join(F.broadcast(corr), ["feature_a", "feature_b"])

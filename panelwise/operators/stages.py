@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from panelwise.functions.scalar import clipped_log
 from panelwise.operators import columns as cols
 from panelwise.operators.quantiles import approximate_quantiles, exact_quantiles
+from panelwise.session import small_frame
 
 
 class _Columns(Params):
@@ -128,8 +129,8 @@ def standard_stats(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def robust_stats(df: DataFrame, names: Sequence[str], exact: bool = True) -> DataFrame:
     """column_name, q25, median, q75."""
     found = robust_stats_values(df, names, exact)
-    return df.sparkSession.createDataFrame(
-        [(c, *found[c]) for c in names], "column_name string, q25 double, median double, q75 double"
+    return small_frame(
+        df.sparkSession, [(c, *found[c]) for c in names], "column_name string, q25 double, median double, q75 double"
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from panelwise.operators.columns import is_missing, require_columns
 from panelwise.operators.counts import class_distribution
 from panelwise.roles import ColumnRoles
+from panelwise.session import small_frame
 
 
 def duplicate_keys(df: DataFrame, roles: ColumnRoles) -> DataFrame:
@@ -162,5 +163,5 @@ def card_stats(
         ("metric", name, None if value is None else round(float(value), 4))
         for name, value in metrics.items()
     ]
-    extra = splits.sparkSession.createDataFrame(fixed, "section string, key string, value double")
+    extra = small_frame(splits.sparkSession, fixed, "section string, key string, value double")
     return out.unionByName(extra)

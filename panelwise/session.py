@@ -80,3 +80,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     from pyspark.sql import functions as F
 
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Frame of a few driver-side rows, sent as one Arrow table."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    struct = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(struct)
+    columns = list(zip(*rows)) if rows else [[] for _ in arrow]
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), struct)

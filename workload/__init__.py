@@ -1,6 +1,6 @@
 """Queries over the provided tables and the SQL that checks them."""
 
-from workload import queries_metrics, queries_prepare  # noqa: F401
+from workload import queries_analysis, queries_metrics, queries_prepare, queries_resample  # noqa: F401
 from workload.registry import ORACLES, QUERIES
 
 

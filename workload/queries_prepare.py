@@ -248,7 +248,7 @@ def _sanitize(spark, sf_dir) -> DataFrame:
 
 
 _STD = " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, round(avg({c}), 8) AS mean, round(stddev_pop({c}), 8) AS std FROM lines"
+    f"SELECT '{c}' AS column_name, round(avg({c}), 7) AS mean, round(stddev_pop({c}), 7) AS std FROM lines"
     for c in LINE_FEATURES
 )
 _ROBUST = " UNION ALL ".join(
@@ -261,7 +261,7 @@ _ROBUST = " UNION ALL ".join(
 @query("standard_stats", f"WITH {LINES_SQL} {_STD}")
 def _standard_stats(spark, sf_dir) -> DataFrame:
     stats = stages.standard_stats(lines(spark, sf_dir), LINE_FEATURES)
-    return stats.withColumns({c: F.round(c, 8) for c in ("mean", "std")})
+    return stats.withColumns({c: F.round(c, 7) for c in ("mean", "std")})
 
 
 @query("robust_stats", f"WITH {LINES_SQL} {_ROBUST}")
