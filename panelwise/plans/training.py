@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
@@ -131,9 +132,7 @@ def score_batch(model: PipelineModel, df: DataFrame, roles: ColumnRoles) -> Data
     The columns of ``df`` come back unscaled: features are scaled on a copy.
     """
     kept = [c for c in df.columns if c not in (roles.score, roles.prediction)]
-    raw = df.select(
-        F.struct(*kept).alias("_row"), *[F.col(c) for c in roles.features], F.col(roles.label)
-    )
+    raw = df.select(F.struct(*kept).alias("_row"), *roles.features)
     p = vector_to_array("probability")[1]
     scored = model.transform(raw).select("_row.*", p.alias(roles.score))
     return scored.withColumn(roles.prediction, above(F.col(roles.score), DECISION))
@@ -252,7 +251,8 @@ def search_trials(
         try:
             per_fold = cross_validate(family, params, folds, roles, k, resample)
             s = cv_summary(per_fold, CV_METRICS).first()
-        except Exception:
+        except Exception as exc:
+            warnings.warn(f"trial {number} of {family} failed: {exc}", stacklevel=2)
             return (number, "FAIL", *[None] * 8, text)
         means = [s[f"mean_{m}"] for m in ("f1", "accuracy", "auc_roc", "precision", "recall")]
         return (number, "COMPLETE", means[0], *means, s["f1_std"], number, text)
@@ -292,7 +292,7 @@ def compare_families(
     params: Mapping[str, Mapping[str, Any]],
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Train and evaluate every family; the metrics table has one row per model."""
-    models, rows = {}, []
+    models: dict[str, PipelineModel] = {}
     table = None
     for i, (family, chosen) in enumerate(params.items()):
         models[family], found = train_evaluate(family, chosen, train, val, roles)

@@ -1,6 +1,12 @@
 """Queries over the provided tables and the SQL that checks them."""
 
-from workload import queries_analysis, queries_metrics, queries_prepare, queries_resample  # noqa: F401
+from workload import (  # noqa: F401
+    queries_analysis,
+    queries_metrics,
+    queries_models,
+    queries_prepare,
+    queries_resample,
+)
 from workload.registry import ORACLES, QUERIES
 
 
