@@ -27,18 +27,22 @@ def score_counts(df: DataFrame, roles: ColumnRoles, by: Sequence[str] = ()) -> D
     )
 
 
-def cumulative_counts(df: DataFrame, roles: ColumnRoles, by: Sequence[str] = ()) -> DataFrame:
+def cumulative_counts(
+    df: DataFrame, roles: ColumnRoles, by: Sequence[str] = (), corners: bool = False
+) -> DataFrame:
     """tp and fp when all scores >= threshold are called positive.
 
-    Carries ``next_pos`` and ``next_neg``, the counts at the next lower score.
+    ``corners`` adds ``next_pos`` and ``next_neg``, the counts at the next lower
+    score, which tell the corners of the ROC curve.
     With ``by``, tp and fp run over the whole order (by, score desc); the areas
     below take the start of each group off.
     """
     ordered = order_globally(
         score_counts(df, roles, by), *[F.col(b) for b in by], F.col("threshold").desc()
     )
-    nexts = with_next(ordered, {"next_pos": "pos", "next_neg": "neg"})
-    return with_running_sums(nexts, {"tp": "pos", "fp": "neg"})
+    if corners:
+        ordered = with_next(ordered, {"next_pos": "pos", "next_neg": "neg"})
+    return with_running_sums(ordered, {"tp": "pos", "fp": "neg"})
 
 
 def _totals(curve: DataFrame) -> tuple[int, int]:
@@ -57,7 +61,7 @@ def roc_curve(df: DataFrame, roles: ColumnRoles, drop_collinear: bool = True) ->
     ``drop_collinear`` leaves out points on a straight line between neighbours:
     those whose own counts equal the counts of the next point.
     """
-    return roc_from_cumulative(cumulative_counts(df, roles), drop_collinear)
+    return roc_from_cumulative(cumulative_counts(df, roles, corners=drop_collinear), drop_collinear)
 
 
 def roc_from_cumulative(curve: DataFrame, drop_collinear: bool = True) -> DataFrame:
@@ -100,18 +104,6 @@ def pr_from_cumulative(curve: DataFrame) -> DataFrame:
     return points.unionByName(end)
 
 
-def _area_sums(tp: Column, fp: Column, n_total: Column) -> dict[str, Column]:
-    """Sums behind both areas.  Doubles, as products of counts outgrow bigint."""
-    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
-    below = n_total.cast("double") - fp.cast("double")
-    return {
-        "wins": F.sum(pos * (below + neg / 2.0)),
-        "steps": F.sum(pos * (tp / (tp + fp))),
-        "p_total": F.sum("pos"),
-        "n_total": F.sum("neg"),
-    }
-
-
 def areas(df: DataFrame, roles: ColumnRoles, by: Sequence[str] = ()) -> DataFrame:
     """ROC AUC (ties count half) and average precision, one row or one per group.
 
@@ -121,26 +113,33 @@ def areas(df: DataFrame, roles: ColumnRoles, by: Sequence[str] = ()) -> DataFram
 
 
 def areas_from_cumulative(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    keys = list(by)
+    """The areas from one aggregate over the curve.
+
+    A positive beats the negatives that score lower and half of those that tie:
+    P * N less the sum of pos * (fp - neg / 2).  Products of counts are doubles,
+    since they outgrow bigint.
+    """
+    keys, tp, fp = list(by), F.col("tp"), F.col("fp")
     if keys:
         # A group starts where the running sums, less the row's own counts, are lowest.
         starts = curve.groupBy(*keys).agg(
             F.min(F.col("tp") - F.col("pos")).alias("tp0"),
             F.min(F.col("fp") - F.col("neg")).alias("fp0"),
-            F.sum("neg").alias("n_group"),
         )
-        joined = curve.join(broadcast_if_small(starts), keys)
-        tp, fp = F.col("tp") - F.col("tp0"), F.col("fp") - F.col("fp0")
-        sums = _area_sums(tp, fp, F.col("n_group"))
-    else:
-        joined = curve
-        sums = _area_sums(F.col("tp"), F.col("fp"), F.lit(_totals(curve)[1]))
-    total = joined.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items()])
-    p, n = F.col("p_total"), F.col("n_total")
+        curve = curve.join(broadcast_if_small(starts), keys)
+        tp, fp = tp - F.col("tp0"), fp - F.col("fp0")
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    total = curve.groupBy(*keys).agg(
+        F.sum("pos").cast("double").alias("p"),
+        F.sum("neg").cast("double").alias("n"),
+        F.sum(pos * (fp.cast("double") - neg / 2.0)).alias("lost"),
+        F.sum(pos * (tp / (tp + fp))).alias("steps"),
+    )
+    p, n = F.col("p"), F.col("n")
     both = (p > 0) & (n > 0)
     return total.select(
         *keys,
-        F.when(both, F.col("wins") / (p.cast("double") * n)).alias("auc_roc"),
+        F.when(both, 1.0 - F.col("lost") / (p * n)).alias("auc_roc"),
         F.when(both, F.col("steps") / p).alias("average_precision"),
     )
 

@@ -9,6 +9,8 @@ the offsets that turn local places into global ones.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,20 +56,28 @@ def with_position(df: DataFrame, *order: Column | str, name: str = "pos") -> Dat
 
 
 def with_group_rank(
-    df: DataFrame, group: str, *order: Column | str, name: str = "rank"
+    df: DataFrame,
+    group: str,
+    *order: Column | str,
+    name: str = "rank",
+    stats: dict[str, Column] | None = None,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add the 0-based rank inside ``group``; a group may span partitions.
 
     Rows are placed by (group, order); the rank is the place minus the first
     place of the group.  Meant for few groups, such as classes or strata.
+    ``stats`` are further aggregates per group that are attached to the rows,
+    after ``derive`` has worked on the table of groups.
     """
     placed = with_position(df, group, *order, name="_pos")
-    first = placed.groupBy(group).agg(F.min("_pos").alias("_first"))
-    first = broadcast_if_small(first.withColumnRenamed(group, "_group"))
-    joined = placed.join(first, F.col(group).eqNullSafe(F.col("_group")))
-    return joined.withColumn(name, F.col("_pos") - F.col("_first")).drop(
-        "_pos", "_first", "_group"
+    per_group = placed.groupBy(F.col(group).alias("_group")).agg(
+        F.min("_pos").alias("_first"), *[agg.alias(n) for n, agg in (stats or {}).items()]
     )
+    if derive is not None:
+        per_group = derive(per_group)
+    joined = placed.join(broadcast_if_small(per_group), F.col(group).eqNullSafe(F.col("_group")))
+    return joined.withColumn(name, F.col("_pos") - F.col("_first")).drop("_pos", "_first", "_group")
 
 
 def with_running_sums(ordered: DataFrame, sums: dict[str, str]) -> DataFrame:

@@ -45,17 +45,17 @@ def split_entities(
     stats = entity_stats(df, roles)
     stratum = F.coalesce(F.col("label"), F.lit(0)) if stratify else F.lit(0)
     keyed = stats.withColumns({"_stratum": stratum, "_key": hash_key(F.col("entity"), seed)})
-    ranked = with_group_rank(keyed, "_stratum", "_key", "entity", name="_rank")
-    sizes = ranked.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = with_group_rank(
+        keyed, "_stratum", "_key", "entity", name="_rank", stats={"_n": F.count(F.lit(1))}
+    )
     n_train = F.floor(F.col("_n") * F.lit(float(train)))
     n_val = F.floor(F.col("_n") * F.lit(float(val)))
-    joined = ranked.join(broadcast_if_small(sizes), "_stratum")
     split = (
         F.when(F.col("_rank") < n_train, SPLITS[0])
         .when(F.col("_rank") < n_train + n_val, SPLITS[1])
         .otherwise(SPLITS[2])
     )
-    return joined.select("entity", "label", "n_rows", split.alias("split"))
+    return ranked.select("entity", "label", "n_rows", split.alias("split"))
 
 
 def split_rows(df: DataFrame, assignment: DataFrame, roles: ColumnRoles) -> DataFrame:
@@ -99,26 +99,30 @@ def stratified_folds(df: DataFrame, roles: ColumnRoles, k: int, name: str = "fol
     Classes are laid end to end in order of first appearance and positions are
     dealt to folds in turn; that fixes how many rows of each class a fold gets.
     """
-    label = roles.label
-    ranked = with_group_rank(df, label, roles.row_id, name="_rank")
-    classes = ranked.groupBy(label).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(roles.row_id).alias("_first")
-    )
-    earlier = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
-    classes = classes.withColumn("_o", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    bounds = [f"_b{i}" for i in range(k - 1)]
 
     def upto(end: Column, fold: int) -> Column:
         """Positions below ``end`` that are dealt to folds 0..fold."""
         full = F.floor(end / F.lit(k))
         return full * (fold + 1) + F.least(end - full * k, F.lit(fold + 1))
 
-    bounds = [
-        (upto(F.col("_o") + F.col("_n"), i) - upto(F.col("_o"), i)).alias(f"_b{i}") for i in range(k - 1)
-    ]
-    small = classes.select(F.col(label).alias("_c"), *bounds)
-    joined = ranked.join(broadcast_if_small(small), F.col(label).eqNullSafe(F.col("_c")))
-    fold = sum(((F.col("_rank") >= F.col(f"_b{i}")).cast("int") for i in range(k - 1)), F.lit(0))
-    return joined.withColumn(name, fold).drop("_rank", "_c", *[f"_b{i}" for i in range(k - 1)])
+    def with_bounds(classes: DataFrame) -> DataFrame:
+        """Rows of the class in folds 0..i, for every i but the last."""
+        earlier = Window.orderBy("_lead").rowsBetween(Window.unboundedPreceding, -1)
+        start = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+        laid = classes.withColumn("_o", start)
+        sizes = [
+            (upto(F.col("_o") + F.col("_n"), i) - upto(F.col("_o"), i)).alias(b)
+            for i, b in enumerate(bounds)
+        ]
+        return laid.select("_group", "_first", *sizes)
+
+    ranked = with_group_rank(
+        df, roles.label, roles.row_id, name="_rank",
+        stats={"_n": F.count(F.lit(1)), "_lead": F.min(roles.row_id)}, derive=with_bounds,
+    )
+    fold = sum(((F.col("_rank") >= F.col(b)).cast("int") for b in bounds), F.lit(0))
+    return ranked.withColumn(name, fold).drop("_rank", *bounds)
 
 
 def sample_entities(df: DataFrame, roles: ColumnRoles, n: int, seed: int = 42) -> DataFrame:

@@ -33,7 +33,7 @@ def evaluation_report(
         "class_distribution": counts.class_distribution(df, roles.label),
     }
     if roles.score in df.columns:
-        curve = materialize(curves.cumulative_counts(df, roles), "curve")
+        curve = materialize(curves.cumulative_counts(df, roles, corners=True), "curve")
         report["areas"] = curves.areas_from_cumulative(curve)
         report["roc_curve"] = curves.roc_from_cumulative(curve)
         report["pr_curve"] = curves.pr_from_cumulative(curve)

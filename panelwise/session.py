@@ -10,7 +10,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -73,21 +77,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only when a count shows at most ``max_rows`` rows.
+    """Broadcast a narrow frame when it has at most ``max_rows`` rows.
 
-    Above that the frame is returned without a hint and Spark shuffles it.
+    The rows are fetched to find out, at most one above the limit, and then used
+    as they are.  Above the limit the frame is returned as it was, without a
+    hint, and Spark shuffles it.
     """
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """Frame of a few driver-side rows, sent as one Arrow table."""
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     struct = StructType.fromDDL(schema)
     arrow = to_arrow_schema(struct)
     columns = list(zip(*rows)) if rows else [[] for _ in arrow]
