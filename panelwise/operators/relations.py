@@ -16,32 +16,39 @@ from panelwise.functions.scalar import null_if_nan
 from panelwise.operators.columns import require_columns
 from panelwise.session import small_frame
 
-MAX_CORR_EXPRESSIONS = 200
+# Pairs that are put into one aggregate, three expressions each.
+MAX_PAIRS_IN_AGGREGATE = 100
 
 
 def correlation_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """feature_a, feature_b, corr (absolute Pearson) for every pair in feature order.
 
-    A row counts for a pair when both values are present.  Up to 200 pairs are
-    one aggregate; more are read off sums of products.
+    A row counts for a pair when both values are present.  Few pairs are one
+    aggregate; more are read off sums of products.  A pair with a constant
+    feature has no correlation.
     """
     names = list(features)
     require_columns(df, names)
     pairs = list(combinations(names, 2))
-    if len(pairs) > MAX_CORR_EXPRESSIONS:
+    if len(pairs) > MAX_PAIRS_IN_AGGREGATE:
         return _pairs_from_products(df, names)
-    values = {c: null_if_nan(F.col(c).cast("double")) for c in names}
-    found = df.select(*[v.alias(c) for c, v in values.items()]).agg(
-        *[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
-    )
+    values = df.select(*[null_if_nan(F.col(c).cast("double")).alias(c) for c in names])
+    # corr() divides by zero on a constant column, so it is put together here.
+    aggs = []
+    for i, (a, b) in enumerate(pairs):
+        aggs += [
+            F.covar_pop(a, b).alias(f"c{i}"),
+            F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))).alias(f"a{i}"),
+            F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b))).alias(f"b{i}"),
+        ]
     rows = [
         F.struct(
             F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-            F.abs(null_if_nan(F.col(f"r{i}"))).alias("corr"),
+            F.abs(F.try_divide(F.col(f"c{i}"), F.col(f"a{i}") * F.col(f"b{i}"))).alias("corr"),
         )
         for i, (a, b) in enumerate(pairs)
     ]
-    return found.select(F.inline(F.array(*rows)))
+    return values.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def _pairs_from_products(df: DataFrame, names: list[str]) -> DataFrame:
@@ -69,6 +76,8 @@ def _pairs_from_products(df: DataFrame, names: list[str]) -> DataFrame:
     with np.errstate(divide="ignore", invalid="ignore"):
         cov = sxy - sx * sx.T / n
         var = sxx - sx * sx / n
+        # What is left of the variance of a constant column is rounding.
+        var = np.where(var > n * (1e-12 * np.abs(shift)[:, None]) ** 2, var, np.nan)
         corr = np.abs(cov / np.sqrt(var * var.T))
     rows = [
         (names[i], names[j], float(corr[i, j]) if np.isfinite(corr[i, j]) else None)

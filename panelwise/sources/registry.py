@@ -75,7 +75,7 @@ class ModelRegistry:
         """Living versions, of all models or of one."""
         rows = self._rows()
         gone = rows.filter("deleted").select("key", "seq")
-        living = rows.filter("NOT deleted").join(gone, ["key", "seq"], "left_anti")
+        living = rows.filter("NOT deleted").join(gone, ["key", "seq"], "left_anti").select(*rows.columns)
         return living if name is None else living.filter(F.col("key") == _key(name))
 
     def list_models(self) -> DataFrame:
