@@ -76,7 +76,7 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         F.struct(
             F.lit(c).alias("column_name"),
             F.col(f"_m{i}").alias("n_missing"),
-            F.when(F.col("_rows") > 0, F.col(f"_m{i}") / F.col("_rows") * 100.0).alias("pct_missing"),
+            (F.try_divide(F.col(f"_m{i}"), F.col("_rows")) * 100.0).alias("pct_missing"),
         )
         for i, c in enumerate(names)
     ]
@@ -114,7 +114,7 @@ def profile_table(df: DataFrame, label: str | None = None) -> DataFrame:
     entries = [entry("shape", c, F.col(c)) for c in ("rows", "columns")]
     for i, c in enumerate(names):
         entries.append(entry("missing", c, F.col(f"_m{i}")))
-        entries.append(entry("missing_pct", c, F.col(f"_m{i}") / F.col("rows") * 100.0))
+        entries.append(entry("missing_pct", c, F.try_divide(F.col(f"_m{i}"), F.col("rows")) * 100.0))
     out = counted.select(F.inline(F.array(*entries))).filter(
         (F.col("section") == "shape") | (F.col("value") > 0)
     )

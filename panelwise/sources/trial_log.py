@@ -68,8 +68,11 @@ def param_importance(trials: DataFrame) -> DataFrame:
         return F.rank().over(order) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
 
     ranked = numeric.select("param", mid_rank("x").alias("rx"), mid_rank("value").alias("ry"))
+    # corr() divides by zero on a constant parameter, so it is put together here.
+    spread = F.stddev_pop("rx") * F.stddev_pop("ry")
     by_rank = ranked.groupBy("param").agg(
-        F.lit("numeric").alias("kind"), F.abs(F.corr("rx", "ry")).alias("importance")
+        F.lit("numeric").alias("kind"),
+        F.abs(F.try_divide(F.covar_pop("rx", "ry"), spread)).alias("importance"),
     )
     groups = (
         typed.filter("NOT numeric")
