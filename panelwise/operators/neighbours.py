@@ -188,9 +188,9 @@ def nearest_neighbours(
         F.col("gid").alias("qid"), F.col("vec").alias("qvec"), F.col("cell").alias("qcell")
     )
     own = materialize(_keep_best(_search(at_home, placed, best, chunk_rows), best), "own")
-    probes = _probes(placed, own, pivots, cells, best)
     merged = own
     if len(cells) > 1:
+        probes = _probes(placed, own, pivots, cells, best)
         merged = _keep_best(own.unionByName(_search(probes, placed, best, chunk_rows)), best)
     lists = merged.groupBy("qid").agg(
         F.sort_array(F.collect_list(F.struct("distance", "id", "label"))).alias("near")
@@ -251,7 +251,10 @@ def _probes(placed: DataFrame, own: DataFrame, pivots: np.ndarray, cells: dict,
         F.when(F.count(F.lit(1)) >= best, F.max("distance")).otherwise(F.lit(float("inf"))).alias("radius")
     )
     reached = placed.select(F.col("gid").alias("qid"), F.col("vec").alias("qvec"), "cell").join(radius, "qid")
-    return reached.select("qid", "qvec", F.explode(visit("qvec", "cell", "radius")).alias("qcell"))
+    visits = reached.select("qid", "qvec", visit("qvec", "cell", "radius").alias("to"))
+    # Read twice, to size the chunks and to search; written before the cells multiply the vectors.
+    visits = materialize(visits.filter(F.size("to") > 0), "visits")
+    return visits.select("qid", "qvec", F.explode("to").alias("qcell"))
 
 
 def neighbour_rows(near: DataFrame, row_id: str = "row_id") -> DataFrame:

@@ -21,10 +21,11 @@ ACCURACY = 10_000
 
 @dataclass
 class _Bracket:
-    """Rank ``rank`` of ``column`` lies in [low, high]; ``below`` values are smaller."""
+    """Ranks ``first``..``last`` of ``column`` lie in [low, high]; ``below`` values are smaller."""
 
     column: str
-    rank: int
+    first: int
+    last: int
     low: float
     high: float
     below: int
@@ -35,28 +36,44 @@ class _Bracket:
         c = F.col(self.column)
         return (c >= F.lit(self.low)) & (c <= F.lit(self.high))
 
+    def ends(self) -> tuple[float, float]:
+        """Shares of the values inside between which both ranks lie, with a margin."""
+        low = (self.first - self.below) / self.inside - self.margin
+        high = (self.last - self.below + 1) / self.inside + self.margin
+        return max(0.0, low), min(1.0, high)
+
 
 def _narrow(df: DataFrame, wide: list[_Bracket]) -> None:
-    """One sketch pass and one counting pass over the brackets that are too wide."""
-    sketches = []
-    for i, b in enumerate(wide):
-        q = (b.rank - b.below + 0.5) / b.inside
-        ends = F.array(F.lit(max(0.0, q - b.margin)), F.lit(min(1.0, q + b.margin)))
-        value = F.when(b.within(), F.col(b.column).cast("double"))
-        sketches.append(F.percentile_approx(value, ends, ACCURACY).alias(f"q{i}"))
+    """One sketch pass and one counting pass over the brackets that are too wide.
+
+    Brackets with the same column and range share a sketch.
+    """
+    shared: dict[tuple, list[_Bracket]] = {}
+    for b in wide:
+        shared.setdefault((b.column, b.low, b.high), []).append(b)
+    sketches = [
+        F.percentile_approx(
+            F.when(group[0].within(), F.col(group[0].column).cast("double")),
+            F.array(*[F.lit(q) for b in group for q in b.ends()]),
+            ACCURACY,
+        ).alias(f"q{i}")
+        for i, group in enumerate(shared.values())
+    ]
     found = df.agg(*sketches).first()
-    counts, tried = [], []
-    for i, b in enumerate(wide):
-        low, high = found[f"q{i}"]
-        tried.append((low, high))
+    tried: list[tuple[_Bracket, float, float]] = []
+    for i, group in enumerate(shared.values()):
+        for j, b in enumerate(group):
+            tried.append((b, found[f"q{i}"][2 * j], found[f"q{i}"][2 * j + 1]))
+    counts = []
+    for i, (b, low, high) in enumerate(tried):
         c = F.col(b.column)
         counts.append(F.count_if(c < F.lit(low)).alias(f"b{i}"))
         counts.append(F.count_if((c >= F.lit(low)) & (c <= F.lit(high))).alias(f"n{i}"))
     row = df.agg(*counts).first()
-    for i, b in enumerate(wide):
+    for i, (b, low, high) in enumerate(tried):
         below, inside = row[f"b{i}"], row[f"n{i}"]
-        if below <= b.rank < below + inside and inside < b.inside:
-            (b.low, b.high), b.below, b.inside = tried[i], below, inside
+        if below <= b.first and b.last < below + inside and inside < b.inside:
+            b.low, b.high, b.below, b.inside = low, high, below, inside
         else:
             b.margin *= 4
 
@@ -76,29 +93,29 @@ def _select(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], fl
     counted = df.select(F.inline(inside)).groupBy("key", "v").agg(F.count(F.lit(1)).alias("n"))
     run = Window.partitionBy("key").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("upto", F.sum("n").over(run))
+    places = {
+        (b.column, r): (keys[(b.column, b.low, b.high)], r - b.below)
+        for b in brackets
+        for r in (b.first, b.last)
+    }
     wanted = F.lit(False)
-    for b in brackets:
-        place = b.rank - b.below
-        wanted = wanted | (
-            (F.col("key") == keys[(b.column, b.low, b.high)])
-            & (F.col("upto") > place)
-            & (F.col("upto") - F.col("n") <= place)
-        )
+    for key, place in set(places.values()):
+        covers = (F.col("upto") > place) & (F.col("upto") - F.col("n") <= place)
+        wanted = wanted | ((F.col("key") == key) & covers)
     rows = ranked.filter(wanted).collect()
-    out = {}
-    for b in brackets:
-        key, place = keys[(b.column, b.low, b.high)], b.rank - b.below
-        for r in rows:
-            if r["key"] == key and r["upto"] - r["n"] <= place < r["upto"]:
-                out[(b.column, b.rank)] = r["v"]
-    return out
+    return {
+        name: r["v"]
+        for name, (key, place) in places.items()
+        for r in rows
+        if r["key"] == key and r["upto"] - r["n"] <= place < r["upto"]
+    }
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    max_sorted: int = 1_000_000,
+    max_sorted: int = 100_000,
 ) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation between order statistics; NULLs are skipped.
 
@@ -107,43 +124,39 @@ def exact_quantiles(
     """
     names = list(dict.fromkeys(columns))
     df = df.select(*names)
-    first = df.agg(
+    known = df.agg(
         *[f(c).alias(f"{t}{i}") for i, c in enumerate(names)
           for t, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
     ).first()
-    brackets: dict[tuple[str, int], _Bracket] = {}
-    wanted: dict[str, list[tuple[int, int, float]]] = {}
+    brackets: dict[tuple[str, int, int], _Bracket] = {}
+    wanted: dict[str, list[tuple[int, int, float]]] = {c: [] for c in names}
     for i, c in enumerate(names):
-        n = first[f"n{i}"]
-        wanted[c] = []
-        if n == 0:
-            continue
-        for p in probabilities:
+        n = known[f"n{i}"]
+        for p in probabilities if n else ():
             h = p * (n - 1)
-            low, high = math.floor(h), math.ceil(h)
-            wanted[c].append((low, high, h - low))
-            for r in (low, high):
-                brackets.setdefault(
-                    (c, r), _Bracket(c, r, float(first[f"lo{i}"]), float(first[f"hi{i}"]), 0, n)
-                )
+            first, last = math.floor(h), math.ceil(h)
+            wanted[c].append((first, last, h - first))
+            low, high = float(known[f"lo{i}"]), float(known[f"hi{i}"])
+            brackets[(c, first, last)] = _Bracket(c, first, last, low, high, 0, n)
     while True:
         wide = [b for b in brackets.values() if b.inside > max_sorted and b.low < b.high and b.margin < 1]
         if not wide:
             break
         _narrow(df, wide)
-    values = {k: b.low for k, b in brackets.items() if b.low == b.high}
-    rest = [b for k, b in brackets.items() if k not in values]
+    values: dict[tuple[str, int], float] = {}
+    rest = []
+    for b in brackets.values():
+        if b.low == b.high:
+            values[(b.column, b.first)] = values[(b.column, b.last)] = b.low
+        else:
+            rest.append(b)
     if rest:
         values.update(_select(df, rest))
-    out: dict[str, list[float | None]] = {}
-    for c in names:
-        if not wanted[c]:
-            out[c] = [None] * len(probabilities)
-            continue
-        out[c] = [
-            values[(c, a)] + (values[(c, b)] - values[(c, a)]) * f for a, b, f in wanted[c]
-        ]
-    return out
+    return {
+        c: [values[(c, a)] + (values[(c, b)] - values[(c, a)]) * f for a, b, f in wanted[c]]
+        or [None] * len(probabilities)
+        for c in names
+    }
 
 
 def approximate_quantiles(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -16,8 +17,12 @@ from panelwise.functions.scalar import null_if_nan
 from panelwise.operators.columns import require_columns
 from panelwise.session import small_frame
 
-# Pairs that are put into one aggregate, three expressions each.
+# Pairs that are put into one aggregate.
 MAX_PAIRS_IN_AGGREGATE = 100
+PAIR_SCHEMA = "feature_a string, feature_b string, corr double"
+LINE_SCHEMA = (
+    "label int, feature_a string, feature_b string, n bigint, slope double, intercept double, r2 double"
+)
 
 
 def correlation_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -31,70 +36,97 @@ def correlation_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
     require_columns(df, names)
     pairs = list(combinations(names, 2))
     if len(pairs) > MAX_PAIRS_IN_AGGREGATE:
-        return _pairs_from_products(df, names)
+        return _pair_frame(df, names, _correlations(_products(df, names)))
     values = df.select(*[null_if_nan(F.col(c).cast("double")).alias(c) for c in names])
-    # corr() divides by zero on a constant column, so it is put together here.
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        aggs += [
-            F.covar_pop(a, b).alias(f"c{i}"),
-            F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))).alias(f"a{i}"),
-            F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b))).alias(f"b{i}"),
-        ]
+    # corr() divides by zero on a constant column; regr_r2 does not, but calls the
+    # fit of a constant b perfect, so perfect pairs are looked at again.
+    squares = values.agg(*[F.regr_r2(b, a).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).first()
+    perfect = [i for i in range(len(pairs)) if squares[f"r{i}"] == 1.0]
+    flat: set[int] = set()
+    if perfect:
+        spread = values.agg(
+            *[F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b))).alias(f"s{i}")
+              for i in perfect for a, b in [pairs[i]]]
+        ).first()
+        flat = {i for i in perfect if not spread[f"s{i}"]}
     rows = [
-        F.struct(
-            F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-            F.abs(F.try_divide(F.col(f"c{i}"), F.col(f"a{i}") * F.col(f"b{i}"))).alias("corr"),
-        )
+        (a, b, None if squares[f"r{i}"] is None or i in flat else math.sqrt(squares[f"r{i}"]))
         for i, (a, b) in enumerate(pairs)
     ]
-    return values.agg(*aggs).select(F.inline(F.array(*rows)))
+    return small_frame(df.sparkSession, rows, PAIR_SCHEMA)
 
 
-def _pairs_from_products(df: DataFrame, names: list[str]) -> DataFrame:
-    """Correlations of wide tables from summed d x d products.
+def _products(df: DataFrame, names: list[str], label: str | None = None) -> dict:
+    """Sums over jointly present values per class: (n, x, xx, xy), each d x d, and the shift.
 
-    Every Arrow batch yields four d x d sums over jointly present values; they
-    are added with a map-side combine and read as one row.  Values are shifted
-    by the column mean first, so that large offsets do not cancel.
+    Every Arrow batch yields its sums, which are added with a map-side combine;
+    one row per class comes back.  Values are shifted by the column mean first,
+    so that large offsets do not cancel.
     """
     d = len(names)
-    means = df.agg(*[F.avg(null_if_nan(F.col(c).cast("double"))).alias(c) for c in names]).first()
+    values = [null_if_nan(F.col(c).cast("double")).alias(c) for c in names]
+    means = df.select(*values).agg(*[F.avg(c).alias(c) for c in names]).first()
     shift = np.array([means[c] or 0.0 for c in names])
 
     def sums(batches):
         for pdf in batches:
-            x = pdf.to_numpy(dtype=float) - shift
+            x = pdf[names].to_numpy(dtype=float) - shift
             seen = np.isfinite(x).astype(float)
             x = np.where(seen > 0, x, 0.0)
-            parts = [seen.T @ seen, x.T @ seen, (x * x).T @ seen, x.T @ x]
-            yield pd.DataFrame({"s": [np.concatenate([p.ravel() for p in parts])]})
-
-    partial = df.select(*[F.col(c).cast("double") for c in names]).mapInPandas(sums, "s array<double>")
-    total = partial.agg(vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s")).first()["s"]
-    n, sx, sxx, sxy = np.array(total).reshape(4, d, d)
+            kinds = pdf["_class"].to_numpy()
+            for kind in np.unique(kinds):
+                v, s = x[kinds == kind], seen[kinds == kind]
+                parts = [s.T @ s, v.T @ s, (v * v).T @ s, v.T @ v]
+                yield pd.DataFrame({"k": [kind], "s": [np.concatenate([p.ravel() for p in parts])]})
+
+    # Rows without a class count for correlations only: class -1.
+    kind = F.when(F.col(label).isin(0, 1), F.col(label)).otherwise(-1) if label else F.lit(-1)
+    partial = df.select(kind.cast("int").alias("_class"), *values).mapInPandas(sums, "k int, s array<double>")
+    added = partial.groupBy("k").agg(vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s"))
+    return {
+        "classes": {r["k"]: np.array(r["s"]).reshape(4, d, d) for r in added.collect()},
+        "shift": shift,
+    }
+
+
+def _moments(sums: np.ndarray, shift: np.ndarray):
+    """Pair counts, means of the row feature, covariances and variances (times n)."""
+    n, sx, sxx, sxy = sums
     with np.errstate(divide="ignore", invalid="ignore"):
+        mean = sx / n
         cov = sxy - sx * sx.T / n
-        var = sxx - sx * sx / n
-        # What is left of the variance of a constant column is rounding.
-        var = np.where(var > n * (1e-12 * np.abs(shift)[:, None]) ** 2, var, np.nan)
-        corr = np.abs(cov / np.sqrt(var * var.T))
+        var = sxx - sx * mean
+    # What is left of the variance of a constant column is rounding.
+    var = np.where(var > n * (1e-12 * np.abs(shift)[:, None]) ** 2, var, np.nan)
+    return n, mean, cov, var
+
+
+def _correlations(products: dict) -> np.ndarray:
+    total = sum(products["classes"].values())
+    if not isinstance(total, np.ndarray):
+        d = len(products["shift"])
+        return np.full((d, d), np.nan)
+    _, _, cov, var = _moments(total, products["shift"])
+    return np.minimum(np.abs(cov / np.sqrt(var * var.T)), 1.0)
+
+
+def _pair_frame(df: DataFrame, names: list[str], corr: np.ndarray) -> DataFrame:
     rows = [
         (names[i], names[j], float(corr[i, j]) if np.isfinite(corr[i, j]) else None)
-        for i, j in combinations(range(d), 2)
+        for i, j in combinations(range(len(names)), 2)
     ]
-    return small_frame(df.sparkSession, rows, "feature_a string, feature_b string, corr double")
+    return small_frame(df.sparkSession, rows, PAIR_SCHEMA)
+
+
+def _top(rows: list[tuple], n: int) -> list[tuple]:
+    """The n largest; the sort is stable, so ties keep feature order."""
+    return sorted(rows, key=lambda r: -1.0 if r[2] is None else r[2], reverse=True)[:n]
 
 
 def top_correlated_pairs(df: DataFrame, features: Sequence[str], n: int = 5) -> DataFrame:
     """The n pairs with the largest absolute correlation; ties keep feature order."""
-    place = {c: i for i, c in enumerate(features)}
-    order = F.create_map(*[F.lit(x) for kv in place.items() for x in kv])
-    return (
-        correlation_pairs(df, features)
-        .orderBy(F.desc_nulls_last("corr"), order[F.col("feature_a")], order[F.col("feature_b")])
-        .limit(n)
-    )
+    pairs = [tuple(r) for r in correlation_pairs(df, features).collect()]
+    return small_frame(df.sparkSession, _top(pairs, n), PAIR_SCHEMA)
 
 
 def correlation_prune(
@@ -109,44 +141,43 @@ def correlation_prune(
     dropped = {r["feature_b"] for r in rows if r["corr"] is not None and r["corr"] > threshold}
     kept = [c for c in features if c not in dropped]
     left = [tuple(r) for r in rows if r["feature_a"] not in dropped and r["feature_b"] not in dropped]
-    return kept, small_frame(
-        df.sparkSession, left, "feature_a string, feature_b string, corr double"
-    )
+    return kept, small_frame(df.sparkSession, left, PAIR_SCHEMA)
 
 
-def class_trend_lines(
-    df: DataFrame, pairs: Sequence[tuple[str, str]], label: str
-) -> DataFrame:
-    """Least-squares line of b on a per class and pair; one aggregate for all pairs."""
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        x = null_if_nan(F.col(a).cast("double"))
-        y = null_if_nan(F.col(b).cast("double"))
-        aggs += [
-            F.regr_count(y, x).alias(f"n{i}"),
-            F.regr_slope(y, x).alias(f"slope{i}"),
-            F.regr_intercept(y, x).alias(f"intercept{i}"),
-            F.regr_r2(y, x).alias(f"r2{i}"),
-        ]
-    wide = df.filter(F.col(label).isin(0, 1)).groupBy(F.col(label).alias("label")).agg(*aggs)
-    rows = [
-        F.struct(
-            F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"n{i}").alias("n"),
-            F.col(f"slope{i}").alias("slope"), F.col(f"intercept{i}").alias("intercept"),
-            F.col(f"r2{i}").alias("r2"),
-        )
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select("label", F.inline(F.array(*rows)))
+def class_trend_lines(df: DataFrame, pairs: Sequence[tuple[str, str]], label: str) -> DataFrame:
+    """Least-squares line of b on a per class and pair, from one pass for all pairs."""
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    rows = _lines(_products(df, names, label), names, pairs)
+    return small_frame(df.sparkSession, rows, LINE_SCHEMA)
+
+
+def _lines(products: dict, names: list[str], pairs: Sequence[tuple[str, str]]) -> list[tuple]:
+    shift, out = products["shift"], []
+    for kind in sorted(k for k in products["classes"] if k >= 0):
+        n, mean, cov, var = _moments(products["classes"][kind], shift)
+        for a, b in pairs:
+            i, j = names.index(a), names.index(b)
+            slope = cov[i, j] / var[i, j]
+            intercept = (mean[j, i] + shift[j]) - slope * (mean[i, j] + shift[i])
+            # A constant b is fitted without error.
+            fit = cov[i, j] ** 2 / (var[i, j] * var[j, i]) if np.isfinite(var[j, i]) else slope * 0.0 + 1.0
+            numbers = [float(v) if np.isfinite(v) else None for v in (slope, intercept, fit)]
+            out.append((kind, a, b, int(n[i, j]), *numbers))
+    return out
 
 
 def feature_interactions(
     df: DataFrame, features: Sequence[str], label: str, top_n: int = 5
 ) -> DataFrame:
-    """Top correlated pairs with their trend line per class; two aggregates."""
-    top = top_correlated_pairs(df, features, top_n).collect()
-    corr = small_frame(
-        df.sparkSession, [tuple(r) for r in top], "feature_a string, feature_b string, corr double"
-    )
-    lines = class_trend_lines(df, [(r["feature_a"], r["feature_b"]) for r in top], label)
-    return lines.join(F.broadcast(corr), ["feature_a", "feature_b"])
+    """Top correlated pairs with their trend line per class, from one pass over the rows."""
+    names = list(features)
+    require_columns(df, names)
+    products = _products(df, names, label)
+    corr = _correlations(products)
+    pairs = [
+        (names[i], names[j], float(corr[i, j]) if np.isfinite(corr[i, j]) else None)
+        for i, j in combinations(range(len(names)), 2)
+    ]
+    top = {(a, b): c for a, b, c in _top(pairs, top_n)}
+    rows = [(*line, top[line[1:3]]) for line in _lines(products, names, list(top))]
+    return small_frame(df.sparkSession, rows, f"{LINE_SCHEMA}, corr double")

@@ -164,7 +164,7 @@ def cross_validate(
     roles: ColumnRoles,
     k: int | None = None,
     resample: Callable[[DataFrame], DataFrame] | None = None,
-    parallelism: int = 1,
+    parallelism: int = 3,
 ) -> DataFrame:
     """Five metrics per fold: fold, f1, accuracy, auc_roc, precision, recall.
 
