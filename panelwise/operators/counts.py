@@ -143,13 +143,17 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return counted.select("label", "n", (total / (classes * F.col("n"))).alias("weight"))
 
 
-def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Attach the balanced weight of each row's class (one row per class is broadcast)."""
-    from panelwise.session import broadcast_if_small
+def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> tuple[DataFrame, float]:
+    """Rows with the balanced weight of their class, and the sum of all weights.
 
-    weights = class_weights(df, label).select(F.col("label").alias("_c"), F.col("weight").alias(name))
-    joined = df.join(broadcast_if_small(weights), F.col(label) == F.col("_c"), "left")
-    return joined.drop("_c")
+    One row per class comes to the driver and becomes an expression, so the rows
+    are not joined.
+    """
+    classes = class_weights(df, label).collect()
+    weight = F.lit(None).cast("double")
+    for c in classes:
+        weight = F.when(F.col(label) == c["label"], F.lit(c["weight"])).otherwise(weight)
+    return df.withColumn(name, weight), float(sum(c["n"] * c["weight"] for c in classes))
 
 
 def calibration_curve(

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelwise.session import small_frame
+
 ACCURACY = 10_000
 
 
@@ -89,8 +91,8 @@ def _select(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], fl
         ).alias("v"))
         for (c, low, high), k in keys.items()
     ]
-    inside = F.filter(F.array(*candidates), lambda s: s["v"].isNotNull())
-    counted = df.select(F.inline(inside)).groupBy("key", "v").agg(F.count(F.lit(1)).alias("n"))
+    inside = df.select(F.inline(F.array(*candidates))).filter(F.col("v").isNotNull())
+    counted = inside.groupBy("key", "v").agg(F.count(F.lit(1)).alias("n"))
     run = Window.partitionBy("key").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("upto", F.sum("n").over(run))
     places = {
@@ -98,17 +100,12 @@ def _select(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], fl
         for b in brackets
         for r in (b.first, b.last)
     }
-    wanted = F.lit(False)
-    for key, place in set(places.values()):
-        covers = (F.col("upto") > place) & (F.col("upto") - F.col("n") <= place)
-        wanted = wanted | ((F.col("key") == key) & covers)
-    rows = ranked.filter(wanted).collect()
-    return {
-        name: r["v"]
-        for name, (key, place) in places.items()
-        for r in rows
-        if r["key"] == key and r["upto"] - r["n"] <= place < r["upto"]
-    }
+    # One row per wanted rank: at most two per quantile.
+    asked = small_frame(df.sparkSession, sorted(set(places.values())), "key int, place bigint")
+    covers = (F.col("upto") > F.col("place")) & (F.col("upto") - F.col("n") <= F.col("place"))
+    rows = ranked.join(F.broadcast(asked), "key").filter(covers).collect()
+    values = {(r["key"], r["place"]): r["v"] for r in rows}
+    return {name: values[at] for name, at in places.items()}
 
 
 def exact_quantiles(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelwise.operators.ordering import with_position
 from panelwise.operators.split import sample_entities
 from panelwise.roles import ColumnRoles
-from panelwise.session import broadcast_if_small
+from panelwise.session import broadcast_if_small, materialize
 
 
 def _centered(frame, feature: str, window: int) -> Column:
@@ -88,10 +88,11 @@ def onset_lead(df: DataFrame, roles: ColumnRoles, threshold: float = 0.5) -> Dat
 
 def _rows_of(df: DataFrame, roles: ColumnRoles, entities: DataFrame) -> DataFrame:
     keys = entities.select(F.col("entity").alias("_entity"))
-    joined = df.join(
+    mine = df.join(
         broadcast_if_small(keys), F.col(roles.entity).cast("string") == F.col("_entity"), "left_semi"
     )
-    return joined
+    # Read several times below; the whole panel is read once.
+    return materialize(mine, "chosen")
 
 
 def temporal_progression(
@@ -103,7 +104,8 @@ def temporal_progression(
     seed: int = 42,
 ) -> DataFrame:
     """Smoothed features and label onset for a sample of positive entities."""
-    chosen = _rows_of(df, roles, sample_entities(df, roles, max_entities, seed))
+    used = df.select(roles.entity, roles.time, roles.row_id, roles.label, *features)
+    chosen = _rows_of(used, roles, sample_entities(df, roles, max_entities, seed))
     smooth = rolling_centered_mean(chosen, roles, features, window)
     onset = label_onset(chosen, roles).withColumnRenamed("entity", "_e")
     joined = smooth.join(broadcast_if_small(onset), F.col(roles.entity) == F.col("_e"))
@@ -123,7 +125,8 @@ def prediction_timeline(
 
     Only rows with a prediction take part.
     """
-    scored = df.filter(F.col(roles.prediction).isNotNull())
+    used = df.select(roles.entity, roles.time, roles.row_id, roles.label, roles.prediction)
+    scored = used.filter(F.col(roles.prediction).isNotNull())
     chosen = _rows_of(scored, roles, sample_entities(scored, roles, max_entities, seed))
     onsets = onset_lead(chosen, roles, threshold).withColumnRenamed("entity", "_e")
     joined = chosen.join(broadcast_if_small(onsets), F.col(roles.entity) == F.col("_e"))

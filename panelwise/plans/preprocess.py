@@ -21,7 +21,6 @@ CLINICAL_DROP_FIRST = (
 CLINICAL_DROP_AFTER_IMPUTE = (
     "TroponinI", "Bilirubin_direct", "AST", "Bilirubin_total", "Lactate", "SaO2", "FiO2",
 )
-CLINICAL_CATEGORIES = ("Gender", "Unit1", "Unit2")
 CLINICAL_LOG = ("MAP", "BUN", "Creatinine", "Glucose", "WBC", "Platelets")
 CLINICAL_SCALE = (
     "HR", "O2Sat", "Temp", "MAP", "Resp", "BUN", "Chloride", "Creatinine", "Glucose",
@@ -66,17 +65,22 @@ class Preparation:
         return Pipeline(stages=steps)
 
 
-def clinical_preparation(df: DataFrame, roles: ColumnRoles = CLINICAL_ROLES, **changes) -> Preparation:
+def clinical_preparation(
+    df: DataFrame, roles: ColumnRoles = CLINICAL_ROLES, label_predicts: bool = False, **changes
+) -> Preparation:
     """The preparation of the hourly clinical panel.
 
-    Every numeric column except keys, time and label is imputed; sparse
-    laboratory columns serve as predictors before they are dropped.
+    Numeric columns are imputed from one another, with time among the predictors
+    and sparse laboratory columns before they are dropped.  ``Gender`` is kept as
+    it is and encoded.  ``label_predicts`` lets the label take part as a
+    predictor, as the original program did; it leaks and is off.
     """
-    skip = {roles.entity, roles.row_id, roles.time, roles.label, *CLINICAL_DROP_FIRST}
-    numeric = cols.numeric_columns(df, exclude=tuple(skip))
+    skip = {roles.entity, roles.row_id, "Gender", *CLINICAL_DROP_FIRST}
+    if not label_predicts:
+        skip.add(roles.label)
     settings = dict(
         drop_first=CLINICAL_DROP_FIRST,
-        impute=[c for c in numeric if c not in CLINICAL_CATEGORIES],
+        impute=cols.numeric_columns(df, exclude=tuple(skip)),
         drop_after=CLINICAL_DROP_AFTER_IMPUTE,
         one_hot=("Gender",),
         log=CLINICAL_LOG,

@@ -116,9 +116,7 @@ def fit_model(
     """Scale, assemble, fit.  The features are those named in ``roles``."""
     weight_sum = 1.0
     if family in BALANCED:
-        train = with_class_weight(train, roles.label, _WEIGHT)
-        # Balanced weights add up to the number of rows.
-        weight_sum = float(train.count())
+        train, weight_sum = with_class_weight(train, roles.label, _WEIGHT)
     estimator = FAMILIES[family](params, roles, weight_sum)
     estimator.setFeaturesCol(_VECTOR).setLabelCol(roles.label)
     names = list(roles.features)

@@ -93,12 +93,16 @@ def pair_grid(trials: DataFrame, a: str, b: str, bins: int = 10) -> DataFrame:
     wide = trials.select(
         F.col("params")[a].alias("a"), F.col("params")[b].alias("b"), "value"
     ).filter("value IS NOT NULL")
-    for side in ("a", "b"):
-        x = F.expr(f"try_cast({side} AS double)")
-        every = Window.partitionBy()
-        low, high = F.min(x).over(every), F.max(x).over(every)
-        cell = F.least(F.floor((x - low) / ((high - low) / bins)), F.lit(bins - 1)).cast("string")
-        cell = F.when(high > low, cell).otherwise(F.lit("0"))
+    number = {side: F.expr(f"try_cast({side} AS double)") for side in ("a", "b")}
+    ranges = wide.agg(
+        *[f(x).alias(f"{t}_{side}") for side, x in number.items() for t, f in (("lo", F.min), ("hi", F.max))]
+    ).first()
+    for side, x in number.items():
+        low, high = ranges[f"lo_{side}"], ranges[f"hi_{side}"]
+        cell = F.lit("0")
+        if low is not None and high > low:
+            place = F.floor((x - F.lit(low)) / F.lit((high - low) / bins))
+            cell = F.least(place, F.lit(bins - 1)).cast("string")
         wide = wide.withColumn(f"cell_{side}", F.when(x.isNotNull(), cell).otherwise(F.col(side)))
     return wide.groupBy("cell_a", "cell_b").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value"), F.max("value").alias("best_value")

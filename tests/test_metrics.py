@@ -131,5 +131,6 @@ def test_weights(spark):
     df = scored(spark, [(0, 0, 0.1)] * 3 + [(1, 1, 0.9)])
     rows = {r["label"]: r["weight"] for r in counts.class_weights(df, "label").collect()}
     assert rows == {0: pytest.approx(4 / 6), 1: 2.0}
-    total = counts.with_class_weight(df, "label").agg(F.sum("weight")).first()[0]
+    weighted, total = counts.with_class_weight(df, "label")
     assert total == pytest.approx(4.0)
+    assert weighted.agg(F.sum("weight")).first()[0] == pytest.approx(4.0)

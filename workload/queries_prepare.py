@@ -300,21 +300,35 @@ def _mean_impute(spark, sf_dir) -> DataFrame:
     return r6(stages.MeanImpute(["reading", "level"]).fit(df).transform(df))
 
 
+# The evidence iteration for one predictor, as a recursive query.
+_RIDGE_SQL = """s AS (SELECT CAST(regr_count(net, price) AS DOUBLE) AS n, regr_sxx(net, price) AS xx, regr_sxy(net, price) AS xy,
+  regr_syy(net, price) AS yy, regr_avgx(net, price) AS mx, regr_avgy(net, price) AS my FROM g),
+it(i, coef, weight, noise, done) AS (
+  SELECT 0, CAST(NULL AS DOUBLE), CAST(1 AS DOUBLE), 1 / (yy / n + 2.220446049250313e-16), false FROM s
+  UNION ALL
+  SELECT i + 1, c, (wd + 2e-6) / (c * c + 2e-6), (n - wd + 2e-6) / (err + 2e-6),
+         coef IS NOT NULL AND abs(coef - c) < 1e-3
+  FROM (SELECT it.*, n, xy / (xx + weight / noise) AS c, noise * xx / (weight + noise * xx) AS wd,
+               greatest(yy - 2 * (xy / (xx + weight / noise)) * xy + (xy / (xx + weight / noise)) ** 2 * xx, 0) AS err
+        FROM it, s WHERE NOT done AND i < 300)),
+fit AS (SELECT xy / (xx + weight / noise) AS b, my, mx FROM it, s ORDER BY i DESC LIMIT 1)"""
+
+
 @query(
     "regression_impute",
-    f"""WITH {LINES_SQL}, g AS (SELECT quantity, price, CASE WHEN label = 0 THEN net END AS net FROM lines),
-s AS (SELECT regr_slope(net, price) AS b, regr_intercept(net, price) AS a FROM g)
+    f"""WITH RECURSIVE {LINES_SQL}, g AS (SELECT quantity, price, CASE WHEN label = 0 THEN net END AS net FROM lines),
+{_RIDGE_SQL}
 SELECT CAST(round(quantity) AS INTEGER) AS quantity, count(*) AS n,
-       round(sum(coalesce(net, a + b * price)) / count(*), 2) AS net FROM g, s GROUP BY 1""",
+       round(sum(coalesce(net, my + b * (price - mx))) / count(*), 4) AS net FROM g, fit GROUP BY 1""",
 )
 def _regression_impute(spark, sf_dir) -> DataFrame:
-    """One incomplete column on one predictor; the ridge term vanishes against 1e4+ rows."""
+    """One incomplete column on one predictor, one round."""
     df = lines(spark, sf_dir).select(
         "quantity", "price", F.when(F.col("label") == 0, F.col("net")).alias("net")
     )
     done = ChainedImpute(["price", "net"], maxRounds=1).fit(df).transform(df)
     return done.groupBy(F.round("quantity").cast("int").alias("quantity")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("net") / F.count(F.lit(1)), 2).alias("net")
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("net") / F.count(F.lit(1)), 4).alias("net")
     )
 
 
