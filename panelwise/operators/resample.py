@@ -60,13 +60,14 @@ def smote_draws(
         F.pmod(hash_draw(number, seed, "neighbour"), F.lit(k)).cast("int").alias("_pick"),
         hash_uniform(number, seed, "u").alias("u"),
     )
-    picked = draws.join(ranked, "_rank").select(
-        "_j", "u", "base_id", "_base", F.col("_near")[F.col("_pick")].alias("neighbour_id")
-    )
+    # Both ends are joined on the rare side, so that only numbers of the many new rows move.
     ends = rare.select(F.col(row_id).alias("neighbour_id"), F.col(vector).alias("_end"))
+    pairs = ranked.select(
+        "_rank", "base_id", "_base", F.posexplode("_near").alias("_pick", "neighbour_id")
+    ).join(ends, "neighbour_id")
     last = df.agg(F.max(row_id)).first()[0]
     between = F.zip_with("_base", "_end", lambda a, b: a + F.col("u") * (b - a))
-    return picked.join(ends, "neighbour_id").select(
+    return draws.join(pairs, ["_rank", "_pick"]).select(
         (F.lit(last) + 1 + F.col("_j")).alias(row_id),
         F.lit(minority).cast(df.schema[label].dataType).alias(label),
         "base_id",

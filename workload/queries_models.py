@@ -221,9 +221,17 @@ def _states(spark, sf_dir) -> DataFrame:
     return trial_log.state_counts(trials(spark, sf_dir))
 
 
-@query("trial_param_importance")
+@query(
+    "trial_param_importance",
+    f"""WITH {_TRIALS_SQL}, x AS (SELECT 'rows' AS param, CAST(rows AS DOUBLE) AS x, value FROM trials
+  UNION ALL SELECT 'entities', CAST(entities AS DOUBLE), value FROM trials),
+r AS (SELECT param, rank() OVER (PARTITION BY param ORDER BY x) + (count(*) OVER (PARTITION BY param, x) - 1) / 2.0 AS rx,
+  rank() OVER (PARTITION BY param ORDER BY value) + (count(*) OVER (PARTITION BY param, value) - 1) / 2.0 AS ry FROM x),
+m AS (SELECT param, covar_pop(ry, rx) AS c, stddev_pop(rx) * stddev_pop(ry) AS s FROM r GROUP BY param)
+SELECT param, 'numeric' AS kind, round(abs(c / nullif(s, 0)), 6) AS importance FROM m""",
+)
 def _param_importance(spark, sf_dir) -> DataFrame:
-    return trial_log.param_importance(trials(spark, sf_dir))
+    return r6(trial_log.param_importance(trials(spark, sf_dir)))
 
 
 @query(
