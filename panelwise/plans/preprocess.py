@@ -73,7 +73,7 @@ def clinical_preparation(
     Numeric columns are imputed from one another, with time among the predictors
     and sparse laboratory columns before they are dropped.  ``Gender`` is kept as
     it is and encoded.  ``label_predicts`` lets the label take part as a
-    predictor, as the original program did; it leaks and is off.
+    predictor; it leaks and is off.
     """
     skip = {roles.entity, roles.row_id, "Gender", *CLINICAL_DROP_FIRST}
     if not label_predicts:
