@@ -28,8 +28,8 @@ from panelwise.session import materialize
 
 # Sums kept on the driver: beyond this size they stay in a table on the cluster.
 MAX_DRIVER_BYTES = 256 << 20
-# Patterns held by one task before it hands its sums on.
-MAX_TASK_PATTERNS = 2_000
+# Sums held by one task before it hands them on.
+MAX_TASK_BYTES = 64 << 20
 
 
 def bayesian_ridge(gram: np.ndarray, target: int, use: np.ndarray) -> np.ndarray:
@@ -96,6 +96,7 @@ def _decode(patterns: Sequence[str]) -> np.ndarray:
 def _pattern_sums(df: DataFrame, names: list[str], shift: np.ndarray) -> DataFrame:
     """(pattern, sums): summed products of the observed, shifted values."""
     size = len(names) + 1
+    room = max(1, MAX_TASK_BYTES // (size * size * 8))
 
     def partial(batches):
         held: dict[str, np.ndarray] = {}
@@ -116,7 +117,7 @@ def _pattern_sums(df: DataFrame, names: list[str], shift: np.ndarray) -> DataFra
             for i, kind in enumerate(kinds):
                 block = full[which == i]
                 key = "".join("1" if g else "0" for g in kind)
-                if key not in held and len(held) >= MAX_TASK_PATTERNS:
+                if key not in held and len(held) >= room:
                     yield out()
                 held[key] = held.get(key, np.zeros((size, size))) + block.T @ block
         if held:

@@ -38,16 +38,37 @@ def check_panel(df: DataFrame, roles: ColumnRoles) -> DataFrame:
     return nan_to_null(df.withColumn(roles.entity, F.col(roles.entity).cast("string")))
 
 
+def _as_struct(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def file_columns(spark: SparkSession, path: str, fmt: str = "csv") -> list[str]:
+    """Column names of a file; of a CSV file only the header line is read."""
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    return reader.format(fmt).load(path).columns
+
+
 def load_panel(
     spark: SparkSession, path: str, schema: T.StructType | str, roles: ColumnRoles, fmt: str = "csv"
 ) -> DataFrame:
-    """Read a panel with an explicit schema (CSV with header, or parquet)."""
+    """Read the columns of ``schema`` by name from CSV with header, or parquet.
+
+    Spark matches a CSV schema by position, so the header says which type goes
+    where.  Columns the schema does not name are not read.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
-    reader = spark.read.schema(schema)
+    wanted = _as_struct(schema)
+    reader = spark.read.schema(wanted)
     if fmt == "csv":
-        reader = reader.option("header", True)
-    return check_panel(reader.format(fmt).load(path), roles)
+        types = {f.name: f.dataType for f in wanted.fields}
+        header = file_columns(spark, path, fmt)
+        missing = [c for c in types if c not in header]
+        if missing:
+            raise ValueError(f"missing required columns: {missing}")
+        laid = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+        reader = spark.read.schema(laid).option("header", True).option("enforceSchema", False)
+    return check_panel(reader.format(fmt).load(path).select(*wanted.names), roles)
 
 
 def load_splits(
@@ -61,16 +82,11 @@ def load_splits(
     for path in paths.values():
         if not path_exists(spark, path):
             raise FileNotFoundError(path)
-    frames = {}
-    for name, path in paths.items():
-        reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-        found = reader.format(fmt).load(path).columns
-        frames[name] = (path, frozenset(found))
-    if len({columns for _, columns in frames.values()}) > 1:
+    if len({frozenset(file_columns(spark, path, fmt)) for path in paths.values()}) > 1:
         raise ValueError("column mismatch between splits")
     parts = [
         load_panel(spark, path, schema, roles, fmt).withColumn("split", F.lit(name))
-        for name, (path, _) in frames.items()
+        for name, path in paths.items()
     ]
     tagged = parts[0]
     for part in parts[1:]:

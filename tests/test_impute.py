@@ -73,6 +73,15 @@ def test_matches_row_by_row_imputation(spark, holes, limit):
     assert np.allclose(values(model.transform(df)), chained_on_rows(holes, rounds), atol=1e-6)
 
 
+def test_full_task_hands_its_sums_on(spark, holes, monkeypatch):
+    from panelwise.operators import impute
+
+    monkeypatch.setattr(impute, "MAX_TASK_BYTES", 1)
+    df = frame(spark, holes)
+    model = ChainedImpute(list("abcde"), maxRounds=1, tol=0.0).fit(df)
+    assert np.allclose(values(model.transform(df)), chained_on_rows(holes, 1), atol=1e-6)
+
+
 def test_rounds_stop_when_nothing_moves(spark, holes):
     df = frame(spark, holes)
     model = ChainedImpute(list("abcde"), maxRounds=50, tol=1e-3).fit(df)

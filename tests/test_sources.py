@@ -34,6 +34,14 @@ def test_load_panel_checks(spark, tmp_path):
         source.load_panel(spark, good, SCHEMA, ColumnRoles(entity="who"))
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "odd.csv").write_text("x,extra,label,entity,hour\n2.5,q,1,7,3\n")
+    row = source.load_panel(spark, str(tmp_path / "odd.csv"), SCHEMA, ROLES).first()
+    assert row.asDict() == {"entity": "7", "hour": 3, "label": 1, "x": 2.5}
+    with pytest.raises(ValueError, match="missing required"):
+        source.load_panel(spark, str(tmp_path / "odd.csv"), SCHEMA + ", y double", ROLES)
+
+
 def test_splits_round_trip(spark, tmp_path):
     rows = [("a", 0, 0, 1.0, "train"), ("b", 0, 1, 2.0, "val"), ("c", 0, 0, 3.0, "test")]
     tagged = spark.createDataFrame(rows, SCHEMA + ", split string")
