@@ -93,15 +93,16 @@ def _best_of_chunk(k: int):
     return search
 
 
-def _search(queries: DataFrame, base: DataFrame, k: int, chunk_rows: int) -> DataFrame:
+def _search(
+    queries: DataFrame, base: DataFrame, k: int, chunk_rows: int, n_query: dict, n_base: dict
+) -> DataFrame:
     """Best candidates of every (point, cell) pair: qid, distance, id, label.
 
     Both sides are cut into chunks of about ``chunk_rows`` by a hash, and each
-    pair of chunks of a cell is one group.
+    pair of chunks of a cell is one group.  ``n_query`` and ``n_base`` are the
+    numbers of points per cell.
     """
     spark = base.sparkSession
-    n_query = {r["qcell"]: r["count"] for r in queries.groupBy("qcell").count().collect()}
-    n_base = {r["cell"]: r["count"] for r in base.groupBy("cell").count().collect()}
     chunks = [
         (c, math.ceil(n / chunk_rows), math.ceil(n_base[c] / chunk_rows))
         for c, n in n_query.items()
@@ -183,15 +184,25 @@ def nearest_neighbours(
     if shape["d"] != shape["d0"]:
         raise ValueError("vectors differ in length")
 
-    placed, pivots, cells = _place(groups, shape["n"], max(shape["d"], 1))
-    at_home = placed.select(
-        F.col("gid").alias("qid"), F.col("vec").alias("qvec"), F.col("cell").alias("qcell")
-    )
-    own = materialize(_keep_best(_search(at_home, placed, best, chunk_rows), best), "own")
-    merged = own
-    if len(cells) > 1:
+    def at_home(placed: DataFrame) -> DataFrame:
+        return placed.select(
+            F.col("gid").alias("qid"), F.col("vec").alias("qvec"), F.col("cell").alias("qcell")
+        )
+
+    if shape["n"] <= chunk_rows:
+        # One chunk holds all vectors: a single cell, nothing to rule out.
+        size = {0: shape["n"]}
+        single = groups.withColumn("cell", F.lit(0))
+        merged = _keep_best(_search(at_home(single), single, best, chunk_rows, size, size), best)
+    else:
+        placed, pivots, cells = _place(groups, shape["n"], max(shape["d"], 1))
+        sizes = {c: n for c, (_, _, n) in cells.items()}
+        home = _search(at_home(placed), placed, best, chunk_rows, sizes, sizes)
+        own = materialize(_keep_best(home, best), "own")
         probes = _probes(placed, own, pivots, cells, best)
-        merged = _keep_best(own.unionByName(_search(probes, placed, best, chunk_rows)), best)
+        visits = {r["qcell"]: r["count"] for r in probes.groupBy("qcell").count().collect()}
+        away = _search(probes, placed, best, chunk_rows, visits, sizes)
+        merged = _keep_best(own.unionByName(away), best)
     lists = merged.groupBy("qid").agg(
         F.sort_array(F.collect_list(F.struct("distance", "id", "label"))).alias("near")
     )
@@ -219,8 +230,10 @@ def _place(groups: DataFrame, n: int, d: int):
     placed = materialize(
         groups.withColumn("_at", nearest("vec")).select("*", "_at.cell", "_at.away").drop("_at"), "cells"
     )
-    stats = placed.groupBy("cell").agg(F.min("away").alias("inner"), F.max("away").alias("outer")).collect()
-    return placed, pivots, {r["cell"]: (r["inner"], r["outer"]) for r in stats}
+    stats = placed.groupBy("cell").agg(
+        F.min("away").alias("inner"), F.max("away").alias("outer"), F.count(F.lit(1)).alias("n")
+    )
+    return placed, pivots, {r["cell"]: (r["inner"], r["outer"], r["n"]) for r in stats.collect()}
 
 
 def _probes(placed: DataFrame, own: DataFrame, pivots: np.ndarray, cells: dict, best: int) -> DataFrame:
