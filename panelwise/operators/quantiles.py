@@ -45,8 +45,8 @@ class _Bracket:
         return max(0.0, low), min(1.0, high)
 
 
-def _narrow(df: DataFrame, wide: list[_Bracket]) -> None:
-    """One sketch pass and one counting pass over the brackets that are too wide.
+def _sketch(df: DataFrame, wide: list[_Bracket]) -> list[tuple[_Bracket, float, float]]:
+    """Closer ends for the brackets that are too wide, from one pass.
 
     Brackets with the same column and range share a sketch.
     """
@@ -66,6 +66,11 @@ def _narrow(df: DataFrame, wide: list[_Bracket]) -> None:
     for i, group in enumerate(shared.values()):
         for j, b in enumerate(group):
             tried.append((b, found[f"q{i}"][2 * j], found[f"q{i}"][2 * j + 1]))
+    return tried
+
+
+def _recount(df: DataFrame, tried: list[tuple[_Bracket, float, float]]) -> None:
+    """Move brackets to the ends tried where a count shows that the ranks lie inside."""
     counts = []
     for i, (b, low, high) in enumerate(tried):
         c = F.col(b.column)
@@ -121,25 +126,37 @@ def exact_quantiles(
     """
     names = list(dict.fromkeys(columns))
     df = df.select(*names)
-    known = df.agg(
-        *[f(c).alias(f"{t}{i}") for i, c in enumerate(names)
-          for t, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
-    ).first()
+    # The first sketch goes with the counts: shares around the probabilities themselves.
+    margin = 2.0 / ACCURACY
+    shares = F.array(
+        *[F.lit(q) for p in probabilities for q in (max(0.0, p - margin), min(1.0, p + margin))]
+    )
+    measures = (
+        ("n", F.count), ("lo", F.min), ("hi", F.max),
+        ("q", lambda c: F.percentile_approx(F.col(c).cast("double"), shares, ACCURACY)),
+    )
+    known = df.agg(*[f(c).alias(f"{t}{i}") for i, c in enumerate(names) for t, f in measures]).first()
     brackets: dict[tuple[str, int, int], _Bracket] = {}
+    guesses: dict[tuple[str, int, int], tuple[float, float]] = {}
     wanted: dict[str, list[tuple[int, int, float]]] = {c: [] for c in names}
     for i, c in enumerate(names):
         n = known[f"n{i}"]
-        for p in probabilities if n else ():
+        for j, p in enumerate(probabilities if n else ()):
             h = p * (n - 1)
             first, last = math.floor(h), math.ceil(h)
             wanted[c].append((first, last, h - first))
             low, high = float(known[f"lo{i}"]), float(known[f"hi{i}"])
             brackets[(c, first, last)] = _Bracket(c, first, last, low, high, 0, n)
-    while True:
-        wide = [b for b in brackets.values() if b.inside > max_sorted and b.low < b.high and b.margin < 1]
-        if not wide:
-            break
-        _narrow(df, wide)
+            guesses[(c, first, last)] = tuple(known[f"q{i}"][2 * j : 2 * j + 2])
+
+    def too_wide(b: _Bracket) -> bool:
+        return b.inside > max_sorted and b.low < b.high and b.margin < 1
+
+    first_try = [(b, *guesses[key]) for key, b in brackets.items() if too_wide(b)]
+    if first_try:
+        _recount(df, first_try)
+    while wide := [b for b in brackets.values() if too_wide(b)]:
+        _recount(df, _sketch(df, wide))
     values: dict[tuple[str, int], float] = {}
     rest = []
     for b in brackets.values():
