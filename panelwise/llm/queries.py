@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import html_text, url_filter, warc
+from panelwise.llm import bpe, html_text, url_filter, warc
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +49,11 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     rows = html_text.extract_main_text(table(spark, sf_dir, "pages"))
     return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+@query("op2_byte_bpe")
+def op2(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizers.path(VOCABULARY), tokenizers.PATTERN)
