@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import bpe, html_text, url_filter, warc
+from panelwise.llm import bpe, html_text, substring, url_filter, warc
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,9 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 @query("op2_byte_bpe")
 def op2(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizers.path(VOCABULARY), tokenizers.PATTERN)
+
+
+@query("op6_substring_dedup")
+def op6(spark, sf_dir):
+    rows = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
