@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import bpe, html_text, substring, url_filter, warc
+from panelwise.llm import bpe, html_text, minhash, substring, url_filter, warc
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op2(spark, sf_dir):
 def op6(spark, sf_dir):
     rows = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_minhash")
+def op7(spark, sf_dir):
+    return minhash.compare_with_edit(table(spark, sf_dir, "documents"))
