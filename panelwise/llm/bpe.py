@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from panelwise.llm.common import filled, pieces, runs
 
@@ -223,7 +224,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
     of a batch.
     """
     kept = _columns(docs, ids)
-    schema = docs.select(*[f"`{c}`" for c in kept]).schema.add(ids, "array<int>")
+    schema = docs.select(*[f"`{c}`" for c in kept]).schema.add(ids, T.ArrayType(T.IntegerType()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path, pattern)

@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import bpe, html_text, minhash, substring, url_filter, warc
+from panelwise.llm import bpe, html_text, minhash, quality, substring, url_filter, warc
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,10 @@ def op6(spark, sf_dir):
 @query("op7_minhash")
 def op7(spark, sf_dir):
     return minhash.compare_with_edit(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_classifier")
+def op8(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = quality.score(docs.select("doc_id", "text"), quality.fit(docs))
+    return rows.select("doc_id", "quality", "keep", "alarms", "weak_label")
