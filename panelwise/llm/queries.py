@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import bpe, html_text, minhash, quality, substring, url_filter, warc
+from panelwise.llm import bpe, decontam, html_text, minhash, quality, substring, url_filter, warc
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,33 @@ def op8(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     rows = quality.score(docs.select("doc_id", "text"), quality.fit(docs))
     return rows.select("doc_id", "quality", "keep", "alarms", "weak_label")
+
+
+_OP4_SQL = r"""
+WITH words AS (
+  SELECT 0 AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 1, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), windows AS (
+  SELECT DISTINCT id AS item_id, n, w[i : i + n - 1] AS win
+  FROM (SELECT id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM words WHERE kind = 1 AND len(w) > 0)
+), spots AS (
+  SELECT id AS doc_id, n, i, w[i : i + n - 1] AS win
+  FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, (SELECT DISTINCT n FROM windows) WHERE kind = 0 AND len(w) >= n)
+), hits AS (SELECT doc_id, i, n, item_id FROM spots JOIN windows USING (n, win)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id)
+SELECT id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered ON covered.doc_id = id LEFT JOIN items ON items.doc_id = id WHERE kind = 0
+"""
+
+
+@query("op4_decontamination", _OP4_SQL)
+def op4(spark, sf_dir):
+    rows = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
