@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import bpe, decontam, html_text, minhash, quality, substring, url_filter, warc
+from panelwise.llm import bpe, decontam, html_text, minhash, quality, simhash, substring, url_filter, warc
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op4(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op5_simhash")
+def op5(spark, sf_dir):
+    return simhash.groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
