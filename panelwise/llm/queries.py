@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import bpe, decontam, html_text, minhash, quality, simhash, substring, url_filter, warc
+from panelwise.llm import bpe, decontam, html_text, line_dedup, minhash, quality, simhash, substring, url_filter, warc
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,40 @@ def op4(spark, sf_dir):
 @query("op5_simhash")
 def op5(spark, sf_dir):
     return simhash.groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+_OP1_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), firsts AS (
+  SELECT line, p.doc_id AS doc_id, p.i AS i, length(line) AS n
+  FROM (SELECT line, min({'doc_id': doc_id, 'i': i}) AS p FROM lines WHERE trim(line) <> '' GROUP BY line)
+), halves AS (
+  SELECT *, unnest([{'m': n, 's': 0, 'h': left(line, n // 2)}, {'m': n, 's': 1, 'h': right(line, n // 2)},
+                    {'m': n - 1, 's': 0, 'h': left(line, (n - 1) // 2)}, {'m': n - 1, 's': 1, 'h': right(line, (n - 1) // 2)}]) AS k
+  FROM firsts WHERE n >= 20
+), pairs AS (
+  SELECT DISTINCT a.line AS line, b.line AS other FROM halves a JOIN halves b ON a.k = b.k
+  WHERE a.line <> b.line AND abs(a.n - b.n) <= 1 AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.i < a.i))
+), letters AS (
+  SELECT line, other, string_split(line, '') AS x, string_split(other, '') AS y FROM pairs
+), heads AS (
+  SELECT *, list_position(list_transform(range(1, least(len(x), len(y)) + 2), lambda k: x[k] IS DISTINCT FROM y[k]), true) AS p FROM letters
+), near AS (
+  SELECT DISTINCT line FROM heads
+  WHERE (len(x) = len(y) AND x[p + 1 :] = y[p + 1 :]) OR (len(x) = len(y) + 1 AND x[p + 1 :] = y[p :]) OR (len(x) + 1 = len(y) AND x[p :] = y[p + 1 :])
+)
+SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE NOT stays)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE stays), '')) AS kept_sha256
+FROM (
+  SELECT l.*, trim(l.line) = '' OR (f.line IS NOT NULL AND near.line IS NULL) AS stays
+  FROM lines l LEFT JOIN firsts f ON f.line = l.line AND f.doc_id = l.doc_id AND f.i = l.i LEFT JOIN near ON near.line = l.line
+) l GROUP BY l.doc_id
+"""
+
+
+@query("op1_line_dedup", _OP1_SQL)
+def op1(spark, sf_dir):
+    rows = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
