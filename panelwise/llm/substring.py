@@ -179,7 +179,8 @@ def repeated_windows(docs: DataFrame, size: int, key: str = "doc_id", text: str
                 new[1:] = (h[1:] != h[:-1]) | (l[1:] != l[:-1])
                 lead = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
                 later = (d != d[lead]) | (p != p[lead])
-                yield _rows(*(x[order][~later] for x in (hi.view(np.int64), lo.view(np.int64), doc, tag, pos)))
+                stay = np.sort(order[~later])
+                yield _rows(*(x[stay] for x in (hi.view(np.int64), lo.view(np.int64), doc, tag, pos)))
                 gone = np.sort(order[later])
                 for a, b in runs(owner[gone]):
                     mine = gone[a:b]
