@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import LOWER, UPPER, whole
+from panelwise.llm.common import LOWER, UPPER, fresh, whole
 from panelwise.session import materialize
 
 #: Words in a window and in the shingles that are joined.
@@ -151,6 +151,8 @@ def _hits(rows: DataFrame, windows: DataFrame, size: int, first: bool) -> DataFr
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The documents in which no window of an item occurs, as they were."""
-    found = contamination(docs, items, key, text, **settings).filter("n_hit > 0").select(F.col(key).alias("_k"), F.col("tag").alias("_t")).distinct()
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_k")) & (F.xxhash64(whole(F.col(f"`{text}`"))) == F.col("_t"))
+    k, t = fresh(docs, "k", "t")
+    found = contamination(docs, items, key, text, **settings).filter("n_hit > 0")
+    found = found.select(F.col(key).alias(k), F.col("tag").alias(t)).distinct()
+    same = F.col(f"`{key}`").eqNullSafe(F.col(k)) & (F.xxhash64(whole(F.col(f"`{text}`"))) == F.col(t))
     return docs.join(found, same, "left_anti")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import whole
+from panelwise.llm.common import fresh, whole
 from panelwise.session import materialize
 
 #: Shorter lines, in characters, are only compared for equality.
@@ -29,7 +29,7 @@ _TERM = F.lit(1 << 31)
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(o, tag, at, line, h1, h2): lines with more than white space, where they stand and their digests."""
+    """(o, tag, at, line, h1, h2): lines with more than spaces, where they stand and their digests."""
     source = docs.select(
         F.coalesce(f"`{key}`", F.lit(_LAST)).alias("o"), F.xxhash64(whole(F.col(f"`{text}`"))).alias("tag"),
         F.posexplode(F.split(whole(F.col(f"`{text}`")), "\n")).alias("at", "line"),
@@ -111,7 +111,7 @@ def remove_repeated_lines(
     A line goes if the same line, or one that is one edit away, stands earlier: in a
     document with a smaller key, or before it in the same one.  Earlier is judged on
     the input, so lines that go count too.  Lines of fewer than ``near_chars``
-    characters are compared for equality only; lines of white space always stay.  A
+    characters are compared for equality only; empty lines and lines of spaces always stay.  A
     document may be left with an empty text; null has one empty line.  A null key
     is larger than all others.  Rows with an equal key and text are one document and
     have equal results.  Columns of the added names are replaced.
@@ -122,17 +122,14 @@ def remove_repeated_lines(
     firsts = materialize(firsts, "first-lines")
     near = near_lines(docs, firsts, key, text, near_chars)
     stay = firsts.join(materialize(near, "near-lines"), ["h1", "h2"], "left_anti")
-    stay = stay.groupBy(F.col("o").alias("_o"), F.col("tag").alias("_tag")).agg(F.collect_set("at").alias("_stay"))
-    rows = docs.withColumns({"_o": F.coalesce(f"`{key}`", F.lit(_LAST)), "_tag": F.xxhash64(whole(F.col(f"`{text}`")))})
-    joined = rows.join(stay, ["_o", "_tag"], "left").withColumns(
-        {"_lines": F.split(whole(F.col(f"`{text}`")), "\n"), "_at": F.sort_array(F.coalesce("_stay", F.array().cast("array<int>")))}
-    )
-    blank = F.filter(
-        F.transform(F.col("_lines"), lambda line, i: F.when(F.trim(line) == "", i)), lambda i: i.isNotNull()
-    )
-    at = F.array_sort(F.concat("_at", blank))
-    out = joined.withColumn("_at", at)
+    o, tag, at, split = fresh(docs, "o", "tag", "at", "split")
+    stay = stay.groupBy(F.col("o").alias(o), F.col("tag").alias(tag)).agg(F.collect_set("at").alias(at))
+    rows = docs.withColumns({o: F.coalesce(f"`{key}`", F.lit(_LAST)), tag: F.xxhash64(whole(F.col(f"`{text}`")))})
+    joined = rows.join(stay, [o, tag], "left").withColumn(split, F.split(whole(F.col(f"`{text}`")), "\n"))
+    blank = F.transform(F.col(split), lambda line, i: F.when(F.trim(line) == "", i))
+    held = F.concat(F.coalesce(at, F.array().cast("array<int>")), F.filter(blank, lambda i: i.isNotNull()))
+    out = joined.withColumn(at, F.array_sort(held))
     return out.select(
-        *names, F.size("_lines").cast("long").alias("n_lines"), (F.size("_lines") - F.size("_at")).cast("long").alias("n_removed"),
-        F.array_join(F.transform("_at", lambda i: F.get(F.col("_lines"), i)), "\n").alias(kept),
+        *names, F.size(split).cast("long").alias("n_lines"), (F.size(split) - F.size(at)).cast("long").alias("n_removed"),
+        F.array_join(F.transform(at, lambda i: F.get(F.col(split), i)), "\n").alias(kept),
     )

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import ascii_lower, whole
+from panelwise.llm.common import ascii_lower, fresh, whole
 from panelwise.llm.components import components
 from panelwise.session import materialize
 
@@ -240,6 +240,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """One document of each group, the one with the smallest key, as it was; repeated rows of it stay."""
     kept = groups(docs, key, text, **settings).filter(F.coalesce(key, F.lit(_NULL_KEY)) == F.col("component_id"))
-    kept = kept.select(F.col(key).alias("_k"), F.col("tag").alias("_t")).distinct()
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_k")) & (F.xxhash64(whole(F.col(f"`{text}`"))) == F.col("_t"))
+    k, t = fresh(docs, "k", "t")
+    kept = kept.select(F.col(key).alias(k), F.col("tag").alias(t)).distinct()
+    same = F.col(f"`{key}`").eqNullSafe(F.col(k)) & (F.xxhash64(whole(F.col(f"`{text}`"))) == F.col(t))
     return docs.join(kept, same, "left_semi")

@@ -18,8 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import BATCH_BYTES, Words, filled, grams, mixed, pieces, runs
-from panelwise.session import materialize
+from panelwise.llm.common import Words, filled, fresh, grams, mixed, pieces, runs
 
 _U = np.uint64
 _LAST = np.iinfo(np.int64).max
@@ -253,26 +252,26 @@ def remove_repeats(docs: DataFrame, size: int = 20, key: str = "doc_id", text: s
     from each other.  Columns of the added names are replaced.
     """
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", kept)]
-    starts = repeated_windows(docs, size, key, text, cells).groupBy("doc", "tag").agg(F.collect_list("starts").alias("_starts"))
-    left = docs.select(*[f"`{c}`" for c in names]).withColumns({"_doc": F.coalesce(f"`{key}`", F.lit(_LAST)), "_tag": _tag(text)})
-    joined = left.join(
-        starts.select(F.col("doc").alias("_doc"), F.col("tag").alias("_tag"), "_starts"), ["_doc", "_tag"], "left"
-    ).select(*[f"`{c}`" for c in names], "_starts")
+    doc, tag, starts = fresh(docs, "doc", "tag", "starts")
+    found = repeated_windows(docs, size, key, text, cells)
+    found = found.groupBy(F.col("doc").alias(doc), F.col("tag").alias(tag)).agg(F.collect_list("starts").alias(starts))
+    left = docs.withColumns({doc: F.coalesce(f"`{key}`", F.lit(_LAST)), tag: _tag(text)})
+    joined = left.join(found, [doc, tag], "left").select(*[f"`{c}`" for c in dict.fromkeys([*names, text])], starts)
     schema = joined.select(*[f"`{c}`" for c in names]).schema.add("n_words", "long").add("n_removed", "long").add(kept, "string")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, text):
-                found = _cut(part, text, size)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *found], names=schema.names)
+                cut_texts = _cut(part, text, starts, size)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *cut_texts], names=schema.names)
 
     return joined.mapInArrow(cut, schema)
 
 
-def _cut(part: pa.RecordBatch, text: str, size: int) -> list[pa.Array]:
+def _cut(part: pa.RecordBatch, text: str, starts: str, size: int) -> list[pa.Array]:
     words = Words(filled(part.column(text)))
     change = np.zeros(len(words) + 1, np.int64)
-    for i, lists in enumerate(part.column("_starts")):
+    for i, lists in enumerate(part.column(starts)):
         for raw in lists.values or () if lists.is_valid else ():
             begin = words.first[i] + np.frombuffer(raw.as_buffer(), "<i4")
             np.add.at(change, begin, 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import ascii_lower, whole
+from panelwise.llm.common import ascii_lower, fresh, whole
 from panelwise.llm.components import components
 from panelwise.session import materialize, small_frame
 
@@ -103,9 +103,11 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", html: str
     """
     spark = pages.sparkSession
     kept = [f"`{c}`" for c in pages.columns if c not in (html, "host", "path", "rule", "verdict")]
-    plain = pages.select(*kept, F.col(f"`{url}`").alias("_url"))
-    seen = plain.select(F.col("_url")).distinct()
-    ruled = judge(seen.select("_url", host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path")), rules, "_url")
+    raw, place, best, said, bad = fresh(pages, "raw", "place", "best", "said", "bad")
+    plain = pages.select(*kept, F.col(f"`{url}`").alias(raw))
+    seen = plain.select(F.col(raw).alias("url")).distinct()
+    ruled = judge(seen.select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")), rules, "url")
+    ruled = ruled.select(F.col("url").alias(raw), F.col("rule").alias(best), F.col("rule_verdict").alias(said))
 
     groups = components(materialize(alias_edges(pages, url, html), "aliases"))
     nodes = groups.select("node", "component", host_of(F.col("node")).alias("host"), path_of(F.col("node")).alias("path"))
@@ -115,19 +117,15 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", html: str
         .agg(F.max(F.col("rule_verdict") == "allow").alias("allowed"))
         .filter("NOT allowed")
         .join(nodes.select("node", "component"), "component")
-        .select(F.col("node").alias("_address"), F.lit(True).alias("_blocked"))
+        .select(F.col("node").alias(place), F.lit(True).alias(bad))
     )
     alias = materialize(blocked, "blocked")
-    rows = (
-        plain.withColumn("_address", address_of(F.col("_url")))
-        .join(ruled, "_url", "left")
-        .join(alias, "_address", "left")
-    )
-    verdict = F.coalesce("rule_verdict", F.when(F.col("_blocked"), "block").otherwise("allow"))
+    rows = plain.withColumn(place, address_of(F.col(raw))).join(ruled, raw, "left").join(alias, place, "left")
+    verdict = F.coalesce(said, F.when(F.col(bad), "block").otherwise("allow"))
     return rows.select(
         *kept,
-        host_of(F.col("_url")).alias("host"),
-        path_of(F.col("_url")).alias("path"),
-        F.col("rule"),
+        host_of(F.col(raw)).alias("host"),
+        path_of(F.col(raw)).alias("path"),
+        F.col(best).alias("rule"),
         verdict.alias("verdict"),
     )
