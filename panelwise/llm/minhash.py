@@ -10,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import Words, filled, grams, pieces
-from panelwise.llm.components import components
+from panelwise.llm.common import Words, filled, grams, mixed, pieces
 from panelwise.session import materialize
 
 _U = np.uint64
@@ -140,3 +139,56 @@ def compare_with_edit(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     schema = f"`{key}` long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return sorted_rows.mapInArrow(compare, schema)
+
+
+def near_search(
+    docs: DataFrame, is_query: str = "key % 20 = 0", key: str = "doc_id", text: str = "text", size: int = SHINGLE,
+    count: int = PERMUTATIONS, band: int = BAND, similar: float = SIMILAR,
+) -> DataFrame:
+    """(query, match, jaccard): the different texts whose shingle sets are ``similar`` to a query's.
+
+    Rows stand for texts: query is the smallest key of those that fulfil ``is_query``
+    and have the text, match the smallest key of another text.  Signatures are cut
+    into bands; texts that share a band are candidates, whose Jaccard similarity is
+    then computed from all shingles.  Empty texts and null keys match nothing.
+    """
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(f"`{text}`", F.lit("")).alias("text")).filter("key IS NOT NULL")
+    digest = F.sha2("text", 256)
+    known = rows.withColumn("digest", digest)
+    asked = F.min(F.when(F.expr(is_query), F.col("key")))
+    reps = known.groupBy("digest").agg(F.min("key").alias("key"), asked.alias("query"))
+    texts = known.join(reps, ["digest", "key"]).dropDuplicates(["digest"]).select("key", "query", "text")
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                hashes, at = shingles(Words(filled(part.column("text"))), size)
+                signature = signatures(hashes, at, count).astype(_U)
+                bands = grams_of(signature, band)
+                sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(at[:-1], at[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("key"), part.column("query"), pa.array(bands.view(np.int64).tolist(), pa.list_(pa.int64())),
+                     pa.array(sets, pa.list_(pa.int64()))],
+                    names=["key", "query", "bands", "set"],
+                )
+
+    signed = texts.mapInArrow(sign, "key long, query long, bands array<long>, `set` array<long>").filter("size(`set`) > 0")
+    signed = materialize(signed, "signatures")
+    spots = signed.select("key", "query", F.explode("bands").alias("spot"))
+    left = spots.filter("query IS NOT NULL").select(F.col("key").alias("a"), "query", "spot")
+    pairs = left.join(spots.select(F.col("key").alias("match"), "spot"), "spot").filter("a <> match").select("a", "query", "match").distinct()
+    sets = signed.select("key", F.col("set").alias("x"))
+    both = pairs.join(sets.withColumnRenamed("key", "a"), "a").join(sets.select(F.col("key").alias("match"), F.col("x").alias("y")), "match")
+    common = F.size(F.array_intersect("x", "y"))
+    jaccard = common / (F.size("x") + F.size("y") - common)
+    return both.select("query", "match", jaccard.alias("jaccard")).filter(F.col("jaccard") >= similar)
+
+
+def grams_of(signature: np.ndarray, band: int) -> np.ndarray:
+    """One digest per band and text, different for different bands."""
+    rows, wide = signature.shape[0], signature.shape[1] // band
+    out = np.zeros((rows, wide), _U)
+    with np.errstate(over="ignore"):
+        for k in range(band):
+            out = mixed(out + signature[:, k : wide * band : band] + _U(k))
+        return mixed(out + np.arange(wide, dtype=_U) * _U(0x9E3779B97F4A7C15))
