@@ -25,7 +25,7 @@ NEAR_CHARS = 20
 BROADCAST_ROWS = 1_000_000
 
 _LAST = (1 << 63) - 1
-_TERM = F.lit(1 << 31)
+_TERM = 1 << 31
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -70,8 +70,8 @@ def near_lines(docs: DataFrame, firsts: DataFrame, key: str, text: str, near_cha
     run = Window.partitionBy("h1", "h2").orderBy("j")
     every = Window.partitionBy("h1", "h2")
     for k in (1, 2):
-        here = F.pmod(F.xxhash64(F.lit(k), "c", "j"), _TERM)
-        moved = F.pmod(F.xxhash64(F.lit(k), "c", F.col("j") - 1), _TERM)
+        here = F.pmod(F.xxhash64(F.lit(k), "c", "j"), F.lit(_TERM))
+        moved = F.pmod(F.xxhash64(F.lit(k), "c", F.col("j") - 1), F.lit(_TERM))
         chars = chars.withColumns({f"a{k}": here, f"b{k}": moved})
     sums = {}
     for k in (1, 2):
