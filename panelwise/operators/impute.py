@@ -211,6 +211,14 @@ class _SharedSums:
 class ChainedImputeModel(_Learned):
     """Replays the fitted rounds on any rows; Arrow batches, no shuffle."""
 
+    @property
+    def rounds(self) -> int:
+        return self.values()["rounds"]
+
+    @property
+    def converged(self) -> bool:
+        return self.values()["converged"]
+
     def _transform(self, df: DataFrame) -> DataFrame:
         fitted = self.values()
         names = self._names()
@@ -242,7 +250,8 @@ class ChainedImpute(Estimator, _Stage):
 
     Columns are visited by rising number of missing values; complete columns are
     predictors only.  Rounds end after ``maxRounds`` or when no filled value can
-    have moved by more than ``tol`` times the largest observed size.
+    have moved by more than ``tol`` times the largest observed size.  The model
+    tells how many ``rounds`` it took and whether it ``converged``.
     """
 
     maxRounds = Param(Params._dummy(), "maxRounds", "rounds at most", TypeConverters.toInt)
@@ -252,7 +261,7 @@ class ChainedImpute(Estimator, _Stage):
     )
 
     def __init__(
-        self, columns: Sequence[str] = (), maxRounds: int = 10, tol: float = 1e-3,
+        self, columns: Sequence[str] = (), maxRounds: int = 200, tol: float = 1e-3,
         maxDriverBytes: int = MAX_DRIVER_BYTES,
     ):
         super().__init__(columns, maxRounds=maxRounds, tol=tol, maxDriverBytes=maxDriverBytes)
@@ -277,9 +286,12 @@ class ChainedImpute(Estimator, _Stage):
         missing = [first["rows"] - first[f"n{i}"] for i in range(len(names))]
         order = [i + 1 for i in sorted(range(len(names)), key=lambda i: missing[i]) if missing[i]]
         fits: list[tuple[int, np.ndarray]] = []
+        rounds, converged = 0, True
         if order and len(names) > 1:
-            fits = self._rounds(df, names, means, low, high, order)
-        learned = {"means": means.tolist(), "fits": [(p, w.tolist()) for p, w in fits]}
+            fits, rounds, converged = self._rounds(df, names, means, low, high, order)
+        learned = {
+            "means": means.tolist(), "fits": [(p, w.tolist()) for p, w in fits], "rounds": rounds, "converged": converged,
+        }
         return ChainedImputeModel.of(names, learned)
 
     def _rounds(self, df, names, means, low, high, order):
@@ -292,8 +304,8 @@ class ChainedImpute(Estimator, _Stage):
             sums = _SharedSums(table, size)
         reach = np.concatenate([[1.0], np.maximum(np.abs(low - means), np.abs(high - means))])
         threshold = self.getOrDefault(self.tol) * max(np.abs(low).max(), np.abs(high).max())
-        fits = []
-        for _ in range(self.getOrDefault(self.maxRounds)):
+        fits, rounds, converged = [], 0, False
+        for rounds in range(1, self.getOrDefault(self.maxRounds) + 1):
             before = sums.snapshot()
             for place in order:
                 use = np.array([j for j in range(1, size) if j != place])
@@ -301,5 +313,6 @@ class ChainedImpute(Estimator, _Stage):
                 sums.fill(place, weights)
                 fits.append((place, weights))
             if sums.largest_change(before, reach) < threshold:
+                converged = True
                 break
-        return fits
+        return fits, rounds, converged

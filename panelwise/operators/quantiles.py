@@ -32,6 +32,7 @@ class _Bracket:
     high: float
     below: int
     inside: int
+    few: bool = False
     margin: float = 2.0 / ACCURACY
 
     def within(self):
@@ -118,11 +119,13 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     max_sorted: int = 100_000,
+    max_distinct: int = 50_000,
 ) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation between order statistics; NULLs are skipped.
 
     A bracket is narrowed until it holds at most ``max_sorted`` values or a
-    single distinct one.
+    single distinct one.  A column of about ``max_distinct`` different values or
+    fewer is not narrowed: its values are counted at once, in one more pass.
     """
     names = list(dict.fromkeys(columns))
     df = df.select(*names)
@@ -134,6 +137,7 @@ def exact_quantiles(
     measures = (
         ("n", F.count), ("lo", F.min), ("hi", F.max),
         ("q", lambda c: F.percentile_approx(F.col(c).cast("double"), shares, ACCURACY)),
+        ("d", F.approx_count_distinct),
     )
     known = df.agg(*[f(c).alias(f"{t}{i}") for i, c in enumerate(names) for t, f in measures]).first()
     brackets: dict[tuple[str, int, int], _Bracket] = {}
@@ -146,11 +150,12 @@ def exact_quantiles(
             first, last = math.floor(h), math.ceil(h)
             wanted[c].append((first, last, h - first))
             low, high = float(known[f"lo{i}"]), float(known[f"hi{i}"])
-            brackets[(c, first, last)] = _Bracket(c, first, last, low, high, 0, n)
+            few = known[f"d{i}"] <= max_distinct
+            brackets[(c, first, last)] = _Bracket(c, first, last, low, high, 0, n, few)
             guesses[(c, first, last)] = tuple(known[f"q{i}"][2 * j : 2 * j + 2])
 
     def too_wide(b: _Bracket) -> bool:
-        return b.inside > max_sorted and b.low < b.high and b.margin < 1
+        return not b.few and b.inside > max_sorted and b.low < b.high and b.margin < 1
 
     first_try = [(b, *guesses[key]) for key, b in brackets.items() if too_wide(b)]
     if first_try:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -13,12 +12,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.functions.scalar import null_if_nan
 from panelwise.operators.columns import require_columns
 from panelwise.session import small_frame
 
-# Pairs that are put into one aggregate.
-MAX_PAIRS_IN_AGGREGATE = 100
 PAIR_SCHEMA = "feature_a string, feature_b string, corr double"
 LINE_SCHEMA = (
     "label int, feature_a string, feature_b string, n bigint, slope double, intercept double, r2 double"
@@ -28,32 +24,12 @@ LINE_SCHEMA = (
 def correlation_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """feature_a, feature_b, corr (absolute Pearson) for every pair in feature order.
 
-    A row counts for a pair when both values are present.  Few pairs are one
-    aggregate; more are read off sums of products.  A pair with a constant
-    feature has no correlation.
+    A row counts for a pair when both values are present and finite.  All pairs are
+    read off sums of products.  A pair with a constant feature has no correlation.
     """
     names = list(features)
     require_columns(df, names)
-    pairs = list(combinations(names, 2))
-    if len(pairs) > MAX_PAIRS_IN_AGGREGATE:
-        return _pair_frame(df, names, _correlations(_products(df, names)))
-    values = df.select(*[null_if_nan(F.col(c).cast("double")).alias(c) for c in names])
-    # corr() divides by zero on a constant column; regr_r2 does not, but calls the
-    # fit of a constant b perfect, so perfect pairs are looked at again.
-    squares = values.agg(*[F.regr_r2(b, a).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).first()
-    perfect = [i for i in range(len(pairs)) if squares[f"r{i}"] == 1.0]
-    flat: set[int] = set()
-    if perfect:
-        spread = values.agg(
-            *[F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b))).alias(f"s{i}")
-              for i in perfect for a, b in [pairs[i]]]
-        ).first()
-        flat = {i for i in perfect if not spread[f"s{i}"]}
-    rows = [
-        (a, b, None if squares[f"r{i}"] is None or i in flat else math.sqrt(squares[f"r{i}"]))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return small_frame(df.sparkSession, rows, PAIR_SCHEMA)
+    return _pair_frame(df, names, _correlations(_products(df, names)))
 
 
 def _products(df: DataFrame, names: list[str], label: str | None = None) -> dict:
@@ -64,7 +40,8 @@ def _products(df: DataFrame, names: list[str], label: str | None = None) -> dict
     so that large offsets do not cancel.
     """
     d = len(names)
-    values = [null_if_nan(F.col(c).cast("double")).alias(c) for c in names]
+    number = {c: F.col(c).cast("double") for c in names}
+    values = [F.when(F.abs(x) < F.lit(float("inf")), x).alias(c) for c, x in number.items()]
     means = df.select(*values).agg(*[F.avg(c).alias(c) for c in names]).first()
     shift = np.array([means[c] or 0.0 for c in names])
 

@@ -16,7 +16,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.functions.scalar import clipped_log
+from panelwise.functions.scalar import clipped_log, null_if_nan
 from panelwise.operators import columns as cols
 from panelwise.operators.quantiles import approximate_quantiles, exact_quantiles
 from panelwise.session import small_frame
@@ -98,8 +98,13 @@ class RobustScale(Estimator, _Stage):
         return RobustScaleModel.of(self._names(), fitted)
 
 
+def _known(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The columns as doubles, NaN being as missing as NULL."""
+    return df.select(*[null_if_nan(F.col(c).cast("double")).alias(c) for c in names])
+
+
 def standard_stats_values(df: DataFrame, names: Sequence[str]) -> dict[str, tuple]:
-    row = df.agg(
+    row = _known(df, names).agg(
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(names)],
     ).first()
@@ -110,12 +115,12 @@ def robust_stats_values(df: DataFrame, names: Sequence[str], exact: bool = True)
     # Quartiles of the robust scale.
     quartiles = (0.25, 0.5, 0.75)
     find = exact_quantiles if exact else approximate_quantiles
-    return find(df, names, quartiles)
+    return find(_known(df, names), names, quartiles)
 
 
 def standard_stats(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """column_name, mean, std (population); one aggregate."""
-    counted = df.agg(
+    counted = _known(df, names).agg(
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(names)],
     )
@@ -167,22 +172,26 @@ class OneHot(Estimator, _Stage):
     """One 0/1 column per training value, named ``column_value``; the source is dropped.
 
     A missing value gives zeros everywhere.  A column with more than
-    ``max_values`` values is refused, since each becomes a column.
+    ``maxValues`` values is refused, since each becomes a column.
     """
 
-    max_values = 10_000
+    maxValues = Param(Params._dummy(), "maxValues", "values of a column at most", TypeConverters.toInt)
+
+    def __init__(self, columns: Sequence[str] = (), maxValues: int = 10_000):
+        super().__init__(columns, maxValues=maxValues)
 
     def _fit(self, df: DataFrame) -> OneHotModel:
         found = {}
+        most = self.getOrDefault(self.maxValues)
         for name in self._names():
             distinct = (
                 df.filter(~cols.is_missing(df, name))
                 .select(F.col(name).cast("string").alias("v"))
                 .distinct()
-                .limit(self.max_values + 1)
+                .limit(most + 1)
                 .collect()
             )
-            if len(distinct) > self.max_values:
+            if len(distinct) > most:
                 raise ValueError(f"too many values to encode: {name}")
             found[name] = sorted(r["v"] for r in distinct)
         return OneHotModel.of(self._names(), found)

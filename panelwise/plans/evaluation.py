@@ -53,15 +53,24 @@ def evaluation_report(
     return report
 
 
+# Key columns that are doubles; other doubles are measures and other columns keys.
+DOUBLE_KEYS = {"roc_curve": ("threshold",), "pr_curve": ("threshold",)}
+
+
 def report_table(report: Mapping[str, DataFrame]) -> DataFrame:
-    """All tables of a report as (section, item, measure, value)."""
+    """All tables of a report as (section, item, measure, value).
+
+    ``item`` holds a row's keys, a missing one as NULL, so that the points of a
+    curve can be matched to their threshold.
+    """
     out = None
     for section, df in report.items():
         doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+        doubles = [c for c in doubles if c not in DOUBLE_KEYS.get(section, ())]
         if not doubles:
             doubles = [df.columns[-1]]
         keys = [c for c in df.columns if c not in doubles]
-        item = F.concat_ws("/", *[F.col(c).cast("string") for c in keys]) if keys else F.lit("")
+        item = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in keys]) if keys else F.lit("")
         measures = F.array(
             *[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in doubles]
         )

@@ -41,7 +41,7 @@ class Preparation:
     log: Sequence[str] = ()
     scale: Sequence[str] = ()
     method: str = "chained"
-    max_rounds: int = 10
+    max_rounds: int = 200
     exact_quantiles: bool = True
 
     def pipeline(self) -> Pipeline:

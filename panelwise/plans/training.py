@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark import inheritable_thread_target
+from pyspark.errors.exceptions.captured import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -22,7 +23,7 @@ from panelwise.operators.curves import areas
 from panelwise.operators.split import stratified_folds
 from panelwise.operators.stages import StandardScale
 from panelwise.roles import ColumnRoles
-from panelwise.session import materialize, small_frame
+from panelwise.session import materialize, path_exists, small_frame
 
 _VECTOR, _WEIGHT = "_features", "_weight"
 # Deepest tree MLlib accepts, seed, folds per family, decision threshold.
@@ -30,14 +31,15 @@ MAX_DEPTH = 30
 SEED = 42
 FOLDS = {"random_forest": 5, "logistic_regression": 5, "gradient_boosting": 3}
 DECISION = 0.5
+# Folds that a given fold column may have; each is one model.
+MAX_FOLDS = 1_000
 CV_METRICS = ("f1", "accuracy", "auc_roc", "precision", "recall")
 
 # Search space per family, as (kind, low, high) or (kind, choices).
 SEARCH_SPACES: dict[str, dict[str, tuple]] = {
     "random_forest": {
         "n_estimators": ("int", 190, 210),
-        "max_depth": ("int", 5, 35),
-        "min_samples_split": ("int", 2, 8),
+        "max_depth": ("int", 5, MAX_DEPTH),
         "min_samples_leaf": ("int", 1, 5),
         "max_features": ("choice", ("sqrt", "log2", None)),
     },
@@ -55,19 +57,31 @@ SEARCH_SPACES: dict[str, dict[str, tuple]] = {
         "subsample": ("float", 0.5, 1.0),
         "colsample_bytree": ("float", 0.5, 1.0),
         "gamma": ("float", 0.0, 5.0),
-        "reg_alpha": ("float", 0.0, 1.0),
-        "reg_lambda": ("float", 0.0, 1.0),
     },
 }
 # Parameters that only apply when another one has a certain value.
 _CONDITIONAL = {"l1_ratio": ("penalty", "elasticnet")}
 
 
+# Parameters without a counterpart in MLlib.
+UNSUPPORTED = frozenset(("min_samples_split", "reg_alpha", "reg_lambda"))
+
+
+def check_params(params: Mapping[str, Any]) -> None:
+    """Refuse parameters that could not take effect as given."""
+    unknown = sorted(UNSUPPORTED & params.keys())
+    if unknown:
+        raise ValueError(f"parameters without effect: {unknown}")
+    depth = params.get("max_depth")
+    if depth is not None and int(depth) > MAX_DEPTH:
+        raise ValueError(f"max_depth {depth} is above {MAX_DEPTH}")
+
+
 def _random_forest(params: Mapping[str, Any], roles: ColumnRoles, weight_sum: float):
-    """``min_samples_split`` has no counterpart in MLlib and is only recorded."""
+    """No ``max_depth`` means the deepest tree there is."""
     return RandomForestClassifier(
         numTrees=int(params.get("n_estimators", 100)),
-        maxDepth=min(int(params.get("max_depth") or MAX_DEPTH), MAX_DEPTH),
+        maxDepth=int(params.get("max_depth") or MAX_DEPTH),
         minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
         featureSubsetStrategy=params.get("max_features", "sqrt") or "all",
         weightCol=_WEIGHT,
@@ -89,14 +103,14 @@ def _logistic_regression(params: Mapping[str, Any], roles: ColumnRoles, weight_s
 
 
 def _gradient_boosting(params: Mapping[str, Any], roles: ColumnRoles, weight_sum: float):
-    """L1 and L2 leaf penalties have no counterpart in MLlib and are only recorded."""
+    """``gamma`` is a gain summed over rows, the least gain of MLlib one per row."""
     return GBTClassifier(
         maxIter=int(params.get("n_estimators", 100)),
         maxDepth=int(params.get("max_depth", 6)),
         stepSize=float(params.get("learning_rate", 0.3)),
         subsamplingRate=float(params.get("subsample", 1.0)),
         featureSubsetStrategy=str(float(params.get("colsample_bytree", 1.0))),
-        minInfoGain=float(params.get("gamma", 0.0)),
+        minInfoGain=float(params.get("gamma", 0.0)) / weight_sum,
         seed=SEED,
     )
 
@@ -114,9 +128,11 @@ def fit_model(
     family: str, params: Mapping[str, Any], train: DataFrame, roles: ColumnRoles
 ) -> PipelineModel:
     """Scale, assemble, fit.  The features are those named in ``roles``."""
-    weight_sum = 1.0
+    check_params(params)
     if family in BALANCED:
         train, weight_sum = with_class_weight(train, roles.label, _WEIGHT)
+    else:
+        weight_sum = float(max(train.count(), 1)) if params.get("gamma") else 1.0
     estimator = FAMILIES[family](params, roles, weight_sum)
     estimator.setFeaturesCol(_VECTOR).setLabelCol(roles.label)
     names = list(roles.features)
@@ -163,15 +179,24 @@ def cross_validate(
     k: int | None = None,
     resample: Callable[[DataFrame], DataFrame] | None = None,
     parallelism: int = 3,
+    fold_column: str | None = None,
 ) -> DataFrame:
     """Five metrics per fold: fold, f1, accuracy, auc_roc, precision, recall.
 
-    ``df`` may carry a ``fold`` column already; else stratified folds are made.
-    ``resample`` is applied to the training part of every fold only, so that
+    With ``fold_column`` the folds are those present in that column, each is held
+    out once, and a ``k`` that is not their number is an error; a row without a
+    fold is one too.  Else ``k`` stratified folds are made.  ``resample`` is applied to the training part of every fold only, so that
     held-out rows never help to make training rows.
     """
-    k = k or FOLDS[family]
-    folds = df if "fold" in df.columns else materialize(stratified_folds(df, roles, k), "folds")
+    if fold_column is None:
+        folds = materialize(stratified_folds(df, roles, k or FOLDS[family]), "folds")
+    else:
+        folds = df.withColumnRenamed(fold_column, "fold")
+    present = [r["fold"] for r in folds.select("fold").distinct().orderBy("fold").limit(MAX_FOLDS + 1).collect()]
+    if None in present or len(present) > MAX_FOLDS:
+        raise ValueError(f"every row needs one of at most {MAX_FOLDS} folds")
+    if fold_column is not None and k is not None and k != len(present):
+        raise ValueError(f"{len(present)} folds are present, not {k}")
 
     def run(i: int) -> DataFrame:
         train = folds.filter(F.col("fold") != i)
@@ -181,7 +206,7 @@ def cross_validate(
         scored = score_batch(model, folds.filter(F.col("fold") == i), roles)
         return scored.select("fold", roles.label, roles.score, roles.prediction)
 
-    parts = _in_threads(run, range(k), parallelism)
+    parts = _in_threads(run, present, parallelism)
     scored = parts[0]
     for part in parts[1:]:
         scored = scored.unionByName(part)
@@ -218,6 +243,8 @@ def draw_params(family: str, number: int, seed: int = SEED, space: Mapping | Non
     return drawn
 
 
+# What wrong parameters raise, in Python or in MLlib.
+_REFUSALS = (ValueError, KeyError, IllegalArgumentException)
 TRIAL_SCHEMA = (
     "number int, state string, value double, f1_score double, accuracy double, roc_auc double, "
     "precision double, recall double, f1_std double, cv_iteration int, params map<string,string>"
@@ -234,12 +261,20 @@ def search_trials(
     space: Mapping | None = None,
     resample: Callable[[DataFrame], DataFrame] | None = None,
     parallelism: int = 1,
+    path: str | None = None,
 ) -> DataFrame:
     """Trials table of a seeded random search for the largest mean F1.
 
-    Folds are made once for all trials.  A trial that fails is kept with state
-    ``FAIL``; the others are ``COMPLETE``.
+    Folds are made once for all trials.  A trial whose parameters are refused is
+    kept with state ``FAIL``; the others are ``COMPLETE``, and any other error
+    ends the search, as does a search in which no trial completes.  With ``path``
+    each trial is appended to the table there when it is done, and numbers that
+    are already there are not run again.
     """
+    spark = df.sparkSession
+    known = set()
+    if path is not None and path_exists(spark, path):
+        known = {r["number"] for r in spark.read.schema(TRIAL_SCHEMA).parquet(path).select("number").collect()}
     k = k or FOLDS[family]
     folds = materialize(stratified_folds(df, roles, k), "folds")
 
@@ -247,16 +282,23 @@ def search_trials(
         params = draw_params(family, number, seed, space)
         text = {n: None if v is None else str(v) for n, v in params.items()}
         try:
-            per_fold = cross_validate(family, params, folds, roles, k, resample)
+            per_fold = cross_validate(family, params, folds, roles, k, resample, fold_column="fold")
             s = cv_summary(per_fold, CV_METRICS).first()
-        except Exception as exc:
+        except _REFUSALS as exc:
             warnings.warn(f"trial {number} of {family} failed: {exc}", stacklevel=2)
-            return (number, "FAIL", *[None] * 8, text)
-        means = [s[f"mean_{m}"] for m in ("f1", "accuracy", "auc_roc", "precision", "recall")]
-        return (number, "COMPLETE", means[0], *means, s["f1_std"], number, text)
-
-    rows = _in_threads(run, range(n_trials), parallelism)
-    return df.sparkSession.createDataFrame(rows, TRIAL_SCHEMA)
+            row = (number, "FAIL", *[None] * 8, text)
+        else:
+            means = [s[f"mean_{m}"] for m in ("f1", "accuracy", "auc_roc", "precision", "recall")]
+            row = (number, "COMPLETE", means[0], *means, s["f1_std"], number, text)
+        if path is not None:
+            spark.createDataFrame([row], TRIAL_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        return row
+
+    rows = _in_threads(run, [i for i in range(n_trials) if i not in known], parallelism)
+    table = spark.createDataFrame(rows, TRIAL_SCHEMA) if path is None else spark.read.schema(TRIAL_SCHEMA).parquet(path)
+    if n_trials and table.filter("state = 'COMPLETE'").isEmpty():
+        raise RuntimeError(f"no trial of {family} completed")
+    return table
 
 
 def best_trial(trials: DataFrame) -> DataFrame:

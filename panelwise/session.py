@@ -9,14 +9,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -28,13 +32,30 @@ SESSION_DEFAULTS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators rely on."""
+    """Apply the runtime settings the operators rely on; send the package to the executors."""
+    _ship(spark)
     for key, value in SESSION_DEFAULTS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
 
+def _ship(spark: SparkSession) -> None:
+    """Give the executors this package, so that their Python finds it wherever they started."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = Path(__file__).resolve().parent
+    if not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="panelwise-")) / "panelwise.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent).as_posix())
+    context.addPyFile(str(archive))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
@@ -78,6 +99,33 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(target, True))
 
 
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if there is one already.  One of several callers succeeds."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError as error:
+        if fs.exists(target):
+            return False
+        raise error
+    return True
+
+
+def file_state(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and change time of every file under a path."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, out = fs.listFiles(target, True), []
+    while files.hasNext():
+        status = files.next()
+        out.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(out)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

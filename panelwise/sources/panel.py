@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from panelwise.functions.scalar import null_if_nan
 from panelwise.operators import columns as cols
 from panelwise.operators.split import assert_disjoint
 from panelwise.roles import ColumnRoles
-from panelwise.session import path_exists
+from panelwise.session import file_state, path_exists
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def load_panel(
     """Read the columns of ``schema`` by name from CSV with header, or parquet.
 
     Spark matches a CSV schema by position, so the header says which type goes
-    where.  Columns the schema does not name are not read.
+    where.  A cell that is not of its type ends the read.  Columns the schema does not name are not read.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
@@ -67,7 +67,7 @@ def load_panel(
         if missing:
             raise ValueError(f"missing required columns: {missing}")
         laid = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
-        reader = spark.read.schema(laid).option("header", True).option("enforceSchema", False)
+        reader = spark.read.schema(laid).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
     return check_panel(reader.format(fmt).load(path).select(*wanted.names), roles)
 
 
@@ -103,14 +103,17 @@ def write_splits(tagged: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def stage_table(
-    spark: SparkSession, root: str, stage: str, config: Mapping, build: Callable[[], DataFrame]
-) -> DataFrame:
-    """Table of a stage, built once per configuration.
-
-    The folder carries a digest of the configuration, so the same settings find
-    the table again and other settings do not.  ``_SUCCESS`` marks a whole table.
+    spark: SparkSession, root: str, stage: str, config: Mapping, build: Callable[[], DataFrame],
+    inputs: Sequence[str] = (),
+) -> DataFrame:
+    """Table of a stage, built once per configuration and state of its inputs.
+
+    The folder carries a digest of the configuration and of the names, sizes and
+    change times of the files under ``inputs``, so the same settings on the same
+    files find the table again and others do not.  ``_SUCCESS`` marks a whole table.
     """
-    digest = hashlib.sha256(json.dumps(config, sort_keys=True, default=str).encode()).hexdigest()[:16]
+    state = [config, [file_state(spark, path) for path in inputs]]
+    digest = hashlib.sha256(json.dumps(state, sort_keys=True, default=str).encode()).hexdigest()[:16]
     path = f"{root.rstrip('/')}/{stage}-{digest}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)

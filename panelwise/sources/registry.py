@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from panelwise.functions.scalar import NAME_PATTERN
-from panelwise.session import path_exists, remove_path
+from panelwise.session import create_file, path_exists, remove_path
 
 VERSION_SCHEMA = (
     "name string, key string, version string, seq int, timestamp string, metrics map<string,double>, "
@@ -58,8 +58,8 @@ def best_version(
 class ModelRegistry:
     """Save, find, load and delete model versions under one folder.
 
-    The table is append-only; a deletion appends a tombstone.  One writer at a
-    time is assumed.
+    The table is append-only; a deletion appends a tombstone.  A version number
+    belongs to the writer that creates its claim file, so two never get the same.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -97,6 +97,8 @@ class ModelRegistry:
         key = _key(name)
         used = self._rows().filter(F.col("key") == key).agg(F.max("seq")).first()[0]
         seq = (used or 0) + 1
+        while not create_file(self.spark, f"{self.root}/claims/{key}/{seq}"):
+            seq += 1
         stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
         path = f"{self.root}/models/{key}_{stamp}_{uuid.uuid4().hex[:6]}"
         model.write().save(path)

@@ -12,7 +12,7 @@ from panelwise.sources import trial_log
 
 ROLES = ColumnRoles().with_features("a", "b")
 SMALL = {
-    "random_forest": {"n_estimators": 5, "max_depth": 35, "min_samples_leaf": 2, "max_features": None},
+    "random_forest": {"n_estimators": 5, "max_depth": 30, "min_samples_leaf": 2, "max_features": None},
     "logistic_regression": {"C": 1.0, "penalty": "elasticnet", "l1_ratio": 0.3, "max_iter": 20},
     "gradient_boosting": {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.3},
 }
@@ -69,6 +69,49 @@ def test_search_is_repeatable_and_keeps_failures(rows):
     assert best["value"] == trials.agg({"value": "max"}).first()[0]
 
 
+def test_every_fold_present_is_held_out(rows):
+    folds = rows.withColumn("part", F.col("row_id") % 5)
+    per_fold = training.cross_validate("logistic_regression", SMALL["logistic_regression"], folds, ROLES, fold_column="part")
+    assert sorted(r["fold"] for r in per_fold.collect()) == [0, 1, 2, 3, 4]
+    with pytest.raises(ValueError, match="5 folds"):
+        training.cross_validate("logistic_regression", {}, folds, ROLES, k=3, fold_column="part")
+    # A column named fold means nothing unless it is asked for.
+    own = training.cross_validate("logistic_regression", SMALL["logistic_regression"], folds.withColumnRenamed("part", "other"), ROLES, k=2)
+    assert own.count() == 2
+
+
+def test_gamma_is_a_gain_of_all_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=4000)
+    y = (x + rng.normal(size=4000) * 0.3 > 1.9).astype(int)
+    df = spark.createDataFrame([(int(t), float(v)) for t, v in zip(y, x)], "label int, a double").coalesce(1)
+    roles = ColumnRoles().with_features("a")
+    model = training.fit_model("gradient_boosting", {"n_estimators": 2, "max_depth": 3, "gamma": 2.5}, df, roles)
+    assert model.stages[-1].totalNumNodes > 2
+
+
+@pytest.mark.parametrize("params", [{"max_depth": 31}, {"min_samples_split": 2}, {"reg_alpha": 0.0}, {"reg_lambda": 1.0}])
+def test_parameters_without_effect_are_refused(rows, params):
+    with pytest.raises(ValueError):
+        training.fit_model("random_forest", params, rows, ROLES)
+
+
+def test_search_goes_on_where_it_stopped(rows, tmp_path, monkeypatch):
+    space = {"C": ("log", 0.01, 1.0), "max_iter": ("int", 5, 6)}
+    path = str(tmp_path / "trials")
+    training.search_trials("logistic_regression", rows, ROLES, 1, k=2, space=space, path=path)
+    ran = []
+    real = training.cross_validate
+    monkeypatch.setattr(training, "cross_validate", lambda *a, **b: ran.append(1) or real(*a, **b))
+    trials = training.search_trials("logistic_regression", rows, ROLES, 3, k=2, space=space, path=path)
+    assert len(ran) == 2 and sorted(r["number"] for r in trials.collect()) == [0, 1, 2]
+
+
+def test_search_without_a_completed_trial_fails(rows):
+    with pytest.warns(UserWarning), pytest.raises(RuntimeError):
+        training.search_trials("logistic_regression", rows, ROLES, 1, k=2, space={"penalty": ("choice", ("wrong",))})
+
+
 def test_conditional_parameter():
     for i in range(20):
         drawn = training.draw_params("logistic_regression", i)
@@ -101,5 +144,11 @@ def test_report_has_every_analysis(rows):
         "calibration", "feature_importance", "missing", "temporal_progression", "group_errors", "interactions",
         "timeline",
     }
-    sections = {r["section"] for r in evaluation.report_table(report).select("section").distinct().collect()}
+    table = evaluation.report_table(report).cache()
+    sections = {r["section"] for r in table.select("section").distinct().collect()}
     assert sections == set(report)
+    points = table.filter("section = 'roc_curve'").collect()
+    rates = {(r["item"], r["measure"]): r["value"] for r in points}
+    curve = report["roc_curve"].collect()
+    assert len(rates) == len(points) == 2 * len(curve)
+    assert all(rates[str(r["threshold"]).replace("inf", "Infinity"), "tpr"] == r["tpr"] for r in curve)

@@ -30,6 +30,14 @@ def _rolling(spark, sf_dir) -> DataFrame:
     return r6(out.select("entity", "hour", "row_id", "level_smooth", "p_smooth"))
 
 
+@query("rolling_blocks", f"WITH {PANEL_SQL} {_smooth_sql(['level', 'p'], 'panel')}")
+def _rolling_blocks(spark, sf_dir) -> DataFrame:
+    """The same rows by the route of entities that are too large for one window."""
+    df = panel(spark, sf_dir).select("entity", "hour", "row_id", "level", "p")
+    out = temporal.rolling_centered_mean(df, ROLES, ["level", "p"], max_entity_rows=50)
+    return r6(out.select("entity", "hour", "row_id", "level_smooth", "p_smooth"))
+
+
 @query(
     "label_onset",
     f"WITH {PANEL_SQL} SELECT entity, min(hour) FILTER (label = 1) AS label_onset FROM panel GROUP BY entity",

@@ -12,22 +12,17 @@ from panelwise.session import materialize
 from panelwise.sources import registry as versions
 from panelwise.sources import trial_log
 from workload.queries_metrics import panel_groups
+from workload.queries_prepare import assign_sql
 from workload.registry import query, r6
 from workload.views import PANEL_SQL, ROLES, panel, scored
 
 MODEL_FEATURES = ("reading", "level", "hour_of_day", "code")
 MODEL_ROLES = ROLES.with_features(*MODEL_FEATURES)
-# Small settings, so that one query takes seconds; the search spaces are in the library.
-SMALL = {
-    "random_forest": {"n_estimators": 10, "max_depth": 5, "min_samples_leaf": 1, "max_features": "sqrt"},
-    "logistic_regression": {"C": 1.0, "penalty": "l2", "max_iter": 30},
-    "gradient_boosting": {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3},
-}
-SMALL_SPACE = {
-    "C": ("log", 0.001, 100.0),
-    "penalty": ("choice", ("l1", "l2", "elasticnet")),
-    "max_iter": ("int", 10, 20),
-    "l1_ratio": ("float", 0.0, 1.0),
+# One setting of each family, within its search space.
+SETTINGS = {
+    "random_forest": {"n_estimators": 200, "max_depth": 8, "min_samples_leaf": 1, "max_features": "sqrt"},
+    "logistic_regression": {"C": 1.0, "penalty": "l2", "max_iter": 1000, "tol": 1e-5},
+    "gradient_boosting": {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1},
 }
 
 
@@ -42,7 +37,7 @@ def prepared_splits(spark, sf_dir):
 
 def _train(family: str, spark, sf_dir) -> DataFrame:
     parts = prepared_splits(spark, sf_dir)
-    _, metrics = training.train_evaluate(family, SMALL[family], parts["train"], parts["val"], MODEL_ROLES)
+    _, metrics = training.train_evaluate(family, SETTINGS[family], parts["train"], parts["val"], MODEL_ROLES)
     return metrics
 
 
@@ -65,7 +60,7 @@ def _gbt(spark, sf_dir) -> DataFrame:
 def _train_evaluate(spark, sf_dir) -> DataFrame:
     """All families on the same split, one metrics row each."""
     parts = prepared_splits(spark, sf_dir)
-    _, table = training.compare_families(parts["train"], parts["val"], MODEL_ROLES, SMALL)
+    _, table = training.compare_families(parts["train"], parts["val"], MODEL_ROLES, SETTINGS)
     return table
 
 
@@ -73,37 +68,71 @@ def _train_evaluate(spark, sf_dir) -> DataFrame:
 def _cv(spark, sf_dir) -> DataFrame:
     train = prepared_splits(spark, sf_dir)["train"]
     return training.cross_validate(
-        "logistic_regression", SMALL["logistic_regression"], train, MODEL_ROLES, k=3
+        "logistic_regression", SETTINGS["logistic_regression"], train, MODEL_ROLES
     )
 
 
 @query("search_trials")
 def _search(spark, sf_dir) -> DataFrame:
     train = prepared_splits(spark, sf_dir)["train"]
-    return training.search_trials(
-        "logistic_regression", train, MODEL_ROLES, n_trials=2, k=2, space=SMALL_SPACE
-    )
+    return training.search_trials("logistic_regression", train, MODEL_ROLES, n_trials=3)
 
 
 @query("feature_importance")
 def _importance(spark, sf_dir) -> DataFrame:
     train = prepared_splits(spark, sf_dir)["train"]
-    model = training.fit_model("random_forest", SMALL["random_forest"], train, MODEL_ROLES)
+    model = training.fit_model("random_forest", SETTINGS["random_forest"], train, MODEL_ROLES)
     return training.feature_importance(model, MODEL_ROLES, spark)
 
 
 @query("score_batch")
 def _score(spark, sf_dir) -> DataFrame:
     parts = prepared_splits(spark, sf_dir)
-    model = training.fit_model("logistic_regression", SMALL["logistic_regression"], parts["train"], MODEL_ROLES)
+    model = training.fit_model("logistic_regression", SETTINGS["logistic_regression"], parts["train"], MODEL_ROLES)
     return training.score_batch(model, parts["test"], MODEL_ROLES).select("row_id", "label", "p", "yhat")
 
 
+@query(
+    "score_batch_checks",
+    f"""WITH {assign_sql('label')}
+SELECT p.label, count(*) AS n, count(*) AS n_probable, count(*) AS n_consistent
+FROM panel p JOIN assign a USING (entity) WHERE a.split = 'test' GROUP BY p.label""",
+)
+def _score_checks(spark, sf_dir) -> DataFrame:
+    """Every test row is scored once, with a probability and the prediction that follows from it."""
+    p = F.col("p")
+    return _score(spark, sf_dir).groupBy("label").agg(
+        F.count("row_id").alias("n"),
+        F.count_if((p >= 0) & (p <= 1)).alias("n_probable"),
+        F.count_if((p > 0.5) == (F.col("yhat") == 1)).alias("n_consistent"),
+    )
+
+
+@query(
+    "logistic_gradient",
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(0 AS DOUBLE) AS gradient FROM (SELECT count(*) FROM events)" for c in MODEL_FEATURES),
+)
+def _gradient(spark, sf_dir) -> DataFrame:
+    """At the fit the weighted loss with its penalty is flat in every coefficient."""
+    train = prepared_splits(spark, sf_dir)["train"]
+    params = SETTINGS["logistic_regression"]
+    model = training.fit_model("logistic_regression", params, train, MODEL_ROLES)
+    weighted, total = counts.with_class_weight(train, "label", "w")
+    scaled = model.stages[0].transform(training.score_batch(model, weighted, MODEL_ROLES))
+    slope = [F.sum(F.col("w") * (F.col("p") - F.col("label")) * F.col(c)) / total for c in MODEL_FEATURES]
+    push = [float(b) / (params["C"] * total) for b in model.stages[-1].coefficients.toArray()]
+    entries = [
+        F.struct(F.lit(c).alias("feature"), F.round(F.abs(s + b), 3).alias("gradient"))
+        for c, s, b in zip(MODEL_FEATURES, slope, push)
+    ]
+    return scaled.agg(F.array(*entries).alias("e")).select(F.inline("e"))
+
+
 @query("final_evaluation")
 def _final(spark, sf_dir) -> DataFrame:
     """Best family by validation F1, scored on test, attached to the raw rows, evaluated."""
     parts = prepared_splits(spark, sf_dir)
-    models, table = training.compare_families(parts["train"], parts["val"], MODEL_ROLES, SMALL)
+    models, table = training.compare_families(parts["train"], parts["val"], MODEL_ROLES, SETTINGS)
     best = training.best_model(table).first()["model"]
     predictions = training.score_batch(models[best], parts["test"], MODEL_ROLES)
     raw = parts["test"].drop("reading", "level")
@@ -120,7 +149,7 @@ def _resampled(spark, sf_dir) -> DataFrame:
     train = pack(parts["train"], MODEL_FEATURES)
     balanced = unpack(smote_enn(train, clean_labels=[0, 1]), MODEL_FEATURES)
     _, metrics = training.train_evaluate(
-        "logistic_regression", SMALL["logistic_regression"], balanced, parts["val"], MODEL_ROLES
+        "logistic_regression", SETTINGS["logistic_regression"], balanced, parts["val"], MODEL_ROLES
     )
     return metrics
 
@@ -128,7 +157,10 @@ def _resampled(spark, sf_dir) -> DataFrame:
 @query("evaluation_report")
 def _report(spark, sf_dir) -> DataFrame:
     df = scored(spark, sf_dir)
-    found = evaluation.evaluation_report(df, ROLES, panel_groups(), ["level", "p"])
+    train = prepared_splits(spark, sf_dir)["train"]
+    model = training.fit_model("logistic_regression", SETTINGS["logistic_regression"], train, MODEL_ROLES)
+    followed = ["reading", "level", "hour_of_day", "code", "p"]
+    found = evaluation.evaluation_report(df, MODEL_ROLES, panel_groups(), followed, model)
     return evaluation.report_table(found)
 
 

@@ -10,7 +10,7 @@ from panelwise.operators import columns as cols
 from panelwise.operators import split, stages, validate
 from panelwise.operators.impute import ChainedImpute
 from panelwise.plans.preprocess import Preparation, preprocess
-from panelwise.sources.panel import check_panel
+from panelwise.sources.panel import check_panel, nan_to_null
 from workload.registry import query, r6
 from workload.views import LINE_FEATURES, LINES_SQL, PANEL_SQL, ROLES, lines, panel, table
 
@@ -35,6 +35,15 @@ def _drop(spark, sf_dir) -> DataFrame:
 
 @query(
     "drop_sparse_columns",
+    f"""WITH {PANEL_SQL} SELECT row_id, entity, hour, label, hour_of_day, day_no, code, kind, p FROM panel""",
+)
+def _drop_by_share(spark, sf_dir) -> DataFrame:
+    """Both measured columns have gaps, in more than a thousandth of the rows."""
+    return cols.drop_sparse_columns(panel(spark, sf_dir), 0.001, keep=["row_id"])
+
+
+@query(
+    "drop_existing_columns",
     f"WITH {PANEL_SQL} SELECT row_id, entity, hour, label, level, hour_of_day, day_no, kind, p FROM panel",
 )
 def _drop_sparse(spark, sf_dir) -> DataFrame:
@@ -232,14 +241,14 @@ def _one_hot(spark, sf_dir) -> DataFrame:
     r"""SELECT source || '/' || lang AS raw,
   regexp_replace(source || '/' || lang || ' <' || quality || '>', '[<>:"/\\|?*]', '_', 'g') AS clean,
   lower(replace('Model ' || source, ' ', '_')) AS slug, count(*) AS n
-FROM documents JOIN (SELECT doc_id, CAST(quality AS VARCHAR) AS quality FROM labels) USING (doc_id)
+FROM (SELECT d.*, coalesce(CAST(l.quality AS VARCHAR), 'none') AS quality FROM documents d LEFT JOIN labels l USING (doc_id))
 GROUP BY 1, 2, 3""",
 )
 def _sanitize(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
-    joined = docs.join(table(spark, sf_dir, "labels"), "doc_id")
+    joined = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     raw = F.concat("source", F.lit("/"), "lang")
-    name = F.concat(raw, F.lit(" <"), F.col("quality").cast("string"), F.lit(">"))
+    name = F.concat(raw, F.lit(" <"), F.coalesce(F.col("quality").cast("string"), F.lit("none")), F.lit(">"))
     return joined.groupBy(
         raw.alias("raw"),
         scalar.sanitize_name(name).alias("clean"),
@@ -290,6 +299,47 @@ def _robust(spark, sf_dir) -> DataFrame:
     return r6(stages.RobustScale(["reading", "level"]).fit(df).transform(df))
 
 
+_NAN = "CASE WHEN row_id % 7 = 0 THEN NULL ELSE {} END"
+
+
+def _with_nan(spark, sf_dir) -> DataFrame:
+    """Two features of which every seventh row is NaN, which counts as missing."""
+    df = panel(spark, sf_dir)
+    gap = F.col("row_id") % 7 == 0
+    return df.select("row_id", *[F.when(gap, F.lit(float("nan"))).otherwise(F.col(c)).alias(c) for c in ("p", "level")])
+
+
+@query(
+    "standard_scale_nan",
+    f"""WITH {PANEL_SQL}, g AS (SELECT row_id, {_NAN.format("p")} AS p, {_NAN.format("level")} AS level FROM panel),
+s AS (SELECT avg(p) AS m1, stddev_pop(p) AS s1, avg(level) AS m2, stddev_pop(level) AS s2 FROM g)
+SELECT row_id, round((p - m1) / s1, 6) AS p, round((level - m2) / s2, 6) AS level FROM g, s""",
+)
+def _standard_nan(spark, sf_dir) -> DataFrame:
+    df = _with_nan(spark, sf_dir)
+    return r6(nan_to_null(stages.StandardScale(["p", "level"]).fit(df).transform(df)))
+
+
+@query(
+    "robust_scale_nan",
+    f"""WITH {PANEL_SQL}, g AS (SELECT row_id, {_NAN.format("p")} AS p, {_NAN.format("level")} AS level FROM panel),
+s AS (SELECT quantile_cont(p, 0.5) AS m1, quantile_cont(p, 0.75) - quantile_cont(p, 0.25) AS s1,
+  quantile_cont(level, 0.5) AS m2, quantile_cont(level, 0.75) - quantile_cont(level, 0.25) AS s2 FROM g)
+SELECT row_id, round((p - m1) / s1, 6) AS p, round((level - m2) / s2, 6) AS level FROM g, s""",
+)
+def _robust_nan(spark, sf_dir) -> DataFrame:
+    df = _with_nan(spark, sf_dir)
+    return r6(nan_to_null(stages.RobustScale(["p", "level"]).fit(df).transform(df)))
+
+
+@query(
+    "value_counts",
+    f"WITH {PANEL_SQL} SELECT kind, count(*) AS n FROM panel WHERE kind IS NOT NULL GROUP BY kind",
+)
+def _value_counts(spark, sf_dir) -> DataFrame:
+    return validate.value_counts(panel(spark, sf_dir), "kind", 50)
+
+
 @query(
     "mean_impute",
     f"""WITH {PANEL_SQL}, s AS (SELECT avg(reading) AS m1, avg(level) AS m2 FROM panel)

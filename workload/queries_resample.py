@@ -27,6 +27,16 @@ def _knn(spark, sf_dir) -> DataFrame:
     return neighbours.neighbour_rows(neighbours.nearest_neighbours(vectors(spark, sf_dir), 5))
 
 
+@query(
+    "knn_cells",
+    f"""WITH {VECTORS_SQL}, {_knn_sql('vectors', 5)}
+SELECT row_id, CAST(rank AS INTEGER) AS rank, neighbour_id, distance FROM knn""",
+)
+def _knn_cells(spark, sf_dir) -> DataFrame:
+    """The same rows by the route of large tables: cells around pivots, cut into chunks."""
+    return neighbours.neighbour_rows(neighbours.nearest_neighbours(vectors(spark, sf_dir), 5, chunk_rows=64))
+
+
 def _draw(purpose: str) -> str:
     return f"CAST('0x' || substr(md5(CAST(j AS VARCHAR) || ':42:{purpose}'), 1, 15) AS BIGINT)"
 
