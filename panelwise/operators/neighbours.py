@@ -19,6 +19,8 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,6 +113,11 @@ def _search(
     if not chunks:
         return small_frame(spark, [], "qid bigint, distance double, id bigint, label int")
     sizes = F.broadcast(small_frame(spark, chunks, "cell int, q_chunks int, b_chunks int"))
+    return _search_chunks(queries, base, k, sizes)
+
+
+def _search_chunks(queries: DataFrame, base: DataFrame, k: int, sizes: DataFrame) -> DataFrame:
+    """The search with the numbers of chunks given as a table: cell, q_chunks, b_chunks."""
 
     def cut(frame: DataFrame, cell: str, key: str, mine: str, other: str, own: str, spread: str):
         return (
@@ -135,19 +142,8 @@ def _keep_best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k).drop("_r")
 
 
-def nearest_neighbours(
-    df: DataFrame,
-    k: int,
-    row_id: str = "row_id",
-    vector: str = "vec",
-    label: str | None = None,
-    chunk_rows: int = 4_096,
-) -> DataFrame:
-    """row_id, neighbours: the k nearest other rows, nearest first.
-
-    ``neighbours`` holds (distance, id, label).  ``row_id`` is an integer key.
-    A row with a missing or non-finite coordinate is an error.
-    """
+def _merged(df: DataFrame, best: int, row_id: str, vector: str, label: str | None) -> tuple[DataFrame, DataFrame]:
+    """Different vectors with their first ``best`` copies, written; and the rows as they are read."""
     values = F.col(vector).cast("array<double>")
     bad = F.exists(values, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     checked = F.when(values.isNull() | bad, F.raise_error(F.lit("missing or non-finite coordinate")))
@@ -156,7 +152,6 @@ def nearest_neighbours(
         checked.otherwise(values).alias("vec"),
         (F.col(label) if label else F.lit(0)).cast("int").alias("label"),
     )
-    best = k + 1  # the row itself is one of the copies of its vector
     copies = Window.partitionBy("vec").orderBy("id")
     members = (
         rows.withColumn("_r", F.row_number().over(copies))
@@ -173,6 +168,24 @@ def nearest_neighbours(
         ),
         "vectors",
     )
+    return groups, rows
+
+
+def nearest_neighbours(
+    df: DataFrame,
+    k: int,
+    row_id: str = "row_id",
+    vector: str = "vec",
+    label: str | None = None,
+    chunk_rows: int = 4_096,
+) -> DataFrame:
+    """row_id, neighbours: the k nearest other rows, nearest first.
+
+    ``neighbours`` holds (distance, id, label).  ``row_id`` is an integer key.
+    A row with a missing or non-finite coordinate is an error.
+    """
+    best = k + 1  # the row itself is one of the copies of its vector
+    groups, rows = _merged(df, best, row_id, vector, label)
     shape = groups.agg(
         F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d"), F.min(F.size("vec")).alias("d0")
     ).first()
@@ -203,10 +216,15 @@ def nearest_neighbours(
         visits = {r["qcell"]: r["count"] for r in probes.groupBy("qcell").count().collect()}
         away = _search(probes, placed, best, chunk_rows, visits, sizes)
         merged = _keep_best(own.unionByName(away), best)
+    return _per_row(merged, groups, rows, shape["n"], k, row_id)
+
+
+def _per_row(merged: DataFrame, groups: DataFrame, rows: DataFrame, n: int, k: int, row_id: str) -> DataFrame:
+    """Candidates of each different vector as the neighbours of every row that has it."""
     lists = merged.groupBy("qid").agg(
         F.sort_array(F.collect_list(F.struct("distance", "id", "label"))).alias("near")
     )
-    if rows.count() == shape["n"]:
+    if rows.count() == n:
         out = lists.withColumnRenamed("qid", "id")
     else:
         owner = rows.select("id", "vec").join(groups.select("vec", "gid"), "vec").select("id", "gid")
@@ -278,3 +296,48 @@ def neighbour_rows(near: DataFrame, row_id: str = "row_id") -> DataFrame:
         F.col("_s.id").alias("neighbour_id"),
         F.col("_s.distance").alias("distance"),
     )
+
+
+def hashed_neighbours(
+    df: DataFrame,
+    k: int,
+    row_id: str = "row_id",
+    vector: str = "vec",
+    label: str | None = None,
+    tables: int = 16,
+    bucket_rows: int = 64,
+    seed: int = 42,
+    chunk_rows: int = 4_096,
+) -> DataFrame:
+    """Like ``nearest_neighbours``, but only among rows that share a hash bucket; for large n.
+
+    Each of ``tables`` tables deals the vectors to buckets by the sides of random
+    hyperplanes through their mean, as many planes as make buckets of about
+    ``bucket_rows``.  Planes are drawn from ``seed``, so buckets do not depend on
+    partitions.  Inside a bucket the ranking is exact; buckets of any size are cut
+    into chunks.  The work grows with n * tables * bucket_rows instead of n * n, and a
+    neighbour is missed if it shares no bucket: measure recall on the data, and use
+    more tables or larger buckets for more.  A row may have fewer than k neighbours.
+    """
+    groups, rows = _merged(df, k + 1, row_id, vector, label)
+    shape = groups.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d"), F.min(F.size("vec")).alias("d0")).first()
+    if not shape["n"]:
+        return nearest_neighbours(df, k, row_id, vector, label)
+    if shape["d"] != shape["d0"]:
+        raise ValueError("vectors differ in length")
+    bits = max(0, round(math.log2(max(shape["n"] / bucket_rows, 1))))
+    center = groups.select(Summarizer.mean(array_to_vector("vec")).alias("m")).first()["m"].toArray()
+    planes = np.random.default_rng(seed).normal(size=(shape["d"], tables * bits))
+    weights = 1 << np.arange(bits, dtype=np.int64)
+
+    @F.pandas_udf("array<bigint>")
+    def buckets(vec: pd.Series) -> pd.Series:
+        sides = ((_matrix(vec) - center) @ planes >= 0).reshape(len(vec), tables, bits)
+        return pd.Series(list((sides * weights).sum(axis=2) * tables + np.arange(tables)))
+
+    placed = materialize(groups.withColumn("cell", F.explode(buckets("vec"))), "buckets")
+    chunks = F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int")
+    sizes = placed.groupBy("cell").agg(chunks.alias("q_chunks"), chunks.alias("b_chunks"))
+    queries = placed.select(F.col("gid").alias("qid"), F.col("vec").alias("qvec"), F.col("cell").alias("qcell"))
+    found = _search_chunks(queries, placed, k + 1, sizes).dropDuplicates(["qid", "id"])
+    return _per_row(_keep_best(found, k + 1), groups, rows, shape["n"], k, row_id)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ def smote_draws(
     row_id: str = "row_id",
     vector: str = "vec",
     label: str = "label",
+    search: Callable[..., DataFrame] = nearest_neighbours,
 ) -> DataFrame:
     """New rows on the segments from a minority row to one of its k minority neighbours.
 
@@ -41,6 +42,8 @@ def smote_draws(
     other class.  Row, neighbour and position come from a digest of the number
     of the new row, so the result is the same under any partitioning.  Columns:
     row_id (after the largest id), label, base_id, neighbour_id, u, vector.
+    ``search`` finds the neighbours; ``hashed_neighbours`` is the one for many
+    minority rows, and a row for which it finds fewer than k draws among those.
     """
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
     n_min = counts.get(minority, 0)
@@ -48,10 +51,14 @@ def smote_draws(
     if n_new > 0 and n_min <= k:
         raise ValueError(f"{n_min} minority rows are too few for {k} neighbours")
     rare = df.filter(F.col(label) == minority).select(row_id, vector)
-    near = nearest_neighbours(rare, k, row_id, vector)
+    near = search(rare, k, row_id, vector)
     based = rare.join(near, row_id).select(
         F.col(row_id).alias("base_id"), F.col(vector).alias("_base"), F.col("neighbours")["id"].alias("_near")
     )
+    # A search may find fewer than k: they are taken in turn, a row without any stays where it is.
+    found = F.when(F.size("_near") > 0, F.col("_near")).otherwise(F.array("base_id"))
+    turns = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get(found, F.pmod(i, F.size(found))))
+    based = based.withColumn("_near", turns)
     ranked = with_position(based, "base_id", name="_rank")
     number = F.col("id")
     draws = df.sparkSession.range(max(n_new, 0)).select(
@@ -93,13 +100,14 @@ def enn_clean(
     row_id: str = "row_id",
     vector: str = "vec",
     label: str = "label",
+    search: Callable[..., DataFrame] = nearest_neighbours,
 ) -> DataFrame:
     """Drop rows of the cleaned classes unless all k neighbours share their label.
 
     The classes to clean are an explicit argument: after balancing, sizes no
     longer tell which class is rare.
     """
-    near = nearest_neighbours(df, k, row_id, vector, label)
+    near = search(df, k, row_id, vector, label)
     agree = near.select(row_id, F.col("neighbours")["label"].alias("_labels"))
     same = F.forall("_labels", lambda x: x == F.col(label))
     keep = ~F.col(label).isin(*clean_labels) | same

@@ -103,3 +103,28 @@ def test_pack_and_unpack(spark):
     packed = resample.pack(df, ["a", "b"])
     assert packed.first()["vec"] == [2.0, 3.0]
     assert resample.unpack(packed, ["a", "b"]).first() == df.first()
+
+
+def test_hashed_search_finds_most_with_less_work(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    centers = rng.normal(size=(150, 16)) * 4
+    x = centers[rng.integers(0, 150, 3000)] + rng.normal(size=(3000, 16)) * 0.3
+    x[::100] = x[0]
+    df = frame(spark, x, [0] * 3000, 5)
+    near = neighbours.hashed_neighbours(df, 5, bucket_rows=30, tables=12)
+    got = {r["row_id"]: [n["id"] for n in r["neighbours"]] for r in near.collect()}
+    want = {i: [j for j, _ in v] for i, v in brute(x, 5).items()}
+    assert got.keys() == want.keys()
+    assert np.mean([len(set(got[i]) & set(want[i])) / 5 for i in want]) > 0.9
+    again = neighbours.hashed_neighbours(df.repartition(3), 5, bucket_rows=30, tables=12, chunk_rows=16)
+    assert {r["row_id"]: [n["id"] for n in r["neighbours"]] for r in again.collect()} == got
+
+
+def test_hashed_search_in_resampling(spark):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(90, 3))
+    labels = [1] * 20 + [0] * 70
+    made = resample.smote_draws(frame(spark, x, labels), search=neighbours.hashed_neighbours)
+    assert made.count() == 50
+    kept = resample.enn_clean(frame(spark, x, labels), [0], search=neighbours.hashed_neighbours)
+    assert kept.filter("label = 1").count() == 20

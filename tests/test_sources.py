@@ -157,3 +157,70 @@ def test_registry_document_with_bare_nan(spark, tmp_path):
     assert best == {"A B": "v2", "C": "v1"}
     last = {r["key"]: r["version"] for r in registry.latest_version(rows).collect()}
     assert last == {"A B": "v3", "C": "v1"}
+
+
+def test_scratch_is_empty_after_it_is_dropped(spark):
+    import os
+
+    from panelwise import session
+
+    kept = session.materialize(spark.range(5).toDF("n"), "some")
+    assert kept.count() == 5 and os.listdir(session._session_folder(spark))
+    session.drop_scratch(spark)
+    assert not os.path.exists(session._session_folder(spark))
+
+
+def test_executors_find_the_package_from_any_folder(tmp_path):
+    """A session started elsewhere, with the package on the driver's path alone."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from panelwise.session import tune
+from panelwise.operators.neighbours import nearest_neighbours
+tune(spark)
+rows = [(i, [float(i), 0.0]) for i in range(9)]
+df = spark.createDataFrame(rows, "row_id long, vec array<double>")
+print("ROWS", nearest_neighbours(df, 2).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "ROWS 9" in done.stdout, done.stderr[-2000:]
+
+
+def test_two_writers_never_share_a_version_number(spark, tmp_path):
+    from panelwise.session import create_file
+
+    path = f"{tmp_path}/claims/model/1"
+    assert create_file(spark, path) and not create_file(spark, path)
+
+
+def test_changed_input_makes_a_new_stage_table(spark, tmp_path):
+    from panelwise.sources.panel import stage_table
+
+    source, root = f"{tmp_path}/in", f"{tmp_path}/out"
+
+    def built():
+        return spark.read.parquet(source)
+
+    spark.range(3).write.parquet(source)
+    assert stage_table(spark, root, "s", {"a": 1}, built, [source]).count() == 3
+    assert stage_table(spark, root, "s", {"a": 1}, built, [source]).count() == 3
+    spark.range(2).write.mode("append").parquet(source)
+    assert stage_table(spark, root, "s", {"a": 1}, built, [source]).count() == 5
+
+
+def test_a_cell_of_the_wrong_type_ends_the_read(spark, tmp_path):
+    from panelwise.roles import ColumnRoles
+    from panelwise.sources.panel import load_panel
+
+    path = tmp_path / "p.csv"
+    path.write_text("row_id,entity,hour,label,a\n1,e,0,0,1.5\n2,e,1,0,bad\n")
+    with pytest.raises(Exception):
+        load_panel(spark, str(path), "row_id long, entity string, hour int, label int, a double", ColumnRoles()).collect()

@@ -37,6 +37,24 @@ def _knn_cells(spark, sf_dir) -> DataFrame:
     return neighbours.neighbour_rows(neighbours.nearest_neighbours(vectors(spark, sf_dir), 5, chunk_rows=64))
 
 
+@query("knn_hashed")
+def _knn_hashed(spark, sf_dir) -> DataFrame:
+    return neighbours.neighbour_rows(neighbours.hashed_neighbours(vectors(spark, sf_dir), 5))
+
+
+@query(
+    "knn_hashed_recall",
+    "SELECT count(*) AS n, true AS enough FROM embeddings",
+)
+def _knn_hashed_recall(spark, sf_dir) -> DataFrame:
+    """Rows searched, and whether nine in ten of the true neighbours are found."""
+    found, true = _knn_hashed(spark, sf_dir), _knn(spark, sf_dir)
+    hits = true.join(found.select("row_id", "neighbour_id", F.lit(1).alias("hit")), ["row_id", "neighbour_id"], "left")
+    return hits.agg(
+        F.countDistinct("row_id").alias("n"), (F.count("hit") >= F.count("row_id") * 0.9).alias("enough")
+    )
+
+
 def _draw(purpose: str) -> str:
     return f"CAST('0x' || substr(md5(CAST(j AS VARCHAR) || ':42:{purpose}'), 1, 15) AS BIGINT)"
 
