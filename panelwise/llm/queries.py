@@ -30,19 +30,45 @@ URL_RULES = [
 ]
 
 
-@query("op3_url_filter")
+#: The given pages hold no redirects or canonical links; those are tested on small tables.
+_OP3_SQL = r"""
+WITH parts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages
+), rules(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+best AS (
+  SELECT page_id, arg_max({'rule': h || p, 'v': v}, length(h || p)) AS b
+  FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id
+)
+SELECT page_id, host, path, b.rule AS rule, coalesce(b.v, 'allow') AS verdict FROM parts LEFT JOIN best USING (page_id)
+"""
+
+
+@query("op3_url_filter", _OP3_SQL)
 def op3(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     rows = url_filter.filter_urls(pages, url_filter.rules_frame(spark, URL_RULES))
     return rows.select("page_id", "host", "path", "rule", "verdict")
 
 
-@query("op9_warc")
+_OP9_SQL = """
+WITH d AS (SELECT page_id, coalesce(url, '') AS url, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT h, max(page_id) AS newest FROM d GROUP BY h)
+SELECT page_id, n::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (1 + ((('0x' || substr(h, (5 * (j // 4) + 1)::INTEGER, 5))::INTEGER >> (15 - 5 * (j % 4))::INTEGER) & 31))::INTEGER, 1)), '') AS payload_digest,
+       CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> newest THEN newest END AS refers_to, url
+FROM d JOIN m USING (h)
+"""
+
+
+@query("op9_warc", _OP9_SQL)
 def op9(spark, sf_dir):
     folder = warc.new_folder(spark)
     archives = warc.write_warc(table(spark, sf_dir, "pages"), folder)
     rows = warc.read_warc(archives, folder, payload=False)
-    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "archive")
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
 @query("op10_html_text")
@@ -59,7 +85,24 @@ def op2(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizers.path(VOCABULARY), tokenizers.PATTERN)
 
 
-@query("op6_substring_dedup")
+_OP6_SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spots AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)
+), firsts AS (SELECT win, min({'d': doc_id, 'i': i}) AS p FROM spots GROUP BY win),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS k FROM spots JOIN firsts USING (win) WHERE p.d <> doc_id OR p.i <> i
+), each AS (SELECT doc_id, generate_subscripts(w, 1) AS k, unnest(w) AS word FROM words),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS text FROM each ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op6_substring_dedup", _OP6_SQL)
 def op6(spark, sf_dir):
     rows = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
