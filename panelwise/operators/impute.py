@@ -5,8 +5,9 @@ values are replaced by the fitted ones.  A linear fit needs only sums of
 products, and an imputed value is a linear function of the observed values of
 its row.  So rows with the same missing pattern can be replaced by one matrix of
 sums of products, and filling a column changes one row and one column of each
-matrix.  The data is read twice, whatever the number of rounds: once for means
-and once for the sums per pattern.
+matrix.  The data is read three times, whatever the number of rounds: for means,
+for the number of patterns and for the sums per pattern.  Where patterns are not far
+fewer than rows, the rows are kept instead and filled anew once per round.
 """
 
 from __future__ import annotations
@@ -208,6 +209,74 @@ class _SharedSums:
         return self.table.select("pattern").mapInPandas(partial, "m double").agg(F.max("m")).first()[0]
 
 
+class _RowSums:
+    """The rows themselves in a table, filled anew once per round; only d x d sums come back.
+
+    For data with nearly as many missing patterns as rows, where matrices per
+    pattern would outgrow the rows.  Fits of the round under way are applied on
+    reading, so no round is replayed twice.
+    """
+
+    def __init__(self, df: DataFrame, names: list[str], means: np.ndarray):
+        self.names, self.fits = names, []
+        values = [null_if_nan(F.col(c).cast("double")).alias(c) for c in names]
+        gone = F.array(*[F.col(c).isNull() for c in names]).alias("_gone")
+        shifted = [F.coalesce(F.col(c) - F.lit(float(m)), F.lit(0.0)).alias(c) for c, m in zip(names, means)]
+        self.table = materialize(df.select(*values).select(*shifted, gone), "rows")
+
+    def _filled(self, pdf: pd.DataFrame, fits) -> tuple[np.ndarray, np.ndarray]:
+        x = np.hstack([np.ones((len(pdf), 1)), pdf[self.names].to_numpy(dtype=float)])
+        gone = np.array(pdf["_gone"].tolist(), dtype=bool).reshape(len(pdf), len(self.names))
+        for place, weights in fits:
+            rows = np.flatnonzero(gone[:, place - 1])
+            x[rows, place] = x[rows] @ weights
+        return x, gone
+
+    def observed(self, place: int) -> np.ndarray:
+        size, fits, fill = len(self.names) + 1, list(self.fits), self._detached()
+
+        def partial(batches):
+            total = np.zeros((size, size))
+            for pdf in batches:
+                x, gone = fill(pdf, fits)
+                seen = x[~gone[:, place - 1]]
+                total += seen.T @ seen
+            yield pd.DataFrame({"s": [total.ravel()]})
+
+        sums = self.table.mapInPandas(partial, "s array<double>")
+        total = sums.agg(vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s")).first()["s"]
+        return np.array(total).reshape(size, size)
+
+    def _detached(self):
+        """The fill of a batch, without the table, for the tasks."""
+        other = object.__new__(_RowSums)
+        other.names = self.names
+        return other._filled
+
+    def fill(self, place: int, weights: np.ndarray) -> None:
+        self.fits.append((place, weights))
+
+    def snapshot(self):
+        return None
+
+    def largest_change(self, before, reach: np.ndarray) -> float:
+        """The largest change of a filled value in this round; the filled rows become the table."""
+        fits, fill, names = list(self.fits), self._detached(), self.names
+
+        def filled(batches):
+            for pdf in batches:
+                x, _ = fill(pdf, fits)
+                out = pd.DataFrame(x[:, 1:], columns=names)
+                out["_gone"] = pdf["_gone"].to_numpy()
+                out["_moved"] = np.abs(x[:, 1:] - pdf[names].to_numpy(dtype=float)).max(axis=1, initial=0.0)
+                yield out
+
+        schema = ", ".join([*(f"`{c}` double" for c in names), "_gone array<boolean>", "_moved double"])
+        done = materialize(self.table.mapInPandas(filled, schema), "rows")
+        self.table, self.fits = done.drop("_moved"), []
+        return float(done.agg(F.max("_moved")).first()[0] or 0.0)
+
+
 class ChainedImputeModel(_Learned):
     """Replays the fitted rounds on any rows; Arrow batches, no shuffle."""
 
@@ -296,12 +365,17 @@ class ChainedImpute(Estimator, _Stage):
 
     def _rounds(self, df, names, means, low, high, order):
         size = len(names) + 1
-        table = materialize(_pattern_sums(df, names, means), "patterns")
-        held = table.count() * (3 * size * size * 8)
+        pattern = F.array(*[null_if_nan(F.col(c).cast("double")).isNull() for c in names])
+        counted = df.select(pattern.cast("string").alias("p")).agg(F.approx_count_distinct("p").alias("p"), F.count(F.lit(1)).alias("n"))
+        found = counted.first()
+        held = found["p"] * (3 * size * size * 8)
         if held <= self.getOrDefault(self.maxDriverBytes):
-            sums = _LocalSums(table.collect(), size)
+            # Counted about; a sixth more is still well within what the driver holds.
+            sums = _LocalSums(_pattern_sums(df, names, means).collect(), size)
+        elif found["p"] * size * 4 <= found["n"]:
+            sums = _SharedSums(materialize(_pattern_sums(df, names, means), "patterns"), size)
         else:
-            sums = _SharedSums(table, size)
+            sums = _RowSums(df, names, means)
         reach = np.concatenate([[1.0], np.maximum(np.abs(low - means), np.abs(high - means))])
         threshold = self.getOrDefault(self.tol) * max(np.abs(low).max(), np.abs(high).max())
         fits, rounds, converged = [], 0, False

@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from panelwise.operators import impute
 from panelwise.operators.impute import ChainedImpute
 
 
@@ -102,3 +103,20 @@ def test_column_without_values_is_refused(spark):
     df = spark.createDataFrame([(1.0, None)], "a double, b double")
     with pytest.raises(ValueError):
         ChainedImpute(["a", "b"]).fit(df)
+
+
+def test_rows_and_patterns_give_the_same(spark, holes, monkeypatch):
+    df = frame(spark, holes)
+    used = []
+    real = impute._RowSums.__init__
+    monkeypatch.setattr(impute._RowSums, "__init__", lambda self, *a: used.append(1) or real(self, *a))
+    model = ChainedImpute(list("abcde"), maxRounds=2, tol=0.0, maxDriverBytes=0).fit(df)
+    assert np.allclose(values(model.transform(df)), chained_on_rows(holes, 2), atol=1e-6)
+    many = df.unionByName(df).unionByName(df).unionByName(df)
+    shared = ChainedImpute(list("abcde"), maxRounds=2, tol=0.0, maxDriverBytes=0).fit(many)
+    assert len(used) <= 2 and shared.rounds == 2 and not shared.converged
+
+
+def test_rounds_end_when_nothing_moves(spark, holes):
+    model = ChainedImpute(list("abcde")).fit(frame(spark, holes))
+    assert model.converged and 1 < model.rounds < 200
