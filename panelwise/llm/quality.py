@@ -25,6 +25,8 @@ from panelwise.llm.common import Words, filled, mixed, pieces
 _U = np.uint64
 #: Documents the scorer is fitted on, about; drawn by a digest of key and text.
 SAMPLE = 6_000
+#: Bytes of text measured at a time; the arrays over them are some fifty times as large.
+PIECE_BYTES = 1 << 20
 #: Weights of the scorer.
 FEATURES = 1 << 16
 #: A labeller is taken to raise a false alarm for this share of the good documents at most.
@@ -173,7 +175,7 @@ class QualityModel:
 
 def _parts(batches: Iterator[pa.RecordBatch], text: str):
     for batch in batches:
-        for part in pieces(batch, text):
+        for part in pieces(batch, text, PIECE_BYTES):
             yield part, *statistics(filled(part.column(text)))
 
 
