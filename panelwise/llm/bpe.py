@@ -30,9 +30,9 @@ from pyspark.sql import types as T
 from panelwise.llm.common import filled, pieces, runs
 
 #: Distinct words that a Python worker keeps encoded; beyond it the rarer half goes.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 #: Bytes of distinct words in one encoding query, tokens in one decoding query.
-ENCODE_BYTES, DECODE_TOKENS = 2_000_000, 1_000_000
+ENCODE_BYTES, DECODE_TOKENS = 1_000_000, 500_000
 #: Longer words may hold long runs of one token, which the second form halves in a step.
 SHORT_BYTES = 48
 
@@ -101,7 +101,7 @@ class Vocabulary:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
-        self.database = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.database = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
         pairs, ranks = [], []
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
