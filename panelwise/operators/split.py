@@ -12,6 +12,9 @@ from panelwise.session import broadcast_if_small
 
 SPLITS = ("train", "val", "test")
 
+# Blocks (class and fold) that become one expression; with more the folds are joined.
+MAX_STARTS = 1_000
+
 
 def entity_stats(df: DataFrame, roles: ColumnRoles) -> DataFrame:
     """Per entity: ever positive, number of time points, number of rows."""
@@ -117,12 +120,28 @@ def stratified_folds(df: DataFrame, roles: ColumnRoles, k: int, name: str = "fol
         ]
         return laid.select("_group", "_first", *sizes)
 
+    # Only the keys are ranked; blocks are contiguous, so their first keys tell a row's fold.
     ranked = with_group_rank(
-        df, roles.label, roles.row_id, name="_rank",
+        df.select(roles.label, roles.row_id), roles.label, roles.row_id, name="_rank",
         stats={"_n": F.count(F.lit(1)), "_lead": F.min(roles.row_id)}, derive=with_bounds,
     )
     fold = sum(((F.col("_rank") >= F.col(b)).cast("int") for b in bounds), F.lit(0))
-    return ranked.withColumn(name, fold).drop("_rank", *bounds)
+    keyed = ranked.select(F.col(roles.label).alias("_label"), F.col(roles.row_id).alias("_id"), fold.alias("_fold"))
+    first = keyed.groupBy("_label", "_fold").agg(F.min("_id").alias("_from"))
+    starts = first.orderBy("_label", "_fold").limit(MAX_STARTS + 1).collect()
+    if len(starts) > MAX_STARTS:
+        placed = keyed.select("_id", F.col("_fold").alias(name))
+        return df.join(placed, F.col(roles.row_id) == F.col("_id")).drop("_id")
+    by_class: dict = {}
+    for r in starts:
+        by_class.setdefault(r["_label"], []).append((r["_fold"], r["_from"]))
+    out = F.lit(None).cast("int")
+    for value, blocks in by_class.items():
+        own = F.lit(blocks[0][0])
+        for number, start in blocks[1:]:
+            own = F.when(F.col(roles.row_id) >= F.lit(start), F.lit(number)).otherwise(own)
+        out = F.when(F.col(roles.label).eqNullSafe(F.lit(value)), own).otherwise(out)
+    return df.withColumn(name, out)
 
 
 def sample_entities(df: DataFrame, roles: ColumnRoles, n: int, seed: int = 42) -> DataFrame:
