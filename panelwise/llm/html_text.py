@@ -8,8 +8,11 @@ nothing where it ends (dive); the text between them is kept.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +25,7 @@ WINDOW = 3
 SURGE = 1 / 3
 
 # Element names of HTML.
-HIDDEN = frozenset("script style noscript template head title textarea select svg math iframe object canvas audio video".split())
+HIDDEN = frozenset("script style noscript template title textarea select svg math iframe object canvas audio video".split())
 BOILERPLATE = frozenset("nav header footer aside form button menu dialog".split())
 CONTAINERS = frozenset("article main".split())
 PARTS = frozenset("body section".split())
@@ -38,41 +41,205 @@ LABELS = frozenset(
     "notices overlay pagination popup promo promoted promotion recommended related replies reply respond share "
     "sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: A compound name is a label if it has labels and such words alone: ad-box is one, with-sidebar and related-work are none.
+FRAMES = frozenset(
+    "area bar block body box button buttons container form group holder icons inner item items link links list outer "
+    "panel section slot unit wrap wrapper".split()
+)
+#: Boilerplate that frameworks also put around a whole page.
+AROUND = frozenset("form dialog".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
+#: End tags that HTML lets a page leave out: the elements that a start tag ends, if they stand right around it.
+_ENDED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}}
+_ENDED |= {"tr": {"td", "th", "tr"}} | {x: {"td", "th", "tr", "tbody", "thead", "tfoot"} for x in ("tbody", "thead", "tfoot")}
+_SPECIAL = BLOCKS | BOILERPLATE | CONTAINERS | PARTS | {"html"}
+#: End tags of other elements do not reach out of these.
+_CELLS = frozenset("td th caption".split())
+_TABLE = frozenset("table tbody thead tfoot tr td th caption body html".split())
+
+
+def _is_label(token: str) -> bool:
+    words = [w.lower() for w in _WORD.findall(token)]
+    words = [w for w in words if len(w) > 1]
+    return any(w in LABELS for w in words) and all(w in LABELS or w in FRAMES for w in words)
 
-def _unwanted(name: str, attributes: str) -> bool:
+
+def _unwanted(name: str, attributes: str) -> str:
+    """Why an element may be left out: "named" by its element or role, "labelled" by a class or id, or not at all."""
     if name in BOILERPLATE:
-        return True
-    if name in CONTAINERS and not attributes:
-        return False
+        return "named"
+    if not attributes:
+        return ""
+    labelled = ""
     for kind, *values in _ATTRIBUTE.findall(attributes):
-        value = "".join(values)
-        if kind.lower() == "role":
+        kind, value = kind.lower(), "".join(values)
+        if kind == "role":
             if value.strip().lower() in ROLES:
-                return True
-        elif name not in UNLABELLED and any(w.lower() in LABELS for w in _WORD.findall(value)):
-            return True
-    return False
+                return "named"
+        elif kind in ("class", "id") and name not in UNLABELLED and any(map(_is_label, value.split())):
+            labelled = "labelled"
+    return labelled
+
+
+@dataclass
+class _Element:
+    name: str
+    why: str
+    around: bool
+    first: int
+    #: Number of the tag that ends it, and whether that is its own end tag.
+    last: int = -1
+    closed: bool = False
+
+
+class _Open:
+    """Elements that are open; every step takes constant time, elements that it closes aside."""
+
+    def __init__(self):
+        self.stack: list[_Element] = []
+        self.at: dict[str, list[int]] = {}
+        self.special: list[int] = []
+        self.cells: list[int] = []
+
+    def push(self, element: _Element) -> None:
+        spot, name = len(self.stack), element.name
+        self.stack.append(element)
+        self.at.setdefault(name, []).append(spot)
+        if name in _SPECIAL:
+            self.special.append(spot)
+        if name in _CELLS:
+            self.cells.append(spot)
+
+    def cut(self, spot: int, tag: int) -> None:
+        """The elements from ``spot`` on end at the tag."""
+        while len(self.stack) > spot:
+            element = self.stack.pop()
+            element.last = tag
+            self.at[element.name].pop()
+            if element.name in _SPECIAL:
+                self.special.pop()
+            if element.name in _CELLS:
+                self.cells.pop()
+
+    def start(self, name: str, tag: int) -> None:
+        """What a start tag ends: an open paragraph before a block, a list item before the next."""
+        if not self.stack:
+            return
+        if name in _SPECIAL and self.special and self.stack[self.special[-1]].name == "p":
+            self.cut(self.special[-1], tag)
+        ended = _ENDED.get(name)
+        while ended and self.special and self.stack[self.special[-1]].name in ended:
+            self.cut(self.special[-1], tag)
+
+    def end(self, name: str, tag: int) -> None:
+        """What an end tag ends; those of inline elements do not reach out of a block."""
+        spots = self.at.get(name)
+        if not spots:
+            return
+        if name not in _SPECIAL and self.special and spots[-1] < self.special[-1]:
+            return
+        if name not in _TABLE and self.cells and spots[-1] < self.cells[-1]:
+            return
+        self.stack[spots[-1]].closed = True
+        self.cut(spots[-1], tag)
+
+
+def _parsed(html: str) -> tuple[list[tuple[str, str, str]], list[_Element]]:
+    """Tags as text before, mark ("/", "-" for a hidden element, or none) and name; and the elements in page order.
+
+    A last tag without a name has the text after all others.  An element that
+    is not closed ends where its parent does.
+    """
+    tags: list[tuple[str, str, str]] = []
+    elements: list[_Element] = []
+    still = _Open()
+    at, before = 0, []
+    while tag := _TOKEN.search(html, at):
+        before.append(html[at : tag.start()])
+        at = tag.end()
+        closing, name, attributes = tag[1], (tag[2] or "").lower(), tag[3] or ""
+        if not name:
+            continue
+        text = "".join(before)
+        before = []
+        number = len(tags)
+        if closing:
+            still.end(name, number)
+        elif name in HIDDEN:
+            if not attributes.endswith("/"):
+                end = _raw_end(html, name, at)
+                at = len(html) if end is None else end
+            closing = "-"
+        elif name not in VOID:
+            still.start(name, number)
+            why = _unwanted(name, attributes)
+            element = _Element(name, why, name in AROUND or (why == "named" and name not in BOILERPLATE), number)
+            elements.append(element)
+            if attributes.endswith("/"):
+                element.last, element.closed = number, True
+            else:
+                still.push(element)
+        tags.append((text, closing, name))
+    rest = html[at:]
+    cut = re.search(r"<[a-zA-Z/!]", rest)
+    before.append(rest[: cut.start()] if cut else rest)
+    still.cut(0, len(tags))
+    tags.append(("".join(before), "", ""))
+    return tags, elements
+
+
+def _left_out(tags: list[tuple[str, str, str]], elements: list[_Element]) -> dict[int, _Element]:
+    """The unwanted elements by the number of their start tag.
+
+    Kept all the same: an element that is or holds the main element; one with most of the page's
+    text if it is labelled, not closed, or has an article in it, other than an article of its own
+    label beside one without; and labelled ones if the page would have no text without them.
+    """
+    unwanted = [e for e in elements if e.why]
+    if not unwanted:
+        return {}
+    size = list(accumulate(len(text.strip()) for text, _, _ in tags))
+    mains = [e.first for e in elements if e.name == "main"]
+    articles = [e.first for e in elements if e.name == "article" and not e.why]
+
+    def holds(spots: list[int], e: _Element) -> bool:
+        return bisect_left(spots, e.first) < bisect_left(spots, e.last)
+
+    free, reach = False, -1
+    for e in elements:
+        if e.why:
+            reach = max(reach, e.last)
+        elif e.name in CONTAINERS and e.first >= reach:
+            free = True
 
+    def shut(chosen: list[_Element]) -> int:
+        """Size of the text in the elements, which may lie in each other."""
+        total, reach = 0, 0
+        for e in chosen:
+            total += max(size[e.last] - size[max(e.first, reach)], 0)
+            reach = max(reach, e.last)
+        return total
 
-def _end_of(html: str, name: str, start: int) -> int | None:
-    """Where the element that opened before ``start`` has closed; None if it never does."""
-    depth = 1
-    for tag in re.compile(rf"<(/?){name}\b[^>]*>", re.IGNORECASE).finditer(html, start):
-        if not tag[1]:
-            depth += 0 if tag[0].endswith("/>") else 1
-        else:
-            depth -= 1
-            if not depth:
-                return tag.end()
-    return None
+    def spared(e: _Element, text: int) -> bool:
+        if e.name == "main" or holds(mains, e):
+            return True
+        if 2 * (size[e.last] - size[e.first]) <= text or (e.name == "article" and free):
+            return False
+        return e.why == "labelled" or e.around or not e.closed or holds(articles, e)
+
+    named = [e for e in unwanted if e.why == "named" and not spared(e, size[-1])]
+    text = size[-1] - shut(named)
+    out = named + [e for e in unwanted if e.why == "labelled" and not spared(e, text)]
+    if shut(sorted(out, key=lambda e: e.first)) >= size[-1]:
+        out = named
+    return {e.first: e for e in out}
 
 
 def lines_of(html: str) -> tuple[list[str], list[int]]:
@@ -99,31 +266,30 @@ def lines_of(html: str) -> tuple[list[str], list[int]]:
         lines.extend([""] * WINDOW)
         inside.extend([-1] * WINDOW)
 
-    at = 0
-    while tag := _TOKEN.search(html, at):
-        text.append(html[at : tag.start()])
-        at = tag.end()
-        closing, name, attributes = tag[1], (tag[2] or "").lower(), tag[3] or ""
-        if not name:
-            continue
-        if not closing and name in HIDDEN:
-            if not attributes.endswith("/"):
-                end = _raw_end(html, name, at)
-                at = len(html) if end is None else end
-            if name in ("head", "title"):
+    tags, elements = _parsed(html)
+    unwanted = _left_out(tags, elements)
+    at, silent = 0, False
+    while at < len(tags):
+        before, mark, name = tags[at]
+        if not silent:
+            text.append(before)
+        silent = False
+        if mark == "-":
+            if name == "title":
                 flush()
-        elif not closing and name not in VOID and _unwanted(name, attributes):
+        elif not mark and at in unwanted:
             flush()
             if not open_containers:
                 gap()
-            end = _end_of(html, name, at)
-            if end is not None:
-                at = end
-            elif name not in ("p", "li"):
-                later = re.compile(r"<(?:article|main)\b", re.IGNORECASE).search(html, at)
-                at = later.start() if later else len(html)
+            element = unwanted[at]
+            if element.last > at:
+                # Its text ends before the tag that ends it; only its own end tag goes with it.
+                at, silent = element.last, True
+                if not element.closed:
+                    continue
+                silent = False
         elif name in CONTAINERS:
-            if closing:
+            if mark:
                 names = [n for n, _ in open_containers]
                 if name in names:
                     flush()
@@ -136,13 +302,11 @@ def lines_of(html: str) -> tuple[list[str], list[int]]:
                 made += 1
         elif name in PARTS:
             flush() if open_containers else gap()
-        elif name in BLOCKS:
+        elif name in BLOCKS or name == "head":
             flush()
         elif name == "br":
             text.append(" ")
-    rest = html[at:]
-    cut = re.search(r"<[a-zA-Z/!]", rest)
-    text.append(rest[: cut.start()] if cut else rest)
+        at += 1
     flush()
     return lines, inside
 

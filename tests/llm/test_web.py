@@ -150,6 +150,41 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "text " * 40 + "end"
+WRAPPED = [
+    f'<div class="content with-sidebar"><p>{LONG}</p></div>',
+    f'<article class="post has-comments"><p>{LONG}</p></article>',
+    f'<div><p>{LONG}</p></div><section id="related-work"><p>{LONG}</p></section><section id="ad-hoc-queries"><p>{LONG}</p></section>',
+    f'<table class="fixed-header"><tr><td>{LONG}</td></tr></table>',
+    f'<div data-id="menu" data-role="navigation" title="x class=ad"><p>{LONG}</p></div>',
+    f'<div class="header"><article><p>{LONG}</p></article></div><div class="ad">buy</div>',
+    f'<div class="notice"><p>{LONG}</p></div><p>x</p>',
+    f'<div id="main"><div class="ad">buy</div><p>{LONG}</p></div>',
+    f'<div><div class="ad">buy</div></div><div><span class="share">never closed</div><p>{LONG}</p>',
+    f'<section><div class="ad">never closed</section><section><p>{LONG}</p></section>',
+    f'<form id="aspnetForm"><div><p>{LONG}</p></div></form>',
+    f'<section id="related">a <p>b</p></section><ul><li class="share">s<li>{LONG}</ul>',
+    f'<html><head><meta charset=x><body><main class="menu"><p>{LONG}</p></main><nav>{LONG * 3}</nav>',
+]
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_layout_names_do_not_take_the_article(page):
+    assert html_text.main_text(page).count(LONG) == page.count(LONG) - 3 * page.count("<nav>")
+    assert not any(x in html_text.main_text(page) for x in ("buy", "never", "s\n"))
+
+
+def test_labels_are_left_out_beside_an_article():
+    page = f'<div><p>{LONG}</p></div><div id="comments"><div class="comment">{LONG[:50]}!</div></div><div class="shareButtons">s</div>'
+    assert html_text.main_text(page) == LONG
+    assert html_text.main_text(f"<b><div class=ad></b>buy</div><p>{LONG}</p>") == LONG
+
+
+def test_work_is_linear_in_the_depth_of_a_page():
+    page = "<b><div class=ad>" + "<span>" * 50_000 + "</b>" * 50_000 + "x</div><p>y</p>"
+    assert html_text.main_text(page) == "y"
+
+
 def test_extract_keeps_rows_and_replaces_text(pages):
     rows = pages([(1, "u", BODY[4][0]), (1, "u", BODY[4][0]), (None, None, None), (2, "v", "<p>" + "w " * 100_000 + "</p>")])
     got = html_text.extract_main_text(rows)
