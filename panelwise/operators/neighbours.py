@@ -298,16 +298,85 @@ def neighbour_rows(near: DataFrame, row_id: str = "row_id") -> DataFrame:
     )
 
 
+def neighbour_recall(found: DataFrame, true: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """(n, recall): rows of ``true``, and the share of its neighbours that ``found`` has; both as of ``neighbour_rows``."""
+    keys = [row_id, "neighbour_id"]
+    hits = true.join(found.select(*keys, F.lit(1).alias("hit")), keys, "left")
+    return hits.agg(F.countDistinct(row_id).alias("n"), (F.count("hit") / F.count(row_id)).alias("recall"))
+
+
+# Vectors whose true neighbours are searched to plan the hashing; the most tables; what one more copy
+# of a vector and one more group of a search cost, in compared pairs.
+PLAN_ROWS, MAX_TABLES, COPY_PAIRS, GROUP_PAIRS = 256, 256, 300, 300_000
+
+
+def _planes(seed: int, d: int, tables: int, bits: int) -> np.ndarray:
+    """Planes table by table; more tables begin with the same ones."""
+    return np.random.default_rng(seed).normal(size=(tables * bits, d)).T
+
+
+def _bucket_numbers(x: np.ndarray, planes: np.ndarray, tables: int, bits: int) -> np.ndarray:
+    """Bucket of each row of ``x``, which is centered, in each table."""
+    sides = (x @ planes >= 0).reshape(len(x), tables, bits)
+    return (sides * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2)
+
+
+def _work(tables: int, size: float, chunk_rows: int) -> float:
+    """Work per vector in buckets of about ``size``, in compared pairs."""
+    chunks = math.ceil(size / chunk_rows)
+    return tables * (size + chunks * COPY_PAIRS + chunks**2 / size * GROUP_PAIRS)
+
+
+def _plan(groups: DataFrame, n: int, d: int, k: int, center: np.ndarray, most_bits: int, least: float, seed: int, chunk_rows: int):
+    """(tables, bits) with the least work whose recall, measured on a sample, is ``least`` with two standard errors to spare.
+
+    The true neighbours of some vectors, a choice by a digest, are searched among
+    all.  No bits are one bucket of everything, so some plan always fits.
+    """
+    if not most_bits or not k:
+        return 1, 0
+    most = max(16, min(PLAN_ROWS, MAX_PIVOT_VALUES // (d * (k + 1))))
+    drawn = groups.orderBy(F.md5(F.col("gid").cast("string").cast("binary")), "gid").limit(most)
+    drawn = materialize(drawn.select(F.col("gid").alias("qid"), F.col("vec").alias("qvec"), F.lit(0).alias("qcell")), "drawn")
+    single = groups.select(
+        "gid", "vec", F.array("gid").alias("member_ids"), F.array(F.lit(0)).alias("member_labels"), F.lit(0).alias("cell")
+    )
+    true = _keep_best(_search(drawn, single, k + 1, chunk_rows, {0: most}, {0: n}), k + 1).filter("qid <> id")
+    pairs = true.join(drawn, "qid").join(groups.select(F.col("gid").alias("id"), "vec"), "id").select("qid", "qvec", "vec")
+    rows = pairs.orderBy("qid").collect()
+    asked, near = (np.array([r[c] for r in rows], dtype=float) - center for c in ("qvec", "vec"))
+    owner = np.unique([r["qid"] for r in rows], return_inverse=True)[1]
+    count = np.bincount(owner)
+    spread = asked[np.flatnonzero(np.diff(owner, prepend=-1))]
+    best = (_work(1, n, chunk_rows), 1, 0)
+    for bits in range(1, most_bits + 1):
+        planes = _planes(seed, d, MAX_TABLES, bits)
+        same = _bucket_numbers(asked, planes, MAX_TABLES, bits) == _bucket_numbers(near, planes, MAX_TABLES, bits)
+        found = np.logical_or.accumulate(same, axis=1)
+        share = np.stack([np.bincount(owner, column) for column in found.T], axis=1) / count[:, None]
+        sure = share.mean(axis=0) - 2 * np.sqrt((share.var(axis=0) + 1 / len(count)) / len(count))
+        enough = np.flatnonzero(sure >= least)
+        if not len(enough):
+            continue
+        tables = int(enough[0]) + 1
+        held = _bucket_numbers(spread, planes, MAX_TABLES, bits)[:, :tables]
+        others = [(np.bincount(np.unique(c, return_inverse=True)[1]) ** 2).sum() - len(c) for c in held.T]
+        size = max(np.mean(others) / max(len(held) * (len(held) - 1), 1), 0.5**bits) * n
+        best = min(best, (_work(tables, max(size, 1.0), chunk_rows), tables, bits))
+    return best[1:]
+
+
 def hashed_neighbours(
     df: DataFrame,
     k: int,
     row_id: str = "row_id",
     vector: str = "vec",
     label: str | None = None,
-    tables: int = 16,
+    tables: int | None = None,
     bucket_rows: int = 64,
     seed: int = 42,
     chunk_rows: int = 4_096,
+    recall: float = 0.9,
 ) -> DataFrame:
     """Like ``nearest_neighbours``, but only among rows that share a hash bucket; for large n.
 
@@ -315,9 +384,12 @@ def hashed_neighbours(
     hyperplanes through their mean, as many planes as make buckets of about
     ``bucket_rows``.  Planes are drawn from ``seed``, so buckets do not depend on
     partitions.  Inside a bucket the ranking is exact; buckets of any size are cut
-    into chunks.  The work grows with n * tables * bucket_rows instead of n * n, and a
-    neighbour is missed if it shares no bucket: measure recall on the data, and use
-    more tables or larger buckets for more.  A row may have fewer than k neighbours.
+    into chunks.  A neighbour is missed if it shares no bucket, and the more often the
+    smaller the buckets are.  Without ``tables``, their number and that of the planes,
+    with ``bucket_rows`` as the smallest bucket, are those of the least work that finds
+    ``recall`` of the true neighbours of a sample, searched among all rows; where hashing
+    saves nothing, all pairs are compared.  With ``tables`` given nothing is measured:
+    see ``neighbour_recall``.  A row may have fewer than k neighbours.
     """
     groups, rows = _merged(df, k + 1, row_id, vector, label)
     shape = groups.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d"), F.min(F.size("vec")).alias("d0")).first()
@@ -327,15 +399,15 @@ def hashed_neighbours(
         raise ValueError("vectors differ in length")
     bits = max(0, round(math.log2(max(shape["n"] / bucket_rows, 1))))
     center = groups.select(Summarizer.mean(array_to_vector("vec")).alias("m")).first()["m"].toArray()
-    planes = np.random.default_rng(seed).normal(size=(shape["d"], tables * bits))
-    weights = 1 << np.arange(bits, dtype=np.int64)
+    if tables is None:
+        tables, bits = _plan(groups, shape["n"], shape["d"], k, center, bits, recall, seed, chunk_rows)
+    planes = _planes(seed, shape["d"], tables, bits)
 
     @F.pandas_udf("array<bigint>")
     def buckets(vec: pd.Series) -> pd.Series:
-        sides = ((_matrix(vec) - center) @ planes >= 0).reshape(len(vec), tables, bits)
-        return pd.Series(list((sides * weights).sum(axis=2) * tables + np.arange(tables)))
+        return pd.Series(list(_bucket_numbers(_matrix(vec) - center, planes, tables, bits) * tables + np.arange(tables)))
 
-    placed = materialize(groups.withColumn("cell", F.explode(buckets("vec"))), "buckets")
+    placed = materialize(groups.withColumn("cells", buckets("vec")), "buckets").withColumn("cell", F.explode("cells")).drop("cells")
     chunks = F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int")
     sizes = placed.groupBy("cell").agg(chunks.alias("q_chunks"), chunks.alias("b_chunks"))
     queries = placed.select(F.col("gid").alias("qid"), F.col("vec").alias("qvec"), F.col("cell").alias("qcell"))

@@ -128,3 +128,19 @@ def test_hashed_search_in_resampling(spark):
     assert made.count() == 50
     kept = resample.enn_clean(frame(spark, x, labels), [0], search=neighbours.hashed_neighbours)
     assert kept.filter("label = 1").count() == 20
+
+
+def test_recall_does_not_fall_as_the_table_grows(spark, monkeypatch):
+    x = np.random.default_rng(14).normal(size=(1000, 32))
+    df = frame(spark, x)
+    true = neighbours.neighbour_rows(neighbours.nearest_neighbours(df, 5))
+    for cost in ("COPY_PAIRS", "GROUP_PAIRS"):  # so that hashing is chosen on few rows
+        monkeypatch.setattr(neighbours, cost, 0, raising=False)
+    plans, plan = [], getattr(neighbours, "_plan", None)
+    monkeypatch.setattr(neighbours, "_plan", lambda *a: plans.append(plan(*a)) or plans[-1], raising=False)
+    near = neighbours.neighbour_rows(neighbours.hashed_neighbours(df, 5, bucket_rows=32))
+    hits = true.join(near, ["row_id", "neighbour_id"]).count()
+    assert hits / true.count() >= 0.9  # 16 tables find less
+    assert plans[0][0] > 1 and plans[0][1] > 0
+    measured = neighbours.neighbour_recall(near, true).first()
+    assert measured["n"] == 1000 and measured["recall"] == hits / true.count()

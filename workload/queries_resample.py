@@ -48,11 +48,14 @@ def _knn_hashed(spark, sf_dir) -> DataFrame:
 )
 def _knn_hashed_recall(spark, sf_dir) -> DataFrame:
     """Rows searched, and whether nine in ten of the true neighbours are found."""
-    found, true = _knn_hashed(spark, sf_dir), _knn(spark, sf_dir)
-    hits = true.join(found.select("row_id", "neighbour_id", F.lit(1).alias("hit")), ["row_id", "neighbour_id"], "left")
-    return hits.agg(
-        F.countDistinct("row_id").alias("n"), (F.count("hit") >= F.count("row_id") * 0.9).alias("enough")
-    )
+    measured = neighbours.neighbour_recall(_knn_hashed(spark, sf_dir), _knn(spark, sf_dir))
+    return measured.select("n", (F.col("recall") >= 0.9).alias("enough"))
+
+
+@query("knn_hashed_recall_share")
+def _knn_hashed_recall_share(spark, sf_dir) -> DataFrame:
+    """Rows searched, and the share of the true neighbours that are found."""
+    return neighbours.neighbour_recall(_knn_hashed(spark, sf_dir), _knn(spark, sf_dir))
 
 
 def _draw(purpose: str) -> str:
