@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from panelwise.llm.common import filled, pieces, runs
 
-#: Distinct words that a Python worker keeps encoded; beyond it the rarer half goes.
+#: Distinct words that a Python worker keeps encoded; beyond it the rarer half goes, but no word of the piece in hand.
 KEPT_WORDS = 400_000
 #: Bytes of distinct words in one encoding query, tokens in one decoding query.
 ENCODE_BYTES, DECODE_TOKENS = 1_000_000, 500_000
@@ -147,10 +147,13 @@ class Vocabulary:
                     out[i] = ids
         return out
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str], needed: list[str]) -> None:
+        """Encodes new words; if the rarer half of the old ones goes, those in ``needed`` stay."""
         if len(self.number) + len(words) > KEPT_WORDS:
             names = list(self.number)
-            kept = np.sort(np.argsort(-self.seen, kind="stable")[: KEPT_WORDS // 2])
+            first = self.seen.copy()
+            first[[self.number[w] for w in needed]] = np.iinfo(np.int64).max
+            kept = np.sort(np.argsort(-first, kind="stable")[: max(KEPT_WORDS // 2, len(needed))])
             ids = [self.tokens[self.begin[i] : self.begin[i] + self.size[i]] for i in kept]
             held, counts = [names[i] for i in kept], self.seen[kept]
             self._forget()
@@ -171,11 +174,10 @@ class Vocabulary:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of all texts in a row, and where each text's begin, one place more than texts."""
         found = [self.pattern.findall(text) for text in texts]
-        new = set(chain.from_iterable(found)) - self.number.keys()
+        words = set(chain.from_iterable(found))
+        new = words - self.number.keys()
         if new:
-            self._learn(sorted(new))
-            if any(map(lambda w: w not in self.number, chain.from_iterable(found))):
-                self._learn(sorted(set(chain.from_iterable(found)) - self.number.keys()))
+            self._learn(sorted(new), list(words - new))
         counts = np.array([len(x) for x in found], np.int64)
         number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(found)), np.int64, counts.sum())
         if len(number):

@@ -48,6 +48,15 @@ def test_forgets_rare_words_and_stays_right(words, judge, monkeypatch):
     words._forget()
 
 
+def test_keeps_the_words_of_a_piece_larger_than_the_cache(words, judge, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 50)
+    words._forget()
+    often = " ".join(f"o{i}" for i in range(24))
+    for text in (often, often, "rare once", often, " ".join(f"n{i}" for i in range(60)) + " rare once", often + " rare", "m " * 9):
+        assert list(words.encode([text])[0]) == judge.encode_ordinary(text)
+    words._forget()
+
+
 def test_round_trip_of_odd_rows(odd, odd_rows, judge):
     got = sorted(map(tuple, bpe.round_trip(odd, PATH, PATTERN).collect()), key=str)
     want = []
