@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from html import unescape
+from html.entities import html5
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwise.llm.common import ascii_lower, fresh, whole
 from panelwise.llm.components import components
@@ -11,7 +17,8 @@ from panelwise.session import materialize, small_frame
 
 #: Scheme, host and path of an address; what follows them is left over.
 _ADDRESS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_TAGS = r"(?is)<(?:link|meta)\b[^>]*>"
+_TAGS = r"(?is)<(?:link|meta|base)\b[^>]*>"
+_BASE = r"(?is)^<base\b.*?\bhref\s*=\s*[\"']?\s*[^\"'\s>]"
 _CANONICAL = r"(?is)\brel\s*=\s*[\"']?\s*canonical\b"
 _REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?\s*refresh\b"
 _HREF = r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)"
@@ -27,35 +34,88 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(whole(url), _ADDRESS, 2)
 
 
+def _without_dots(path: Column) -> Column:
+    """The path with its segments . and .. resolved."""
+    parts = F.slice(F.split(path, "/"), 2, F.size(F.split(path, "/")))
+    last = F.when(path.rlike(r"/\.{1,2}$"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    kept = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(x == ".", acc)
+        .otherwise(F.concat(acc, F.array(x))),
+    )
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), F.concat(F.lit("/"), F.array_join(F.concat(kept, last), "/"))).otherwise(path)
+
+
 def address_of(url: Column) -> Column:
-    """The URL as a node of the link graph: scheme and host lower-cased, no fragment; null if it has no host."""
+    """The URL as a node of the link graph: scheme and host lower-cased, dots resolved, no fragment; null if it has no host."""
     scheme = ascii_lower(F.substring_index(url, "://", 1))
-    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
+    path = path_of(url)
+    query = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*[^?#]*(\?[^#]*)", 1)
+    path = F.when((path == "") & (query == ""), "/").otherwise(_without_dots(path))
     host = host_of(url)
-    return F.when(host != "", F.concat(scheme, F.lit("://"), host, F.when(rest == "", "/").otherwise(rest)))
+    return F.when(host != "", F.concat(scheme, F.lit("://"), host, path, query))
+
+
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*(?:;|(?![A-Za-z0-9=])))")
+_PARTS = re.compile(r"(.*?)://([^/?#]*)([^?#]*)", re.DOTALL)
+
+
+def _decoded(value: str) -> str:
+    """An attribute's value with its character references decoded, by the rules for attributes: &copy=1 is none."""
+    return _REFERENCE.sub(lambda m: unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html5 else m[0], value)
+
+
+def _resolved(target: str, page: str | None) -> str | None:
+    """The target as seen from a page; its dots stay.  None if it is no address of a page."""
+    target = target.strip()
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", target):
+        return target if re.match(r"[A-Za-z][A-Za-z0-9+.-]*://", target) else None
+    parts = _PARTS.match(page or "")
+    if not parts:
+        return None
+    scheme, host, path = parts.groups()
+    if target.startswith("//"):
+        return f"{scheme}:{target}"
+    if target.startswith("/"):
+        return f"{scheme}://{host}{target}"
+    if target.startswith("#"):
+        return page
+    if target.startswith("?"):
+        return f"{scheme}://{host}{path or '/'}{target}"
+    return f"{scheme}://{host}{path.rpartition('/')[0]}/{target}"
+
+
+def _targets(url: pd.Series, base: pd.Series, target: pd.Series) -> pd.Series:
+    out = []
+    for page, first, to in zip(url, base, target):
+        start = _resolved(_decoded(first), page) if first else None
+        out.append(_resolved(_decoded(to), start or page))
+    return pd.Series(out, dtype=object)
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(a, b): addresses joined by a canonical link or a redirect written in the page.
 
-    Targets that begin with / belong to the page's own host; others without ://
-    name no page that could be told apart and are left out.
+    Targets are resolved against the page's first <base href>, or else its own url,
+    and their character references are decoded.
     """
-    tags = F.explode(F.regexp_extract_all(whole(F.col(html)), F.lit(_TAGS), F.lit(0)))
-    found = pages.select(F.col(url).alias("url"), tags.alias("tag")).withColumn(
-        "target",
-        F.when(F.col("tag").rlike(_CANONICAL), F.regexp_extract("tag", _HREF, 1)).when(
-            F.col("tag").rlike(_REFRESH), F.regexp_extract("tag", _TARGET, 1)
-        ),
-    )
-    base = F.concat(F.substring_index("url", "://", 1), F.lit("://"), host_of(F.col("url")))
-    target = F.regexp_replace("target", "&amp;", "&")
-    full = (
-        F.when(target.contains("://"), target)
-        .when(target.startswith("//"), F.concat(F.substring_index("url", "://", 1), F.lit(":"), target))
-        .when(target.startswith("/"), F.concat(base, target))
+    tags = F.regexp_extract_all(whole(F.col(html)), F.lit(_TAGS), F.lit(0))
+    found = (
+        pages.select(F.col(url).alias("url"), tags.alias("tags"))
+        .select(
+            "url",
+            F.regexp_extract(whole(F.get(F.filter("tags", lambda x: x.rlike(_BASE)), F.lit(0))), _HREF, 1).alias("base"),
+            F.explode(F.filter("tags", lambda x: ~x.rlike(r"(?i)^<base\b") & (x.rlike(_CANONICAL) | x.rlike(_REFRESH)))).alias("tag"),
+        )
+        .withColumn(
+            "target",
+            F.when(F.col("tag").rlike(_CANONICAL), F.regexp_extract("tag", _HREF, 1)).otherwise(F.regexp_extract("tag", _TARGET, 1)),
+        )
     )
-    edges = found.filter("target <> ''").select(address_of(F.col("url")).alias("a"), address_of(full).alias("b"))
+    full = found.filter("target <> ''").select("url", F.pandas_udf(_targets, T.StringType())("url", "base", "target").alias("full"))
+    edges = full.select(address_of(F.col("url")).alias("a"), address_of(F.col("full")).alias("b"))
     return edges.filter("a <> b").distinct()
 
 

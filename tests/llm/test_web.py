@@ -66,6 +66,33 @@ def test_blocks_reach_aliases_and_allow_comes_first(spark, pages):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "allow", 7: "block", 8: "allow"}
 
 
+def test_relative_targets_and_character_references(spark, pages):
+    base = '<base target=x><base href="/k/&#x2E;/"><base href="http://c.test/">'
+    cases = [
+        ("http://A.test/d/e.html?q#f", "x.html", "http://a.test/d/x.html"),
+        ("http://a.test/d/e/f", "../x", "http://a.test/d/x"),
+        ("http://a.test/d/e", "../../../x/./y/..", "http://a.test/x/"),
+        ("http://a.test/d/e?q=1", "?id=2", "http://a.test/d/e?id=2"),
+        ("http://a.test", "x", "http://a.test/x"),
+        ("http://a.test?q", "?r", "http://a.test/?r"),
+        ("http://a.test/1", "go?u=http://b.test/", "http://a.test/go?u=http://b.test/"),
+        ("http://a.test/2", "http:&#47;&#x2F;b.test&sol;c?x=1&#38;y=2&amp;copy=3&copy=4", "http://b.test/c?x=1&y=2&copy=3&copy=4"),
+        ("http://a.test/3", "//b.test/c/../d", "http://b.test/d"),
+        ("http://a.test/4", "mailto:x@b.test", None),
+        ("http://a.test/5", "#part", None),
+        ("no address", "x.html", None),
+    ]
+    rows = [(i, url, link(target)) for i, (url, target, _) in enumerate(cases)]
+    rows += [(20, "http://a.test/6", base + link("x")), (21, "http://a.test/g/7", '<meta http-equiv=refresh content="0;URL=x.html">')]
+    got = {(r.a, r.b) for r in url_filter.alias_edges(pages(rows)).collect()}
+    want = {b for *_, b in cases if b} | {"http://a.test/k/x", "http://a.test/g/x.html"}
+    assert {b for _, b in got} == want
+    assert ("http://a.test/d/e.html?q", "http://a.test/d/x.html") in got
+    rows = pages([(1, "http://a.test/d/1", link("../2")), (2, "http://a.test/2", link("http://evil.net/"))])
+    verdicts = url_filter.filter_urls(rows, url_filter.rules_frame(spark, URL_RULES)).select("page_id", "verdict").collect()
+    assert {r.page_id: r.verdict for r in verdicts} == {1: "block", 2: "block"}
+
+
 def test_no_pages(spark, pages):
     assert url_filter.filter_urls(pages([]), url_filter.rules_frame(spark, URL_RULES)).count() == 0
     assert html_text.extract_main_text(pages([])).count() == 0
