@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import bpe, decontam, html_text, line_dedup, minhash, quality, simhash, substring, url_filter, warc
+from panelwise.llm import alignment, bpe, decontam, html_text, line_dedup, minhash, quality, simhash, substring, url_filter, warc
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +190,9 @@ FROM (
 def op1(spark, sf_dir):
     rows = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_tokenizer_alignment")
+def op11(spark, sf_dir):
+    paths = tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model")
+    return alignment.link_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), *paths)
