@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import alignment, bpe, decontam, html_text, line_dedup, minhash, quality, simhash, substring, url_filter, warc
+from panelwise.llm import alignment, bpe, conversation, decontam, html_text, line_dedup, minhash, quality, simhash, substring, url_filter, warc
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,9 @@ def op1(spark, sf_dir):
 def op11(spark, sf_dir):
     paths = tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model")
     return alignment.link_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), *paths)
+
+
+@query("op12_conversation_repair")
+def op12(spark, sf_dir):
+    damaged = conversation.damage(table(spark, sf_dir, "conversations"))
+    return conversation.repair(damaged, dropped="dropped")
