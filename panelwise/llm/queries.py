@@ -8,7 +8,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import alignment, bpe, conversation, decontam, html_text, line_dedup, minhash, quality, simhash, substring, url_filter, warc
+from panelwise.llm import alignment, bpe, conversation, decontam, html_text, language, line_dedup, minhash, quality, simhash, substring, url_filter, warc
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +202,10 @@ def op11(spark, sf_dir):
 def op12(spark, sf_dir):
     damaged = conversation.damage(table(spark, sf_dir, "conversations"))
     return conversation.repair(damaged, dropped="dropped")
+
+
+@query("op13_language_id")
+def op13(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out(F.col("doc_id")))
+    model = language.fit(docs.filter(~F.col("held_out")))
+    return language.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
