@@ -194,7 +194,7 @@ def op1(spark, sf_dir):
 
 @query("op11_tokenizer_alignment")
 def op11(spark, sf_dir):
-    paths = tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model")
+    paths = tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"), tokenizers.PATTERN
     return alignment.link_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), *paths)
 
 

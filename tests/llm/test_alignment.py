@@ -81,12 +81,22 @@ def test_long_chain_of_overlaps():
     assert set(left) == set(right) == {0}
 
 
-def test_hard_texts(spark, both, frame):
+@pytest.mark.parametrize("pattern", [None, tokenizers.PATTERN])
+def test_hard_texts(spark, both, frame, pattern):
     rows = list(enumerate(HARD))
-    got = sorted(map(tuple, alignment.link_counts(frame(rows), BYTE, PIECE).collect()), key=str)
+    got = sorted(map(tuple, alignment.link_counts(frame(rows), BYTE, PIECE, pattern).collect()), key=str)
     assert got == brute(both, rows)
 
 
+def test_ranks_give_the_ids_of_the_file(spark, both):
+    ranked = alignment.tokenizers_of(BYTE, PIECE, tokenizers.PATTERN)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect() if r.text]
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz  ABC019.,é日\u0301\n' \x85"
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(2000)]
+    assert ranked.encode(texts) == both.encode(texts)
+
+
 def test_odd_rows_and_blocks(both, odd, odd_rows, empty, monkeypatch, many_partitions):
     monkeypatch.setattr(alignment, "LIST_PAIRS", 7)
     rows = odd_rows + list(enumerate(HARD, 20)) + [(50, HARD[0])] * 5
