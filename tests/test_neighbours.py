@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelwise.operators import neighbours, resample
+from panelwise.operators import inverted, neighbours, resample
 
 
 def frame(spark, x, labels=None, parts=3):
@@ -144,3 +144,35 @@ def test_recall_does_not_fall_as_the_table_grows(spark, monkeypatch):
     assert plans[0][0] > 1 and plans[0][1] > 0
     measured = neighbours.neighbour_recall(near, true).first()
     assert measured["n"] == 1000 and measured["recall"] == hits / true.count()
+
+
+def inverted_found(df, k, **options):
+    rows = inverted.inverted_neighbours(df, k, **options).collect()
+    return {r["row_id"]: [(n["id"], n["distance"]) for n in r["neighbours"]] for r in rows}
+
+
+def test_inverted_file_with_all_cells_is_exact(spark):
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(6, 3)) * 10
+    x = centers[rng.integers(0, 6, 240)] + rng.normal(size=(240, 3))
+    x[10:60] = x[10]
+    assert inverted_found(frame(spark, x), 4, recall=1.0, group_rows=30, chunk_rows=25) == brute(x, 4)
+    assert inverted_found(frame(spark, x + 1e4), 4, recall=1.0, cells=5) == brute(x + 1e4, 4)
+    grid = np.array([(i, j) for i in range(9) for j in range(9)], dtype=float)
+    assert inverted_found(frame(spark, grid), 3, recall=1.0, group_rows=10) == brute(grid, 3)
+
+
+def test_inverted_file_finds_nine_in_ten(spark):
+    rng = np.random.default_rng(7)
+    centers = rng.normal(size=(40, 16)) * 3
+    x = centers[rng.integers(0, 40, 3000)] + rng.normal(size=(3000, 16))
+    got, want = inverted_found(frame(spark, x), 5, group_rows=400), brute(x, 5)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 5 * len(x)
+
+
+def test_inverted_file_of_odd_tables(spark):
+    assert inverted_found(frame(spark, np.zeros((0, 2))), 3) == {}
+    same = np.ones((30, 2))
+    assert inverted_found(frame(spark, same), 3) == brute(same, 3)
+    assert inverted_found(frame(spark, np.array([[1.0], [2.0]])), 5) == brute(np.array([[1.0], [2.0]]), 5)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.operators import neighbours, resample
+from panelwise.operators import inverted, neighbours, resample
 from workload.registry import query, r6
 from workload.views import VECTORS_SQL, vectors
 
@@ -58,6 +58,28 @@ def _knn_hashed_recall_share(spark, sf_dir) -> DataFrame:
     return neighbours.neighbour_recall(_knn_hashed(spark, sf_dir), _knn(spark, sf_dir))
 
 
+@query("knn_inverted")
+def _knn_inverted(spark, sf_dir) -> DataFrame:
+    return neighbours.neighbour_rows(inverted.inverted_neighbours(vectors(spark, sf_dir), 5))
+
+
+@query(
+    "knn_inverted_all",
+    f"""WITH {VECTORS_SQL}, {_knn_sql('vectors', 5)}
+SELECT row_id, CAST(rank AS INTEGER) AS rank, neighbour_id, distance FROM knn""",
+)
+def _knn_inverted_all(spark, sf_dir) -> DataFrame:
+    """All cells probed, in several groups: the exact neighbours."""
+    near = inverted.inverted_neighbours(vectors(spark, sf_dir), 5, recall=1.0, group_rows=100, chunk_rows=300)
+    return neighbours.neighbour_rows(near)
+
+
+@query("knn_inverted_recall")
+def _knn_inverted_recall(spark, sf_dir) -> DataFrame:
+    """Rows searched, and the share of the true neighbours that are found."""
+    return neighbours.neighbour_recall(_knn_inverted(spark, sf_dir), _knn(spark, sf_dir))
+
+
 def _draw(purpose: str) -> str:
     return f"CAST('0x' || substr(md5(CAST(j AS VARCHAR) || ':42:{purpose}'), 1, 15) AS BIGINT)"
 
