@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.operators import inverted, neighbours, resample
+from panelwise.operators import edited, inverted, neighbours, resample
 from workload.registry import query, r6
 from workload.views import VECTORS_SQL, vectors
 
@@ -138,3 +138,15 @@ SELECT row_id, label, synthetic FROM grown WHERE row_id NOT IN (SELECT row_id FR
 def _smote_enn(spark, sf_dir) -> DataFrame:
     out = resample.smote_enn(vectors(spark, sf_dir), clean_labels=[0, 1])
     return out.select("row_id", "label", "synthetic")
+
+
+@query(
+    "enn_two_radii",
+    f"""WITH {VECTORS_SQL}, {_knn_sql('vectors', 5)},
+bad AS (SELECT k.row_id FROM knn k JOIN vectors v USING (row_id) WHERE k.nl <> v.label)
+SELECT row_id, label FROM vectors WHERE row_id NOT IN (SELECT row_id FROM bad)""",
+)
+def _enn_two_radii(spark, sf_dir) -> DataFrame:
+    """Both classes cleaned through many cells, by the two-radius join."""
+    rows = edited.clean_by_two_radii(vectors(spark, sf_dir), clean_labels=[0, 1], chunk_rows=64)
+    return rows.select("row_id", "label")
