@@ -37,6 +37,7 @@ from panelwise.session import materialize, small_frame
 FIT_ROWS, MAX_CELLS, FIT_ROUNDS = 32_768, 4_096, 12
 #: Vectors asked to choose the number of probes.
 ASKED_ROWS = 400
+_PAIRS_AT_ONCE = 20_000
 
 
 def _digest_order() -> list:
@@ -121,7 +122,7 @@ def inverted_neighbours(
     recall: float = 0.9,
     cells: int | None = None,
     group_rows: int = 16_384,
-    chunk_rows: int = 16_384,
+    chunk_rows: int = 8_192,
     seed: int = 42,
 ) -> DataFrame:
     """Like ``nearest_neighbours``, among the members of the cells each vector probes; for large n.
@@ -251,13 +252,19 @@ def _best_of_group(best: int, centers: np.ndarray, inner: np.ndarray, outer: np.
                 touched = np.unique(near_q)
                 held[some[touched]] = np.sort(np.partition(both[touched], best - 1, axis=1)[:, :best], axis=1)
         q, b = np.concatenate(pairs_q or [np.zeros(0, np.int64)]), np.concatenate(pairs_b or [np.zeros(0, np.int64)])
-        square = square_q[q] + square_b[b] - 2 * (small_q[q] * small_b[b]).sum(1)
-        keep = square <= held[q, -1] + 2 * slack[q]
-        q, b = q[keep], b[keep]
-        exact = np.empty(len(q))
-        for start in range(0, len(q), 100_000):
-            part = slice(start, start + 100_000)
-            exact[part] = np.sqrt(((query[q[part]] - base[b[part]]) ** 2).sum(1))
+        kept_q, kept_b, exact = [], [], []
+        for start in range(0, len(q), _PAIRS_AT_ONCE):
+            some_q, some_b = q[start : start + _PAIRS_AT_ONCE], b[start : start + _PAIRS_AT_ONCE]
+            square = square_q[some_q] + square_b[some_b] - 2 * np.einsum("ij,ij->i", small_q[some_q], small_b[some_b])
+            close = square <= held[some_q, -1] + 2 * slack[some_q]
+            some_q, some_b = some_q[close], some_b[close]
+            gap = query[some_q] - base[some_b]
+            kept_q.append(some_q)
+            kept_b.append(some_b)
+            exact.append(np.sqrt(np.einsum("ij,ij->i", gap, gap)))
+        if not kept_q:
+            return pd.DataFrame({c: [] for c in columns})
+        q, b, exact = np.concatenate(kept_q), np.concatenate(kept_b), np.concatenate(exact)
         exact = np.round(exact, DECIMALS)
         ids = right["gid"].to_numpy()
         order = np.lexsort((ids[b], exact, q))
