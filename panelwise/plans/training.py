@@ -22,6 +22,7 @@ from panelwise.operators.counts import classification_metrics, cv_summary, with_
 from panelwise.operators.curves import areas
 from panelwise.operators.split import stratified_folds
 from panelwise.operators.stages import StandardScale
+from panelwise.plans.histogram_trees import fit_boosting, fit_forest
 from panelwise.roles import ColumnRoles
 from panelwise.session import materialize, path_exists, small_frame
 
@@ -40,6 +41,7 @@ SEARCH_SPACES: dict[str, dict[str, tuple]] = {
     "random_forest": {
         "n_estimators": ("int", 190, 210),
         "max_depth": ("int", 5, MAX_DEPTH),
+        "min_samples_split": ("int", 2, 8),
         "min_samples_leaf": ("int", 1, 5),
         "max_features": ("choice", ("sqrt", "log2", None)),
     },
@@ -57,23 +59,34 @@ SEARCH_SPACES: dict[str, dict[str, tuple]] = {
         "subsample": ("float", 0.5, 1.0),
         "colsample_bytree": ("float", 0.5, 1.0),
         "gamma": ("float", 0.0, 5.0),
+        "reg_alpha": ("float", 0.0, 1.0),
+        "reg_lambda": ("float", 0.0, 1.0),
     },
 }
 # Parameters that only apply when another one has a certain value.
 _CONDITIONAL = {"l1_ratio": ("penalty", "elasticnet")}
 
 
-# Parameters without a counterpart in MLlib.
-UNSUPPORTED = frozenset(("min_samples_split", "reg_alpha", "reg_lambda"))
+# Parameters without a counterpart in MLlib, by the family whose histogram trees have them.
+HISTOGRAM_PARAMS = {
+    "random_forest": frozenset(("min_samples_split",)),
+    "gradient_boosting": frozenset(("reg_alpha", "reg_lambda", "min_child_weight")),
+}
+
+
+def uses_histograms(family: str, params: Mapping[str, Any]) -> bool:
+    """Whether the parameters ask for trees that MLlib does not have."""
+    return bool(HISTOGRAM_PARAMS.get(family, frozenset()) & params.keys())
 
 
-def check_params(params: Mapping[str, Any]) -> None:
+def check_params(params: Mapping[str, Any], family: str | None = None) -> None:
     """Refuse parameters that could not take effect as given."""
-    unknown = sorted(UNSUPPORTED & params.keys())
+    special = frozenset().union(*HISTOGRAM_PARAMS.values())
+    unknown = sorted((special - HISTOGRAM_PARAMS.get(family, frozenset())) & params.keys())
     if unknown:
         raise ValueError(f"parameters without effect: {unknown}")
     depth = params.get("max_depth")
-    if depth is not None and int(depth) > MAX_DEPTH:
+    if depth is not None and int(depth) > MAX_DEPTH and not uses_histograms(family, params):
         raise ValueError(f"max_depth {depth} is above {MAX_DEPTH}")
 
 
@@ -127,8 +140,18 @@ BALANCED = ("random_forest", "logistic_regression")
 def fit_model(
     family: str, params: Mapping[str, Any], train: DataFrame, roles: ColumnRoles
 ) -> PipelineModel:
-    """Scale, assemble, fit.  The features are those named in ``roles``."""
-    check_params(params)
+    """Scale, assemble, fit.  The features are those named in ``roles``.
+
+    Trees with parameters that MLlib lacks are grown from histograms; they do not
+    depend on the scale of a feature.
+    """
+    check_params(params, family)
+    key = roles.row_id if roles.row_id in train.columns else None
+    if uses_histograms(family, params) and family == "random_forest":
+        train, _ = with_class_weight(train, roles.label, _WEIGHT)
+        return PipelineModel([fit_forest(params, train, roles.features, roles.label, _WEIGHT, key, SEED)])
+    if uses_histograms(family, params):
+        return PipelineModel([fit_boosting(params, train, roles.features, roles.label, key, SEED)])
     if family in BALANCED:
         train, weight_sum = with_class_weight(train, roles.label, _WEIGHT)
     else:

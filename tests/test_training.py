@@ -90,7 +90,7 @@ def test_gamma_is_a_gain_of_all_rows(spark):
     assert model.stages[-1].totalNumNodes > 2
 
 
-@pytest.mark.parametrize("params", [{"max_depth": 31}, {"min_samples_split": 2}, {"reg_alpha": 0.0}, {"reg_lambda": 1.0}])
+@pytest.mark.parametrize("params", [{"max_depth": 31}, {"reg_alpha": 0.0}, {"reg_lambda": 1.0}])
 def test_parameters_without_effect_are_refused(rows, params):
     with pytest.raises(ValueError):
         training.fit_model("random_forest", params, rows, ROLES)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwise.operators import counts, split, stages, temporal
 from panelwise.operators.resample import pack, smote_enn, unpack
-from panelwise.plans import evaluation, training
+from panelwise.plans import evaluation, histogram_trees, training
 from panelwise.session import materialize
 from panelwise.sources import registry as versions
 from panelwise.sources import trial_log
@@ -314,3 +314,77 @@ def _versions(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("v"), (seq + 1).cast("string")).alias("version"),
         F.create_map(F.lit("accuracy"), "accuracy").alias("metrics"),
     )
+
+
+BOOST_FEATURES = ("level", "hour_of_day", "code")
+BOOST = {"n_estimators": 1, "max_depth": 2, "learning_rate": 0.3, "reg_alpha": 0.5, "reg_lambda": 0.7, "gamma": 0.1}
+
+
+def _shrunk(g: str, h: str) -> str:
+    return f"pow(greatest(abs({g}) - {BOOST['reg_alpha']}, 0), 2) / ({h} + {BOOST['reg_lambda']})"
+
+
+def _level_sql(number: int) -> str:
+    """Sums, options and best split of the nodes of a level, and the rows of the next."""
+    at, to = f"l{number}", f"l{number + 1}"
+    cells = " UNION ALL ".join(
+        f"SELECT node, {j} AS feature, {c} AS x, sum(g) AS g, sum(h) AS h FROM {at} GROUP BY node, {c}" for j, c in enumerate(BOOST_FEATURES)
+    )
+    x = f"CASE s.feature {' '.join(f'WHEN {j} THEN r.{c}' for j, c in enumerate(BOOST_FEATURES))} END"
+    return f"""
+c{number} AS ({cells}),
+t{number} AS (SELECT node, sum(g) AS tg, sum(h) AS th FROM {at} GROUP BY node),
+u{number} AS (SELECT *, sum(g) FILTER (x IS NOT NULL) OVER w AS lg, sum(h) FILTER (x IS NOT NULL) OVER w AS lh,
+  coalesce(sum(g) FILTER (x IS NULL) OVER p, 0) AS mg, coalesce(sum(h) FILTER (x IS NULL) OVER p, 0) AS mh FROM c{number}
+  WINDOW p AS (PARTITION BY node, feature), w AS (PARTITION BY node, feature ORDER BY x NULLS LAST ROWS UNBOUNDED PRECEDING)),
+o{number} AS (SELECT node, feature, x, miss, tg, th, lg + CASE WHEN miss THEN mg ELSE 0 END AS lg, lh + CASE WHEN miss THEN mh ELSE 0 END AS lh
+  FROM u{number} JOIN t{number} USING (node), (VALUES (false), (true)) v(miss) WHERE x IS NOT NULL),
+q{number} AS (SELECT *, round({_shrunk('lg', 'lh')} + {_shrunk('(tg - lg)', '(th - lh)')} - {_shrunk('tg', 'th')}, 9) AS gain
+  FROM o{number} WHERE lh >= 1 AND th - lh >= 1),
+s{number} AS (SELECT * FROM q{number} WHERE gain >= {BOOST['gamma']} AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, x, miss) = 1),
+{to} AS (SELECT r.* EXCLUDE (node), 2 * r.node + CASE WHEN coalesce({x} <= s.x, s.miss) THEN 1 ELSE 2 END AS node
+  FROM {at} r JOIN s{number} s USING (node))"""
+
+
+_TREE_NODES = ", ".join(
+    f"n{i} AS (SELECT t.node, s.feature, s.x, s.gain, tg, th FROM t{i} t LEFT JOIN (SELECT node, feature, x, gain FROM s{i}) s USING (node))"
+    for i in (0, 1)
+)
+
+
+@query(
+    "boosted_first_tree",
+    f"""WITH {PANEL_SQL}, l0 AS (SELECT level, hour_of_day, code, 0.5 - label AS g, 0.25 AS h, 0 AS node FROM panel),
+{_level_sql(0)}, {_level_sql(1)}, {_TREE_NODES},
+n2 AS (SELECT node, NULL::INTEGER AS feature, NULL::DOUBLE AS x, NULL::DOUBLE AS gain, sum(g) AS tg, sum(h) AS th FROM l2 GROUP BY node),
+nodes AS (SELECT * FROM n0 UNION ALL SELECT * FROM n1 UNION ALL SELECT * FROM n2)
+SELECT CASE feature {' '.join(f"WHEN {j} THEN '{c}'" for j, c in enumerate(BOOST_FEATURES))} END AS feature, CAST(x AS DOUBLE) AS threshold,
+  round(CAST(gain AS DOUBLE), 4) AS gain, round(CAST(tg AS DOUBLE), 4) AS gradient, round(CAST(th AS DOUBLE), 4) AS curvature,
+  round(CAST(-{BOOST['learning_rate']} * sign(tg) * greatest(abs(tg) - {BOOST['reg_alpha']}, 0) / (th + {BOOST['reg_lambda']}) AS DOUBLE), 6) AS value
+FROM nodes""",
+)
+def _first_tree(spark, sf_dir) -> DataFrame:
+    """Every node of the first tree boosted with penalties on its leaves."""
+    df = panel(spark, sf_dir).select("row_id", "label", *BOOST_FEATURES)
+    nodes = histogram_trees.fit_boosting(BOOST, df, BOOST_FEATURES, "label", "row_id", max_bins=4_096).nodes(spark)
+    columns = [F.round(c, 4).alias(c) for c in ("gain", "gradient", "curvature")]
+    return nodes.select("feature", "threshold", *columns, F.round("value", 6).alias("value"))
+
+
+@query("train_penalised_boosting")
+def _penalised(spark, sf_dir) -> DataFrame:
+    """Boosting with penalties on leaves and gains, evaluated on the validation rows."""
+    parts = prepared_splits(spark, sf_dir)
+    params = BOOST | {"n_estimators": 20, "max_depth": 3, "subsample": 0.8, "colsample_bytree": 0.8}
+    _, metrics = training.train_evaluate("gradient_boosting", params, parts["train"], parts["val"], MODEL_ROLES)
+    return metrics
+
+
+@query("train_split_forest")
+def _split_forest(spark, sf_dir) -> DataFrame:
+    """A forest whose nodes need a number of rows to be split, evaluated on the validation rows."""
+    parts = prepared_splits(spark, sf_dir)
+    params = {"n_estimators": 30, "max_depth": 6, "min_samples_split": 8, "min_samples_leaf": 2, "max_features": "sqrt"}
+    _, metrics = training.train_evaluate("random_forest", params, parts["train"], parts["val"], MODEL_ROLES)
+    return metrics
