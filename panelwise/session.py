@@ -77,18 +77,19 @@ def scratch_root(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written table."""
     spark = df.sparkSession
-    path = f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _session_folder(spark: SparkSession) -> str:
+def session_folder(spark: SparkSession) -> str:
+    """Where this session's intermediate tables are, until ``drop_scratch``."""
     return f"{scratch_root(spark)}/panelwise-{spark.sparkContext.applicationId}"
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Remove the intermediate tables of this session; frames read from them end."""
-    remove_path(spark, _session_folder(spark))
+    remove_path(spark, session_folder(spark))
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:

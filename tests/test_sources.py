@@ -165,9 +165,9 @@ def test_scratch_is_empty_after_it_is_dropped(spark):
     from panelwise import session
 
     kept = session.materialize(spark.range(5).toDF("n"), "some")
-    assert kept.count() == 5 and os.listdir(session._session_folder(spark))
+    assert kept.count() == 5 and os.listdir(session.session_folder(spark))
     session.drop_scratch(spark)
-    assert not os.path.exists(session._session_folder(spark))
+    assert not os.path.exists(session.session_folder(spark))
 
 
 def test_executors_find_the_package_from_any_folder(tmp_path):
