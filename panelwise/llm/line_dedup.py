@@ -85,7 +85,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame, key: str, text: str, near_cha
     own = F.array(F.struct(itself.alias("v"), F.lit(-1).alias("place")))
     keys = chars.select(*who, F.inline(F.when(F.col("j") == 0, F.concat(entries, own)).otherwise(entries)))
 
-    me = F.struct("o", "tag", "at", "h1", "h2")
+    me = F.struct("o", "tag", "at", "h1", "h2", "place")
     same_place, same_digest = Window.partitionBy("v", "place"), Window.partitionBy("v")
     groups = keys.repartition("v").select(
         "h1", "h2", me.alias("me"),
@@ -93,14 +93,23 @@ def near_lines(docs: DataFrame, firsts: DataFrame, key: str, text: str, near_cha
         F.when(F.col("place") >= 0, F.min(F.when(F.col("place") < 0, me)).over(same_digest))
         .otherwise(F.min(F.when(F.col("place") >= 0, me)).over(same_digest)).alias("longer"),
     )
-    pairs = groups.select("h1", "h2", "me", F.explode(F.array("changed", "longer")).alias("other")).filter(
-        "other IS NOT NULL AND other < me"
-    )
-    pairs = pairs.select("h1", "h2", F.col("other.h1").alias("e1"), F.col("other.h2").alias("e2")).distinct()
+    pairs = groups.select("h1", "h2", "me", F.explode(F.array("changed", "longer")).alias("other"))
+    order = [F.struct(*[F.col(f"{side}.{c}") for c in ("o", "tag", "at", "h1", "h2")]) for side in ("other", "me")]
+    pairs = pairs.filter(F.col("other").isNotNull() & (order[0] < order[1]))
+    # Equal digests of one pair differ in the place of a run of equal characters only, so one of them is enough.
+    places = F.min(F.struct(F.col("me.place").alias("mine"), F.col("other.place").alias("theirs"))).alias("place")
+    pairs = pairs.groupBy("h1", "h2", F.col("other.h1").alias("e1"), F.col("other.h2").alias("e2")).agg(places)
     mine = found.select("h1", "h2", F.col("line").alias("mine"))
     theirs = found.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("line").alias("theirs"))
-    checked = pairs.join(mine, ["h1", "h2"]).join(theirs, ["e1", "e2"]).filter(F.levenshtein("mine", "theirs", 1) >= 0)
-    return checked.select("h1", "h2").distinct()
+    checked = pairs.join(mine, ["h1", "h2"]).join(theirs, ["e1", "e2"])
+    one_edit = _without(F.col("mine"), F.col("place.mine")) == _without(F.col("theirs"), F.col("place.theirs"))
+    return checked.filter(one_edit).select("h1", "h2").distinct()
+
+
+def _without(line: Column, place: Column) -> Column:
+    """The line without the character at a place, counted from 0; the whole line if the place is below 0."""
+    rest = F.concat(F.left(line, place), F.substring(line, place + 2, F.char_length(line)))
+    return F.when(place < 0, line).otherwise(rest)
 
 
 def remove_repeated_lines(

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from panelwise.llm.common import Words, filled, mixed, pieces
 
 _U = np.uint64
-#: Documents the scorer is fitted on, about; drawn by a digest of key and text.
-SAMPLE = 6_000
+#: Different documents the scorer is fitted on, about, drawn by a digest of key and text; and the most features that one
+#: of them may have, which bounds what the driver holds.
+SAMPLE, MOST_FEATURES = 6_000, 4_096
 #: Bytes of text measured at a time; the arrays over them are some fifty times as large.
 PIECE_BYTES = 1 << 20
 #: Weights of the scorer.
@@ -182,9 +183,10 @@ def _parts(batches: Iterator[pa.RecordBatch], text: str):
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> QualityModel:
     """Label model from the alarms of all documents, scorer from about ``sample`` of them.
 
-    The sample is drawn by a digest of key and text, so it is the same for any
-    partitioning; the driver gets its features, some kB per document, and one count
-    per alarm pattern.  Without documents the scorer finds everything good.
+    The sample is drawn by a digest of key and text among different rows, so it is the
+    same for any partitioning and a row that is there many times counts once; rows with
+    more than ``MOST_FEATURES`` features are not in it.  The driver gets the features of the
+    sample and one count per alarm pattern.  Without documents the scorer finds everything good.
     """
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
 
@@ -202,8 +204,10 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
         return QualityModel(LabelModel(0.5, flat, flat), np.append(np.zeros(FEATURES), -1.0))
     labels = fit_label_model(pattern, count)
 
-    share = min(1.0, sample / count.sum())
-    digest = F.pmod(F.xxhash64("key", "text", F.lit("sample")), F.lit(1 << 30))
+    marked = rows.withColumn("digest", F.xxhash64("key", "text", F.lit("sample")))
+    different = marked.agg(F.approx_count_distinct("digest", 0.02)).first()[0]
+    share = min(1.0, sample / max(different, 1))
+    digest = F.pmod("digest", F.lit(1 << 30))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, stats, words, hashes in _parts(batches, "text"):
@@ -211,7 +215,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
             cell, inverse = np.unique(number * FEATURES + spot, return_inverse=True)
             summed = np.bincount(inverse, value, len(cell)).astype(np.float32)
             cuts = np.searchsorted(cell, np.arange(len(stats["words"]) + 1) * FEATURES).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
+            batch = pa.RecordBatch.from_arrays(
                 [
                     pa.array(labels.posterior(alarms(stats))),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array((cell % FEATURES).astype(np.int32))),
@@ -219,8 +223,10 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
                 ],
                 names=["bad", "spot", "value"],
             )
+            yield batch.filter(pa.array(np.diff(cuts) <= MOST_FEATURES))
 
-    drawn = rows.filter(digest < F.lit(int(share * (1 << 30)))).mapInArrow(learn, "bad double, spot array<int>, value array<float>")
+    few = marked.filter(digest < F.lit(int(share * (1 << 30)))).dropDuplicates(["digest"])
+    drawn = few.select("key", "text").mapInArrow(learn, "bad double, spot array<int>, value array<float>")
     found = drawn.toArrow().sort_by("bad").combine_chunks()
     if not found.num_rows:
         return QualityModel(labels, np.append(np.zeros(FEATURES), -1.0))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwise.llm import bpe, decontam, line_dedup, quality, simhash
-from panelwise.llm.common import prepare, table
+from panelwise.llm.common import fresh, prepare, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -19,13 +19,19 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without repeated lines; n_chars is that of the new text.
+    """The documents without repeated lines; n_chars, if there is one, is that of the new text.
 
     Every document stays, also one that has no line left.
     """
     prepare(spark)
-    rows = line_dedup.remove_repeated_lines(docs, kept="_kept")
-    new = {"text": F.col("_kept"), "n_chars": F.char_length("_kept").cast(docs.schema["n_chars"].dataType)}
+    added = ("n_lines", "n_removed")
+    kept, *aside = fresh(docs, "kept", *added)
+    aside = {c: new for c, new in zip(added, aside) if c in docs.columns}
+    rows = line_dedup.remove_repeated_lines(docs.withColumnsRenamed(aside), kept=kept)
+    rows = rows.drop(*added).withColumnsRenamed({new: c for c, new in aside.items()})
+    new = {"text": F.col(kept)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.char_length(kept).cast(docs.schema["n_chars"].dataType)
     return rows.withColumns(new).select(*docs.columns)
 
 

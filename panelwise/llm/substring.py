@@ -18,14 +18,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import Words, filled, fresh, grams, mixed, pieces, runs
+from panelwise.llm.common import Words, filled, fresh, grams, mixed, pieces
 
 _U = np.uint64
 _LAST = np.iinfo(np.int64).max
 #: Words of the grams whose smallest hash is a window's anchor, as a share of the window.
 ANCHOR_SHARE = 0.4
-#: Cells in each of the sketch's two rows.  A cell has two bits: seen, and seen again.
-CELLS = 1 << 27
+#: Fewest and most cells in each of the sketch's two rows, and bytes of text per cell.  A cell has two bits: seen, and
+#: seen again; the most make 128 MB.  Beyond the text they suffice for the sketch rules out less and the exact pass does more.
+LEAST_CELLS, CELLS, CELL_BYTES = 1 << 22, 1 << 28, 6
 #: Bytes of the sketch that travel as one row.
 BLOCK = 1 << 18
 _SALTS = (_U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F))
@@ -172,7 +173,8 @@ def repeated_windows(docs: DataFrame, size: int, key: str = "doc_id", text: str
                 owner = words.owner()[starts]
                 doc, tag = part.column("doc").to_numpy()[owner], part.column("tag").to_numpy()[owner]
                 pos = (starts - words.first[owner]).astype(np.int32)
-                order = np.lexsort((pos, doc, lo, hi))
+                order = np.lexsort((tag, pos, doc, lo, hi))
+                order = order[_first_of(hi[order], lo[order], doc[order], pos[order], tag[order])]
                 h, l, d, p = hi[order], lo[order], doc[order], pos[order]
                 new = np.ones(len(order), bool)
                 new[1:] = (h[1:] != h[:-1]) | (l[1:] != l[:-1])
@@ -180,11 +182,11 @@ def repeated_windows(docs: DataFrame, size: int, key: str = "doc_id", text: str
                 later = (d != d[lead]) | (p != p[lead])
                 stay = np.sort(order[~later])
                 yield _rows(*(x[stay] for x in (hi.view(np.int64), lo.view(np.int64), doc, tag, pos)))
-                gone = np.sort(order[later])
-                for a, b in runs(owner[gone]):
-                    mine = gone[a:b]
-                    where = int(doc[mine[0]]), int(tag[mine[0]])
-                    yield _done(*where, pos[mine])
+                gone = order[later]
+                gone = gone[np.lexsort((pos[gone], tag[gone], doc[gone]))]
+                change = np.flatnonzero((np.diff(doc[gone]) != 0) | (np.diff(tag[gone]) != 0)) + 1
+                for mine in np.split(gone, change) if len(gone) else ():
+                    yield _done(int(doc[mine[0]]), int(tag[mine[0]]), pos[mine])
 
     def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple | None = None
@@ -197,6 +199,8 @@ def repeated_windows(docs: DataFrame, size: int, key: str = "doc_id", text: str
             if not batch.num_rows:
                 continue
             hi, lo, doc, tag, pos = (batch.column(c).to_numpy() for c in ("hi", "lo", "doc", "tag", "pos"))
+            once = _first_of(hi, lo, doc, pos, tag)
+            hi, lo, doc, tag, pos = (x[once] for x in (hi, lo, doc, tag, pos))
             new = np.ones(len(hi), bool)
             new[1:] = (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])
             carried = last is not None and last[:2] == (hi[0], lo[0])
@@ -218,10 +222,24 @@ def repeated_windows(docs: DataFrame, size: int, key: str = "doc_id", text: str
             yield _starts(pa.array(d[begin]), pa.array(t[begin]), pa.array(data, pa.binary()))
 
     rows = docs.select(F.coalesce(f"`{key}`", F.lit(_LAST)).alias("doc"), _tag(text).alias("tag"), F.col(f"`{text}`").alias("text"))
-    dealt = rows.mapInArrow(candidates, _CANDIDATES).repartition("hi").sortWithinPartitions("hi", "lo", "doc", "pos")
+    dealt = rows.mapInArrow(candidates, _CANDIDATES).repartition("hi").sortWithinPartitions("hi", "lo", "doc", "pos", "tag")
     return dealt.mapInArrow(firsts, "doc long, tag long, starts binary")
 
 
+def _first_of(*columns: np.ndarray) -> np.ndarray:
+    """Which rows of sorted columns differ from the row before."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def sketch_cells(docs: DataFrame, text: str = "text") -> int:
+    """Cells for the sketch of these texts: a power of two, one for some bytes of text, within the bounds."""
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    return min(max(1 << int(size // CELL_BYTES).bit_length(), LEAST_CELLS), CELLS)
+
+
 def _tag(text: str):
     return F.xxhash64(F.coalesce(f"`{text}`", F.lit("")))
 
@@ -242,7 +260,7 @@ def _starts(doc, tag, starts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([doc, tag, starts], names=["doc", "tag", "starts"])
 
 
-def remove_repeats(docs: DataFrame, size: int = 20, key: str = "doc_id", text: str = "text", kept: str = "kept", cells: int = CELLS) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 20, key: str = "doc_id", text: str = "text", kept: str = "kept", cells: int | None = None) -> DataFrame:
     """The rows with n_words, n_removed and their kept words, joined by one space, in ``kept``.
 
     A word goes if a window covers it whose word sequence also starts earlier, in a
@@ -253,8 +271,10 @@ def remove_repeats(docs: DataFrame, size: int = 20, key: str = "doc_id", text: s
     """
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", kept)]
     doc, tag, starts = fresh(docs, "doc", "tag", "starts")
-    found = repeated_windows(docs, size, key, text, cells)
-    found = found.groupBy(F.col("doc").alias(doc), F.col("tag").alias(tag)).agg(F.collect_list("starts").alias(starts))
+    found = repeated_windows(docs, size, key, text, cells or sketch_cells(docs, text))
+    # Copies of a row have the same starts in every batch, so each copy carries one list of its own starts.
+    lists = found.groupBy(F.col("doc").alias("doc"), F.col("tag").alias("tag")).agg(F.collect_set("starts").alias("starts"))
+    found = lists.mapInArrow(_united, "doc long, tag long, starts binary").toDF(doc, tag, starts)
     left = docs.withColumns({doc: F.coalesce(f"`{key}`", F.lit(_LAST)), tag: _tag(text)})
     joined = left.join(found, [doc, tag], "left").select(*[f"`{c}`" for c in dict.fromkeys([*names, text])], starts)
     schema = joined.select(*[f"`{c}`" for c in names]).schema.add("n_words", "long").add("n_removed", "long").add(kept, "string")
@@ -268,13 +288,24 @@ def remove_repeats(docs: DataFrame, size: int = 20, key: str = "doc_id", text: s
     return joined.mapInArrow(cut, schema)
 
 
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different starts of each row, from its lists."""
+    for batch in batches:
+        united = []
+        for lists in batch.column("starts"):
+            parts = [np.frombuffer(raw.as_buffer(), "<i4") for raw in lists.values]
+            united.append((parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))).tobytes())
+        columns = [batch.column("doc"), batch.column("tag"), pa.array(united, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc", "tag", "starts"])
+
+
 def _cut(part: pa.RecordBatch, text: str, starts: str, size: int) -> list[pa.Array]:
     words = Words(filled(part.column(text)))
     change = np.zeros(len(words) + 1, np.int64)
-    for i, lists in enumerate(part.column(starts)):
-        for raw in lists.values or () if lists.is_valid else ():
+    for i, raw in enumerate(part.column(starts)):
+        if raw.is_valid:
             begin = words.first[i] + np.frombuffer(raw.as_buffer(), "<i4")
-            np.add.at(change, begin, 1)
+            change[begin] += 1
             np.add.at(change, begin + size, -1)
     gone = np.cumsum(change)[:-1] > 0
     before = np.concatenate([[0], np.cumsum(gone)])

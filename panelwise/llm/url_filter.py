@@ -34,25 +34,38 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(whole(url), _ADDRESS, 2)
 
 
+_DOTS = r"/\.{1,2}(/|$)"
+
+
+def _resolved_dots(paths: pd.Series) -> pd.Series:
+    out = []
+    for path in paths:
+        if path is None:
+            out.append(None)
+            continue
+        kept, parts = [], path.split("/")[1:]
+        for part in parts:
+            if part == "..":
+                del kept[-1:]
+            elif part != ".":
+                kept.append(part)
+        if parts[-1] in (".", ".."):
+            kept.append("")
+        out.append("/" + "/".join(kept))
+    return pd.Series(out, dtype=object)
+
+
 def _without_dots(path: Column) -> Column:
-    """The path with its segments . and .. resolved."""
-    parts = F.slice(F.split(path, "/"), 2, F.size(F.split(path, "/")))
-    last = F.when(path.rlike(r"/\.{1,2}$"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
-    kept = F.aggregate(
-        parts,
-        F.array().cast("array<string>"),
-        lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(x == ".", acc)
-        .otherwise(F.concat(acc, F.array(x))),
-    )
-    return F.when(path.rlike(r"/\.{1,2}(/|$)"), F.concat(F.lit("/"), F.array_join(F.concat(kept, last), "/"))).otherwise(path)
+    """The path with its segments . and .. resolved; only paths that have some are sent to Python."""
+    dotted = F.when(path.rlike(_DOTS), path)
+    return F.coalesce(F.pandas_udf(_resolved_dots, T.StringType())(dotted), path)
 
 
 def address_of(url: Column) -> Column:
     """The URL as a node of the link graph: scheme and host lower-cased, dots resolved, no fragment; null if it has no host."""
     scheme = ascii_lower(F.substring_index(url, "://", 1))
     path = path_of(url)
-    query = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*[^?#]*(\?[^#]*)", 1)
+    query = F.regexp_extract(url, r"(?s)^(?>.*?://)[^?#]*+(\?[^#]*)", 1)
     path = F.when((path == "") & (query == ""), "/").otherwise(_without_dots(path))
     host = host_of(url)
     return F.when(host != "", F.concat(scheme, F.lit("://"), host, path, query))
@@ -127,14 +140,13 @@ def rules_frame(spark, rules: list[tuple[str, str, str]]) -> DataFrame:
 def judge(urls: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     """(key, rule, rule_verdict) for the keys whose address some rule fits; the longest rule wins.
 
-    ``urls`` has the key, host and path.  Every host suffix that starts a label is
-    looked up among the rules by equality, so the work for an address depends on
-    its labels, not on the number of rules.  The best rule is a partial aggregate.
+    ``urls`` has the key, host and path.  The host's suffixes of as many labels as the
+    rules have are looked up among them by equality, so the work for an address depends
+    neither on the number of rules nor on its further labels.  The best rule is a partial aggregate.
     """
-    labels = F.split("host", r"\.")
-    suffix = F.explode(
-        F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    )
+    most = rules.agg(F.max(F.size(F.split("rule_host", r"\.")))).first()[0] or 1
+    count = F.least(F.size(F.split("host", r"\.")), F.lit(most))
+    suffix = F.explode(F.transform(F.sequence(F.lit(1), count), lambda k: F.call_function("substring_index", "host", F.lit("."), -k)))
     fits = (
         urls.filter("host <> ''")
         .select(key, "path", suffix.alias("rule_host"))

@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.session import materialize, scratch_root
+from panelwise.session import materialize, session_folder
 
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -206,4 +206,4 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
 
 def new_folder(spark: SparkSession) -> str:
     """A folder for archives that no other call uses."""
-    return f"{scratch_root(spark)}/warc-{uuid.uuid4().hex}"
+    return f"{session_folder(spark)}/warc-{uuid.uuid4().hex}"

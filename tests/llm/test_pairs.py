@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 import re
 
 import numpy as np
@@ -250,3 +251,16 @@ def test_a_line_of_many_characters(frame):
     rows = [(1, long), (2, long[:9000] + "z" + long[9000:]), (3, long[:-2] + "cb"), (4, long[1:-1])]
     got = {r.doc_id: r.n_removed for r in line_dedup.remove_repeated_lines(frame(rows)).collect()}
     assert got == {1: 0, 2: 1, 3: 1, 4: 0}
+
+
+def test_near_lines_of_very_many_characters(spark):
+    """Time follows the length: a line of 200,000 characters and near copies of it."""
+    line = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(200_000))
+    changed, longer = line[:90_000] + "#" + line[90_001:], line[:120_000] + "#" + line[120_000:]
+    other = line[::-1]
+    rows = [(1, line), (2, changed), (3, longer), (4, line[:-1]), (5, other), (6, "#" + line + "#")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: r.n_removed for r in line_dedup.remove_repeated_lines(docs).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 4: 1, 5: 0, 6: 0}
+    assert time.time() - start < 60

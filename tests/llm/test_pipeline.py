@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import public_tokenizers as tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelwise.llm import bpe
@@ -87,3 +88,16 @@ def test_stages_on_odd_rows_and_on_none(spark, odd, empty):
             assert out.columns == shape and out.count() <= docs.count()
             docs = out
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_columns_of_the_caller_stay(spark):
+    """Columns with the names that stages use for themselves, and no n_chars, come through every stage."""
+    names = "n_lines", "n_removed", "_kept", "kept", "quality", "keep", "fingerprint", "component_id", "n_hit", "items"
+    docs = spark.read.parquet(f"{SF}/documents.parquet").drop("n_chars").limit(60)
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+    rows = docs.collect()
+    assert rows and set(docs.columns) == {"doc_id", "text", "lang", "source", *names}
+    assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == len(rows)

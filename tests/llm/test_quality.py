@@ -51,3 +51,24 @@ def test_sample_does_not_depend_on_partitions(spark, many_partitions):
     one = quality.fit(docs.coalesce(1), sample=200)
     many = quality.fit(docs.repartition(9), sample=200)
     assert np.allclose(one.weights, many.weights, atol=1e-3) and abs(one.labels.bad - many.labels.bad) < 1e-9
+
+
+def test_equal_rows_reach_the_driver_once(spark, monkeypatch):
+    different = spark.range(2000).selectExpr("id AS doc_id", "concat('row number ', id, ' has its own words') AS text")
+    same = spark.range(30_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'page not found' AS text")
+    sizes = []
+    real = quality.fit_scorer
+    monkeypatch.setattr(quality, "fit_scorer", lambda number, spot, value, bad: sizes.append(len(bad)) or real(number, spot, value, bad))
+    quality.fit(different.unionByName(same), sample=500)
+    quality.fit(different.unionByName(same), sample=5_000)
+    assert sizes[0] < 800 and 1900 < sizes[1] <= 2001
+
+
+def test_rows_of_very_many_words_are_not_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MOST_FEATURES", 50)
+    rows = [(k, " ".join(f"w{i}" for i in range(100 if k < 5 else 9))) for k in range(40)]
+    sizes = []
+    real = quality.fit_scorer
+    monkeypatch.setattr(quality, "fit_scorer", lambda number, spot, value, bad: sizes.append(len(bad)) or real(number, spot, value, bad))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert quality.score(docs, quality.fit(docs)).count() == 40 and sizes == [35]

@@ -83,3 +83,24 @@ def test_words_of_neighbouring_texts_stay_apart():
 
 def test_empty_table(empty):
     assert substring.remove_repeats(empty, 20, cells=1 << 10).count() == 0
+
+
+def test_copies_of_a_row_carry_one_list_each(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(40))
+    longest = []
+    for copies in (50, 200):
+        rows = [(1, text)] * copies + [(2, text)] * copies + [(3, "x " + text)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+        found = substring.repeated_windows(docs, 20, cells=1 << 12).groupBy("doc", "tag").agg({"starts": "collect_set"})
+        longest.append(max(len(b"".join(map(bytes, r[2]))) for r in found.collect()))
+        got = substring.remove_repeats(docs, 20).groupBy("doc_id", "n_removed").count().collect()
+        assert sorted((r.doc_id, r.n_removed, r["count"]) for r in got) == [(1, 0, copies), (2, 40, copies), (3, 40, 1)]
+    assert longest[0] == longest[1]
+
+
+def test_sketch_follows_the_size_of_the_texts(spark):
+    few = spark.range(10).selectExpr("'a b c' AS text")
+    assert substring.sketch_cells(few) == substring.LEAST_CELLS
+    many = spark.range(400).selectExpr("repeat('word ', 20000) AS text")
+    assert substring.sketch_cells(many) == 1 << 23
+    assert substring.sketch_cells(few.limit(0)) == substring.LEAST_CELLS

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import base64
 import gzip
 import hashlib
@@ -224,3 +225,12 @@ def test_windows_tell_parts_apart():
     lines = ["a" * 50, "b", "", "", "", "c" * 80, "", "d", "", "", ""]
     assert [(a, b) for a, b, _ in html_text.regions(lines)] == [(0, 2), (5, 8)]
     assert [peak for *_, peak in html_text.regions(lines)] == [51, 81]
+
+
+def test_long_hosts_and_paths_cost_in_proportion(spark):
+    host, path = "a." * 30_000 + "net", "/a/.." * 30_000 + "/x"
+    pages = spark.createDataFrame([(1, f"http://{host}{path}", None)], "page_id long, url string, html string")
+    rules = url_filter.rules_frame(spark, [("net", "/", "block"), ("a.net", "/x", "allow")])
+    start = time.time()
+    row = url_filter.filter_urls(pages, rules).first()
+    assert (row.host, row.rule, row.verdict) == (host, "net/", "block") and time.time() - start < 20
