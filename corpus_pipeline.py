@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelwise.llm import stages
 from panelwise.llm.common import table
-from panelwise.session import scratch_root
+from panelwise.session import session_folder
 
 #: Each function takes (spark, docs, sf_dir).
 STAGES = [
@@ -25,7 +25,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    folder = f"{scratch_root(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{session_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/{k}")
         docs = spark.read.parquet(path)
