@@ -1,8 +1,11 @@
 """Main text of web pages by the distribution of text over line blocks.
 
-Markup is stripped to lines, one per block of the page.  Sums of text lengths
-over a sliding window of lines rise where the article begins (surge) and fall to
-nothing where it ends (dive); the text between them is kept.
+Markup is stripped to lines, one per block of the page, and the empty lines that the ends
+of containers leave are kept.  The sum of text lengths over a sliding window of lines rises
+where an article begins (surge) and falls to nothing where it ends (dive).  Text from the
+first surge to the last dive is the article; menus and other short lines make low sums and
+never surge.  Names of elements are further evidence: lines of navigation, forms and the
+like count nothing, and where a page marks articles, the sums say which of them are full ones.
 """
 
 from __future__ import annotations
@@ -19,21 +22,25 @@ from pyspark.sql import DataFrame
 
 from panelwise.llm.common import filled
 
-#: Lines in a window; as many empty lines stand where one part of a page ends and another begins.
+#: Lines in a window.
 WINDOW = 3
 #: A part whose fullest window has this share of the page's fullest holds main text too.
 SURGE = 1 / 3
+#: Text in a window from which on a part's main text begins, if that share of the fullest is more.
+SURGE_CHARS = 60
 
 # Element names of HTML.
 HIDDEN = frozenset("script style noscript template title textarea select svg math iframe object canvas audio video".split())
 BOILERPLATE = frozenset("nav header footer aside form button menu dialog".split())
 CONTAINERS = frozenset("article main".split())
-PARTS = frozenset("body section".split())
+PARTS = frozenset("body".split())
+#: Containers whose ends leave an empty line.
+SPACED = frozenset("section div table ul ol dl figure blockquote".split())
 BLOCKS = frozenset(
     "address blockquote caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr li ol "
-    "p pre summary table tbody td tfoot th thead tr ul".split()
+    "p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-UNLABELLED = frozenset("html body h1 h2 h3 h4 h5 h6 a b i em strong".split())
+UNLABELLED = frozenset("html body h1 h2 h3 h4 h5 h6 a b i em strong table thead tbody tr td th".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LABELS = frozenset(
     "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie "
@@ -41,18 +48,19 @@ LABELS = frozenset(
     "notices overlay pagination popup promo promoted promotion recommended related replies reply respond share "
     "sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
-#: A compound name is a label if it has labels and such words alone: ad-box is one, with-sidebar and related-work are none.
+#: A compound name is a label if it has labels and such words alone (ad-box, related-posts), or if its last word is a
+#: label (site-footer) and its first does not say that something else has one (with-sidebar); related-work is none.
 FRAMES = frozenset(
-    "area bar block body box button buttons container form group holder icons inner item items link links list outer "
-    "panel section slot unit wrap wrapper".split()
+    "area articles bar block body box button buttons container cta form group holder icons inner item items link links list "
+    "outer panel posts section slot stories unit wrap wrapper".split()
 )
+STATES = frozenset("has have hide hides no not show shows with without".split())
 #: Boilerplate that frameworks also put around a whole page.
 AROUND = frozenset("form dialog".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
-)
+_NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+_INSIDE = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
 _ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -68,11 +76,15 @@ _TABLE = frozenset("table tbody thead tfoot tr td th caption body html".split())
 def _is_label(token: str) -> bool:
     words = [w.lower() for w in _WORD.findall(token)]
     words = [w for w in words if len(w) > 1]
-    return any(w in LABELS for w in words) and all(w in LABELS or w in FRAMES for w in words)
+    if any(w in LABELS for w in words) and all(w in LABELS or w in FRAMES for w in words):
+        return True
+    return bool(words) and words[-1] in LABELS and words[0] not in STATES
 
 
 def _unwanted(name: str, attributes: str) -> str:
-    """Why an element may be left out: "named" by its element or role, "labelled" by a class or id, or not at all."""
+    """Why an element may be left out: "unseen", "named" by its element or role, "labelled" by a class or id, or not at all."""
+    if attributes and _HIDING.search(attributes) and _unseen(attributes):
+        return "unseen"
     if name in BOILERPLATE:
         return "named"
     if not attributes:
@@ -88,6 +100,19 @@ def _unwanted(name: str, attributes: str) -> str:
     return labelled
 
 
+_HIDING = re.compile(r"hidden|display", re.IGNORECASE)
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.IGNORECASE)
+
+
+def _unseen(attributes: str) -> bool:
+    """Whether the attributes say that a reader does not see the element."""
+    for kind, *values in _ATTRIBUTE.findall(attributes):
+        kind, value = kind.lower(), "".join(values)
+        if kind == "hidden" or (kind == "style" and _NOT_SHOWN.search(value)):
+            return True
+    return False
+
+
 @dataclass
 class _Element:
     name: str
@@ -151,6 +176,40 @@ class _Open:
         self.cut(spots[-1], tag)
 
 
+class _Tags:
+    """The tags of a page; every character is looked at a fixed number of times.
+
+    Quotes in a tag hide what is between them, until one is found that does not end: from
+    then on tags end at the next >.  A tag that nothing ends takes the rest of the page.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.quoted = html, True
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(begin, end, "/" or none, name, attributes) of the next tag; comments and declarations have no name."""
+        html = self.html
+        while (at := html.find("<", at)) >= 0:
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                return at, len(html) if end < 0 else end + 3, "", "", ""
+            declared = html.startswith(("<!", "<?"), at)
+            name = None if declared else _NAME.match(html, at + 1)
+            if not declared and not name:
+                at += 1
+                continue
+            end = at
+            if name:
+                end = _INSIDE.match(html, name.end()).end() if self.quoted else len(html)
+            if end == len(html) or html[end] != ">":
+                self.quoted = self.quoted and not name
+                end = html.find(">", name.end() if name else at)
+            if end < 0:
+                return at, len(html), "", "", ""
+            return at, end + 1, *((name[1], name[2], html[name.end() : end]) if name else ("", "", ""))
+        return None
+
+
 def _parsed(html: str) -> tuple[list[tuple[str, str, str]], list[_Element]]:
     """Tags as text before, mark ("/", "-" for a hidden element, or none) and name; and the elements in page order.
 
@@ -161,10 +220,11 @@ def _parsed(html: str) -> tuple[list[tuple[str, str, str]], list[_Element]]:
     elements: list[_Element] = []
     still = _Open()
     at, before = 0, []
-    while tag := _TOKEN.search(html, at):
-        before.append(html[at : tag.start()])
-        at = tag.end()
-        closing, name, attributes = tag[1], (tag[2] or "").lower(), tag[3] or ""
+    reader = _Tags(html)
+    while tag := reader.after(at):
+        start, end, closing, name, attributes = tag
+        before.append(html[at:start])
+        at, name = end, name.lower()
         if not name:
             continue
         text = "".join(before)
@@ -187,9 +247,7 @@ def _parsed(html: str) -> tuple[list[tuple[str, str, str]], list[_Element]]:
             else:
                 still.push(element)
         tags.append((text, closing, name))
-    rest = html[at:]
-    cut = re.search(r"<[a-zA-Z/!]", rest)
-    before.append(rest[: cut.start()] if cut else rest)
+    before.append(html[at:])
     still.cut(0, len(tags))
     tags.append(("".join(before), "", ""))
     return tags, elements
@@ -234,7 +292,9 @@ def _left_out(tags: list[tuple[str, str, str]], elements: list[_Element]) -> dic
             return False
         return e.why == "labelled" or e.around or not e.closed or holds(articles, e)
 
-    named = [e for e in unwanted if e.why == "named" and not spared(e, size[-1])]
+    unseen = [e for e in unwanted if e.why == "unseen"]
+    named = unseen + [e for e in unwanted if e.why == "named" and not spared(e, size[-1])]
+    named.sort(key=lambda e: e.first)
     text = size[-1] - shut(named)
     out = named + [e for e in unwanted if e.why == "labelled" and not spared(e, text)]
     if shut(sorted(out, key=lambda e: e.first)) >= size[-1]:
@@ -245,8 +305,8 @@ def _left_out(tags: list[tuple[str, str, str]], elements: list[_Element]) -> dic
 def lines_of(html: str) -> tuple[list[str], list[int]]:
     """The page's lines, and for each the number of the article or main element it is in, or -1.
 
-    Hidden and boilerplate elements are left out.  Where a part of the page
-    begins or ends, ``WINDOW`` empty lines are put.
+    Hidden and boilerplate elements are left out, each leaving ``WINDOW`` empty lines, as
+    do the ends of article and main elements and of the body; other containers leave one.
     """
     lines: list[str] = []
     inside: list[int] = []
@@ -304,6 +364,9 @@ def lines_of(html: str) -> tuple[list[str], list[int]]:
             flush() if open_containers else gap()
         elif name in BLOCKS or name == "head":
             flush()
+            if name in SPACED:
+                lines.append("")
+                inside.append(open_containers[0][1] if open_containers else -1)
         elif name == "br":
             text.append(" ")
         at += 1
@@ -316,48 +379,54 @@ def _raw_end(html: str, name: str, start: int) -> int | None:
     return end.end() if end else None
 
 
-def regions(lines: list[str], window: int = WINDOW) -> list[tuple[int, int, int]]:
-    """Parts between a surge and the next dive: first line, line after the last, fullest window.
+def window_sums(lines: list[str], window: int = WINDOW) -> list[int]:
+    """Text in each line and the ``window`` - 1 lines after it."""
+    run = [0, *accumulate(map(len, lines))]
+    return [run[min(i + window, len(lines))] - run[i] for i in range(len(lines))]
 
-    The sum at a line takes it and the ``window`` - 1 lines after it.  A part surges
-    at its first line with text and dives where a whole window is empty.
-    """
-    sizes = [len(x) for x in lines]
+
+def regions(lines: list[str], window: int = WINDOW) -> list[tuple[int, int, int]]:
+    """Parts between dives: first line, line after the last, fullest window.  A dive is a window without text."""
     found: list[tuple[int, int, int]] = []
-    start, peak, total = None, 0, sum(sizes[:window])
-    for i in range(len(sizes)):
-        if start is None and sizes[i]:
-            start, peak = i, 0
-        if start is not None:
-            if total == 0:
-                found.append((start, i, peak))
-                start = None
-            peak = max(peak, total)
-        total += (sizes[i + window] if i + window < len(sizes) else 0) - sizes[i]
+    start = None
+    sums = window_sums(lines, window)
+    for i, total in enumerate(sums):
+        if start is None and lines[i]:
+            start = i
+        if start is not None and total == 0:
+            found.append((start, i, max(sums[start:i])))
+            start = None
     if start is not None:
-        found.append((start, len(sizes), peak))
+        found.append((start, len(lines), max(sums[start:])))
     return found
 
 
 def main_text(html: str, window: int = WINDOW, surge: float = SURGE) -> str:
     """Text of the page's article: blocks in page order, one line each.
 
-    Parts of a page are told apart by surges and dives.  Where some lie in article
-    or main elements, the one of those with the most text is it.  Else it goes from the first surge that reaches ``surge`` of the
-    page's fullest window to the dive after the last one.  Markup that is not
+    A part is full if its fullest window has ``surge`` of the fullest of all.  Where
+    the page has article or main elements with text, the full ones of those are it, whole.
+    Else it goes from the surge of the first full part, where a window first has ``SURGE_CHARS``
+    or ``surge`` of the fullest, to the dive after the last full one.  Markup that is not
     closed, an empty page and a page without text give what text there is.
     """
     lines, inside = lines_of(html)
+    framed: dict[int, list[str]] = {}
+    for line, owner in zip(lines, inside):
+        if owner >= 0:
+            framed.setdefault(owner, []).append(line)
+    peaks = {owner: max(window_sums(mine, window)) for owner, mine in framed.items()}
+    if any(peaks.values()):
+        enough = surge * max(peaks.values())
+        return "\n".join(x for x, owner in zip(lines, inside) if x and owner >= 0 and peaks[owner] >= enough)
     parts = regions(lines, window)
     if not parts:
         return ""
-    framed = [part for part in parts if any(owner >= 0 for owner in inside[part[0] : part[1]])]
-    if framed:
-        first, last, _ = max(framed, key=lambda part: sum(map(len, lines[part[0] : part[1]])))
-    else:
-        top = max(peak for _, _, peak in parts)
-        strong = [part for part in parts if part[2] >= surge * top]
-        first, last = strong[0][0], strong[-1][1]
+    top = max(peak for _, _, peak in parts)
+    full = [part for part in parts if part[2] >= surge * top]
+    first, last = full[0][0], full[-1][1]
+    sums, enough = window_sums(lines, window), min(surge * top, SURGE_CHARS)
+    first = next(i for i in range(first, last) if sums[i] >= enough)
     return "\n".join(x for x in lines[first:last] if x)
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import time
 import base64
 import gzip
 import hashlib
 import io
+import re
+import time
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -234,3 +236,102 @@ def test_long_hosts_and_paths_cost_in_proportion(spark):
     start = time.time()
     row = url_filter.filter_urls(pages, rules).first()
     assert (row.host, row.rule, row.verdict) == (host, "net/", "block") and time.time() - start < 20
+
+
+class Plain(HTMLParser):
+    """Text of the blocks inside article, by the standard library's parser: an independent way to the same pages."""
+
+    LEFT_OUT = {"nav", "header", "footer", "aside", "form", "script", "style", "button"}
+    BLOCK = {"article", "h1", "h2", "h3", "p", "ul", "ol", "li", "div", "section", "blockquote", "table", "tr", "td", "th", "pre", "hr", "figure"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.out, self.blocks, self.text = 0, 0, [], []
+
+    def cut(self):
+        line = " ".join("".join(self.text).split())
+        self.text = []
+        if line:
+            self.blocks.append(line)
+
+    def handle_starttag(self, tag, attrs):
+        if self.inside and tag in self.BLOCK:
+            self.cut()
+        if tag == "br" and self.inside:
+            self.text.append(" ")
+        self.inside += tag == "article"
+        self.out += tag in self.LEFT_OUT
+
+    def handle_endtag(self, tag):
+        if self.inside and tag in self.BLOCK:
+            self.cut()
+        self.inside -= tag == "article"
+        self.out -= tag in self.LEFT_OUT
+
+    def handle_data(self, data):
+        if self.inside and not self.out:
+            self.text.append(data)
+
+
+def test_whole_pages_equal_an_independent_parser(spark):
+    from panelwise.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    html = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    for row in QUERIES["op10_html_text"](spark, folder).collect():
+        parser = Plain()
+        parser.feed(html[row.page_id] or "")
+        parser.cut()
+        assert row.text == "\n".join(parser.blocks) and row.n_chars == len(row.text)
+
+
+def test_window_sums_decide_on_pages_without_article(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect() if r.html]
+    want = [html_text.main_text(x) for x in pages]
+    bare = [re.sub(r"(</?)article\b", r"\1div", x) for x in pages]
+    assert sum(html_text.main_text(x) == y for x, y in zip(bare, want)) > 0.95 * len(pages)
+    bare = [re.sub(r"(</?)(nav|footer|aside|header)\b", r"\1div", x) for x in bare]
+    narrow = [html_text.main_text(x, window=2) for x in bare]
+    assert sum(x == y for x, y in zip(narrow, want)) > 0.8 * len(pages)
+    for other in ({"window": 1}, {"window": 3}, {"window": 50}, {"window": 2, "surge": 0.0}):
+        assert sum(html_text.main_text(x, **other) != y for x, y in zip(bare, narrow)) > 0.1 * len(pages)
+
+
+def test_menu_lines_never_surge():
+    menu = "".join(f"<div>Link {i}</div>" for i in range(30))
+    text = "<p>" + "Words of the article stand here. " * 9 + "</p>"
+    assert html_text.main_text(f"<body>{menu}<p>Short start</p>{text}{text}</body>", window=2).startswith("Short start\nWords")
+    assert "Link" not in html_text.main_text(f"<body>{menu}{text}{text}</body>", window=2).replace("Link 29", "")
+
+
+def test_every_full_article_and_short_last_sections():
+    long = "Words of the article stand here. " * 9
+    two = f"<article><h1>A</h1><p>{long}</p></article><article class=x><p>{long}</p></article><article><p>teaser</p></article>"
+    assert html_text.main_text(two).split("\n") == ["A", long.strip(), long.strip()]
+    sections = f"<body><section><h1>T</h1><p>{long}</p></section><section><p>{long}</p></section><section><p>short end.</p></section></body>"
+    assert html_text.main_text(sections).split("\n") == ["T", long.strip(), long.strip(), "short end."]
+
+
+@pytest.mark.parametrize("label", ["site-header", "site-footer", "user-comments", "related-posts", "newsletter-signup-cta", "mainNav"])
+def test_compound_labels_go(label):
+    text = "Words of the article stand here. " * 9
+    assert html_text.main_text(f"<body><p>{text}</p><p>{text}</p><div class='{label}'>Out {text}</div></body>") == "\n".join([text.strip()] * 2)
+
+
+@pytest.mark.parametrize("label", ["content with-sidebar", "has-comments", "related-work", "ad-hoc-queries", "no-footer"])
+def test_compounds_that_are_no_labels_stay(label):
+    text = "Words of the article stand here. " * 9
+    assert html_text.main_text(f"<body><p>{text}</p><div class='{label}'>In {text}</div></body>") == f"{text.strip()}\nIn {text.strip()}"
+
+
+@pytest.mark.parametrize("how", ["hidden", "style='display: none'", "style='color:red;display:none'", 'style="visibility:hidden"'])
+def test_what_readers_do_not_see_goes(how):
+    assert html_text.main_text(f"<article><p>seen</p><p {how}>not seen</p></article>") == "seen"
+    assert html_text.main_text("<article><p data-hidden=1 class=hidden-gem>seen</p></article>") == "seen"
+
+
+@pytest.mark.parametrize("part", ["<a ", '<a "', "<!x", "<a '\"", '<a href="x>', "<!--", "<script>", "</p", "<p>", "<b", "< <"])
+def test_broken_markup_costs_in_proportion(part):
+    start = time.time()
+    html_text.main_text("<p>start</p>" + part * 100_000)
+    assert time.time() - start < 8
