@@ -26,7 +26,7 @@ _LAST = np.iinfo(np.int64).max
 ANCHOR_SHARE = 0.4
 #: Fewest and most cells in each of the sketch's two rows, and bytes of text per cell.  A cell has two bits: seen, and
 #: seen again; the most make 128 MB.  Beyond the text they suffice for the sketch rules out less and the exact pass does more.
-LEAST_CELLS, CELLS, CELL_BYTES = 1 << 22, 1 << 28, 6
+LEAST_CELLS, CELLS, CELL_BYTES = 1 << 22, 1 << 28, 12
 #: Bytes of the sketch that travel as one row.
 BLOCK = 1 << 18
 _SALTS = (_U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F))
@@ -273,8 +273,7 @@ def remove_repeats(docs: DataFrame, size: int = 20, key: str = "doc_id", text: s
     doc, tag, starts = fresh(docs, "doc", "tag", "starts")
     found = repeated_windows(docs, size, key, text, cells or sketch_cells(docs, text))
     # Copies of a row have the same starts in every batch, so each copy carries one list of its own starts.
-    lists = found.groupBy(F.col("doc").alias("doc"), F.col("tag").alias("tag")).agg(F.collect_set("starts").alias("starts"))
-    found = lists.mapInArrow(_united, "doc long, tag long, starts binary").toDF(doc, tag, starts)
+    found = found.groupBy(F.col("doc").alias(doc), F.col("tag").alias(tag)).agg(F.collect_set("starts").alias(starts))
     left = docs.withColumns({doc: F.coalesce(f"`{key}`", F.lit(_LAST)), tag: _tag(text)})
     joined = left.join(found, [doc, tag], "left").select(*[f"`{c}`" for c in dict.fromkeys([*names, text])], starts)
     schema = joined.select(*[f"`{c}`" for c in names]).schema.add("n_words", "long").add("n_removed", "long").add(kept, "string")
@@ -288,24 +287,13 @@ def remove_repeats(docs: DataFrame, size: int = 20, key: str = "doc_id", text: s
     return joined.mapInArrow(cut, schema)
 
 
-def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Different starts of each row, from its lists."""
-    for batch in batches:
-        united = []
-        for lists in batch.column("starts"):
-            parts = [np.frombuffer(raw.as_buffer(), "<i4") for raw in lists.values]
-            united.append((parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))).tobytes())
-        columns = [batch.column("doc"), batch.column("tag"), pa.array(united, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc", "tag", "starts"])
-
-
 def _cut(part: pa.RecordBatch, text: str, starts: str, size: int) -> list[pa.Array]:
     words = Words(filled(part.column(text)))
     change = np.zeros(len(words) + 1, np.int64)
-    for i, raw in enumerate(part.column(starts)):
-        if raw.is_valid:
+    for i, lists in enumerate(part.column(starts)):
+        for raw in lists.values or () if lists.is_valid else ():
             begin = words.first[i] + np.frombuffer(raw.as_buffer(), "<i4")
-            change[begin] += 1
+            np.add.at(change, begin, 1)
             np.add.at(change, begin + size, -1)
     gone = np.cumsum(change)[:-1] > 0
     before = np.concatenate([[0], np.cumsum(gone)])

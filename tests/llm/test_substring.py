@@ -101,6 +101,6 @@ def test_copies_of_a_row_carry_one_list_each(spark, monkeypatch):
 def test_sketch_follows_the_size_of_the_texts(spark):
     few = spark.range(10).selectExpr("'a b c' AS text")
     assert substring.sketch_cells(few) == substring.LEAST_CELLS
-    many = spark.range(400).selectExpr("repeat('word ', 20000) AS text")
+    many = spark.range(1000).selectExpr("repeat('word ', 20000) AS text")
     assert substring.sketch_cells(many) == 1 << 23
     assert substring.sketch_cells(few.limit(0)) == substring.LEAST_CELLS
