@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.operators import counts, split, stages, temporal
 from panelwise.operators.resample import pack, smote_enn, unpack
-from panelwise.plans import evaluation, histogram_trees, training
-from panelwise.session import materialize
+from panelwise.plans import adaptive_search, evaluation, histogram_trees, logistic_grid, training, trial_variance
+from panelwise.session import materialize, session_folder
 from panelwise.sources import registry as versions
 from panelwise.sources import trial_log
 from workload.queries_metrics import panel_groups
@@ -388,3 +390,30 @@ def _split_forest(spark, sf_dir) -> DataFrame:
     params = {"n_estimators": 30, "max_depth": 6, "min_samples_split": 8, "min_samples_leaf": 2, "max_features": "sqrt"}
     _, metrics = training.train_evaluate("random_forest", params, parts["train"], parts["val"], MODEL_ROLES)
     return metrics
+
+
+GRID = [
+    SETTINGS["logistic_regression"], {"C": 0.1, "penalty": "l2"}, {"C": 0.01, "penalty": "l1"},
+    {"C": 0.05, "penalty": "elasticnet", "l1_ratio": 0.5},
+]
+
+
+@query("cross_validate_grid")
+def _cv_grid(spark, sf_dir) -> DataFrame:
+    """Four settings on five folds, fitted in the passes of one."""
+    train = prepared_splits(spark, sf_dir)["train"]
+    return logistic_grid.cross_validate_grid(GRID, train, MODEL_ROLES)
+
+
+@query("search_adaptive")
+def _adaptive(spark, sf_dir) -> DataFrame:
+    """Trials of a search that proposes from those before and stops poor ones on a third of the rows."""
+    train = prepared_splits(spark, sf_dir)["train"]
+    path = f"{session_folder(spark)}/study-{uuid.uuid4().hex}"
+    space = {"C": ("log", 0.001, 100.0), "max_iter": ("int", 20, 60)}
+    return adaptive_search.search_family("logistic_regression", train, MODEL_ROLES, 4, path, k=2, shares=(1 / 3, 1.0), space=space)
+
+
+@query("trial_variance_importance")
+def _variance(spark, sf_dir) -> DataFrame:
+    return trial_variance.variance_importance(trials(spark, sf_dir), trees=16)
