@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.operators import relations, temporal
+from panelwise.operators import relations, temporal, wide_relations
 from panelwise.operators.validate import card_stats
 from workload.queries_prepare import assign_sql
 from workload.registry import query, r6
@@ -113,6 +113,12 @@ def _corr(spark, sf_dir) -> DataFrame:
     return r6(relations.correlation_pairs(lines(spark, sf_dir), LINE_FEATURES))
 
 
+@query("correlation_pairs_wide", f"WITH {LINES_SQL}, c AS ({_PAIRS}) SELECT feature_a, feature_b, corr FROM c")
+def _corr_wide(spark, sf_dir) -> DataFrame:
+    """The same pairs by the route of wide tables: blocks of columns, several passes."""
+    return r6(wide_relations.correlation_pairs_wide(lines(spark, sf_dir), LINE_FEATURES, block=2, task_bytes=500))
+
+
 @query(
     "top_correlated_pairs",
     f"WITH {LINES_SQL}, c AS ({_PAIRS}) SELECT feature_a, feature_b, corr FROM c ORDER BY c.corr DESC, i LIMIT 5",
