@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelwise.operators import relations, temporal, wide_relations
 from panelwise.operators.validate import card_stats
+from panelwise.sources import bucketed
 from workload.queries_prepare import assign_sql
 from workload.registry import query, r6
 from workload.views import LINE_FEATURES, LINES_SQL, PANEL_SQL, ROLES, lines, panel, scored
@@ -198,3 +199,21 @@ def _card(spark, sf_dir) -> DataFrame:
     found = counts.classification_metrics(tagged.filter(F.col("split") == "test"), ROLES).first()
     wanted = {m: found[m] for m in ("f1", "precision", "recall", "specificity")}
     return r6(card_stats(tagged, ROLES, wanted))
+
+
+@query("rolling_bucketed", f"WITH {PANEL_SQL} {_smooth_sql(['level', 'p'], 'panel')}")
+def _rolling_bucketed(spark, sf_dir) -> DataFrame:
+    """The same rows from a table bucketed by entity, whose plan has no exchange."""
+    df = panel(spark, sf_dir).select("entity", "hour", "row_id", "level", "p")
+    rows = bucketed.read_bucketed(spark, bucketed.write_bucketed(df, ROLES))
+    out = temporal.rolling_centered_mean(rows, ROLES, ["level", "p"])
+    return r6(out.select("entity", "hour", "row_id", "level_smooth", "p_smooth"))
+
+
+@query(
+    "onset_bucketed",
+    f"WITH {PANEL_SQL} SELECT entity, min(hour) FILTER (label = 1) AS label_onset FROM panel GROUP BY entity",
+)
+def _onset_bucketed(spark, sf_dir) -> DataFrame:
+    df = panel(spark, sf_dir).select("entity", "hour", "row_id", "label")
+    return temporal.label_onset(bucketed.read_bucketed(spark, bucketed.write_bucketed(df, ROLES)), ROLES)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.functions import scalar
 from panelwise.operators import columns as cols
-from panelwise.operators import split, stages, validate
+from panelwise.operators import profile_states, split, stages, validate
 from panelwise.operators.impute import ChainedImpute
 from panelwise.plans.preprocess import Preparation, preprocess
+from panelwise.session import session_folder
 from panelwise.sources.panel import check_panel, nan_to_null
 from workload.registry import query, r6
 from workload.views import LINE_FEATURES, LINES_SQL, PANEL_SQL, ROLES, lines, panel, table
@@ -414,3 +417,21 @@ SELECT row_id, entity, hour, label, p, round((reading - c1) / w1, 6) AS reading,
 def _preprocess(spark, sf_dir) -> DataFrame:
     _, prepared = preprocess(panel(spark, sf_dir), PREPARE, ROLES)
     return r6(prepared, "reading", "level", "hour_of_day")
+
+
+_MERGED = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count({c}) AS n, count(*) - count({c}) AS n_missing, round(avg({c}), 6) AS mean,
+        round(stddev_pop({c}), 6) AS std, min({c}) AS low, max({c}) AS high FROM panel"""
+    for c in ("reading", "level", "hour_of_day")
+)
+
+
+@query("profile_merged", f"WITH {PANEL_SQL} {_MERGED}")
+def _profile_merged(spark, sf_dir) -> DataFrame:
+    """A profile of all days, merged from the states of each day, which are added in two steps."""
+    df, path = panel(spark, sf_dir), f"{session_folder(spark)}/states-{uuid.uuid4().hex}"
+    names = ["reading", "level", "hour_of_day"]
+    profile_states.update_states(df.filter("day_no < 10"), names, F.col("day_no"), path)
+    profile_states.update_states(df, names, F.col("day_no"), path)
+    merged = profile_states.merged_profile(profile_states.read_states(spark, path))
+    return r6(merged.select("column_name", "n", "n_missing", "mean", "std", "low", "high"), "mean", "std")
