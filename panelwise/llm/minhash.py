@@ -174,9 +174,12 @@ def near_search(
 
     signed = texts.mapInArrow(sign, "key long, query long, bands array<long>, `set` array<long>").filter("size(`set`) > 0")
     signed = materialize(signed, "signatures")
-    spots = signed.select("key", "query", F.explode("bands").alias("spot"))
-    left = spots.filter("query IS NOT NULL").select(F.col("key").alias("a"), "query", "spot")
-    pairs = left.join(spots.select(F.col("key").alias("match"), "spot"), "spot").filter("a <> match").select("a", "query", "match").distinct()
+    spots = signed.select("key", "query", "bands", F.explode("bands").alias("spot"))
+    left = spots.filter("query IS NOT NULL").select(F.col("key").alias("a"), "query", F.col("bands").alias("left_bands"), "spot")
+    right = spots.select(F.col("key").alias("match"), "bands", "spot")
+    # Two texts meet at each band they share; only the first of those makes a pair, so nothing has to be made distinct.
+    first = F.array_min(F.array_intersect("left_bands", "bands"))
+    pairs = left.join(right, "spot").filter((F.col("a") != F.col("match")) & (F.col("spot") == first)).select("a", "query", "match")
     sets = signed.select("key", F.col("set").alias("x"))
     both = pairs.join(sets.withColumnRenamed("key", "a"), "a").join(sets.select(F.col("key").alias("match"), F.col("x").alias("y")), "match")
     common = F.size(F.array_intersect("x", "y"))
@@ -184,6 +187,13 @@ def near_search(
     return both.select("query", "match", jaccard.alias("jaccard")).filter(F.col("jaccard") >= similar)
 
 
+def members(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, representative): the smallest key with the same text; null keys are left out."""
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.sha2(F.coalesce(f"`{text}`", F.lit("")), 256).alias("digest")).filter("key IS NOT NULL")
+    first = rows.groupBy("digest").agg(F.min("key").alias("representative"))
+    return rows.join(first, "digest").select(F.col("key").alias(key), "representative")
+
+
 def grams_of(signature: np.ndarray, band: int) -> np.ndarray:
     """One digest per band and text, different for different bands."""
     rows, wide = signature.shape[0], signature.shape[1] // band

@@ -113,6 +113,12 @@ def op7(spark, sf_dir):
     return minhash.compare_with_edit(table(spark, sf_dir, "documents"))
 
 
+@query("minhash_near_search")
+def near_search(spark, sf_dir):
+    """Texts with an id divisible by 20 against all texts: matches of the bands, verified."""
+    return minhash.near_search(table(spark, sf_dir, "documents"), "key % 20 = 0")
+
+
 @query("op8_quality_classifier")
 def op8(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

@@ -5,8 +5,8 @@ bits.  Every different fingerprint goes to r + 1 shards, one per block and the b
 in it; fingerprints that are linked meet in one of them.  Each shard has a BK-tree:
 children are keyed by their Hamming distance to the parent, and a search follows
 only the edges within the radius of its own distance.  Shards that hold more than
-``LARGE`` fingerprints are dealt again by blocks of their other bits, so that a
-crowd of similar texts is cut up instead of searched in one task.
+``LARGE`` fingerprints are dealt again by blocks of their other bits, and again until
+they are small, so that a crowd of similar texts is cut up instead of searched in one task.
 
 Trees are made where their shard's fingerprints have been shuffled to and are
 searched there.  Broadcasting the trees of all shards would send every fingerprint
@@ -31,6 +31,8 @@ _U = np.uint64
 SHINGLE, RADIUS = 3, 2
 #: Fingerprints beyond which a shard is dealt again by its other bits.
 LARGE = 4096
+#: Times that a crowded shard is dealt again; after these, fingerprints of a shard differ in ten bits at most.
+DEPTH = 5
 _ASCII_SPACE = "\t\n\x0b\x0c\r"
 
 
@@ -169,28 +171,41 @@ def links(prints: DataFrame, radius: int = RADIUS, large: int = LARGE) -> DataFr
     ``prints`` has name and print.  Per shard a fingerprint is linked to the smallest
     name it reaches there, so there is one link per fingerprint and shard at most.
     """
-    masks = blocks(radius, list(range(64)))
-    level = prints.select("name", "print", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"))
-    level = level.withColumn("shard", F.xxhash64("mask", F.col("print").bitwiseAND(F.col("mask"))))
-    sizes = level.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1")
-    sizes = materialize(sizes, "shards")
-    small = level.join(sizes.filter(F.col("n") <= large), "shard", "left_semi").select("shard", "name", "print")
-    crowded = level.join(sizes.filter(F.col("n") > large), "shard", "left_semi")
-    again = F.create_map(*[F.lit(v) for m in masks for v in (_signed(m), _signed_list(m, radius))])
-    finer = crowded.withColumn("mask2", F.explode(again[F.col("mask")]))
-    finer = finer.select(F.xxhash64("shard", "mask2", F.col("print").bitwiseAND(F.col("mask2"))).alias("shard"), "name", "print")
-    ready = small.union(finer)
+    level = prints.select("name", "print", F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("shard"))
+    ready, states = None, [0]
+    for depth in range(DEPTH):
+        # Bits that the shards so far agree in, and for each such choice the masks of which near ones agree in one.
+        masks = {u: blocks(radius, [b for b in range(64) if not u >> b & 1]) for u in states}
+        entries = [(F.lit(_signed(u)).cast("long"), F.array(*[F.lit(_signed(m)).cast("long") for m in ms])) for u, ms in masks.items()]
+        finer = F.create_map(*[x for entry in entries for x in entry])
+        level = level.withColumn("mask", F.explode(finer[F.col("used")]))
+        shard = F.xxhash64("shard", "mask", F.col("print").bitwiseAND(F.col("mask")))
+        level = level.select("name", "print", F.col("used").bitwiseOR(F.col("mask")).alias("used"), shard.alias("shard"))
+        states = sorted({u | m for u, ms in masks.items() for m in ms})
+        sizes = level.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1")
+        sizes = materialize(sizes, "shards")
+        last = depth + 1 == DEPTH or min(64 - u.bit_count() for u in states) <= 2 * radius or sizes.filter(F.col("n") > large).isEmpty()
+        small = level.join(sizes if last else sizes.filter(F.col("n") <= large), "shard", "left_semi").select("shard", "name", "print")
+        ready = small if ready is None else ready.union(small)
+        if last:
+            break
+        level = level.join(sizes.filter(F.col("n") > large), "shard", "left_semi")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: list[pa.RecordBatch] = []  # batches of a shard that may go on
         for batch in batches:
-            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            shard = rows["shard"].to_numpy()
-            cut = int(np.searchsorted(shard, shard[-1])) if len(shard) else 0
-            yield from found(rows.slice(0, cut))
-            held = rows.slice(cut)
-        if held is not None:
-            yield from found(held)
+            shard = batch.column("shard").to_numpy()
+            if not len(shard):
+                continue
+            cut = int(np.searchsorted(shard, shard[-1]))
+            if held and (cut or held[-1].column("shard")[0].as_py() != int(shard[0])):
+                yield from found(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            elif cut:
+                yield from found(pa.Table.from_batches([batch.slice(0, cut)]))
+            held.append(batch.slice(cut))
+        if held:
+            yield from found(pa.Table.from_batches(held))
 
     def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         shard, name = rows["shard"].to_numpy(), rows["name"].to_numpy()
@@ -209,10 +224,6 @@ def links(prints: DataFrame, radius: int = RADIUS, large: int = LARGE) -> DataFr
     return dealt.mapInArrow(search, "a long, b long")
 
 
-def _signed_list(mask: int, radius: int) -> list[int]:
-    return [_signed(m) for m in blocks(radius, [b for b in range(64) if not mask >> b & 1])]
-
-
 _NULL_KEY = (1 << 63) - 1
 
 

@@ -264,3 +264,67 @@ def test_near_lines_of_very_many_characters(spark):
     got = {r.doc_id: r.n_removed for r in line_dedup.remove_repeated_lines(docs).collect()}
     assert got == {1: 0, 2: 1, 3: 1, 4: 1, 5: 0, 6: 0}
     assert time.time() - start < 60
+
+
+def test_bands_find_nine_in_ten_of_a_hot_group(spark, frame):
+    """Near copies with different texts around one passage, beside others: recall against all pairs."""
+    draw = np.random.default_rng(9)
+    passage = [f"p{x}" for x in draw.integers(0, 9000, 150)]
+    rows = []
+    for i in range(120):
+        words = list(passage)
+        for spot in draw.integers(0, 150, 1):
+            words[spot] = f"n{i}x{spot}"
+        rows.append((i, " ".join(words)))
+    rows += [(200 + i, " ".join(f"o{x}" for x in draw.integers(0, 9000, 100))) for i in range(60)]
+    rows += [(1000 + i, t) for i, t in rows[:40]]
+    got = {(r.query, r.match): r.jaccard for r in minhash.near_search(frame(rows), "key % 20 = 0").collect()}
+    sets = {i: minsets(t) for i, t in rows if i < 1000}
+    want = {(q, m): jaccard(sets[q], sets[m]) for q in sets if q % 20 == 0 for m in sets if m != q}
+    want = {p: j for p, j in want.items() if j >= 0.8}
+    assert len(want) > 300 and set(got) <= set(want) and len(got) >= 0.9 * len(want)
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in got)
+    near = {r.doc_id: r.representative for r in minhash.members(frame(rows)).collect()}
+    assert len(near) == len(rows) and near[1003] == 3 and near[203] == 203
+
+
+def test_query_of_bands_recalls_all_pairs_of_the_table(spark):
+    from panelwise.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    rows = {}
+    for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect():
+        rows.setdefault(r.text or "", []).append(r.doc_id)
+    sets = {min(ids): minsets(text) for text, ids in rows.items()}
+    asked = {min(ids): min([i for i in ids if i % 20 == 0], default=None) for ids in rows.values()}
+    want = set()
+    for a, query in asked.items():
+        if query is not None and sets[a]:
+            want |= {(query, b) for b in sets if b != a and sets[b] and jaccard(sets[a], sets[b]) >= 0.8}
+    got = {(r.query, r.match) for r in QUERIES["minhash_near_search"](spark, folder).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want)
+
+
+@pytest.mark.parametrize("large", [8, 60])
+def test_crowds_are_dealt_until_they_are_small(spark, large):
+    """Fingerprints that agree in all but 14 bits: shards stay small at every depth, and no link is lost."""
+    draw = np.random.default_rng(12)
+    values = sorted({int(x) for x in draw.integers(0, 1 << 14, 700)} | {int(x) << 50 | 5 for x in draw.integers(0, 1 << 14, 300)})
+    prints = spark.createDataFrame([(i, v - (1 << 64) if v >> 63 else v) for i, v in enumerate(values)], "name long, print long")
+    found = {(r.a, r.b) for r in simhash.links(prints, 2, large).collect()}
+
+    def reach(edges):
+        root = list(range(len(values)))
+
+        def top(v):
+            while root[v] != v:
+                v = root[v]
+            return v
+
+        for a, b in edges:
+            a, b = sorted((top(a), top(b)))
+            root[b] = a
+        return [top(v) for v in range(len(values))]
+
+    near = [(i, j) for i, a in enumerate(values) for j, b in enumerate(values[:i]) if (a ^ b).bit_count() <= 2]
+    assert reach(found) == reach(near)
