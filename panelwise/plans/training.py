@@ -224,7 +224,7 @@ def cross_validate(
     def run(i: int) -> DataFrame:
         train = folds.filter(F.col("fold") != i)
         if resample is not None:
-            train = resample(train)
+            train = materialize(resample(train), "resampled")  # read by every pass of the fit
         model = fit_model(family, params, train, roles)
         scored = score_batch(model, folds.filter(F.col("fold") == i), roles)
         return scored.select("fold", roles.label, roles.score, roles.prediction)
