@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import ascii_lower, fresh, whole
+from panelwise.llm.common import ascii_lower, fresh, runs, whole
 from panelwise.llm.components import components
 from panelwise.session import materialize
 
@@ -33,6 +33,8 @@ SHINGLE, RADIUS = 3, 2
 LARGE = 4096
 #: Times that a crowded shard is dealt again; after these, fingerprints of a shard differ in ten bits at most.
 DEPTH = 5
+#: Shingles whose bits are counted at a time; the arrays over them have 64 numbers each.
+DIGESTS_AT_ONCE = 1 << 16
 _ASCII_SPACE = "\t\n\x0b\x0c\r"
 
 
@@ -61,7 +63,9 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
         for batch in batches:
             lists = batch.column("digests")
             at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-            prints = majority_bits(lists.flatten().to_numpy().view(_U), at)
+            flat, prints = lists.flatten().to_numpy().view(_U), np.zeros(len(at) - 1, _U)
+            for a, b in runs(at[:-1] // DIGESTS_AT_ONCE):
+                prints[a:b] = majority_bits(flat[at[a] : at[b]], at[a : b + 1] - at[a])
             columns = [batch.column(key), batch.column("tag"), pa.array(prints.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=[key, "tag", "print"])
 
