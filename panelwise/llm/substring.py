@@ -25,8 +25,8 @@ _LAST = np.iinfo(np.int64).max
 #: Words of the grams whose smallest hash is a window's anchor, as a share of the window.
 ANCHOR_SHARE = 0.4
 #: Fewest and most cells in each of the sketch's two rows, and bytes of text per cell.  A cell has two bits: seen, and
-#: seen again; the most make 128 MB.  Beyond the text they suffice for the sketch rules out less and the exact pass does more.
-LEAST_CELLS, CELLS, CELL_BYTES = 1 << 22, 1 << 28, 12
+#: seen again; they make 64 to 128 MB.  Beyond the text they suffice for the sketch rules out less and the exact pass does more.
+LEAST_CELLS, CELLS, CELL_BYTES = 1 << 27, 1 << 28, 12
 #: Bytes of the sketch that travel as one row.
 BLOCK = 1 << 18
 _SALTS = (_U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F))

@@ -98,9 +98,10 @@ def test_copies_of_a_row_carry_one_list_each(spark, monkeypatch):
     assert longest[0] == longest[1]
 
 
-def test_sketch_follows_the_size_of_the_texts(spark):
+def test_sketch_follows_the_size_of_the_texts(spark, monkeypatch):
     few = spark.range(10).selectExpr("'a b c' AS text")
     assert substring.sketch_cells(few) == substring.LEAST_CELLS
+    monkeypatch.setattr(substring, "LEAST_CELLS", 1 << 10)
     many = spark.range(1000).selectExpr("repeat('word ', 20000) AS text")
-    assert substring.sketch_cells(many) == 1 << 23
+    assert substring.sketch_cells(many) == 1 << 23 and substring.sketch_cells(few) == 1 << 10
     assert substring.sketch_cells(few.limit(0)) == substring.LEAST_CELLS
