@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from panelwise.operators.columns import require_columns
 from panelwise.session import path_exists
 
-#: Size of the distribution's sketch, and what it is taken to be off in rank at most: a half of a percent.
-SKETCH_SIZE, RANK_ERROR = 800, 0.005
+#: Size of the distribution's sketch, and what its ranks are off at most, in 99 of 100 cases.
+SKETCH_SIZE, RANK_ERROR = 800, 0.006
 #: Parts that one call may add or ask for.
 MAX_PARTS = 100_000
 STATE_SCHEMA = (
