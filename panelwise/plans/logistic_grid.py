@@ -21,8 +21,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.functions.scalar import above
+from panelwise.operators.counts import cv_summary
 from panelwise.operators.split import stratified_folds
-from panelwise.plans.training import CV_METRICS, DECISION, FOLDS, MAX_FOLDS, check_params, evaluate
+from panelwise.plans.training import (
+    CV_METRICS,
+    DECISION,
+    FOLDS,
+    MAX_FOLDS,
+    SEED,
+    TRIAL_SCHEMA,
+    check_params,
+    draw_params,
+    evaluate,
+)
 from panelwise.roles import ColumnRoles
 from panelwise.session import materialize
 
@@ -209,3 +220,35 @@ def cross_validate_grid(
     scored = rows.select("fold", F.col(roles.label).cast("int").alias("_y"), *names).mapInArrow(score, "setting int, fold int, _y int, _p double")
     scored = scored.select("setting", "fold", F.col("_y").alias(roles.label), F.col("_p").alias(roles.score), above(F.col("_p"), DECISION).alias(roles.prediction))
     return evaluate(materialize(scored, "held_out"), roles, ["setting", "fold"]).select("setting", "fold", *CV_METRICS)
+
+
+def search_grid(
+    df: DataFrame, roles: ColumnRoles, n_trials: int, k: int | None = None, seed: int = SEED, space: Mapping | None = None, passes: list | None = None
+) -> DataFrame:
+    """The trials table of ``training.search_trials`` for the logistic regression, all trials fitted together.
+
+    A random search draws its trials beforehand, so one pass per round serves them all.
+    Trials whose parameters are refused have state ``FAIL``.
+    """
+    drawn = [draw_params("logistic_regression", i, seed, space) for i in range(n_trials)]
+    fits, rows = [], []
+    for number, params in enumerate(drawn):
+        try:
+            check_params(params, "logistic_regression")
+            _penalties(params)
+            fits.append(number)
+        except (KeyError, ValueError, ZeroDivisionError):
+            rows.append((number, "FAIL", *[None] * 8, _text(params)))
+    if n_trials and not fits:
+        raise RuntimeError("no trial completed")
+    if fits:
+        per_fold = cross_validate_grid([drawn[i] for i in fits], df, roles, k, passes=passes)
+        for r in cv_summary(per_fold, CV_METRICS, ["setting"]).collect():
+            number = fits[r["setting"]]
+            found = [r[f"mean_{m}"] for m in ("f1", "accuracy", "auc_roc", "precision", "recall")]
+            rows.append((number, "COMPLETE", found[0], *found, r["f1_std"], number, _text(drawn[number])))
+    return df.sparkSession.createDataFrame(sorted(rows, key=lambda r: r[0]), TRIAL_SCHEMA)
+
+
+def _text(params: Mapping[str, Any]) -> dict[str, str | None]:
+    return {n: None if v is None else str(v) for n, v in params.items()}

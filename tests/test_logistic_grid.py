@@ -65,3 +65,18 @@ def test_constant_feature_and_separable_rows(spark):
         assert np.isfinite(w).all() and w[0] > 0 and abs(w[1]) < 1e-6
     with pytest.raises(ValueError):
         grid.fit_grid(df, [{"reg_lambda": 1.0}], ["a", "b"], "label")
+
+
+def test_search_gives_the_trials_of_separate_fits(rows):
+    space = {"C": ("log", 0.05, 5.0), "penalty": ("choice", ("l2", "l1")), "max_iter": ("int", 300, 400), "tol": ("float", 1e-9, 1e-8)}
+    got = {r["number"]: r for r in grid.search_grid(rows.drop("part"), ROLES, 2, k=3, space=space).collect()}
+    want = {r["number"]: r for r in training.search_trials("logistic_regression", rows.drop("part"), ROLES, 2, k=3, space=space).collect()}
+    assert got.keys() == want.keys()
+    for number, r in want.items():
+        assert got[number]["params"] == r["params"] and got[number]["state"] == "COMPLETE"
+        assert all(abs(got[number][m] - r[m]) < 1e-6 for m in ("value", "accuracy", "roc_auc", "precision", "recall", "f1_std"))
+    wrong = {"penalty": ("choice", ("none of these", "l2"))}
+    states = {r["state"] for r in grid.search_grid(rows.drop("part"), ROLES, 8, k=2, space=wrong).collect()}
+    assert states == {"FAIL", "COMPLETE"}
+    with pytest.raises(RuntimeError):
+        grid.search_grid(rows.drop("part"), ROLES, 2, k=2, space={"penalty": ("choice", ("wrong",))})

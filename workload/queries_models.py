@@ -405,6 +405,13 @@ def _cv_grid(spark, sf_dir) -> DataFrame:
     return logistic_grid.cross_validate_grid(GRID, train, MODEL_ROLES)
 
 
+@query("search_grid")
+def _search_grid(spark, sf_dir) -> DataFrame:
+    """Eight drawn settings on five folds, fitted in the passes of one."""
+    train = prepared_splits(spark, sf_dir)["train"]
+    return logistic_grid.search_grid(train, MODEL_ROLES, 8)
+
+
 @query("search_adaptive")
 def _adaptive(spark, sf_dir) -> DataFrame:
     """Trials of a search that proposes from those before and stops poor ones on a third of the rows."""
