@@ -20,15 +20,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.operators.neighbours import (
-    DECIMALS,
+    _VALUES_AT_ONCE,
     MAX_PIVOT_VALUES,
+    MAX_TASKS,
+    _best_of_chunk,
+    _chunked,
+    _cut_pairs,
     _distances,
+    _grouped,
+    _groups_of,
     _keep_best,
     _matrix,
     _merged,
+    _nearest_pivot,
     _per_row,
-    _reach,
     _search,
+    _task_rows,
     nearest_neighbours,
 )
 from panelwise.session import materialize, small_frame
@@ -37,7 +44,6 @@ from panelwise.session import materialize, small_frame
 FIT_ROWS, MAX_CELLS, FIT_ROUNDS = 32_768, 4_096, 12
 #: Vectors asked to choose the number of probes.
 ASKED_ROWS = 400
-_PAIRS_AT_ONCE = 20_000
 
 
 def _digest_order() -> list:
@@ -53,7 +59,7 @@ def _centers(groups: DataFrame, n: int, d: int, cells: int | None, seed: int) ->
     x = _matrix(sample["vec"])
     centers = x[np.random.default_rng(seed).permutation(len(x))[:count]].copy()
     for _ in range(FIT_ROUNDS):
-        cell = _nearest(x, centers)[0]
+        cell = _nearest_pivot(x, centers)[0]
         size = np.bincount(cell, minlength=len(centers))
         order = np.argsort(cell, kind="stable")
         filled = np.flatnonzero(size)
@@ -61,32 +67,6 @@ def _centers(groups: DataFrame, n: int, d: int, cells: int | None, seed: int) ->
     return centers
 
 
-def _nearest(x: np.ndarray, centers: np.ndarray, block: int = 4_096) -> tuple[np.ndarray, np.ndarray]:
-    cell, away = np.empty(len(x), np.int64), np.empty(len(x))
-    for start in range(0, len(x), block):
-        part = _distances(x[start : start + block], centers)
-        cell[start : start + block] = part.argmin(axis=1)
-        away[start : start + block] = part.min(axis=1)
-    return cell, away
-
-
-def _grouped(centers: np.ndarray, sizes: np.ndarray, group_rows: int) -> np.ndarray:
-    """Group of each cell: cells are halved across their widest direction until a half has few enough members."""
-    group, work, number = np.zeros(len(centers), np.int64), [np.arange(len(centers))], 0
-    while work:
-        cells = work.pop()
-        if sizes[cells].sum() <= group_rows or len(cells) == 1:
-            group[cells], number = number, number + 1
-            continue
-        spread = centers[cells] - centers[cells].mean(axis=0)
-        side = spread @ np.linalg.svd(spread, full_matrices=False)[2][0]
-        order = np.argsort(side, kind="stable")
-        half = np.searchsorted(np.cumsum(sizes[cells][order]), sizes[cells].sum() / 2)
-        half = min(max(int(half), 1), len(cells) - 1)
-        work += [cells[order[:half]], cells[order[half:]]]
-    return group
-
-
 def _probe_count(groups: DataFrame, placed: DataFrame, centers: np.ndarray, n: int, k: int, recall: float, chunk_rows: int) -> int:
     """Fewest cells, nearest first, that hold ``recall`` of the true neighbours of asked vectors with two standard errors to spare."""
     if recall >= 1 or len(centers) == 1:
@@ -130,8 +110,8 @@ def inverted_neighbours(
     ``recall`` is the share of true neighbours to be found, measured on a sample of
     the vectors; 1 gives the exact neighbours.  Without ``cells`` there are twice the
     root of the number of vectors, at most ``MAX_CELLS``.  Tasks hold at most about
-    ``group_rows`` members and ``chunk_rows`` vectors that probe them; a cell with more
-    members is cut.  Equal vectors are searched once.  A row may have fewer than k
+    ``group_rows`` members and ``chunk_rows`` vectors that probe them, more of a large table
+    (``_task_rows``); a cell with more members is cut.  Equal vectors are searched once.  A row may have fewer than k
     neighbours if few rows are in its cells.
     """
     best = k + 1
@@ -145,143 +125,41 @@ def inverted_neighbours(
 
     @F.pandas_udf("cell int, away double")
     def home(vec: pd.Series) -> pd.DataFrame:
-        cell, away = _nearest(_matrix(vec), centers)
+        cell, away = _nearest_pivot(_matrix(vec), centers)
         return pd.DataFrame({"cell": cell.astype("int32"), "away": away})
 
     placed = materialize(groups.withColumn("_at", home("vec")).select("*", "_at.cell", "_at.away").drop("_at"), "cells")
-    stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("inner"), F.max("away").alias("outer"))
-    known = {r["cell"]: (r["n"], r["inner"], r["outer"]) for r in stats.collect()}
-    sizes, inner, outer = (np.array([known.get(c, (0, 0.0, 0.0))[i] for c in range(len(centers))]) for i in range(3))
+    known = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}
+    sizes = np.array([known.get(c, 0) for c in range(len(centers))])
     probes = _probe_count(groups, placed, centers, shape["n"], k, recall, chunk_rows)
-    group = _grouped(centers, sizes, group_rows)
+    most = max(group_rows, _task_rows(shape["n"], shape["d"], chunk_rows))
+    group = _grouped(centers, sizes, most)
     held = np.bincount(group, sizes).astype(np.int64)
-
-    @F.pandas_udf("array<struct<group:int,cells:array<int>>>")
-    def visits(vec: pd.Series) -> pd.Series:
-        away = _distances(_matrix(vec), centers)
-        near = np.argsort(away, axis=1, kind="stable")[:, :probes]
-        out = []
-        for row in near:
-            row = row[sizes[row] > 0]
-            mine = group[row]
-            order = np.argsort(mine, kind="stable")
-            numbers, starts = np.unique(mine[order], return_index=True)
-            parts = np.split(row[order], starts[1:])
-            out.append([{"group": int(g), "cells": p.astype("int32")} for g, p in zip(numbers, parts)])
-        return pd.Series(out)
-
-    asked = placed.select(F.col("gid").alias("qid"), F.col("vec").alias("qvec"), F.explode(visits("vec")).alias("to"))
-    asked = materialize(asked.select("qid", "qvec", F.col("to.group").alias("qgroup"), F.col("to.cells").alias("cells")), "probes")
+    filled = np.flatnonzero(sizes)
+
+    @F.pandas_udf("reach double, to array<int>")
+    def visits(vec: pd.Series) -> pd.DataFrame:
+        query = _matrix(vec)
+        reach, to, step = np.full(len(query), np.inf), [], max(1, _VALUES_AT_ONCE // len(centers))
+        for at in range(0, len(query), step):
+            e = slice(at, at + step)
+            away = _distances(query[e], centers)
+            if probes < len(centers):
+                reach[e] = np.partition(away, probes - 1, axis=1)[:, probes - 1]
+            to += _groups_of(away[:, filled] <= reach[e, None], group[filled])
+        return pd.DataFrame({"reach": reach, "to": to})
+
+    asked = placed.select(F.col("gid").alias("qid"), F.col("vec").alias("qvec"), visits("vec").alias("_v"))
+    # Read twice, to size the chunks and to search; written before the groups multiply the vectors.
+    asked = materialize(asked.select("qid", "qvec", "_v.reach", "_v.to"), "probes")
+    asked = asked.select("qid", "qvec", "reach", F.explode("to").alias("qcell"))
     spark = df.sparkSession
-    of_cell = F.broadcast(small_frame(spark, [(int(c), int(g)) for c, g in enumerate(group)], "cell int, group int"))
-    base = placed.join(of_cell, "cell").select("gid", "vec", "cell", "group", "member_ids", "member_labels")
-    visited = {r["qgroup"]: r["count"] for r in asked.groupBy("qgroup").count().collect()}
-    found = _search_groups(asked, base, best, chunk_rows, group_rows, visited, held, (centers, inner, outer))
-    return _per_row(_keep_best(found, best), groups, rows, shape["n"], k, row_id)
-
-
-def _search_groups(
-    asked: DataFrame, base: DataFrame, best: int, chunk_rows: int, group_rows: int, visited: dict, held: np.ndarray, cells: tuple
-) -> DataFrame:
-    """The best candidates of every (vector, group): qid, distance, id, label.
-
-    A group without vectors or members takes no part; a group is cut into chunks on both sides.
-    """
-    spark = base.sparkSession
-    chunks = [(int(g), math.ceil(n / chunk_rows), math.ceil(int(held[g]) / group_rows)) for g, n in visited.items() if held[g]]
-    sizes = F.broadcast(small_frame(spark, chunks, "number int, q_chunks int, b_chunks int"))
-
-    def cut(frame: DataFrame, on: str, key: str, mine: str, other: str) -> DataFrame:
-        return (
-            frame.join(sizes, frame[on] == sizes["number"]).drop("number")
-            .withColumn("own", F.pmod(F.xxhash64(key), F.col(mine)).cast("int"))
-            .withColumn("spread", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-            .drop("q_chunks", "b_chunks")
-        )
-
-    left = cut(asked, "qgroup", "qid", "q_chunks", "b_chunks")
-    right = cut(base, "group", "gid", "b_chunks", "q_chunks")
-    return (
-        left.groupBy("qgroup", "own", "spread")
-        .cogroup(right.groupBy("group", "spread", "own"))
-        .applyInPandas(_best_of_group(best, *cells), "qid bigint, distance double, id bigint, label int")
+    of_cell = F.broadcast(small_frame(spark, [(c, int(g)) for c, g in enumerate(group)], "part int, cell int"))
+    base = placed.withColumnRenamed("cell", "part").join(of_cell, "part")
+    base = base.select("gid", "vec", "cell", "part", "member_ids", "member_labels")
+    visited = {r["qcell"]: r["count"] for r in asked.groupBy("qcell").count().collect()}
+    sizes_of, pairs = _chunked(spark, most, visited, dict(enumerate(held)))
+    found = _cut_pairs(asked, base, "qcell", sizes_of, min(max(pairs, 1), MAX_TASKS)).applyInPandas(
+        _best_of_chunk(best, centers), "qid bigint, distance double, id bigint, label int"
     )
-
-
-def _best_of_group(best: int, centers: np.ndarray, inner: np.ndarray, outer: np.ndarray):
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = ["qid", "distance", "id", "label"]
-        if left.empty or right.empty:
-            return pd.DataFrame({c: [] for c in columns})
-        right = right.sort_values(["cell", "gid"], kind="stable")
-        query, base = _matrix(left["qvec"]), _matrix(right["vec"])
-        cell = right["cell"].to_numpy()
-        present, starts = np.unique(cell, return_index=True)
-        stops = np.append(starts[1:], len(cell))
-        sizes = left["cells"].str.len().to_numpy()
-        owner = np.repeat(np.arange(len(left)), sizes)
-        wanted = np.concatenate(list(left["cells"]))
-        order = np.argsort(wanted, kind="stable")
-        owner, wanted = owner[order], wanted[order]
-        first = np.searchsorted(wanted, present)
-        last = np.searchsorted(wanted, present, side="right")
-        away = _distances(query, centers[present])
-        reach = _reach(query, base)
-        middle = base.mean(axis=0)
-        small_q, small_b = (query - middle).astype(np.float32), (base - middle).astype(np.float32)
-        square_q, square_b = (small_q**2).sum(1), (small_b**2).sum(1)
-        # Single precision is good to about 1e-3 of the lengths; what is that near the limit is computed again.
-        slack = 1e-3 * (square_q + square_b.max())
-        held = np.full((len(query), best), np.inf, np.float32)
-        pairs_q, pairs_b = [], []
-        # Cells that hold the nearest members of most vectors first, so that the limits are small early.
-        for at in np.argsort(away.mean(axis=0), kind="stable"):
-            rows = owner[first[at] : last[at]]
-            c = present[at]
-            bound = np.maximum(away[rows, at] - outer[c], inner[c] - away[rows, at]) - 2 * reach[rows]
-            limit = held[rows, -1]
-            rows = rows[np.maximum(bound, 0) ** 2 <= limit + slack[rows]]
-            for begin in range(0, len(rows), 2_048):
-                some = rows[begin : begin + 2_048]
-                part = slice(starts[at], stops[at])
-                square = square_q[some, None] + square_b[None, part] - 2 * (small_q[some] @ small_b[part].T)
-                near_q, near_b = np.nonzero(square <= (held[some, -1] + slack[some])[:, None])
-                pairs_q.append(some[near_q])
-                pairs_b.append(near_b + starts[at])
-                both = np.concatenate([held[some], square], axis=1)
-                touched = np.unique(near_q)
-                held[some[touched]] = np.sort(np.partition(both[touched], best - 1, axis=1)[:, :best], axis=1)
-        q, b = np.concatenate(pairs_q or [np.zeros(0, np.int64)]), np.concatenate(pairs_b or [np.zeros(0, np.int64)])
-        kept_q, kept_b, exact = [], [], []
-        for start in range(0, len(q), _PAIRS_AT_ONCE):
-            some_q, some_b = q[start : start + _PAIRS_AT_ONCE], b[start : start + _PAIRS_AT_ONCE]
-            square = square_q[some_q] + square_b[some_b] - 2 * np.einsum("ij,ij->i", small_q[some_q], small_b[some_b])
-            close = square <= held[some_q, -1] + 2 * slack[some_q]
-            some_q, some_b = some_q[close], some_b[close]
-            gap = query[some_q] - base[some_b]
-            kept_q.append(some_q)
-            kept_b.append(some_b)
-            exact.append(np.sqrt(np.einsum("ij,ij->i", gap, gap)))
-        if not kept_q:
-            return pd.DataFrame({c: [] for c in columns})
-        q, b, exact = np.concatenate(kept_q), np.concatenate(kept_b), np.concatenate(exact)
-        exact = np.round(exact, DECIMALS)
-        ids = right["gid"].to_numpy()
-        order = np.lexsort((ids[b], exact, q))
-        q, b, exact = q[order], b[order], exact[order]
-        keep = np.arange(len(q)) - np.searchsorted(q, q) < best
-        q, b, exact = q[keep], b[keep], exact[keep]
-        copies = right["member_ids"].to_numpy()[b]
-        times = np.array([len(c) for c in copies], np.int64)
-        labels = right["member_labels"].to_numpy()[b]
-        return pd.DataFrame(
-            {
-                "qid": np.repeat(left["qid"].to_numpy()[q], times),
-                "distance": np.repeat(exact, times),
-                "id": np.concatenate(list(copies)) if len(copies) else np.zeros(0, np.int64),
-                "label": np.concatenate(list(labels)) if len(copies) else np.zeros(0, np.int32),
-            }
-        )
-
-    return search
-
+    return _per_row(_keep_best(found, best), groups, rows, shape["n"], k, row_id)

@@ -4,8 +4,11 @@ Points are put into cells around pivots.  Every point first looks for its
 neighbours in its own cell; that gives a radius, and only cells that can hold
 something closer are visited next (triangle inequality; Lu, Shen, Chen, Ooi,
 "Efficient Processing of k Nearest Neighbor Joins using MapReduce", VLDB 2012).
-Cells are cut into chunks, so that no task sees more than a fixed number of
-points on either side, and tasks return only the best few candidates per point.
+Cells that lie together travel as one group, so that a point is copied once for
+each group near it and not once for each cell; the task searches the cells of a
+group in turn.  Groups are cut into chunks, so that no task sees more than a fixed
+number of points on either side, and tasks return only the best few candidates per
+point.
 Equal vectors are merged before the search: each is searched once, whatever
 the number of its copies.
 
@@ -28,7 +31,10 @@ from panelwise.session import materialize, small_frame
 
 DECIMALS = 6
 _SLACK = 1e-6
-_PAIRS_AT_ONCE = 200_000
+# Pairs computed exactly at once; values of a matrix held at once; points of a cell compared at once.
+_PAIRS_AT_ONCE, _VALUES_AT_ONCE, _RUN = 50_000, 1 << 21, 2_048
+# A side of a task: a share of all points, bounded in points and in coordinates; most tasks of a search.
+SHARES, MAX_TASK_ROWS, MAX_TASK_VALUES, MAX_TASKS = 8, 1 << 16, 1 << 22, 4_096
 # Pivots are sent to every task; this bounds their number of coordinates.
 MAX_PIVOT_VALUES = 1 << 20
 MAX_PIVOTS = 4_096
@@ -50,51 +56,191 @@ def _reach(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _SLACK * (1.0 + scale)
 
 
-def _best_of_chunk(k: int):
-    """Search one chunk of points against one chunk of a cell."""
+def _nearest_pivot(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest pivot of each row and its distance, some rows at a time."""
+    cell, away = np.empty(len(x), np.int64), np.empty(len(x))
+    step = max(1, _VALUES_AT_ONCE // len(pivots))
+    for start in range(0, len(x), step):
+        part = _distances(x[start : start + step], pivots)
+        cell[start : start + step] = part.argmin(axis=1)
+        away[start : start + step] = part.min(axis=1)
+    return cell, away
+
+
+def _task_rows(n: int, d: int, least: int) -> int:
+    """Points of a side that a task holds: ``least`` or a share of all, as far as memory goes."""
+    return max(least, min(math.ceil(n / SHARES), MAX_TASK_ROWS, MAX_TASK_VALUES // max(d, 1)))
+
+
+def _grouped(centers: np.ndarray, sizes: np.ndarray, group_rows: int) -> np.ndarray:
+    """Group of each cell: cells are halved across their widest direction until a half has few enough members."""
+    group, work, number = np.zeros(len(centers), np.int64), [np.arange(len(centers))], 0
+    while work:
+        cells = work.pop()
+        if sizes[cells].sum() <= group_rows or len(cells) == 1:
+            group[cells], number = number, number + 1
+            continue
+        spread = centers[cells] - centers[cells].mean(axis=0)
+        side = spread @ np.linalg.svd(spread, full_matrices=False)[2][0]
+        order = np.argsort(side, kind="stable")
+        half = np.searchsorted(np.cumsum(sizes[cells][order]), sizes[cells].sum() / 2)
+        half = min(max(int(half), 1), len(cells) - 1)
+        work += [cells[order[:half]], cells[order[half:]]]
+    return group
+
+
+class _Nearest:
+    """The best few points of every query, found block by block.
+
+    A matrix product, in single precision where there are many dimensions, rules out
+    most pairs: those farther than the best found so far by more than its error.  The
+    others are computed exactly.
+    """
+
+    def __init__(self, query: np.ndarray, base: np.ndarray, ids: np.ndarray, best: int, radius: np.ndarray | None):
+        self.query, self.base, self.ids, self.best = query, base, ids, best
+        kind = np.float32 if query.shape[1] >= 16 else np.float64
+        middle = base.mean(axis=0)
+        self.q, self.b = query - middle, base - middle
+        self.square, square = (self.q**2).sum(1), (self.b**2).sum(1)
+        # The product q.b - b.b/2 orders the points of a query by their distance.
+        self.q = np.hstack([self.q, np.ones((len(query), 1))]).astype(kind)
+        self.b = np.hstack([self.b, -square[:, None] / 2]).astype(kind)
+        length = np.sqrt(self.square) + math.sqrt(square.max())
+        self.slack = 2 * (query.shape[1] + 8) * np.finfo(kind).eps * length**2
+        self.limit = np.full(len(query), np.inf) if radius is None else radius.astype(float)
+        self.held = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        self.new = 0
+
+    def look(self, rows: np.ndarray, start: int, stop: int) -> None:
+        """Compare the queries ``rows`` with the points from ``start`` to ``stop``."""
+        step = max(1, _VALUES_AT_ONCE // (stop - start))
+        for at in range(0, len(rows), step):
+            some = rows[at : at + step]
+            near = self.q[some] @ self.b[start:stop].T
+            slack = self.slack[some]
+            limit = self.limit[some]
+            free = np.flatnonzero(np.isinf(limit))
+            if len(free) and stop - start > self.best:
+                kth = np.partition(near[free], stop - start - self.best, axis=1)[:, stop - start - self.best]
+                limit[free] = np.sqrt(np.maximum(self.square[some[free]] - 2.0 * kth, 0) + slack[free])
+            least = (self.square[some] - (limit + 2 * 10.0**-DECIMALS) ** 2) / 2 - slack
+            hits = np.flatnonzero(near >= least.astype(near.dtype)[:, None])
+            for s in range(0, len(hits), _PAIRS_AT_ONCE):
+                row, col = np.divmod(hits[s : s + _PAIRS_AT_ONCE], stop - start)
+                self._add(some[row], col + start)
+
+    def _add(self, q: np.ndarray, b: np.ndarray) -> None:
+        diff = self.query[q] - self.base[b]
+        exact = np.round(np.sqrt((diff * diff).sum(1)), DECIMALS)
+        close = exact <= self.limit[q]
+        self.held.append((q[close], b[close], exact[close]))
+        self.new += int(close.sum())
+        if self.new > max(_PAIRS_AT_ONCE, len(self.query) * self.best):
+            self.pairs()
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, point and distance of the best so far, in order; the limits become those of the last ones."""
+        q, b, exact = (np.concatenate(x) for x in zip(*self.held))
+        order = np.lexsort((self.ids[b], exact, q))
+        q, b, exact = q[order], b[order], exact[order]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        self.held, self.new = [(q[rank < self.best], b[rank < self.best], exact[rank < self.best])], 0
+        last = rank == self.best - 1
+        self.limit[q[last]] = np.minimum(self.limit[q[last]], exact[last])
+        return self.held[0]
+
+
+def _best_pairs(
+    query: np.ndarray, base: np.ndarray, ids: np.ndarray, part: np.ndarray, best: int,
+    radius: np.ndarray | None = None, centers: np.ndarray | None = None, reach: np.ndarray | None = None,
+):
+    """Query, point and distance of the best points of each query, nearest first.
+
+    ``part`` is the cell of each point, in ascending order.  The nearest cell of a query is
+    searched first; others only if they can hold something closer.  With ``centers`` only
+    cells whose center is within ``reach`` are searched.
+    """
+    found = _Nearest(query, base, ids, best, radius)
+    cells, starts, sizes = np.unique(part, return_index=True, return_counts=True)
+    middle = np.add.reduceat(base, starts, axis=0) / sizes[:, None] if centers is None else centers[cells]
+    from_middle = np.sqrt(((base - np.repeat(middle, sizes, axis=0)) ** 2).sum(1))
+    inner, outer = np.minimum.reduceat(from_middle, starts), np.maximum.reduceat(from_middle, starts)
+    step = max(1, _VALUES_AT_ONCE // len(cells))
+    for at in range(0, len(query), step):
+        rows = np.arange(at, min(at + step, len(query)))
+        away = _distances(query[rows], middle)
+        low = np.maximum(away - outer, inner - away) - 2 * _reach(query[rows], base)[:, None]
+        if reach is not None:
+            low[away > reach[rows, None] * (1 + 1e-9)] = np.inf
+        nearest = np.where(np.isinf(low), np.inf, away).argmin(axis=1)
+        for first in (True, False):
+            for c in range(len(cells)):
+                for begin in range(starts[c], starts[c] + sizes[c], _RUN):
+                    wanted = (nearest == c) == first
+                    wanted &= (low[:, c] <= found.limit[rows]) & np.isfinite(low[:, c])
+                    if wanted.any():
+                        found.look(rows[wanted], begin, min(begin + _RUN, starts[c] + sizes[c]))
+            found.pairs()
+    return found.pairs()
+
+
+def _best_of_chunk(k: int, centers: np.ndarray | None = None):
+    """Search one chunk of points against one chunk of a cell, whose own cells are named by ``part`` if there are some."""
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         columns = ["qid", "distance", "id", "label"]
         if left.empty or right.empty:
             return pd.DataFrame({c: [] for c in columns})
-        base, ids = _matrix(right["vec"]), right["gid"].to_numpy()
-        pieces = []
-        for start in range(0, len(left), 256):
-            part = left.iloc[start : start + 256]
-            query = _matrix(part["qvec"])
-            rough = _distances(query, base)
-            limit = np.full(len(part), np.inf)
-            if len(base) > k:
-                limit = np.partition(rough, k - 1, axis=1)[:, k - 1] + 2 * _reach(query, base)
-            rows, hits = np.nonzero(rough <= limit[:, None])
-            exact = np.empty(len(rows))
-            for s in range(0, len(rows), _PAIRS_AT_ONCE):
-                e = slice(s, s + _PAIRS_AT_ONCE)
-                diff = query[rows[e]] - base[hits[e]]
-                exact[e] = np.sqrt((diff * diff).sum(1))
-            exact = np.round(exact, DECIMALS)
-            order = np.lexsort((ids[hits], exact, rows))
-            rows, hits, exact = rows[order], hits[order], exact[order]
-            first = np.searchsorted(rows, np.arange(len(part)))
-            keep = np.arange(len(rows)) - first[rows] < k
-            rows, hits, exact = rows[keep], hits[keep], exact[keep]
-            copies = right["member_ids"].to_numpy()[hits]
-            times = np.array([len(c) for c in copies])
-            pieces.append(
-                pd.DataFrame(
-                    {
-                        "qid": np.repeat(part["qid"].to_numpy()[rows], times),
-                        "distance": np.repeat(exact, times),
-                        "id": np.concatenate(list(copies)),
-                        "label": np.concatenate(list(right["member_labels"].to_numpy()[hits])),
-                    }
-                )
-            )
-        return pd.concat(pieces)
+        right = right.sort_values("part", kind="stable") if "part" in right else right
+        part = right["part"].to_numpy() if "part" in right else np.zeros(len(right), np.int64)
+        radius, reach = (left[c].to_numpy() if c in left else None for c in ("radius", "reach"))
+        q, b, exact = _best_pairs(
+            _matrix(left["qvec"]), _matrix(right["vec"]), right["gid"].to_numpy(), part, k, radius, centers, reach
+        )
+        copies, labels = right["member_ids"].to_numpy()[b], right["member_labels"].to_numpy()[b]
+        times = np.array([len(c) for c in copies], np.int64)
+        return pd.DataFrame(
+            {
+                "qid": np.repeat(left["qid"].to_numpy()[q], times),
+                "distance": np.repeat(exact, times),
+                "id": np.concatenate(list(copies)) if len(q) else np.zeros(0, np.int64),
+                "label": np.concatenate(list(labels)) if len(q) else np.zeros(0, np.int32),
+            }
+        )
 
     return search
 
 
+def _cut_pairs(left: DataFrame, right: DataFrame, cell: str, sizes: DataFrame, tasks: int | None = None):
+    """Pairs of chunks of the queries of a cell and of its points, as groups.
+
+    ``sizes`` has cell, q_chunks and b_chunks; ``cell`` names the cell of a query.
+    """
+
+    def cut(frame: DataFrame, on: str, key: str, mine: str, other: str) -> DataFrame:
+        out = (
+            frame.join(sizes, frame[on] == sizes["cell"]).drop(sizes["cell"])
+            .withColumn("_own", F.pmod(F.xxhash64(key), F.col(mine)).cast("int"))
+            .withColumn("_spread", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+            .drop("q_chunks", "b_chunks")
+        )
+        mine_first = [on, "_own", "_spread"] if on == cell else [on, "_spread", "_own"]
+        return (out.repartition(tasks, *mine_first) if tasks else out).groupBy(*mine_first)
+
+    return cut(left, cell, "qid", "q_chunks", "b_chunks").cogroup(cut(right, "cell", "gid", "b_chunks", "q_chunks"))
+
+
+def _chunked(spark, chunk_rows: int, n_query: dict, n_base: dict) -> tuple[DataFrame, int]:
+    """Numbers of chunks of each cell that has queries and points, and the number of their pairs."""
+    chunks = [
+        (int(c), math.ceil(n / chunk_rows), math.ceil(int(n_base[c]) / chunk_rows))
+        for c, n in n_query.items()
+        if n_base.get(c)
+    ]
+    return F.broadcast(small_frame(spark, chunks, "cell int, q_chunks int, b_chunks int")), sum(q * b for _, q, b in chunks)
+
+
 def _search(
     queries: DataFrame, base: DataFrame, k: int, chunk_rows: int, n_query: dict, n_base: dict
 ) -> DataFrame:
@@ -102,38 +248,19 @@ def _search(
 
     Both sides are cut into chunks of about ``chunk_rows`` by a hash, and each
     pair of chunks of a cell is one group.  ``n_query`` and ``n_base`` are the
-    numbers of points per cell.
+    numbers of points per cell.  ``radius`` of a query, if it has one, bounds its
+    distances; ``part`` of a point is its place within the cell.
     """
-    spark = base.sparkSession
-    chunks = [
-        (c, math.ceil(n / chunk_rows), math.ceil(n_base[c] / chunk_rows))
-        for c, n in n_query.items()
-        if c in n_base
-    ]
-    if not chunks:
-        return small_frame(spark, [], "qid bigint, distance double, id bigint, label int")
-    sizes = F.broadcast(small_frame(spark, chunks, "cell int, q_chunks int, b_chunks int"))
-    return _search_chunks(queries, base, k, sizes)
+    sizes, pairs = _chunked(base.sparkSession, chunk_rows, n_query, n_base)
+    return _search_chunks(queries, base, k, sizes, min(max(pairs, 1), MAX_TASKS))
 
 
-def _search_chunks(queries: DataFrame, base: DataFrame, k: int, sizes: DataFrame) -> DataFrame:
+def _search_chunks(queries: DataFrame, base: DataFrame, k: int, sizes: DataFrame, tasks: int | None = None) -> DataFrame:
     """The search with the numbers of chunks given as a table: cell, q_chunks, b_chunks."""
-
-    def cut(frame: DataFrame, cell: str, key: str, mine: str, other: str, own: str, spread: str):
-        return (
-            frame.join(sizes, frame[cell] == sizes["cell"]).drop(sizes["cell"])
-            .withColumn(own, F.pmod(F.xxhash64(key), F.col(mine)).cast("int"))
-            .withColumn(spread, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-            .drop("q_chunks", "b_chunks")
-        )
-
-    base = base.select("cell", "gid", "vec", "member_ids", "member_labels")
-    left = cut(queries, "qcell", "qid", "q_chunks", "b_chunks", "q_own", "q_other")
-    right = cut(base, "cell", "gid", "b_chunks", "q_chunks", "b_own", "b_other")
-    return (
-        left.groupBy("qcell", "q_own", "q_other")
-        .cogroup(right.groupBy("cell", "b_other", "b_own"))
-        .applyInPandas(_best_of_chunk(k), "qid bigint, distance double, id bigint, label int")
+    part = [c for c in base.columns if c == "part"]
+    base = base.select("cell", "gid", "vec", "member_ids", "member_labels", *part)
+    return _cut_pairs(queries, base, "qcell", sizes, tasks).applyInPandas(
+        _best_of_chunk(k), "qid bigint, distance double, id bigint, label int"
     )
 
 
@@ -182,6 +309,7 @@ def nearest_neighbours(
     """row_id, neighbours: the k nearest other rows, nearest first.
 
     ``neighbours`` holds (distance, id, label).  ``row_id`` is an integer key.
+    A task holds ``chunk_rows`` points of a side, more of a large table (``_task_rows``).
     A row with a missing or non-finite coordinate is an error.
     """
     best = k + 1  # the row itself is one of the copies of its vector
@@ -209,12 +337,18 @@ def nearest_neighbours(
         merged = _keep_best(_search(at_home(single), single, best, chunk_rows, size, size), best)
     else:
         placed, pivots, cells = _place(groups, shape["n"], max(shape["d"], 1))
-        sizes = {c: n for c, (_, _, n) in cells.items()}
-        home = _search(at_home(placed), placed, best, chunk_rows, sizes, sizes)
+        # Points travel to groups of cells that lie together; the task rules out cells.
+        most = _task_rows(shape["n"], max(shape["d"], 1), chunk_rows)
+        held = np.array([cells.get(c, (0.0, 0.0, 0))[2] for c in range(len(pivots))])
+        group = _grouped(pivots, held, most)
+        sizes = {int(g): int(n) for g, n in enumerate(np.bincount(group, held)) if n}
+        of_cell = F.broadcast(small_frame(df.sparkSession, [(c, int(g)) for c, g in enumerate(group)], "part int, cell int"))
+        grouped = placed.withColumnRenamed("cell", "part").join(of_cell, "part")
+        home = _search(at_home(grouped), grouped, best, most, sizes, sizes)
         own = materialize(_keep_best(home, best), "own")
-        probes = _probes(placed, own, pivots, cells, best)
+        probes = _probes(placed, own, pivots, cells, best, group)
         visits = {r["qcell"]: r["count"] for r in probes.groupBy("qcell").count().collect()}
-        away = _search(probes, placed, best, chunk_rows, visits, sizes)
+        away = _search(probes, grouped, best, most, visits, sizes)
         merged = _keep_best(own.unionByName(away), best)
     return _per_row(merged, groups, rows, shape["n"], k, row_id)
 
@@ -241,9 +375,8 @@ def _place(groups: DataFrame, n: int, d: int):
 
     @F.pandas_udf("cell int, away double")
     def nearest(vec: pd.Series) -> pd.DataFrame:
-        away = _distances(_matrix(vec), pivots)
-        cell = away.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "away": away[np.arange(len(cell)), cell]})
+        cell, away = _nearest_pivot(_matrix(vec), pivots)
+        return pd.DataFrame({"cell": cell.astype("int32"), "away": away})
 
     placed = materialize(
         groups.withColumn("_at", nearest("vec")).select("*", "_at.cell", "_at.away").drop("_at"), "cells"
@@ -254,38 +387,49 @@ def _place(groups: DataFrame, n: int, d: int):
     return placed, pivots, {r["cell"]: (r["inner"], r["outer"], r["n"]) for r in stats.collect()}
 
 
-def _probes(placed: DataFrame, own: DataFrame, pivots: np.ndarray, cells: dict, best: int) -> DataFrame:
-    """(qid, qvec, qcell) for the cells that may hold one of the nearest rows."""
+def _lower_bound(query: np.ndarray, mine: np.ndarray, pivots: np.ndarray, names: np.ndarray, inner: np.ndarray, outer: np.ndarray):
+    """Least distance of each query, of cell ``mine``, to the points of the cells ``names``."""
+    centers = pivots[names]
+    away, between = _distances(query, centers), _distances(pivots[mine], centers)
+    to_mine = np.sqrt(((query - pivots[mine]) ** 2).sum(1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = (away**2 - to_mine[:, None] ** 2) / (2.0 * between)
+    bound = np.maximum(away - outer, inner - away)
+    return np.maximum(bound, np.where(np.isfinite(plane), plane, 0.0)) - 2 * _reach(query, centers)[:, None]
+
+
+def _groups_of(near: np.ndarray, group: np.ndarray) -> list[np.ndarray]:
+    """For each row of ``near``, a flag per cell, the groups that have a flagged cell."""
+    order = np.argsort(group, kind="stable")
+    names, starts = np.unique(group[order], return_index=True)
+    some = np.logical_or.reduceat(near[:, order], starts, axis=1)
+    return [names[row].astype("int32") for row in some]
+
+
+def _probes(placed: DataFrame, own: DataFrame, pivots: np.ndarray, cells: dict, best: int, group: np.ndarray) -> DataFrame:
+    """(qid, qvec, qcell, radius) for the groups of cells, not the own one, that may hold one of the nearest rows."""
     names = np.array(sorted(cells))
     inner = np.array([cells[c][0] for c in names])
     outer = np.array([cells[c][1] for c in names])
-    centers = pivots[names]
-    place = {c: i for i, c in enumerate(names)}
-    between = _distances(centers, centers)
 
     @F.pandas_udf("array<int>")
     def visit(vec: pd.Series, cell: pd.Series, radius: pd.Series) -> pd.Series:
-        query = _matrix(vec)
-        mine = np.array([place[c] for c in cell])
-        away = _distances(query, centers)
-        limit = radius.to_numpy(dtype=float) + 2 * _reach(query, centers)
-        to_mine = away[np.arange(len(mine)), mine]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            plane = (away**2 - to_mine[:, None] ** 2) / (2.0 * between[mine])
-        bound = np.maximum(away - outer, inner - away)
-        bound = np.maximum(bound, np.where(np.isfinite(plane), plane, 0.0))
-        near = bound <= limit[:, None]
-        near[np.arange(len(mine)), mine] = False
-        return pd.Series([names[row].astype("int32") for row in near])
+        query, mine, limit = _matrix(vec), cell.to_numpy(), radius.to_numpy(dtype=float)
+        out, step = [], max(1, _VALUES_AT_ONCE // len(names))
+        for at in range(0, len(query), step):
+            e = slice(at, at + step)
+            near = _lower_bound(query[e], mine[e], pivots, names, inner, outer) <= limit[e, None]
+            out += _groups_of(near & (group[names][None, :] != group[mine[e]][:, None]), group[names])
+        return pd.Series(out)
 
     radius = own.groupBy("qid").agg(
         F.when(F.count(F.lit(1)) >= best, F.max("distance")).otherwise(F.lit(float("inf"))).alias("radius")
     )
     reached = placed.select(F.col("gid").alias("qid"), F.col("vec").alias("qvec"), "cell").join(radius, "qid")
-    visits = reached.select("qid", "qvec", visit("qvec", "cell", "radius").alias("to"))
-    # Read twice, to size the chunks and to search; written before the cells multiply the vectors.
+    visits = reached.select("qid", "qvec", "radius", visit("qvec", "cell", "radius").alias("to"))
+    # Read twice, to size the chunks and to search; written before the groups multiply the vectors.
     visits = materialize(visits.filter(F.size("to") > 0), "visits")
-    return visits.select("qid", "qvec", F.explode("to").alias("qcell"))
+    return visits.select("qid", "qvec", "radius", F.explode("to").alias("qcell"))
 
 
 def neighbour_rows(near: DataFrame, row_id: str = "row_id") -> DataFrame:
@@ -307,7 +451,7 @@ def neighbour_recall(found: DataFrame, true: DataFrame, row_id: str = "row_id")
 
 # Vectors whose true neighbours are searched to plan the hashing; the most tables; what one more copy
 # of a vector and one more group of a search cost, in compared pairs.
-PLAN_ROWS, MAX_TABLES, COPY_PAIRS, GROUP_PAIRS = 256, 256, 300, 300_000
+PLAN_ROWS, MAX_TABLES, COPY_PAIRS, GROUP_PAIRS = 256, 256, 3_000, 300_000
 
 
 def _planes(seed: int, d: int, tables: int, bits: int) -> np.ndarray:
@@ -384,7 +528,7 @@ def hashed_neighbours(
     hyperplanes through their mean, as many planes as make buckets of about
     ``bucket_rows``.  Planes are drawn from ``seed``, so buckets do not depend on
     partitions.  Inside a bucket the ranking is exact; buckets of any size are cut
-    into chunks.  A neighbour is missed if it shares no bucket, and the more often the
+    into chunks (``_task_rows``).  A neighbour is missed if it shares no bucket, and the more often the
     smaller the buckets are.  Without ``tables``, their number and that of the planes,
     with ``bucket_rows`` as the smallest bucket, are those of the least work that finds
     ``recall`` of the true neighbours of a sample, searched among all rows; where hashing
@@ -398,9 +542,10 @@ def hashed_neighbours(
     if shape["d"] != shape["d0"]:
         raise ValueError("vectors differ in length")
     bits = max(0, round(math.log2(max(shape["n"] / bucket_rows, 1))))
+    most = _task_rows(shape["n"], shape["d"], chunk_rows)
     center = groups.select(Summarizer.mean(array_to_vector("vec")).alias("m")).first()["m"].toArray()
     if tables is None:
-        tables, bits = _plan(groups, shape["n"], shape["d"], k, center, bits, recall, seed, chunk_rows)
+        tables, bits = _plan(groups, shape["n"], shape["d"], k, center, bits, recall, seed, most)
     planes = _planes(seed, shape["d"], tables, bits)
 
     @F.pandas_udf("array<bigint>")
@@ -408,8 +553,10 @@ def hashed_neighbours(
         return pd.Series(list(_bucket_numbers(_matrix(vec) - center, planes, tables, bits) * tables + np.arange(tables)))
 
     placed = materialize(groups.withColumn("cells", buckets("vec")), "buckets").withColumn("cell", F.explode("cells")).drop("cells")
-    chunks = F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int")
+    chunks = F.ceil(F.count(F.lit(1)) / most).cast("int")
     sizes = placed.groupBy("cell").agg(chunks.alias("q_chunks"), chunks.alias("b_chunks"))
     queries = placed.select(F.col("gid").alias("qid"), F.col("vec").alias("qvec"), F.col("cell").alias("qcell"))
-    found = _search_chunks(queries, placed, k + 1, sizes).dropDuplicates(["qid", "id"])
+    pairs = math.ceil(shape["n"] / most) ** 2 * tables  # at least, if no bucket is larger than the others
+    found = _search_chunks(queries, placed, k + 1, sizes, min(pairs, MAX_TASKS) if pairs > tables else None)
+    found = found.dropDuplicates(["qid", "id"]) if tables > 1 else found
     return _per_row(_keep_best(found, k + 1), groups, rows, shape["n"], k, row_id)

@@ -176,3 +176,40 @@ def test_inverted_file_of_odd_tables(spark):
     same = np.ones((30, 2))
     assert inverted_found(frame(spark, same), 3) == brute(same, 3)
     assert inverted_found(frame(spark, np.array([[1.0], [2.0]])), 5) == brute(np.array([[1.0], [2.0]]), 5)
+
+
+def test_vectors_without_structure_are_copied_to_few_groups(spark, monkeypatch):
+    """Cells rule nothing out here; a copy for each cell would be some 38 for each vector."""
+    x, copies = np.random.default_rng(3).normal(size=(1500, 24)), []
+    search = neighbours._search
+    monkeypatch.setattr(neighbours, "_search", lambda *a: copies.append(sum(a[4].values())) or search(*a))
+    assert found(frame(spark, x), 4, chunk_rows=20) == brute(x, 4)
+    assert len(copies) == 2 and copies[0] == len(x) and copies[1] <= 16 * len(x)
+
+
+def test_all_probes_of_small_groups_copy_a_vector_to_few(spark, monkeypatch):
+    x, copies = np.random.default_rng(4).normal(size=(900, 16)), []
+    write = inverted.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "probes":
+            copies.append(out.selectExpr("sum(size(to))").first()[0] if "to" in out.columns else out.count())
+        return out
+
+    monkeypatch.setattr(inverted, "materialize", counted)
+    assert inverted_found(frame(spark, x), 4, recall=1.0, group_rows=10, chunk_rows=10) == brute(x, 4)
+    assert copies[0] <= 16 * len(x)
+
+
+def test_copies_of_many_tables_cost_more_than_all_pairs():
+    """At 600,000 vectors 256 tables would move each vector 512 times; all pairs move it some 20 times."""
+    rows = getattr(neighbours, "_task_rows", lambda n, d, least: least)(600_000, 64, 4_096)
+    assert neighbours._work(1, 600_000, rows) < neighbours._work(256, 128, rows)
+
+
+def test_float_error_and_offsets_do_not_change_the_neighbours(spark):
+    """Far from zero and in many dimensions, where single precision rules out only what is surely farther."""
+    x = np.random.default_rng(5).normal(size=(300, 40)) * 0.01 + 1000.0
+    x[::3] = x[0] + np.random.default_rng(6).normal(size=(100, 40)) * 1e-4
+    assert found(frame(spark, x), 4, chunk_rows=30) == brute(x, 4)
