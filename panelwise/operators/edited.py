@@ -4,8 +4,8 @@ A row stays if its k nearest rows have its label.  That is so exactly if k rows
 own label come before the nearest row of another label.  So two numbers are enough, and
 each bounds the search for the other:
 
-* where the own cell holds a row of another label before the k-th own one, only rows of the
-  own label are looked at, and only up to that row; too few of them, and the row goes;
+* where the own group of cells holds a row of another label before the k-th own one, only rows
+  of the own label are looked at, and only up to that row; too few of them, and the row goes;
 * elsewhere only rows of other labels are looked at, up to the k-th own one; none, and the
   row stays;
 * the few that are left have both numbers by then, and are counted once more.
@@ -15,7 +15,6 @@ Rows that are not up for cleaning are never searched for.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -23,7 +22,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwise.operators.neighbours import DECIMALS, _best_of_chunk, _distances, _matrix, _place, _reach
+from panelwise.operators.neighbours import (
+    _VALUES_AT_ONCE,
+    MAX_TASKS,
+    _best_of_chunk,
+    _chunked,
+    _cut_pairs,
+    _grouped,
+    _groups_of,
+    _lower_bound,
+    _matrix,
+    _place,
+    _task_rows,
+)
 from panelwise.session import broadcast_if_small, materialize, small_frame
 
 #: Labels that a table may have; each makes a part of every cell.
@@ -44,114 +55,94 @@ def _groups(df: DataFrame, best: int, row_id: str, vector: str, label: str) -> t
     return groups.select(F.col("member_ids")[0].alias("gid"), "vec", "label", "member_ids"), rows
 
 
+def _near(left: pd.DataFrame, right: pd.DataFrame, best: int, own: bool) -> pd.DataFrame:
+    """The nearest ``best`` rows of the own label of each query, or of the other labels; within its ``radius``, if given."""
+    columns = ["qid", "own", "distance", "id"]
+    pieces = []
+    right = right.assign(member_labels=right["member_ids"])
+    for label, some in left.groupby("qlabel"):
+        found = _best_of_chunk(best)(some, right[(right["label"] == label) == own])
+        pieces.append(found[["qid", "distance", "id"]].assign(own=own)[columns])
+    return pd.concat(pieces) if pieces else pd.DataFrame({c: [] for c in columns})
+
+
 def _at_home(best: int) -> Callable:
-    """The nearest ``best`` own rows, or the nearest row of another label, within one part of a cell."""
-    own, other = _best_of_chunk(best), _best_of_chunk(1)
+    """The nearest ``best`` own rows, and the nearest row of another label, within one group of cells."""
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({c: [] for c in ("qid", "own", "distance", "id")})
-        mine = (left["qlabel"] == right["label"].iloc[0]).to_numpy()
-        right = right.assign(member_labels=right["member_ids"])
-        near = own(left[mine], right) if mine.any() else None
-        far = other(left[~mine], right).drop_duplicates("qid") if not mine.all() else None
-        parts = [x[["qid", "distance", "id"]].assign(own=kind) for x, kind in ((near, True), (far, False)) if x is not None]
-        return pd.concat(parts)[["qid", "own", "distance", "id"]]
+        far = _near(left, right, 1, False).drop_duplicates("qid")
+        return pd.concat([x for x in (_near(left, right, best, True), far) if len(x)] or [far])
 
     return search
 
 
 def _nearest_other(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    if left.empty or right.empty:
-        return pd.DataFrame({c: [] for c in ("qid", "own", "distance", "id")})
-    found = _best_of_chunk(1)(left, right.assign(member_labels=right["member_ids"])).drop_duplicates("qid")
-    return found[["qid", "distance", "id"]].assign(own=False)[["qid", "own", "distance", "id"]]
+    return _near(left, right, 1, False).drop_duplicates("qid")
 
 
 def _count_before(best: int) -> Callable:
-    """How many rows come before (radius, tie), as far as ``best``."""
+    """How many own rows come before (radius, tie), as far as ``best``."""
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"qid": [], "n": []})
-        base, ids = _matrix(right["vec"]), right["member_ids"].to_numpy()
-        copies = np.array([len(x) for x in ids])
-        pieces = []
-        for start in range(0, len(left), 256):
-            part = left.iloc[start : start + 256]
-            query, radius = _matrix(part["qvec"]), part["radius"].to_numpy()
-            limit = radius + 2 * _reach(query, base)
-            rows, hits = np.nonzero(_distances(query, base) <= limit[:, None])
-            exact = np.round(np.sqrt(((query[rows] - base[hits]) ** 2).sum(1)), DECIMALS)
-            count = np.where(exact < radius[rows], copies[hits], 0)
-            for i in np.flatnonzero(exact == radius[rows]):
-                count[i] = (np.asarray(ids[hits[i]]) < part["tie"].iloc[rows[i]]).sum()
-            total = np.bincount(rows, count, len(part)).astype(np.int64)
-            pieces.append(pd.DataFrame({"qid": part["qid"].to_numpy(), "n": np.minimum(total, best)}))
-        return pd.concat(pieces)
+        near = _near(left, right, best, True).merge(left[["qid", "radius", "tie"]], on="qid")
+        before = (near["distance"] < near["radius"]) | ((near["distance"] == near["radius"]) & (near["id"] < near["tie"]))
+        count = near[before].groupby("qid").size().clip(upper=best)
+        return pd.DataFrame({"qid": count.index.to_numpy(), "n": count.to_numpy()})
 
     return search
 
 
 class _Cells:
-    """Parts of cells, one for each cell and label, and the joins of rows with them."""
+    """Parts of cells, one for each cell and label, and the joins of rows with the groups that the cells travel in."""
 
     def __init__(self, placed: DataFrame, pivots: np.ndarray, labels: list[int], chunk_rows: int):
-        self.placed, self.pivots, self.labels, self.chunk_rows = placed, pivots, labels, chunk_rows
+        self.pivots, self.labels, self.chunk_rows = pivots, labels, chunk_rows
         stats = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("inner"), F.max("away").alias("outer"))
         rows = stats.orderBy("part").collect()
         self.part = np.array([r["part"] for r in rows], np.int64)
-        self.inner, self.outer = (np.array([r[c] for r in rows]) for c in ("inner", "outer"))
-        self.size = {r["part"]: r["n"] for r in rows}
+        self.inner, self.outer, self.held = (np.array([r[c] for r in rows]) for c in ("inner", "outer", "n"))
+        cell = self.part // len(labels)
+        held = np.bincount(cell, self.held, len(pivots)).astype(np.int64)
+        self.group = _grouped(pivots, held, chunk_rows)
+        self.size = {int(g): int(n) for g, n in enumerate(np.bincount(self.group, held))}
+        of_cell = [(c, int(g)) for c, g in enumerate(self.group)]
+        self.of_cell = F.broadcast(small_frame(placed.sparkSession, of_cell, "cell int, qcell int"))
+        self.placed = placed.join(self.of_cell, "cell").select("part", "gid", "vec", "label", "member_ids", F.col("qcell").alias("cell"))
         self.compared = 0
 
     def join(self, queries: DataFrame, fn: Callable, schema: str) -> DataFrame:
-        """``fn`` over each pair of chunks of the queries of a part and its rows."""
-        visits = {r["qpart"]: r["count"] for r in queries.groupBy("qpart").count().collect()}
-        self.compared += sum(n * self.size[p] for p, n in visits.items())
-        chunks = [(p, math.ceil(n / self.chunk_rows), math.ceil(self.size[p] / self.chunk_rows)) for p, n in visits.items()]
-        sizes = F.broadcast(small_frame(self.placed.sparkSession, chunks, "number int, q_chunks int, b_chunks int"))
-
-        def cut(frame: DataFrame, part: str, key: str, mine: str, other: str) -> DataFrame:
-            return (
-                frame.join(sizes, frame[part] == sizes["number"]).drop("number")
-                .withColumn("mine", F.pmod(F.xxhash64(key), F.col(mine)).cast("int"))
-                .withColumn("spread", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-                .drop("q_chunks", "b_chunks")
-            )
-
-        left = cut(queries, "qpart", "qid", "q_chunks", "b_chunks")
-        right = cut(self.placed.select("part", "gid", "vec", "label", "member_ids"), "part", "gid", "b_chunks", "q_chunks")
-        pairs = left.groupBy("qpart", "mine", "spread").cogroup(right.groupBy("part", "spread", "mine"))
-        return pairs.applyInPandas(fn, schema)
-
-    def home_parts(self, queries: DataFrame) -> DataFrame:
-        """The queries once for each part of their cell."""
-        pairs = [(int(p) // len(self.labels), int(p)) for p in self.part]
-        return queries.join(F.broadcast(small_frame(queries.sparkSession, pairs, "cell int, qpart int")), "cell")
+        """``fn`` over each pair of chunks of the queries of a group of cells and its rows."""
+        visits = {r["qcell"]: r["count"] for r in queries.groupBy("qcell").count().collect()}
+        sizes, pairs = _chunked(self.placed.sparkSession, self.chunk_rows, visits, self.size)
+        return _cut_pairs(queries, self.placed, "qcell", sizes, min(max(pairs, 1), MAX_TASKS)).applyInPandas(fn, schema)
+
+    def at_home(self, queries: DataFrame) -> DataFrame:
+        """The queries in the group of their cell."""
+        self.compared += sum(r["count"] * self.size[self.group[r["cell"]]] for r in queries.groupBy("cell").count().collect())
+        return queries.join(self.of_cell, "cell")
 
     def reached(self, queries: DataFrame, own: bool) -> DataFrame:
-        """The queries once for each part, not of their cell, that may hold a row within ``radius`` of them."""
-        part, inner, outer, pivots, count = self.part, self.inner, self.outer, self.pivots, len(self.labels)
-        cell_of, label_of = part // count, part % count
-        centers = pivots[cell_of]
-        between = _distances(pivots, centers)
-
-        @F.pandas_udf("array<int>")
-        def visit(vec: pd.Series, cell: pd.Series, number: pd.Series, radius: pd.Series) -> pd.Series:
-            query, mine = _matrix(vec), cell.to_numpy()
-            away, to_mine = _distances(query, centers), np.sqrt(((query - pivots[mine]) ** 2).sum(1))
-            limit = radius.to_numpy(dtype=float) + 2 * _reach(query, centers)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = (away**2 - to_mine[:, None] ** 2) / (2.0 * between[mine])
-            bound = np.maximum(np.maximum(away - outer, inner - away), np.where(np.isfinite(plane), plane, 0.0))
-            same = label_of[None, :] == number.to_numpy()[:, None]
-            near = (bound <= limit[:, None]) & (cell_of[None, :] != mine[:, None]) & (same if own else ~same)
-            return pd.Series([part[row].astype("int32") for row in near])
-
-        to = queries.withColumn("to", visit("qvec", "cell", "number", "radius"))
+        """The queries once for each group of cells, not their own, that may hold a row within ``radius`` of them."""
+        part, inner, outer, held, pivots, group = self.part, self.inner, self.outer, self.held, self.pivots, self.group
+        cell_of, label_of = np.divmod(part, len(self.labels))
+
+        @F.pandas_udf("to array<int>, pairs bigint")
+        def visit(vec: pd.Series, cell: pd.Series, number: pd.Series, radius: pd.Series) -> pd.DataFrame:
+            query, mine, limit, label = _matrix(vec), cell.to_numpy(), radius.to_numpy(dtype=float), number.to_numpy()
+            to, pairs, step = [], [], max(1, _VALUES_AT_ONCE // len(part))
+            for at in range(0, len(query), step):
+                e = slice(at, at + step)
+                near = _lower_bound(query[e], mine[e], pivots, cell_of, inner, outer) <= limit[e, None]
+                near &= (label_of[None, :] == label[e, None]) == own
+                near &= group[cell_of][None, :] != group[mine[e]][:, None]
+                to += _groups_of(near, group[cell_of])
+                pairs.append(near @ held)
+            return pd.DataFrame({"to": to, "pairs": np.concatenate(pairs) if pairs else np.zeros(0, np.int64)})
+
+        to = queries.withColumn("_v", visit("qvec", "cell", "number", "radius")).select("*", "_v.*").drop("_v")
         to = materialize(to.filter(F.size("to") > 0), "visits")
-        return to.withColumn("qpart", F.explode("to")).drop("to")
+        self.compared += to.agg(F.sum("pairs")).first()[0] or 0
+        return to.select("*", F.explode("to").alias("qcell")).drop("to", "pairs")
 
 
 def _before(near: Column, distance: Column, tie: Column) -> Column:
@@ -171,9 +162,9 @@ def clean_by_two_radii(
 ) -> DataFrame:
     """The rows that ``enn_clean`` keeps, found with fewer distances.
 
-    Rows of the cleaned labels stay only if all k nearest rows share their label;
+    A task holds ``chunk_rows`` rows of a side, more of a large table.  Rows of the cleaned labels stay only if all k nearest rows share their label;
     distances count at 6 decimals, ties go to the smaller id.  ``tally`` receives
-    the number of distances under ``compared``.
+    the number of distances that the cells leave under ``compared``.
     """
     best = k + 1  # a row is one of its own label's nearest
     found, rows = _groups(df, best, row_id, vector, label)
@@ -193,13 +184,14 @@ def clean_by_two_radii(
         placed, pivots = groups.withColumns({"cell": F.lit(0), "away": F.lit(0.0)}), np.zeros((1, max(shape["d"], 1)))
     else:
         placed, pivots, _ = _place(groups, shape["n"], max(shape["d"], 1))
+    chunk_rows = _task_rows(shape["n"], max(shape["d"], 1), chunk_rows)
     placed = placed.withColumn("part", (F.col("cell") * len(labels) + F.col("number")).cast("int"))
     cells = _Cells(placed, pivots, labels, chunk_rows)
 
     asked = placed.filter(F.col("label").isin(wanted)).select(
         F.col("gid").alias("qid"), F.col("vec").alias("qvec"), F.col("label").alias("qlabel"), "number", "cell"
     )
-    home = cells.join(cells.home_parts(asked), _at_home(best), _FOUND)
+    home = cells.join(cells.at_home(asked), _at_home(best), _FOUND)
     near = F.sort_array(F.collect_list(F.when(F.col("own"), F.struct("distance", "id"))))
     other = F.min(F.when(~F.col("own"), F.struct("distance", "id")))
     # Chunks of a large cell each send their best, so only the first ones of all are kept.

@@ -65,3 +65,20 @@ def test_fewer_distances(spark, monkeypatch):
     assert kept(edited.clean_by_two_radii(df, [0, 1, 2], 5, chunk_rows=64, tally=tally)) == want
     assert 1.4 * tally["compared"] < sum(full)
     assert 2 * (tally["compared"] - full[0]) < full[1]
+
+
+def test_rows_without_structure_are_copied_to_few_groups(spark, monkeypatch):
+    """A copy for each part of a cell would be some 19 for each row and label here."""
+    rng, copies, write = np.random.default_rng(7), [], edited.materialize
+    x, y = rng.normal(size=(1500, 24)), rng.integers(0, 2, 1500)
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "visits":
+            copies.append(out.selectExpr("coalesce(max(size(to)), 0)").first()[0])
+        return out
+
+    monkeypatch.setattr(edited, "materialize", counted)
+    df = frame(spark, x, y)
+    assert kept(edited.clean_by_two_radii(df, [0, 1], 4, chunk_rows=20)) == kept(resample.enn_clean(df, [0, 1], 4))
+    assert copies and max(copies) <= 16
