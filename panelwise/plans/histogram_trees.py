@@ -31,6 +31,8 @@ from panelwise.session import materialize, small_frame
 
 #: Bins of a feature, nodes whose histograms a pass adds up, trees after which margins are written.
 MAX_BINS, NODES_AT_ONCE, TREES_KEPT = 128, 256, 8
+#: Most nodes of a tree whose rows are told apart by masks of whole columns.
+NODES_AS_MASKS = 31
 _GAIN_DECIMALS = 9
 _U = np.uint64
 
@@ -83,6 +85,8 @@ class Tree:
 
     def leaf_of(self, bins: np.ndarray, missing: np.ndarray) -> np.ndarray:
         """Node that each row ends in; ``missing`` is the bin that stands for no value, per feature."""
+        if len(self.feature) <= NODES_AS_MASKS:
+            return self._below(0, bins, missing)
         node = np.zeros(len(bins), np.int64)
         feature, cut = np.array(self.feature), np.array(self.cut)
         left, right, none = np.array(self.left), np.array(self.right), np.array(self.missing_left)
@@ -97,6 +101,19 @@ class Tree:
             node[at] = np.where(goes, left[n], right[n])
         return node
 
+    def _below(self, node: int, bins: np.ndarray, missing: np.ndarray) -> np.ndarray:
+        """Nodes of few, each side chosen for whole columns: no row is looked up by its number."""
+        f = self.feature[node]
+        if f < 0:
+            return np.full(len(bins), node, np.int64)
+        b = bins[:, f]
+        goes = b <= self.cut[node]
+        if self.missing_left[node]:
+            goes |= b == missing[f]
+        else:
+            goes &= b != missing[f]
+        return np.where(goes, self._below(self.left[node], bins, missing), self._below(self.right[node], bins, missing))
+
 
 def bin_edges(df: DataFrame, features: Sequence[str], max_bins: int = MAX_BINS) -> list[np.ndarray]:
     """Upper edges of all bins but the last of each feature: every value if there are few, else quantiles."""
@@ -187,13 +204,13 @@ class Grower:
         recent, salts = list(recent), list(salts)
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((3, len(open_) * d * width))
+            sums = np.zeros((3, len(open_), d, width))
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 y, w = batch.column("y").to_numpy(), batch.column("w").to_numpy()
                 keys = batch.column("key").to_numpy().view(_U)
-                bins = batch.column("bins").flatten().to_numpy().reshape(-1, d).astype(np.int64)
+                bins = np.asfortranarray(batch.column("bins").flatten().to_numpy().reshape(-1, d), np.int64)
                 if boosted:
                     margin = batch.column("margin").to_numpy() + _sum_of(recent, bins, missing)
                     p = 1 / (1 + np.exp(-margin))
@@ -207,9 +224,12 @@ class Grower:
                     u = _uniform(keys, salts[t])
                     times = (u < share).astype(float) if boosted else _poisson(u)
                     some = np.flatnonzero((at >= 0) & (times > 0))
-                    cell = ((at[some, None] * d + np.arange(d)) * width + bins[some]).ravel()
-                    for k, v in enumerate((g * times, h * times, times)):
-                        sums[k] += np.bincount(cell, np.repeat(v[some], d), sums.shape[1])
+                    place, added = at[some] * width, [(v * times)[some] for v in (g, h)] + [times[some]]
+                    for j in range(d):
+                        cell = place + bins[some, j]
+                        for k, v in enumerate(added):
+                            sums[k, :, j] += np.bincount(cell, v, len(open_) * width).reshape(-1, width)
+            sums = sums.reshape(3, -1)
             full = np.flatnonzero(sums[2])
             columns = [full // (d * width), full // width % d, full % width]
             arrays = [pa.array(c.astype(np.int32)) for c in columns] + [pa.array(s[full]) for s in sums]

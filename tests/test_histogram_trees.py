@@ -131,3 +131,15 @@ def test_quantile_bins_and_odd_columns(spark):
     assert {f for t in model.trees for f in t.feature} <= {-1, 0}
     empty = trees.fit_boosting({"n_estimators": 1}, df.limit(0), ["a"], "label")
     assert [t.feature for t in empty.trees] == [[-1]]
+
+
+def test_rows_end_in_the_same_leaf_by_masks_and_by_steps(monkeypatch):
+    rng, missing = np.random.default_rng(1), np.array([9, 9, 9])
+    bins, tree = rng.integers(0, 10, (500, 3)), trees.Tree()
+    for node in range(10):
+        tree.split(node, int(rng.integers(3)), int(rng.integers(1, 8)), bool(rng.integers(2)), 1.0)
+    found = []
+    for most in (31, 0):
+        monkeypatch.setattr(trees, "NODES_AS_MASKS", most)
+        found.append(tree.leaf_of(bins, missing).tolist())
+    assert found[0] == found[1] and len(set(found[0])) > 5
