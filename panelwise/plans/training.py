@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import warnings
 from collections.abc import Callable, Mapping, Sequence
@@ -23,6 +24,7 @@ from panelwise.operators.curves import areas
 from panelwise.operators.split import stratified_folds
 from panelwise.operators.stages import StandardScale
 from panelwise.plans.histogram_trees import fit_boosting, fit_forest
+from panelwise.plans.merged_rows import BINS, ROWS, Merged, bin_column, merge_rows
 from panelwise.roles import ColumnRoles
 from panelwise.session import materialize, path_exists, small_frame
 
@@ -143,7 +145,8 @@ def fit_model(
     """Scale, assemble, fit.  The features are those named in ``roles``.
 
     Trees with parameters that MLlib lacks are grown from histograms; they do not
-    depend on the scale of a feature.
+    depend on the scale of a feature.  Trees on many rows are grown from rows merged
+    by their bins, where those are far fewer.
     """
     check_params(params, family)
     key = roles.row_id if roles.row_id in train.columns else None
@@ -157,12 +160,28 @@ def fit_model(
     else:
         weight_sum = float(max(train.count(), 1)) if params.get("gamma") else 1.0
     estimator = FAMILIES[family](params, roles, weight_sum)
+    if family == "gradient_boosting" and float(params.get("subsample", 1.0)) == 1.0:
+        merged = merge_rows(train, roles.features, [roles.label])
+        if merged is not None:
+            return _boost_merged(estimator, merged, roles)
     estimator.setFeaturesCol(_VECTOR).setLabelCol(roles.label)
     names = list(roles.features)
     steps = [StandardScale(names), VectorAssembler(inputCols=names, outputCol=_VECTOR), estimator]
     return Pipeline(stages=steps).fit(train)
 
 
+def _boost_merged(estimator: GBTClassifier, merged: Merged, roles: ColumnRoles) -> PipelineModel:
+    """Boosting on merged rows weighted by their number: the sums, so the trees, are those of all rows.
+
+    MLlib looks for values in a sample of the square of ``maxBins`` rows, so that is set to see all of them.
+    """
+    bins = [bin_column(f) for f in merged.features]
+    estimator.setFeaturesCol(_VECTOR).setLabelCol(roles.label).setWeightCol(ROWS)
+    estimator.setMaxBins(max(BINS, math.ceil(math.sqrt(merged.count))))
+    vectors = VectorAssembler(inputCols=bins, outputCol=_VECTOR)
+    return PipelineModel([merged.bucketizer(), vectors, estimator.fit(vectors.transform(merged.cells))])
+
+
 def score_batch(model: PipelineModel, df: DataFrame, roles: ColumnRoles) -> DataFrame:
     """Rows with the positive-class probability and the prediction.
 
