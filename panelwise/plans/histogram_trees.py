@@ -13,9 +13,10 @@ impurity and the weight of a leaf is the share of its positives.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from typing import Any
 
 import numpy as np
@@ -24,13 +25,20 @@ import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelwise.plans.merged_rows import ROWS, Merged, bin_column
 from panelwise.session import materialize, small_frame
 
 #: Bins of a feature, nodes whose histograms a pass adds up, trees after which margins are written.
 MAX_BINS, NODES_AT_ONCE, TREES_KEPT = 128, 256, 8
+#: Nodes that a pass over merged rows adds up, and the bytes that their sums may have in a task.
+MERGED_NODES, MERGED_BYTES = 2_048, 64 << 20
+#: Mean from which a number of draws is taken from the expansion of its distribution about the normal one.
+_MANY = 64
 #: Most nodes of a tree whose rows are told apart by masks of whole columns.
 NODES_AS_MASKS = 31
 _GAIN_DECIMALS = 9
@@ -157,9 +165,49 @@ def _poisson(u: np.ndarray) -> np.ndarray:
     return np.searchsorted(chances, u).astype(float)
 
 
+def _drawn(keys: np.ndarray, salt: int, rows: np.ndarray) -> np.ndarray:
+    """How often the rows that a merged row stands for are drawn: Poisson of their number, as the sum of single draws is.
+
+    Up to a mean of ``_MANY`` by the exact distribution, above by its expansion about the normal one.
+    """
+    u = _uniform(keys, salt)
+    out = np.empty(len(rows))
+    for n in np.unique(rows[rows <= _MANY]):
+        here = rows == n
+        chances = np.cumsum([math.exp(k * math.log(n) - n - math.lgamma(k + 1)) for k in range(int(n + 12 * math.sqrt(n) + 12))])
+        out[here] = np.searchsorted(chances, u[here])
+    big = rows > _MANY
+    n, angle = rows[big], _uniform(keys[big], salt ^ (1 << 40))
+    z = np.sqrt(-2 * np.log1p(-u[big])) * np.cos(2 * math.pi * angle)
+    out[big] = np.maximum(np.rint(n + np.sqrt(n) * z + (z * z - 1) / 6), 0)
+    return out
+
+
 class Grower:
     """Binned rows on the cluster, and passes over them that grow trees."""
 
+    #: Nodes whose histograms a pass adds up, and whether a row stands for several.
+    nodes_at_once, merged = NODES_AT_ONCE, False
+
+    @classmethod
+    def over(cls, merged: Merged, label: str, weight: str, rules: Rules, seed: int) -> Grower:
+        """Merged rows in place of binned ones."""
+        self = cls.__new__(cls)
+        self.features, self.rules, self.seed, self.merged = list(merged.features), rules, seed, True
+        self.edges = merged.edges
+        self.missing = np.array([len(e) + 1 for e in self.edges], np.int64)
+        width = len(self.features) * (int(self.missing.max()) + 1) * 24
+        self.nodes_at_once = max(1, min(MERGED_NODES, MERGED_BYTES // width))
+        bins = [F.col(bin_column(f)).cast("smallint") for f in self.features]
+        self.rows = materialize(
+            merged.cells.select(
+                F.col(label).cast("double").alias("y"), F.col(weight).cast("double").alias("w"),
+                F.xxhash64(*bins, label).alias("key"), F.array(*bins).alias("bins"), F.lit(0.0).alias("margin"), F.col(ROWS).alias("rows"),
+            ),
+            "cells",
+        )
+        return self
+
     def __init__(self, df: DataFrame, features: Sequence[str], label: str, key: str | None, weight: str | None, rules: Rules, seed: int, max_bins: int):
         self.features, self.rules, self.seed = list(features), rules, seed
         self.edges = bin_edges(df, features, max_bins)
@@ -201,7 +249,7 @@ class Grower:
         for number, (tree, node) in enumerate(open_):
             by_tree.setdefault(tree, {})[node] = number
         work_trees = {t: trees[t] for t in by_tree}
-        recent, salts = list(recent), list(salts)
+        recent, salts, merged = list(recent), list(salts), self.merged
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((3, len(open_), d, width))
@@ -221,8 +269,11 @@ class Grower:
                     number = np.full(len(work_trees[t].feature), -1)
                     number[list(nodes)] = list(nodes.values())
                     at = number[work_trees[t].leaf_of(bins, missing)]
-                    u = _uniform(keys, salts[t])
-                    times = (u < share).astype(float) if boosted else _poisson(u)
+                    if merged:
+                        times = _drawn(keys, salts[t], batch.column("rows").to_numpy())
+                    else:
+                        u = _uniform(keys, salts[t])
+                        times = (u < share).astype(float) if boosted else _poisson(u)
                     some = np.flatnonzero((at >= 0) & (times > 0))
                     place, added = at[some] * width, [(v * times)[some] for v in (g, h)] + [times[some]]
                     for j in range(d):
@@ -235,7 +286,7 @@ class Grower:
             arrays = [pa.array(c.astype(np.int32)) for c in columns] + [pa.array(s[full]) for s in sums]
             yield pa.RecordBatch.from_arrays(arrays, names=["node", "feature", "bin", "g", "h", "n"])
 
-        rows = self.rows.select("y", "w", "key", "bins", "margin")
+        rows = self.rows.select("y", "w", "key", "bins", "margin", *(["rows"] if merged else []))
         found = rows.mapInArrow(work, "node int, feature int, bin int, g double, h double, n double")
         return found.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
 
@@ -274,14 +325,15 @@ class Grower:
         open_ = [(t, 0) for t in range(len(trees))]
         while open_:
             following = []
-            for start in range(0, len(open_), NODES_AT_ONCE):
-                now = open_[start : start + NODES_AT_ONCE]
+            for start in range(0, len(open_), self.nodes_at_once):
+                now = open_[start : start + self.nodes_at_once]
                 sums = self.histograms(now, trees, recent, boosted, salts, share)
                 may = None
                 if tried is not None:
                     pairs = [(i, int(f), 1) for i, (t, node) in enumerate(now) for f in tried(t, node)]
                     may = small_frame(self.rows.sparkSession, pairs, "node int, feature int, may int")
-                for r in self.best_splits(sums, may).collect():
+                found = self.best_splits(sums, may).collect()
+                for r in sorted(found, key=lambda r: r["node"]) if self.merged else found:
                     t, node = now[r["node"]]
                     tree = trees[t]
                     self._settle(tree, node, r["tg"], r["th"], r["tn"])
@@ -306,13 +358,33 @@ def _sum_of(trees: Sequence[Tree], bins: np.ndarray, missing: np.ndarray) -> np.
     return total
 
 
-class TreesModel(Model):
-    """Fitted trees; ``transform`` adds the vector column ``probability``."""
+class TreesModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """Fitted trees; ``transform`` adds the vector column ``probability``.
+
+    What was learned is a JSON parameter, so pipelines with trees are saved and loaded like any other.
+    ``even`` gives each tree the same part in the importance of features, as MLlib's forests do.
+    """
+
+    learned = Param(Params._dummy(), "learned", "fitted trees", TypeConverters.toString)
 
-    def __init__(self, features: Sequence[str], edges: list[np.ndarray], trees: list[Tree], boosted: bool, base: float = 0.0):
+    def __init__(self, features: Sequence[str] = (), edges: Sequence[np.ndarray] = (), trees: Sequence[Tree] = (), boosted: bool = False, base: float = 0.0, even: bool = False):
         super().__init__()
-        self.features, self.edges, self.trees, self.boosted, self.base = list(features), edges, trees, boosted, base
-        self.missing = np.array([len(e) + 1 for e in edges], np.int64)
+        self._keep(features, edges, trees, boosted, base, even)
+        if trees:
+            document = [self.features, [e.tolist() for e in self.edges], [asdict(t) for t in trees], boosted, base, even]
+            self._set(learned=json.dumps(document, default=lambda x: x.item()))
+
+    def _keep(self, features, edges, trees, boosted, base, even) -> None:
+        self.features, self.edges, self.trees = list(features), [np.array(e, float) for e in edges], list(trees)
+        self.boosted, self.base, self.even = boosted, base, even
+        self.missing = np.array([len(e) + 1 for e in self.edges], np.int64)
+
+    def set(self, param: Param, value: Any) -> None:
+        """A model that is read back gets its trees here."""
+        super().set(param, value)
+        if param.name == "learned" and not self.trees:
+            features, edges, trees, *rest = json.loads(value)
+            self._keep(features, edges, [Tree(**t) for t in trees], *rest)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         edges, trees, missing, boosted, base = self.edges, self.trees, self.missing, self.boosted, self.base
@@ -331,7 +403,9 @@ class TreesModel(Model):
         """Share of the gain of all splits that each feature has."""
         total = np.zeros(len(self.features))
         for tree in self.trees:
-            np.add.at(total, [f for f in tree.feature if f >= 0], [g for f, g in zip(tree.feature, tree.gain) if f >= 0])
+            gains = np.zeros(len(self.features))
+            np.add.at(gains, [f for f in tree.feature if f >= 0], [g for f, g in zip(tree.feature, tree.gain) if f >= 0])
+            total += gains / gains.sum() if self.even and gains.sum() else gains
         return Vectors.dense(total / total.sum() if total.sum() else total)
 
     def nodes(self, spark: SparkSession) -> DataFrame:
@@ -397,11 +471,28 @@ def fit_forest(
         least_split=int(params.get("min_samples_split", 2)),
     )
     grower = Grower(df, features, label, key, weight, rules, seed, max_bins)
+    trees = _grow_forest(grower, params, _count(params.get("max_features", "sqrt"), len(features)))
+    return TreesModel(features, grower.edges, trees, False)
+
+
+def _grow_forest(grower: Grower, params: Mapping[str, Any], many: int) -> list[Tree]:
+    seed, d = grower.seed, len(grower.features)
     trees = [Tree() for _ in range(int(params.get("n_estimators", 100)))]
-    d, many = len(features), _count(params.get("max_features", "sqrt"), len(features))
 
     def tried(t: int, node: int) -> list[int]:
         return np.random.default_rng((seed, t, node)).permutation(d)[:many].tolist()
 
     grower.grow(trees, [seed * 1_000_003 + t for t in range(len(trees))], False, tried=tried if many < d else None)
-    return TreesModel(features, grower.edges, trees, False)
+    return trees
+
+
+def fit_merged_forest(params: Mapping[str, Any], merged: Merged, label: str, weight: str, depth: int, seed: int = 42) -> TreesModel:
+    """The forest of ``fit_forest`` from merged rows, each drawn as often as the rows it stands for would be.
+
+    Bins, number of tried features and importances are those of MLlib's forests.
+    """
+    rules = Rules(depth=depth, lambda_=0.0, least_leaf=int(params.get("min_samples_leaf", 1)))
+    grower, d = Grower.over(merged, label, weight, rules, seed), len(merged.features)
+    tried = {"sqrt": math.ceil(math.sqrt(d)), "log2": max(1, math.ceil(math.log2(d)))}
+    trees = _grow_forest(grower, params, tried.get(params.get("max_features", "sqrt"), d))
+    return TreesModel(merged.features, grower.edges, trees, False, even=True)

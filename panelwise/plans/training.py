@@ -23,7 +23,7 @@ from panelwise.operators.counts import classification_metrics, cv_summary, with_
 from panelwise.operators.curves import areas
 from panelwise.operators.split import stratified_folds
 from panelwise.operators.stages import StandardScale
-from panelwise.plans.histogram_trees import fit_boosting, fit_forest
+from panelwise.plans.histogram_trees import fit_boosting, fit_forest, fit_merged_forest
 from panelwise.plans.merged_rows import BINS, ROWS, Merged, bin_column, merge_rows
 from panelwise.roles import ColumnRoles
 from panelwise.session import materialize, path_exists, small_frame
@@ -135,6 +135,8 @@ FAMILIES: dict[str, Callable] = {
     "logistic_regression": _logistic_regression,
     "gradient_boosting": _gradient_boosting,
 }
+# Choices of features per node that merged rows are grown by; shares and numbers are left to MLlib.
+_MERGED_FEATURES = ("sqrt", "log2", "all", None)
 # Families whose rows are weighted by class.
 BALANCED = ("random_forest", "logistic_regression")
 
@@ -159,6 +161,10 @@ def fit_model(
         train, weight_sum = with_class_weight(train, roles.label, _WEIGHT)
     else:
         weight_sum = float(max(train.count(), 1)) if params.get("gamma") else 1.0
+    if family == "random_forest" and params.get("max_features", "sqrt") in _MERGED_FEATURES:
+        merged = merge_rows(train, roles.features, [roles.label, _WEIGHT])
+        if merged is not None:
+            return PipelineModel([fit_merged_forest(params, merged, roles.label, _WEIGHT, int(params.get("max_depth") or MAX_DEPTH), SEED)])
     estimator = FAMILIES[family](params, roles, weight_sum)
     if family == "gradient_boosting" and float(params.get("subsample", 1.0)) == 1.0:
         merged = merge_rows(train, roles.features, [roles.label])

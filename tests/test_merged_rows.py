@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 
-from panelwise.plans import merged_rows, training
+from panelwise.plans import histogram_trees, merged_rows, training
 from panelwise.roles import ColumnRoles
 
 ROLES = ColumnRoles().with_features("a", "b", "c")
 BOOST = {"n_estimators": 8, "max_depth": 3, "learning_rate": 0.2}
+FOREST = {"n_estimators": 30, "max_depth": 4, "max_features": "sqrt"}
 
 
 def frame(spark, n=4000, seed=1, wide=False):
@@ -65,3 +67,28 @@ def test_boosting_on_merged_rows_gives_the_trees_of_all_rows(spark, monkeypatch)
     assert np.allclose(plain.stages[-1].featureImportances.toArray(), merged.stages[-1].featureImportances.toArray())
     sampled = training.fit_model("gradient_boosting", BOOST | {"subsample": 0.5}, df, ROLES)
     assert "Bucketizer" not in type(sampled.stages[0]).__name__
+
+
+def test_forest_on_merged_rows(spark, monkeypatch, tmp_path):
+    df = frame(spark)
+    plain = training.fit_model("random_forest", FOREST, df, ROLES)
+    monkeypatch.setattr(merged_rows, "LEAST_ROWS", 1)
+    merged = training.fit_model("random_forest", FOREST, df, ROLES)
+    assert isinstance(merged.stages[-1], histogram_trees.TreesModel)
+    p = chances(merged, df)
+    assert np.corrcoef(chances(plain, df), p)[0, 1] > 0.98
+    assert np.abs(plain.stages[-1].featureImportances.toArray() - merged.stages[-1].featureImportances.toArray()).max() < 0.1
+    assert np.allclose(p, chances(training.fit_model("random_forest", FOREST, df.repartition(5), ROLES), df), atol=1e-9)
+    merged.write().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m"))
+    assert np.array_equal(p, chances(again, df))
+    assert again.stages[-1].featureImportances == merged.stages[-1].featureImportances
+
+
+@pytest.mark.parametrize("rows", [1, 3, 64, 65, 5000])
+def test_draws_of_merged_rows_are_those_of_their_rows(rows):
+    keys = np.arange(200_000).astype(np.uint64)
+    drawn = histogram_trees._drawn(keys, 7, np.full(len(keys), float(rows)))
+    assert abs(drawn.mean() / rows - 1) < 6 / np.sqrt(rows * len(keys)) and abs(drawn.var() / rows - 1) < 0.03
+    if rows == 1:
+        assert np.array_equal(drawn, histogram_trees._poisson(histogram_trees._uniform(keys, 7)))
