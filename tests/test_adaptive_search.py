@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from panelwise.operators import split
 from panelwise.plans import adaptive_search as study
 from panelwise.plans import training
 from panelwise.roles import ColumnRoles
@@ -102,3 +103,20 @@ def test_family_study(spark, tmp_path):
     assert [r["number"] for r in sorted(trials)] == [0, 1, 2, 3]
     assert {r["state"] for r in trials} <= {"COMPLETE", "PRUNED"} and all(len(r["steps"]) == 1 for r in trials)
     assert max(r["value"] or 0 for r in trials) > 0.7
+
+
+def test_folds_are_made_once_per_share(spark, tmp_path, monkeypatch):
+    made = []
+
+    def counted(*args):
+        made.append(args)
+        return split.stratified_folds(*args)
+
+    monkeypatch.setattr(training, "stratified_folds", counted)
+    monkeypatch.setattr(study, "stratified_folds", counted, raising=False)
+    df = spark.range(120).selectExpr("id AS row_id", "concat('e', id % 7) AS entity", "cast(id % 3 = 0 AS int) AS label", "id % 3 + 0.1 * (id % 5) AS a")
+    space = {"C": ("log", 0.01, 1.0), "max_iter": ("int", 5, 6)}
+    roles = ColumnRoles().with_features("a")
+    found = study.search_family("logistic_regression", df, roles, 2, str(tmp_path / "s"), k=2, shares=(0.5, 1.0), rule=lambda *_: False, space=space)
+    assert [r["state"] for r in found.collect()] == ["COMPLETE"] * 2
+    assert len(made) == 2
