@@ -83,7 +83,7 @@ def merge_rows(train: DataFrame, features: Sequence[str], kept: Sequence[str]) -
     """The rows of ``train`` merged by the bins of ``features`` and the ``kept`` columns.
 
     None if there are not many rows, or not far fewer merged ones; both are counted first.
-    None too if a feature has missing values, which MLlib's trees refuse.
+    None too if a feature or kept column has missing values, which MLlib's trees refuse.
     """
     rows = train.count()
     if rows < LEAST_ROWS or not features:
@@ -94,7 +94,7 @@ def merge_rows(train: DataFrame, features: Sequence[str], kept: Sequence[str]) -
     upper = _upper_values(plain, features)
     bins = [bin_column(f) for f in features]
     binned = _bucketizer(features, upper).transform(plain)
-    gaps = [F.count_if(F.col(b).isNull()) for b in bins]
+    gaps = [F.count_if(F.col(c).isNull()) for c in (*bins, *kept)]
     expected, *missing = binned.agg(F.approx_count_distinct(F.xxhash64(*bins, *kept)), *gaps).first()
     if any(missing) or expected * LEAST_SHARE > rows:
         return None

@@ -163,7 +163,7 @@ def fit_model(
         weight_sum = float(max(train.count(), 1)) if params.get("gamma") else 1.0
     if family == "random_forest" and params.get("max_features", "sqrt") in _MERGED_FEATURES:
         merged = merge_rows(train, roles.features, [roles.label, _WEIGHT])
-        if merged is not None:
+        if merged is not None and merged.cells.filter(~F.col(roles.label).isin(0, 1)).isEmpty():
             return PipelineModel([fit_merged_forest(params, merged, roles.label, _WEIGHT, int(params.get("max_depth") or MAX_DEPTH), SEED)])
     estimator = FAMILIES[family](params, roles, weight_sum)
     if family == "gradient_boosting" and float(params.get("subsample", 1.0)) == 1.0:

@@ -53,6 +53,9 @@ def test_rows_are_merged_only_where_that_helps(spark, monkeypatch):
     assert merged_rows.merge_rows(df, ["a", "b"], ["row_id"]) is None
     for gap in ("nullif(b, 2)", "if(b = 2, double('NaN'), b)"):
         assert merged_rows.merge_rows(df.selectExpr("a", f"{gap} AS b", "label"), ["a", "b"], ["label"]) is None
+    assert merged_rows.merge_rows(df.selectExpr("a", "b", "nullif(label, 1) AS label"), ["a", "b"], ["label"]) is None
+    three = training.fit_model("random_forest", FOREST, df.selectExpr("row_id", "label + int(b = 5) AS label", "a", "b", "c"), ROLES)
+    assert three.stages[-1].numClasses == 3
 
 
 def test_boosting_on_merged_rows_gives_the_trees_of_all_rows(spark, monkeypatch):
