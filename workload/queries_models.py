@@ -149,7 +149,8 @@ def _resampled(spark, sf_dir) -> DataFrame:
     """The whole route: split, impute, balance the vectors of the training rows, fit, evaluate."""
     parts = prepared_splits(spark, sf_dir)
     train = pack(parts["train"], MODEL_FEATURES)
-    balanced = unpack(smote_enn(train, clean_labels=[0, 1]), MODEL_FEATURES)
+    # Read by every pass of the fit; written before, or each would search the neighbours again.
+    balanced = materialize(unpack(smote_enn(train, clean_labels=[0, 1]), MODEL_FEATURES), "balanced")
     _, metrics = training.train_evaluate(
         "logistic_regression", SETTINGS["logistic_regression"], balanced, parts["val"], MODEL_ROLES
     )
