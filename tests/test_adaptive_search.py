@@ -8,6 +8,7 @@ from panelwise.plans import adaptive_search as study
 from panelwise.plans import training
 from panelwise.roles import ColumnRoles
 from panelwise.sources import trial_log
+from workload import queries_models
 
 SPACE = {"x": ("float", -5.0, 5.0), "c": ("log", 1e-3, 1e2), "n": ("int", 1, 9), "kind": ("choice", ("a", "b", None))}
 
@@ -120,3 +121,27 @@ def test_folds_are_made_once_per_share(spark, tmp_path, monkeypatch):
     found = study.search_family("logistic_regression", df, roles, 2, str(tmp_path / "s"), k=2, shares=(0.5, 1.0), rule=lambda *_: False, space=space)
     assert [r["state"] for r in found.collect()] == ["COMPLETE"] * 2
     assert len(made) == 2
+
+
+def test_the_query_proposes_from_earlier_trials(monkeypatch):
+    asked = {}
+
+    def noted(family, df, roles, n_trials, path, **options):
+        asked.update(options, n_trials=n_trials)
+
+    monkeypatch.setattr(queries_models, "prepared_splits", lambda *_: {"train": None})
+    monkeypatch.setattr(queries_models, "session_folder", lambda _: "nowhere")
+    monkeypatch.setattr(study, "search_family", noted)
+    queries_models._adaptive(None, "nowhere")
+
+    def proposals(value):
+        trials, space = [], asked["space"]
+        for number in range(asked["n_trials"]):
+            params = study.propose(trials, space, number)
+            text = {k: str(v) for k, v in params.items()}
+            trials.append({"number": number, "state": "COMPLETE", "value": value(params), "params": text, "steps": []})
+        return [t["params"] for t in trials]
+
+    small, large = proposals(lambda p: -p["C"]), proposals(lambda p: p["C"])
+    assert small[: study.STARTUP] == large[: study.STARTUP]
+    assert all(a != b for a, b in zip(small[study.STARTUP :], large[study.STARTUP :])) and len(small) > study.STARTUP

@@ -415,11 +415,14 @@ def _search_grid(spark, sf_dir) -> DataFrame:
 
 @query("search_adaptive")
 def _adaptive(spark, sf_dir) -> DataFrame:
-    """Trials of a search that proposes from those before and stops poor ones on a third of the rows."""
+    """Trials of a search that proposes from those before and stops poor ones on a third of the rows.
+
+    The first ``STARTUP`` are drawn; as many again are proposed from what was found (20, the default of the reference).
+    """
     train = prepared_splits(spark, sf_dir)["train"]
     path = f"{session_folder(spark)}/study-{uuid.uuid4().hex}"
     space = {"C": ("log", 0.001, 100.0), "max_iter": ("int", 20, 60)}
-    return adaptive_search.search_family("logistic_regression", train, MODEL_ROLES, 4, path, k=2, shares=(1 / 3, 1.0), space=space)
+    return adaptive_search.search_family("logistic_regression", train, MODEL_ROLES, 2 * adaptive_search.STARTUP, path, k=2, shares=(1 / 3, 1.0), space=space)
 
 
 @query("trial_variance_importance")
