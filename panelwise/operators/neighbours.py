@@ -6,7 +6,8 @@ something closer are visited next (triangle inequality; Lu, Shen, Chen, Ooi,
 "Efficient Processing of k Nearest Neighbor Joins using MapReduce", VLDB 2012).
 Cells that lie together travel as one group, so that a point is copied once for
 each group near it and not once for each cell; the task searches the cells of a
-group in turn.  Groups are cut into chunks, so that no task sees more than a fixed
+group in turn.  In few dimensions the groups are boxes instead, found by cuts of single
+coordinates, and a task searches small boxes of its points.  Groups are cut into chunks, so that no task sees more than a fixed
 number of points on either side, and tasks return only the best few candidates per
 point.
 Equal vectors are merged before the search: each is searched once, whatever
@@ -38,6 +39,8 @@ SHARES, MAX_TASK_ROWS, MAX_TASK_VALUES, MAX_TASKS = 8, 1 << 16, 1 << 22, 4_096
 # Pivots are sent to every task; this bounds their number of coordinates.
 MAX_PIVOT_VALUES = 1 << 20
 MAX_PIVOTS = 4_096
+# Dimensions up to which boxes take the place of cells; sampled vectors per box; points of a small box of a task.
+LOW_DIMENSIONS, _BOX_SAMPLE, _BLOCK = 8, 64, 64
 
 
 def _matrix(series: pd.Series) -> np.ndarray:
@@ -185,6 +188,77 @@ def _best_pairs(
     return found.pairs()
 
 
+def _blocks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows of ``x`` by small boxes, and where each begins: halves across the widest coordinate."""
+    order, starts, work = np.arange(len(x)), [], [(0, len(x))]
+    while work:
+        begin, end = work.pop()
+        if end - begin <= _BLOCK:
+            starts.append(begin)
+            continue
+        rows = order[begin:end]
+        values = x[rows]
+        column = values[:, (values.max(axis=0) - values.min(axis=0)).argmax()]
+        half = (end - begin) // 2
+        order[begin:end] = rows[np.argpartition(column, half)]
+        work += [(begin + half, end), (begin, begin + half)]
+    return order, np.array(starts)
+
+
+def _best_by_blocks(query: np.ndarray, base: np.ndarray, ids: np.ndarray, best: int, radius: np.ndarray | None = None):
+    """As ``_best_pairs``, in few dimensions: a small box of queries against the small boxes of points near it."""
+    (q_order, q_starts), (order, starts) = _blocks(query), _blocks(base)
+    ends = np.append(starts[1:], len(base))
+    points = np.ascontiguousarray(base[order].T)
+    low, high = (np.stack([f.reduceat(row, starts) for row in points], axis=1) for f in (np.minimum, np.maximum))
+    limits = np.full(len(query), np.inf) if radius is None else radius.astype(float)
+
+    def squares(asked: np.ndarray, boxes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.concatenate([np.arange(starts[i], ends[i]) for i in boxes])
+        out = np.zeros((len(asked), len(at)))
+        for values, row in zip(asked.T, points):
+            apart = values[:, None] - row[at]
+            out += np.multiply(apart, apart, out=apart)
+        return out, at
+
+    found = []
+    for begin, end in zip(q_starts, np.append(q_starts[1:], len(query))):
+        rows = q_order[begin:end]
+        asked, limit = query[rows], limits[rows]
+        first, last = asked.min(axis=0), asked.max(axis=0)
+        gap = np.maximum(np.maximum(low - last, first - high), 0.0)
+        away = (gap * gap).sum(axis=1)
+        if np.isinf(limit).any():
+            # A bound from the boxes nearest to the middle of the queries.
+            middle = np.abs((low + high) / 2 - (first + last) / 2).max(axis=1)
+            some = np.argpartition(middle, 3)[:4] if len(starts) > 4 else np.arange(len(starts))
+            square, _ = squares(asked, some)
+            if square.shape[1] >= best:
+                limit = np.minimum(limit, np.sqrt(np.partition(square, best - 1, axis=1)[:, best - 1]))
+        bound = limit * (1 + 1e-9) + 2 * 10.0**-DECIMALS
+        near = np.flatnonzero(away <= bound.max() ** 2)
+        # Some boxes at a time, the nearest first, so that a task holds a bounded matrix.
+        near = near[np.argsort(away[near], kind="stable")]
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        step = max(1, _VALUES_AT_ONCE // (_BLOCK * _BLOCK))
+        for s in range(0, len(near), step):
+            square, at = squares(asked, near[s : s + step])
+            q, b = np.divmod(np.flatnonzero(square <= (bound * bound)[:, None]), len(at))
+            b = order[at[b]]
+            diff = asked[q] - base[b]
+            exact = np.round(np.sqrt((diff * diff).sum(1)), DECIMALS)
+            close = exact <= limits[rows][q]
+            q, b, exact = (np.concatenate(x) for x in zip(held, (q[close], b[close], exact[close])))
+            by = np.lexsort((ids[b], exact, q))
+            q, b, exact = q[by], b[by], exact[by]
+            kept = np.arange(len(q)) - np.searchsorted(q, q) < best
+            held = (q[kept], b[kept], exact[kept])
+        found.append((rows[held[0]], held[1], held[2]))
+    q, b, exact = (np.concatenate(x) for x in zip(*found))
+    by = np.argsort(q, kind="stable")
+    return q[by], b[by], exact[by]
+
+
 def _best_of_chunk(k: int, centers: np.ndarray | None = None):
     """Search one chunk of points against one chunk of a cell, whose own cells are named by ``part`` if there are some."""
 
@@ -195,19 +269,26 @@ def _best_of_chunk(k: int, centers: np.ndarray | None = None):
         right = right.sort_values("part", kind="stable") if "part" in right else right
         part = right["part"].to_numpy() if "part" in right else np.zeros(len(right), np.int64)
         radius, reach = (left[c].to_numpy() if c in left else None for c in ("radius", "reach"))
-        q, b, exact = _best_pairs(
-            _matrix(left["qvec"]), _matrix(right["vec"]), right["gid"].to_numpy(), part, k, radius, centers, reach
-        )
+        query, base, ids = _matrix(left["qvec"]), _matrix(right["vec"]), right["gid"].to_numpy()
+        if centers is None and reach is None and 0 < base.shape[1] <= LOW_DIMENSIONS:
+            q, b, exact = _best_by_blocks(query, base, ids, k, radius)
+        else:
+            q, b, exact = _best_pairs(query, base, ids, part, k, radius, centers, reach)
         copies, labels = right["member_ids"].to_numpy()[b], right["member_labels"].to_numpy()[b]
         times = np.array([len(c) for c in copies], np.int64)
-        return pd.DataFrame(
-            {
-                "qid": np.repeat(left["qid"].to_numpy()[q], times),
-                "distance": np.repeat(exact, times),
-                "id": np.concatenate(list(copies)) if len(q) else np.zeros(0, np.int64),
-                "label": np.concatenate(list(labels)) if len(q) else np.zeros(0, np.int32),
-            }
-        )
+        out = {
+            "qid": np.repeat(left["qid"].to_numpy()[q], times),
+            "distance": np.repeat(exact, times),
+            "id": np.concatenate(list(copies)) if len(q) else np.zeros(0, np.int64),
+            "label": np.concatenate(list(labels)) if len(q) else np.zeros(0, np.int32),
+        }
+        if times.sum() > len(times):
+            # Vectors with copies gave more rows than are asked for.
+            owner = np.repeat(q, times)
+            order = np.lexsort((out["id"], out["distance"], owner))
+            order = order[np.arange(len(order)) - np.searchsorted(owner[order], owner[order]) < k]
+            out = {c: values[order] for c, values in out.items()}
+        return pd.DataFrame(out)
 
     return search
 
@@ -335,6 +416,19 @@ def nearest_neighbours(
         size = {0: shape["n"]}
         single = groups.withColumn("cell", F.lit(0))
         merged = _keep_best(_search(at_home(single), single, best, chunk_rows, size, size), best)
+    elif 0 < shape["d"] <= LOW_DIMENSIONS:
+        most = _task_rows(shape["n"], shape["d"], chunk_rows)
+        boxes = _Boxes(*_box_sample(groups, shape["n"], shape["d"], most))
+        grouped = _boxed(groups, boxes)
+        sizes = {r["cell"]: r["count"] for r in grouped.groupBy("cell").count().collect()}
+        # One task searches a box, unless it is far larger than asked for: its best are those of the box.
+        held = max(most, *sizes.values())
+        home = _search(at_home(grouped), grouped, best, held if held <= 2 * most else most, sizes, sizes)
+        own = materialize(home if held <= 2 * most else _keep_best(home, best), "own")
+        probes = _box_probes(grouped, own, boxes, best)
+        visits = {r["qcell"]: r["count"] for r in probes.groupBy("qcell").count().collect()}
+        away = _search(probes, grouped, best, most, visits, sizes)
+        merged = own.unionByName(away)  # a few per box reached; the lists of ``_per_row`` are cut to the first k
     else:
         placed, pivots, cells = _place(groups, shape["n"], max(shape["d"], 1))
         # Points travel to groups of cells that lie together; the task rules out cells.
@@ -367,6 +461,73 @@ def _per_row(merged: DataFrame, groups: DataFrame, rows: DataFrame, n: int, k: i
     return out.select(F.col("id").alias(row_id), F.slice(others, 1, k).alias("neighbours"))
 
 
+class _Boxes:
+    """A full binary tree of cuts, each of one coordinate at a value; its leaves are boxes that fill the space."""
+
+    def __init__(self, sample: np.ndarray, depth: int):
+        self.depth, inner = depth, 2**depth - 1
+        self.axis, self.cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
+        d = sample.shape[1]
+        held, low, high = [sample], [np.full(d, -np.inf)], [np.full(d, np.inf)]
+        for node in range(inner):
+            x = held[node]
+            if len(x):
+                axis = (x.max(axis=0) - x.min(axis=0)).argmax()
+                values = np.sort(x[:, axis])
+                # Values up to the cut go left; something is to be left for the right.
+                below = values[values < values[-1]]
+                if len(below):
+                    self.axis[node], self.cut[node] = axis, min(values[(len(values) - 1) // 2], below[-1])
+            left = x[:, self.axis[node]] <= self.cut[node]
+            held += [x[left], x[~left]]
+            end, begin = high[node].copy(), low[node].copy()
+            end[self.axis[node]] = begin[self.axis[node]] = self.cut[node]
+            low += [low[node], begin]
+            high += [end, high[node]]
+            held[node] = None
+        self.low, self.high = np.array(low[inner:]), np.array(high[inner:])
+
+    def box(self, x: np.ndarray) -> np.ndarray:
+        """Box of each row of ``x``."""
+        node, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (x[rows, self.axis[node]] > self.cut[node])
+        return node - len(self.cut)
+
+    def reached(self, x: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of ``x`` and boxes that hold something within the ``radius`` of the row, by row."""
+        reach = radius * (1 + 1e-9) + 2 * 10.0**-DECIMALS
+        row, node = np.arange(len(x)), np.zeros(len(x), np.int64)
+        for _ in range(self.depth):
+            value, cut = x[row, self.axis[node]], self.cut[node]
+            left, right = value - reach[row] <= cut, value + reach[row] > cut
+            row = np.concatenate([row[left], row[right]])
+            node = np.concatenate([2 * node[left] + 1, 2 * node[right] + 2])
+        box = node - len(self.cut)
+        gap = np.maximum(np.maximum(self.low[box] - x[row], x[row] - self.high[box]), 0.0)
+        near = (gap * gap).sum(axis=1) <= reach[row] ** 2
+        order = np.argsort(row[near], kind="stable")
+        return row[near][order], box[near][order]
+
+
+def _box_sample(groups: DataFrame, n: int, d: int, most: int) -> tuple[np.ndarray, int]:
+    """Vectors to cut the space by, a choice by a digest, and the depth that leaves about ``most`` in a box."""
+    depth = math.ceil(math.log2(max(n / most, 1)))
+    wanted = min(_BOX_SAMPLE * 2**depth, MAX_PIVOT_VALUES // d)
+    chosen = groups.filter(F.pmod(F.xxhash64("gid"), F.lit(n)) < wanted).select("vec").toPandas()
+    return (_matrix(chosen["vec"]) if len(chosen) else np.empty((0, d))), depth
+
+
+def _boxed(groups: DataFrame, boxes: _Boxes) -> DataFrame:
+    """The vectors with the box of each as ``cell``, written."""
+
+    @F.pandas_udf("int")
+    def box(vec: pd.Series) -> pd.Series:
+        return pd.Series(boxes.box(_matrix(vec)) if len(vec) else [], dtype="int32")
+
+    return materialize(groups.withColumn("cell", box("vec")), "boxes")
+
+
 def _place(groups: DataFrame, n: int, d: int):
     """Cell of every vector: its nearest pivot.  Pivots are a hashed choice of vectors."""
     n_pivots = max(1, min(math.isqrt(n), MAX_PIVOTS, MAX_PIVOT_VALUES // d))
@@ -422,6 +583,29 @@ def _probes(placed: DataFrame, own: DataFrame, pivots: np.ndarray, cells: dict,
             out += _groups_of(near & (group[names][None, :] != group[mine[e]][:, None]), group[names])
         return pd.Series(out)
 
+    return _visits(placed, own, best, visit)
+
+
+def _box_probes(placed: DataFrame, own: DataFrame, boxes: _Boxes, best: int) -> DataFrame:
+    """(qid, qvec, qcell, radius) for the boxes, not the own one, that may hold one of the nearest rows."""
+
+    @F.pandas_udf("array<int>")
+    def visit(vec: pd.Series, cell: pd.Series, radius: pd.Series) -> pd.Series:
+        query, mine, limit = _matrix(vec), cell.to_numpy(), radius.to_numpy(dtype=float)
+        out, step = [], max(1, _VALUES_AT_ONCE // len(boxes.low))
+        for at in range(0, len(query), step):
+            e = slice(at, at + step)
+            row, box = boxes.reached(query[e], limit[e])
+            other = box != mine[e][row]
+            cuts = np.searchsorted(row[other], np.arange(1, len(query[e])))
+            out += np.split(box[other].astype("int32"), cuts)
+        return pd.Series(out)
+
+    return _visits(placed, own, best, visit)
+
+
+def _visits(placed: DataFrame, own: DataFrame, best: int, visit) -> DataFrame:
+    """(qid, qvec, qcell, radius) for each group that ``visit`` names for a vector, its cell and its radius."""
     radius = own.groupBy("qid").agg(
         F.when(F.count(F.lit(1)) >= best, F.max("distance")).otherwise(F.lit(float("inf"))).alias("radius")
     )

@@ -213,3 +213,41 @@ def test_float_error_and_offsets_do_not_change_the_neighbours(spark):
     x = np.random.default_rng(5).normal(size=(300, 40)) * 0.01 + 1000.0
     x[::3] = x[0] + np.random.default_rng(6).normal(size=(100, 40)) * 1e-4
     assert found(frame(spark, x), 4, chunk_rows=30) == brute(x, 4)
+
+
+@pytest.mark.parametrize("d", [1, 2, 4, 8])
+def test_boxes_give_the_neighbours_of_all_pairs(spark, monkeypatch, d):
+    rng = np.random.default_rng(d)
+    x = np.concatenate([np.round(rng.exponential(5, size=(240, d)), 1), rng.integers(0, 3, size=(160, d)), np.full((9, d), 2.5)])
+    df = spark.createDataFrame([(int(i), [float(v) for v in row], int(i % 3)) for i, row in zip(rng.permutation(len(x)), x)], "row_id long, vec array<double>, label int")
+    want = neighbours.nearest_neighbours(df, 5, label="label").collect()
+    monkeypatch.setattr(neighbours, "_place", None)  # the way of cells around pivots
+    for rows in (16, 60):
+        assert sorted(neighbours.nearest_neighbours(df, 5, label="label", chunk_rows=rows).collect()) == sorted(want)
+
+
+def test_blocks_find_what_brute_force_finds():
+    rng = np.random.default_rng(2)
+    for n, d, step in ((700, 3, 0.01), (900, 4, 5.0), (3, 2, 1.0)):
+        query, base = (np.round(rng.normal(size=(m, d)) * 10 / step) * step for m in (200, n))
+        ids, radius = rng.permutation(3 * n)[:n], rng.random(200) * 9
+        for most in (None, radius):
+            want = []
+            for i, row in enumerate(query):
+                away = np.round(np.sqrt(((row - base) ** 2).sum(1)), 6)
+                first = [j for j in np.lexsort((ids, away))[:6] if most is None or away[j] <= most[i]]
+                want += [(i, j, away[j]) for j in first]
+            assert list(zip(*neighbours._best_by_blocks(query, base, ids, 6, most))) == want
+
+
+def test_boxes_of_a_heavy_value_hold_all_that_is_near():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([np.full((300, 2), 4.0), rng.normal(size=(300, 2)) * 9])
+    boxes = neighbours._Boxes(x[::3], 4)
+    mine, radius = boxes.box(x), rng.random(600) * 6
+    assert len(np.unique(mine)) > 4 and (x >= boxes.low[mine]).all() and (x <= boxes.high[mine]).all()
+    row, box = boxes.reached(x, radius)
+    found = set(zip(row.tolist(), box.tolist()))
+    close = np.sqrt(((x[:, None] - x) ** 2).sum(2)) <= radius[:, None]
+    assert all((i, int(mine[j])) in found for i, j in zip(*np.nonzero(close)))
+    assert len(found) < 600 * 16

@@ -9,6 +9,7 @@ from panelwise.operators.resample import pack, smote_enn, unpack
 from panelwise.plans import evaluation, training
 from panelwise.roles import ColumnRoles
 from panelwise.sources import trial_log
+from workload import queries_models
 
 ROLES = ColumnRoles().with_features("a", "b")
 SMALL = {
@@ -152,3 +153,14 @@ def test_report_has_every_analysis(rows):
     curve = report["roc_curve"].collect()
     assert len(rates) == len(points) == 2 * len(curve)
     assert all(rates[str(r["threshold"]).replace("inf", "Infinity"), "tpr"] == r["tpr"] for r in curve)
+
+
+def test_balanced_rows_are_written_before_the_fit(spark, monkeypatch):
+    names = queries_models.MODEL_FEATURES
+    rows = [(i, int(i % 5 == 0), *(float((i * p) % 17 + 9 * (i % 5 == 0)) for p in (3, 5, 7, 11))) for i in range(120)]
+    train = spark.createDataFrame(rows, f"row_id long, label int, {', '.join(f'{c} double' for c in names)}")
+    monkeypatch.setattr(queries_models, "prepared_splits", lambda *_: {"train": train, "val": train})
+    monkeypatch.setattr(training, "train_evaluate", lambda family, params, fitted, held_out, roles: (None, fitted))
+    balanced = queries_models._resampled(spark, "nowhere")
+    plan = balanced._jdf.queryExecution().toString()
+    assert "Join" not in plan and "CoGroup" not in plan and balanced.count() > 120
