@@ -251,3 +251,12 @@ def test_boxes_of_a_heavy_value_hold_all_that_is_near():
     close = np.sqrt(((x[:, None] - x) ** 2).sum(2)) <= radius[:, None]
     assert all((i, int(mine[j])) in found for i, j in zip(*np.nonzero(close)))
     assert len(found) < 600 * 16
+
+
+def test_ids_that_come_twice_give_the_rows_of_one_chunk(spark):
+    """A row whose id comes twice has its second copy among its best, which is then left out."""
+    x = np.random.default_rng(8).integers(0, 12, size=(150, 3))
+    rows = [(i, 0, [float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows + rows[::2], "row_id long, label int, vec array<double>")
+    want = neighbours.nearest_neighbours(df, 4).collect()
+    assert sorted(neighbours.nearest_neighbours(df, 4, chunk_rows=16).collect()) == sorted(want)
