@@ -259,10 +259,10 @@ def _best_by_blocks(query: np.ndarray, base: np.ndarray, ids: np.ndarray, best:
     return q[by], b[by], exact[by]
 
 
-def _best_of_chunk(k: int, centers: np.ndarray | None = None, first: bool = False):
+def _best_of_chunk(k: int, centers: np.ndarray | None = None):
     """Search one chunk of points against one chunk of a cell, whose own cells are named by ``part`` if there are some.
 
-    Vectors with copies give more than ``k`` rows; with ``first`` only the first ``k`` of a point come back.
+    Vectors with copies give more than ``k`` rows; of queries with a column ``first`` only the first ``k`` come back.
     """
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -285,7 +285,7 @@ def _best_of_chunk(k: int, centers: np.ndarray | None = None, first: bool = Fals
             "id": np.concatenate(list(copies)) if len(q) else np.zeros(0, np.int64),
             "label": np.concatenate(list(labels)) if len(q) else np.zeros(0, np.int32),
         }
-        if first and times.sum() > len(times):
+        if "first" in left and times.sum() > len(times):
             owner = np.repeat(q, times)
             order = np.lexsort((out["id"], out["distance"], owner))
             order = order[np.arange(len(order)) - np.searchsorted(owner[order], owner[order]) < k]
@@ -325,7 +325,7 @@ def _chunked(spark, chunk_rows: int, n_query: dict, n_base: dict) -> tuple[DataF
 
 
 def _search(
-    queries: DataFrame, base: DataFrame, k: int, chunk_rows: int, n_query: dict, n_base: dict, first: bool = False
+    queries: DataFrame, base: DataFrame, k: int, chunk_rows: int, n_query: dict, n_base: dict
 ) -> DataFrame:
     """Best candidates of every (point, cell) pair: qid, distance, id, label.
 
@@ -335,15 +335,15 @@ def _search(
     distances; ``part`` of a point is its place within the cell.
     """
     sizes, pairs = _chunked(base.sparkSession, chunk_rows, n_query, n_base)
-    return _search_chunks(queries, base, k, sizes, min(max(pairs, 1), MAX_TASKS), first)
+    return _search_chunks(queries, base, k, sizes, min(max(pairs, 1), MAX_TASKS))
 
 
-def _search_chunks(queries: DataFrame, base: DataFrame, k: int, sizes: DataFrame, tasks: int | None = None, first: bool = False) -> DataFrame:
+def _search_chunks(queries: DataFrame, base: DataFrame, k: int, sizes: DataFrame, tasks: int | None = None) -> DataFrame:
     """The search with the numbers of chunks given as a table: cell, q_chunks, b_chunks."""
     part = [c for c in base.columns if c == "part"]
     base = base.select("cell", "gid", "vec", "member_ids", "member_labels", *part)
     return _cut_pairs(queries, base, "qcell", sizes, tasks).applyInPandas(
-        _best_of_chunk(k, first=first), "qid bigint, distance double, id bigint, label int"
+        _best_of_chunk(k), "qid bigint, distance double, id bigint, label int"
     )
 
 
@@ -425,11 +425,12 @@ def nearest_neighbours(
         sizes = {r["cell"]: r["count"] for r in grouped.groupBy("cell").count().collect()}
         # One task searches a box, unless it is far larger than asked for: its best are those of the box.
         held = max(most, *sizes.values())
-        home = _search(at_home(grouped), grouped, best, held if held <= 2 * most else most, sizes, sizes, True)
+        asked = at_home(grouped).withColumn("first", F.lit(True))
+        home = _search(asked, grouped, best, held if held <= 2 * most else most, sizes, sizes)
         own = materialize(home if held <= 2 * most else _keep_best(home, best), "own")
         probes = _box_probes(grouped, own, boxes, best)
         visits = {r["qcell"]: r["count"] for r in probes.groupBy("qcell").count().collect()}
-        away = _search(probes, grouped, best, most, visits, sizes, True)
+        away = _search(probes.withColumn("first", F.lit(True)), grouped, best, most, visits, sizes)
         merged = own.unionByName(away)  # a few per box reached, cut to the best by ``_per_row``
     else:
         placed, pivots, cells = _place(groups, shape["n"], max(shape["d"], 1))
